@@ -293,11 +293,3 @@ def q_v_inventory_exceptions(spark, sf_dir):
     f = fx(spark, sf_dir)
     return views.v_inventory_exceptions(inventory.current_inventory(f.inventory),
                                         views.v_variant_vendor_map(f.variants, f.products))
-
-
-def queries() -> dict[str, Query]:
-    return dict(QUERIES)
-
-
-def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
