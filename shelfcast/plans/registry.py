@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfcast.plans import catalog, catalog_models  # noqa: F401
+from shelfcast.plans import catalog, catalog_ingest, catalog_models  # noqa: F401
 
 
 def queries():
