@@ -68,40 +68,44 @@ def _score(sse: Column, m: Column, k: int) -> Column:
 
 
 def fit_forecaster(series: DataFrame, key: str, ts: str, value: str, step_days: int) -> DataFrame:
-    """Fit one model per series; returns ``key`` + FIT_COLUMNS."""
+    """Fit one model per series; returns ``key`` + FIT_COLUMNS.
+
+    The formulas are staged over successive projections that refer to named
+    columns, so no expression tree repeats another one inside it.
+    """
+    c = F.col
     s = series_sums(series, key, ts, value, step_days)
-    n = F.col("n").cast("double")
-    sy, syy, sty = (F.col(c).cast("double") for c in ("sy", "syy", "sty"))
-    yf, yl, slag = (F.col(c).cast("double") for c in ("yf", "yl", "slag"))
-    st = n * (n - 1) / 2
-    stt = (n - 1) * n * (2 * n - 1) / 6
-    sxx = stt - st * st / n
-    ybar = sy / n
-    slope = F.when(n >= 2, (n * sty - st * sy) / (n * stt - st * st))
-    intercept = ybar - slope * st / n
-    m = n - 1
-    drift = F.when(n >= 2, (yl - yf) / m)
-    sse = {
-        "mean": (syy - yf * yf) - 2 * ybar * (sy - yf) + m * ybar * ybar,
-        "last": (syy - yf * yf) + (syy - yl * yl) - 2 * slag,
-    }
-    sse["drift"] = sse["last"] - m * drift * drift
-    sse["trend"] = ((syy - 2 * intercept * sy - 2 * slope * sty + n * intercept * intercept
-                     + 2 * intercept * slope * st + slope * slope * stt) - (yf - intercept) * (yf - intercept))
-    cands = F.array(*[F.struct(_score(e, m, MODEL_PARAMS[name]).alias("score"), F.lit(MODEL_PARAMS[name]).alias("k"),
-                               F.lit(name).alias("model"), e.alias("sse"))
-                      for name, e in sse.items()])
-    best = F.array_min(cands)
+    s1 = s.select(key, "n", "last_ts", *[c(x).cast("double").alias(x) for x in ("sy", "syy", "sty", "yf", "yl", "slag")],
+                  c("n").cast("double").alias("nd"))
+    n = c("nd")
+    s2 = s1.select("*", (n * (n - 1) / 2).alias("st"), ((n - 1) * n * (2 * n - 1) / 6).alias("stt"),
+                   (c("sy") / n).alias("ybar"), (n - 1).alias("m"))
+    s3 = s2.select("*", (c("stt") - c("st") * c("st") / n).alias("sxx"),
+                   F.when(n >= 2, (n * c("sty") - c("st") * c("sy")) / (n * c("stt") - c("st") * c("st"))).alias("slope"),
+                   F.when(n >= 2, (c("yl") - c("yf")) / c("m")).alias("drift"))
+    s4 = s3.select("*", (c("ybar") - c("slope") * c("st") / n).alias("intercept"))
+    sy, syy, sty, yf, yl, slag = (c(x) for x in ("sy", "syy", "sty", "yf", "yl", "slag"))
+    m, ybar, a, b, st, stt = c("m"), c("ybar"), c("intercept"), c("slope"), c("st"), c("stt")
+    s5 = s4.select(
+        "*",
+        ((syy - yf * yf) - 2 * ybar * (sy - yf) + m * ybar * ybar).alias("sse_mean"),
+        ((syy - yf * yf) + (syy - yl * yl) - 2 * slag).alias("sse_last"),
+        ((syy - 2 * a * sy - 2 * b * sty + n * a * a + 2 * a * b * st + b * b * stt) - (yf - a) * (yf - a)).alias("sse_trend"))
+    s6 = s5.select("*", (c("sse_last") - m * c("drift") * c("drift")).alias("sse_drift"))
+    cands = F.array(*[F.struct(_score(c(f"sse_{name}"), m, k).alias("score"), F.lit(k).alias("k"),
+                               F.lit(name).alias("model"), c(f"sse_{name}").alias("sse"))
+                      for name, k in MODEL_PARAMS.items()])
+    # series shorter than 3 periods always use the mean model (no candidate scoring)
+    s7 = s6.select("*", F.when(n >= 3, F.array_min(cands)).alias("best"))
+    best = c("best")
     small_sigma = F.when(n >= 2, F.sqrt(F.greatest((syy - sy * sy / n) / m, F.lit(0.0)))).otherwise(F.lit(0.0))
     big_sigma = F.sqrt(F.greatest(best["sse"], F.lit(SSE_FLOOR)) / F.greatest(m - best["k"], F.lit(1.0)))
-    short = n < 3
-    return s.select(
+    return s7.select(
         key, "n", "last_ts",
-        F.when(short, F.lit("mean")).otherwise(best["model"]).alias("model"),
-        F.when(short, F.lit(None).cast("double")).otherwise(best["score"]).alias("score"),
-        F.when(short, small_sigma).otherwise(big_sigma).alias("sigma"),
-        ybar.alias("y_mean"), yl.alias("y_last"), drift.alias("drift"),
-        intercept.alias("intercept"), slope.alias("slope"), (st / n).alias("t_mean"), sxx.alias("sxx"))
+        F.coalesce(best["model"], F.lit("mean")).alias("model"), best["score"].alias("score"),
+        F.when(best.isNull(), small_sigma).otherwise(big_sigma).alias("sigma"),
+        ybar.alias("y_mean"), yl.alias("y_last"), c("drift").alias("drift"),
+        a.alias("intercept"), b.alias("slope"), (st / n).alias("t_mean"), c("sxx").alias("sxx"))
 
 
 def forecast(model: DataFrame, key: str, horizon: int, step_days: int, z: float) -> DataFrame:
@@ -109,21 +113,23 @@ def forecast(model: DataFrame, key: str, horizon: int, step_days: int, z: float)
 
     Returns key, forecast_ts (date), forecast_value, prediction_interval_lower/upper_bound.
     """
-    h = F.col("h").cast("double")
-    n = F.col("n").cast("double")
-    tstar = n - 1 + h
-    mdl = F.col("model")
-    yhat = (F.when(mdl == "mean", F.col("y_mean")).when(mdl == "last", F.col("y_last"))
-            .when(mdl == "drift", F.col("y_last") + h * F.col("drift"))
-            .otherwise(F.col("intercept") + F.col("slope") * tstar))
-    se = (F.when(mdl == "mean", F.col("sigma") * F.sqrt(1 + 1 / n))
-          .when(mdl.isin("last", "drift"), F.col("sigma") * F.sqrt(h))
-          .otherwise(F.col("sigma") * F.sqrt(1 + 1 / n + (tstar - F.col("t_mean")) * (tstar - F.col("t_mean")) / F.col("sxx"))))
+    c = F.col
     steps = model.select("*", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("h"))
-    return steps.select(
-        key, F.date_add("last_ts", F.col("h") * step_days).alias("forecast_ts"),
-        yhat.alias("forecast_value"), (yhat - F.lit(z) * se).alias("prediction_interval_lower_bound"),
-        (yhat + F.lit(z) * se).alias("prediction_interval_upper_bound"))
+    h = c("h").cast("double")
+    n = c("n").cast("double")
+    tstar = n - 1 + h
+    mdl = c("model")
+    yhat = (F.when(mdl == "mean", c("y_mean")).when(mdl == "last", c("y_last"))
+            .when(mdl == "drift", c("y_last") + h * c("drift"))
+            .otherwise(c("intercept") + c("slope") * tstar))
+    se = (F.when(mdl == "mean", c("sigma") * F.sqrt(1 + 1 / n))
+          .when(mdl.isin("last", "drift"), c("sigma") * F.sqrt(h))
+          .otherwise(c("sigma") * F.sqrt(1 + 1 / n + (tstar - c("t_mean")) * (tstar - c("t_mean")) / c("sxx"))))
+    pts = steps.select(key, F.date_add("last_ts", c("h") * step_days).alias("forecast_ts"),
+                       yhat.alias("forecast_value"), se.alias("se"))
+    return pts.select(key, "forecast_ts", "forecast_value",
+                      (c("forecast_value") - F.lit(z) * c("se")).alias("prediction_interval_lower_bound"),
+                      (c("forecast_value") + F.lit(z) * c("se")).alias("prediction_interval_upper_bound"))
 
 
 def to_quantity(c: Column | str) -> Column:

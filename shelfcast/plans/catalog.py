@@ -15,7 +15,7 @@ from shelfcast.operators import demand, inventory, vendors, views
 from shelfcast.params import DEFAULT_PARAMS as P
 from shelfcast.plans.oracle_fixture import d, ts, with_fixture
 from shelfcast.session import apply_runtime_conf
-from shelfcast.sources.testdata import Fixture
+from shelfcast.sources.testdata import Fixture, StoredFixture
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -31,8 +31,15 @@ def register(name: str, sql: str | None):
     return deco
 
 
+STORE_DIRS: dict[tuple[str, str], str] = {}
+
+
 def fx(spark: SparkSession, sf_dir: str, grain: str = "bt") -> Fixture:
+    """Fixture over the raw tables, or over a landed store when one was registered (bench)."""
     apply_runtime_conf(spark)   # UTC session time zone, ANSI, AQE
+    store_dir = STORE_DIRS.get((sf_dir.rstrip("/"), grain))
+    if store_dir:
+        return StoredFixture(spark, sf_dir, store_dir, grain, P)
     return Fixture(spark, sf_dir, grain, P)
 
 
@@ -130,34 +137,34 @@ STATUS_CTE = """vendor_status_m AS (
 
 # ------------------------------------------------------------------ C10, C21, C22 demand
 @register("c10_sales_daily", with_fixture([SALES_DAILY_CTE], "SELECT * FROM sales_daily"))
-def q_sales_daily(spark, sf_dir):
-    f = fx(spark, sf_dir)
+def q_sales_daily(spark, sf_dir, grain="bt"):
+    f = fx(spark, sf_dir, grain)
     return demand.sales_daily(f.sales_table(), f.variants, P)
 
 
 @register("c21_sales_daily_validation", with_fixture([SALES_DAILY_V_CTE], "SELECT * FROM sales_daily_v"))
-def q_sales_daily_validation(spark, sf_dir):
-    return demand.sales_daily_validation(fx(spark, sf_dir).sales_table(), P)
+def q_sales_daily_validation(spark, sf_dir, grain="bt"):
+    return demand.sales_daily_validation(fx(spark, sf_dir, grain).sales_table(), P)
 
 
 @register("c20_variant_vendor_map", with_fixture([ACTIVE_CTE, VVM_CTE], "SELECT * FROM vvm"))
-def q_variant_vendor_map(spark, sf_dir):
-    f = fx(spark, sf_dir)
+def q_variant_vendor_map(spark, sf_dir, grain="bt"):
+    f = fx(spark, sf_dir, grain)
     return vendors.variant_vendor_map(f.variants, f.products, vendors.active_vendors(f.vendor_status_existing, P))
 
 
 @register("c22_sales_weekly",
           with_fixture([ACTIVE_CTE, VVM_CTE, SALES_DAILY_V_CTE, SALES_WEEKLY_CTE], "SELECT * FROM sales_weekly"))
-def q_sales_weekly(spark, sf_dir):
-    f = fx(spark, sf_dir)
+def q_sales_weekly(spark, sf_dir, grain="bt"):
+    f = fx(spark, sf_dir, grain)
     vvm = vendors.variant_vendor_map(f.variants, f.products, vendors.active_vendors(f.vendor_status_existing, P))
     return demand.sales_weekly(demand.sales_daily_validation(f.sales_table(), P), vvm, P)
 
 
 # ------------------------------------------------------------------ C11, C17-C19 inventory
 @register("c11_current_inventory", with_fixture([CI_CTE], "SELECT * FROM ci"))
-def q_current_inventory(spark, sf_dir):
-    return inventory.current_inventory(fx(spark, sf_dir).inventory)
+def q_current_inventory(spark, sf_dir, grain="bt"):
+    return inventory.current_inventory(fx(spark, sf_dir, grain).inventory)
 
 
 @register("c17_latest_snapshot_count", with_fixture([], f"""
@@ -165,8 +172,8 @@ SELECT (SELECT max(snapshot_date) FROM inventory WHERE snapshot_date >= {AS_OF}
        count(*) AS rows_on_latest_snapshot
 FROM inventory
 WHERE snapshot_date = (SELECT max(snapshot_date) FROM inventory WHERE snapshot_date >= {AS_OF} - INTERVAL 365 DAY)"""))
-def q_latest_snapshot_count(spark, sf_dir):
-    return inventory.latest_snapshot_count(fx(spark, sf_dir).inventory, P)
+def q_latest_snapshot_count(spark, sf_dir, grain="bt"):
+    return inventory.latest_snapshot_count(fx(spark, sf_dir, grain).inventory, P)
 
 
 STAGED_SALES = f"(SELECT * FROM sales WHERE sale_date >= {AS_OF} - INTERVAL 14 DAY)"
@@ -175,10 +182,10 @@ STAGED_SALES = f"(SELECT * FROM sales WHERE sale_date >= {AS_OF} - INTERVAL 14 D
 @register("c18a_duplicate_sales", with_fixture([], f"""
 SELECT count(*) - count(DISTINCT sale_id) AS dup_sales FROM sales
 WHERE sale_date BETWEEN (SELECT min(sale_date) FROM {STAGED_SALES}) AND (SELECT max(sale_date) FROM {STAGED_SALES})"""))
-def q_duplicate_sales(spark, sf_dir):
+def q_duplicate_sales(spark, sf_dir, grain="bt"):
     from shelfcast.functions.semantics import date_lit
     from pyspark.sql import functions as F
-    s = fx(spark, sf_dir).sales_table()
+    s = fx(spark, sf_dir, grain).sales_table()
     staged = s.filter(F.col("sale_date") >= date_lit(P.days_ago(14)))
     return inventory.duplicate_sales(s, staged)
 
@@ -186,22 +193,22 @@ def q_duplicate_sales(spark, sf_dir):
 @register("c18b_latest_partitions", with_fixture([], """
 SELECT (SELECT max(snapshot_date) FROM inventory) AS latest_snapshot_date,
        (SELECT max(sale_date) FROM sales) AS latest_sale_date"""))
-def q_latest_partitions(spark, sf_dir):
-    f = fx(spark, sf_dir)
+def q_latest_partitions(spark, sf_dir, grain="bt"):
+    f = fx(spark, sf_dir, grain)
     return inventory.latest_partitions(f.inventory, f.sales_table())
 
 
 @register("c18c_sales_daily_freshness", with_fixture([SALES_DAILY_CTE], f"""
 SELECT max(sale_date) AS sales_daily_latest FROM sales_daily WHERE sale_date >= {AS_OF} - INTERVAL 7 DAY"""))
-def q_sales_daily_freshness(spark, sf_dir):
-    f = fx(spark, sf_dir)
+def q_sales_daily_freshness(spark, sf_dir, grain="bt"):
+    f = fx(spark, sf_dir, grain)
     return inventory.sales_daily_freshness(demand.sales_daily(f.sales_table(), f.variants, P), P)
 
 
 @register("c18d_inventory_totals", with_fixture([CI_CTE], """
 SELECT count(*) AS variant_count, CAST(sum(current_stock) AS BIGINT) AS total_stock FROM ci"""))
-def q_inventory_totals(spark, sf_dir):
-    return inventory.inventory_totals(inventory.current_inventory(fx(spark, sf_dir).inventory))
+def q_inventory_totals(spark, sf_dir, grain="bt"):
+    return inventory.inventory_totals(inventory.current_inventory(fx(spark, sf_dir, grain).inventory))
 
 
 @register("c19_negative_stock", with_fixture([f"""variant_vendor AS (
@@ -217,15 +224,15 @@ SELECT (SELECT d FROM latest) AS snapshot_date, vv.vendor_name, n.variant_id, CO
        vv.product_title, vv.variant_title, n.raw_stock, {RUN_TS} AS created_at
 FROM neg n JOIN variant_vendor vv ON vv.variant_id = n.variant_id
 ORDER BY vv.vendor_name, n.raw_stock"""))
-def q_negative_stock(spark, sf_dir):
-    f = fx(spark, sf_dir)
+def q_negative_stock(spark, sf_dir, grain="bt"):
+    f = fx(spark, sf_dir, grain)
     return inventory.negative_stock(f.inventory, f.variants, f.products, P)
 
 
 # ------------------------------------------------------------------ C13-C16 vendors
 @register("c13_vendor_sales_rank", with_fixture([RANK_CTE], "SELECT * FROM vendor_rank"))
-def q_vendor_sales_rank(spark, sf_dir):
-    f = fx(spark, sf_dir)
+def q_vendor_sales_rank(spark, sf_dir, grain="bt"):
+    f = fx(spark, sf_dir, grain)
     return vendors.vendor_sales_rank(f.sales_table(), f.variants, f.products, P)
 
 
@@ -233,33 +240,33 @@ def q_vendor_sales_rank(spark, sf_dir):
 SELECT vendor_name, revenue_rank, vendor_revenue_6m, vendor_units_sold_6m,
        CASE WHEN revenue_rank <= 8 THEN 7 ELSE 14 END AS restock_frequency_days, frozen_as_of_date
 FROM vendor_rank"""))
-def q_vendor_cadence(spark, sf_dir):
-    f = fx(spark, sf_dir)
+def q_vendor_cadence(spark, sf_dir, grain="bt"):
+    f = fx(spark, sf_dir, grain)
     return vendors.vendor_cadence(vendors.vendor_sales_rank(f.sales_table(), f.variants, f.products, P), P)
 
 
 @register("c15_maintain_vendors", with_fixture([VENDORS_CTE], "SELECT * FROM vendors_m"))
-def q_maintain_vendors(spark, sf_dir):
-    f = fx(spark, sf_dir)
+def q_maintain_vendors(spark, sf_dir, grain="bt"):
+    f = fx(spark, sf_dir, grain)
     return vendors.maintain_vendors(f.products, f.vendors_existing, P)
 
 
 @register("c16_maintain_vendor_status", with_fixture([VENDORS_CTE, STATUS_CTE], "SELECT * FROM vendor_status_m"))
-def q_maintain_vendor_status(spark, sf_dir):
-    f = fx(spark, sf_dir)
+def q_maintain_vendor_status(spark, sf_dir, grain="bt"):
+    f = fx(spark, sf_dir, grain)
     return vendors.maintain_vendor_status(f.vendor_status_existing, vendors.maintain_vendors(f.products, f.vendors_existing, P))
 
 
 # ------------------------------------------------------------------ C34-C39 views
 @register("c34_v_active_vendors", with_fixture([], """
 SELECT vendor_name FROM vendor_status_existing WHERE COALESCE(archived, FALSE) = FALSE"""))
-def q_v_active_vendors(spark, sf_dir):
-    return views.v_active_vendors(fx(spark, sf_dir).vendor_status_existing, P)
+def q_v_active_vendors(spark, sf_dir, grain="bt"):
+    return views.v_active_vendors(fx(spark, sf_dir, grain).vendor_status_existing, P)
 
 
 @register("c35_v_variant_vendor_map", with_fixture([VVM_VIEW_CTE], "SELECT * FROM vvm_view"))
-def q_v_variant_vendor_map(spark, sf_dir):
-    f = fx(spark, sf_dir)
+def q_v_variant_vendor_map(spark, sf_dir, grain="bt"):
+    f = fx(spark, sf_dir, grain)
     return views.v_variant_vendor_map(f.variants, f.products)
 
 
@@ -270,8 +277,8 @@ def _ci_active(f: Fixture) -> DataFrame:
 
 
 @register("c36_v_current_inventory_active", with_fixture([CI_CTE, VVM_VIEW_CTE, CI_ACTIVE_CTE], "SELECT * FROM ci_active"))
-def q_v_current_inventory_active(spark, sf_dir):
-    return _ci_active(fx(spark, sf_dir))
+def q_v_current_inventory_active(spark, sf_dir, grain="bt"):
+    return _ci_active(fx(spark, sf_dir, grain))
 
 
 @register("c38_v_vendor_summary", with_fixture([CI_CTE, VVM_VIEW_CTE, CI_ACTIVE_CTE], """
@@ -279,8 +286,8 @@ SELECT vendor_name, count(DISTINCT variant_id) AS active_variant_count,
        CAST(sum(current_stock) AS BIGINT) AS total_current_stock,
        CAST(sum(CASE WHEN negative_stock_flag THEN 1 ELSE 0 END) AS BIGINT) AS negative_variants
 FROM ci_active GROUP BY vendor_name"""))
-def q_v_vendor_summary(spark, sf_dir):
-    return views.v_vendor_summary(_ci_active(fx(spark, sf_dir)))
+def q_v_vendor_summary(spark, sf_dir, grain="bt"):
+    return views.v_vendor_summary(_ci_active(fx(spark, sf_dir, grain)))
 
 
 @register("c39_v_inventory_exceptions", with_fixture([CI_CTE, VVM_VIEW_CTE], """
@@ -289,7 +296,7 @@ SELECT ci.snapshot_date, ci.variant_id, m.sku, ci.raw_stock, ci.current_stock, c
             WHEN ci.negative_stock_flag THEN 'NEGATIVE_STOCK' ELSE 'OK' END AS exception_type
 FROM ci LEFT JOIN vvm_view m ON m.variant_id = ci.variant_id
 WHERE ci.negative_stock_flag = TRUE OR m.vendor_name IS NULL"""))
-def q_v_inventory_exceptions(spark, sf_dir):
-    f = fx(spark, sf_dir)
+def q_v_inventory_exceptions(spark, sf_dir, grain="bt"):
+    f = fx(spark, sf_dir, grain)
     return views.v_inventory_exceptions(inventory.current_inventory(f.inventory),
                                         views.v_variant_vendor_map(f.variants, f.products))

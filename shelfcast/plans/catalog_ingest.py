@@ -28,24 +28,24 @@ def _parsed(f: Fixture, builder, schema) -> DataFrame:
 
 # ------------------------------------------------------------------ C01-C04 flatten landed pages
 @register("c01a_flatten_products", with_fixture([], "SELECT * FROM products"))
-def q_flatten_products(spark, sf_dir):
-    return landing.flatten_products(_parsed(fx(spark, sf_dir), pages.product_pages, landing.PRODUCTS_PAGE))[0]
+def q_flatten_products(spark, sf_dir, grain="bt"):
+    return landing.flatten_products(_parsed(fx(spark, sf_dir, grain), pages.product_pages, landing.PRODUCTS_PAGE))[0]
 
 
 @register("c01b_flatten_variants", with_fixture([], "SELECT * FROM variants"))
-def q_flatten_variants(spark, sf_dir):
-    return landing.flatten_products(_parsed(fx(spark, sf_dir), pages.product_pages, landing.PRODUCTS_PAGE))[1]
+def q_flatten_variants(spark, sf_dir, grain="bt"):
+    return landing.flatten_products(_parsed(fx(spark, sf_dir, grain), pages.product_pages, landing.PRODUCTS_PAGE))[1]
 
 
 @register("c02_flatten_locations", with_fixture([], "SELECT * FROM locations"))
-def q_flatten_locations(spark, sf_dir):
-    return landing.flatten_locations(_parsed(fx(spark, sf_dir), pages.location_pages, landing.LOCATIONS_PAGE))
+def q_flatten_locations(spark, sf_dir, grain="bt"):
+    return landing.flatten_locations(_parsed(fx(spark, sf_dir, grain), pages.location_pages, landing.LOCATIONS_PAGE))
 
 
 @register("c03_flatten_inventory", with_fixture([], """
 SELECT * FROM inventory WHERE location_id IN (SELECT location_id FROM locations WHERE active)"""))
-def q_flatten_inventory(spark, sf_dir):
-    f = fx(spark, sf_dir)
+def q_flatten_inventory(spark, sf_dir, grain="bt"):
+    f = fx(spark, sf_dir, grain)
     _, variants = landing.flatten_products(_parsed(f, pages.product_pages, landing.PRODUCTS_PAGE), with_position=True)
     locs = landing.flatten_locations(_parsed(f, pages.location_pages, landing.LOCATIONS_PAGE))
     return landing.flatten_inventory(_parsed(f, pages.inventory_pages, landing.INVENTORY_PAGE), variants, locs)
@@ -57,14 +57,14 @@ SELECT sale_id, order_id, order_name, variant_id, sku, product_title, quantity_s
 FROM sales_fx s JOIN order_flags o ON s.order_id = CAST(o.o_orderkey AS VARCHAR)
 WHERE NOT o.test AND NOT o.cancelled
   AND CAST(sale_date AS TIMESTAMP) + INTERVAL 25 HOUR >= TIMESTAMP '{SINCE:%Y-%m-%d %H:%M:%S}'"""))
-def q_flatten_sales(spark, sf_dir):
-    return landing.flatten_sales(_parsed(fx(spark, sf_dir), pages.order_pages, landing.ORDERS_PAGE), SINCE)
+def q_flatten_sales(spark, sf_dir, grain="bt"):
+    return landing.flatten_sales(_parsed(fx(spark, sf_dir, grain), pages.order_pages, landing.ORDERS_PAGE), SINCE)
 
 
 # ------------------------------------------------------------------ C05 dimension refresh
 @register("c05_refresh_dimension", with_fixture([], "SELECT * FROM variants"))
-def q_refresh_dimension(spark, sf_dir):
-    f = fx(spark, sf_dir)
+def q_refresh_dimension(spark, sf_dir, grain="bt"):
+    f = fx(spark, sf_dir, grain)
     empty = f.variants.limit(0)
     stale = f.variants.withColumn("title", F.lit("stale"))
     # an empty load keeps the stored rows; a non-empty load replaces them
@@ -114,8 +114,8 @@ FULL OUTER JOIN src s ON t.sale_id = s.sale_id""")
 
 
 @register("c08_upsert_sales", SALES_UPSERT_SQL)
-def q_upsert_sales(spark, sf_dir):
-    tgt, src = sales_batches(fx(spark, sf_dir))
+def q_upsert_sales(spark, sf_dir, grain="bt"):
+    tgt, src = sales_batches(fx(spark, sf_dir, grain))
     return store.upsert_sales(tgt, src)
 
 
@@ -149,13 +149,13 @@ SELECT COALESCE(s.snapshot_id, t.snapshot_id) AS snapshot_id,
        CASE WHEN s.snapshot_id IS NOT NULL THEN s.snapshot_timestamp ELSE t.snapshot_timestamp END
 FROM (SELECT * FROM tgt WHERE snapshot_date BETWEEN (SELECT lo FROM rng) AND (SELECT hi FROM rng)) t
 FULL OUTER JOIN src s ON t.snapshot_id = s.snapshot_id"""))
-def q_upsert_inventory(spark, sf_dir):
-    tgt, src = inventory_batches(fx(spark, sf_dir))
+def q_upsert_inventory(spark, sf_dir, grain="bt"):
+    tgt, src = inventory_batches(fx(spark, sf_dir, grain))
     return store.upsert_inventory(tgt, src)
 
 
 # ------------------------------------------------------------------ C12 retention
 @register("c12_retained_sales", with_fixture([], f"""
 SELECT * FROM sales WHERE sale_date >= {AS_OF} - INTERVAL 365 DAY"""))
-def q_retained_sales(spark, sf_dir):
-    return store.retained(fx(spark, sf_dir).sales_table(), "sale_date", P.as_of, P.retention_days)
+def q_retained_sales(spark, sf_dir, grain="bt"):
+    return store.retained(fx(spark, sf_dir, grain).sales_table(), "sale_date", P.as_of, P.retention_days)

@@ -135,53 +135,53 @@ DAILY = BACKTEST + [f"""dtrain AS (
 # ------------------------------------------------------------------ C23-C29 backtest
 @register("c23_training_guard", with_fixture(WEEKLY_BASE + [TRAIN_CTE], """
 SELECT count(*) AS train_rows, count(*) > 0 AS has_training FROM train"""))
-def q_training_guard(spark, sf_dir):
+def q_training_guard(spark, sf_dir, grain="bt"):
     from pyspark.sql import functions as F
-    w = weekly_chain(fx(spark, sf_dir))
+    w = weekly_chain(fx(spark, sf_dir, grain))
     t = backtest.training_rows(w["sales_weekly"], P)
     return t.agg(F.count(F.lit(1)).alias("train_rows")).select("train_rows", (F.col("train_rows") > 0).alias("has_training"))
 
 
 @register("c24_fit_weekly_model", with_fixture(BACKTEST, f"SELECT {FIT_COLS} FROM wk_fit"))
-def q_fit_weekly_model(spark, sf_dir):
-    w = weekly_chain(fx(spark, sf_dir))
+def q_fit_weekly_model(spark, sf_dir, grain="bt"):
+    w = weekly_chain(fx(spark, sf_dir, grain))
     return backtest.fit_weekly_model(w["sales_weekly"], P)
 
 
 @register("c25_backtest_forecast", with_fixture(BACKTEST, "SELECT * FROM bt_fc"))
-def q_backtest_forecast(spark, sf_dir):
-    return weekly_chain(fx(spark, sf_dir))["backtest_forecast_4w"]
+def q_backtest_forecast(spark, sf_dir, grain="bt"):
+    return weekly_chain(fx(spark, sf_dir, grain))["backtest_forecast_4w"]
 
 
 @register("c26_backtest_metrics", with_fixture(BACKTEST, "SELECT * FROM metrics"))
-def q_backtest_metrics(spark, sf_dir):
-    return weekly_chain(fx(spark, sf_dir))["backtest_metrics_variant_4w"]
+def q_backtest_metrics(spark, sf_dir, grain="bt"):
+    return weekly_chain(fx(spark, sf_dir, grain))["backtest_metrics_variant_4w"]
 
 
 @register("c27_backtest_baseline", with_fixture(BACKTEST, "SELECT * FROM baseline"))
-def q_backtest_baseline(spark, sf_dir):
-    return weekly_chain(fx(spark, sf_dir))["backtest_baseline_4w"]
+def q_backtest_baseline(spark, sf_dir, grain="bt"):
+    return weekly_chain(fx(spark, sf_dir, grain))["backtest_baseline_4w"]
 
 
 @register("c28_backtest_proof", with_fixture(BACKTEST, "SELECT * FROM proof"))
-def q_backtest_proof(spark, sf_dir):
-    return weekly_chain(fx(spark, sf_dir))["backtest_proof_4w"]
+def q_backtest_proof(spark, sf_dir, grain="bt"):
+    return weekly_chain(fx(spark, sf_dir, grain))["backtest_proof_4w"]
 
 
 @register("c29_model_quality_flags", with_fixture(BACKTEST, "SELECT * FROM flags"))
-def q_model_quality_flags(spark, sf_dir):
-    return weekly_chain(fx(spark, sf_dir))["model_quality_flags"]
+def q_model_quality_flags(spark, sf_dir, grain="bt"):
+    return weekly_chain(fx(spark, sf_dir, grain))["model_quality_flags"]
 
 
 # ------------------------------------------------------------------ C30-C32 daily model, stock-outs
 @register("c30_fit_demand_model", with_fixture(DAILY, f"SELECT {FIT_COLS} FROM dm_fit"))
-def q_fit_demand_model(spark, sf_dir):
-    return daily_chain(fx(spark, sf_dir))["demand_model"]
+def q_fit_demand_model(spark, sf_dir, grain="bt"):
+    return daily_chain(fx(spark, sf_dir, grain))["demand_model"]
 
 
 @register("c31_demand_forecasts", with_fixture(DAILY, "SELECT * FROM demand_forecasts"))
-def q_demand_forecasts(spark, sf_dir):
-    return daily_chain(fx(spark, sf_dir))["demand_forecasts"]
+def q_demand_forecasts(spark, sf_dir, grain="bt"):
+    return daily_chain(fx(spark, sf_dir, grain))["demand_forecasts"]
 
 
 @register("c32_stockout_predictions", with_fixture(DAILY + ["""cum AS (
@@ -192,8 +192,8 @@ def q_demand_forecasts(spark, sf_dir):
 SELECT variant_id, current_stock, min(forecast_date) AS stockout_date,
        CAST(date_diff('day', {AS_OF}, min(forecast_date)) AS INTEGER) AS days_remaining, {RUN_TS} AS created_at
 FROM cum WHERE cum_demand >= current_stock GROUP BY variant_id, current_stock"""))
-def q_stockout_predictions(spark, sf_dir):
-    f = fx(spark, sf_dir)
+def q_stockout_predictions(spark, sf_dir, grain="bt"):
+    f = fx(spark, sf_dir, grain)
     c = daily_chain(f)
     cur = inventory.current_inventory(f.inventory, since=P.days_ago(P.snapshot_lookback_days), drop_blank_variants=True)
     return restock.stockout_predictions(c["demand_forecasts"], cur, P)
@@ -244,7 +244,7 @@ RESTOCK = DAILY + [RANK_CTE, VENDORS_CTE, STATUS_CTE, f"""calc AS (
   FROM calc)"""]
 
 
-def restock_sql(cadence: int, select: str) -> str:
+def restock_sql(cadence: int, select: str):
     return with_fixture([c.replace("{cadence}", str(cadence)) for c in RESTOCK], select)
 
 
@@ -253,21 +253,21 @@ ORDER BY negative_stock_flag DESC, reorder_qty DESC, vendor_name, variant_id"""
 
 
 @register("c33_vendor_restocks_weekly", restock_sql(7, RESTOCK_SELECT))
-def q_vendor_restocks_weekly(spark, sf_dir):
-    return restock_list(fx(spark, sf_dir), 7)
+def q_vendor_restocks_weekly(spark, sf_dir, grain="bt"):
+    return restock_list(fx(spark, sf_dir, grain), 7)
 
 
 @register("c33b_vendor_restocks_biweekly", restock_sql(14, RESTOCK_SELECT))
-def q_vendor_restocks_biweekly(spark, sf_dir):
-    return restock_list(fx(spark, sf_dir), 14)
+def q_vendor_restocks_biweekly(spark, sf_dir, grain="bt"):
+    return restock_list(fx(spark, sf_dir, grain), 14)
 
 
 @register("c37_v_vendor_restocks_weekly_active", restock_sql(7, f"""
 SELECT r.* FROM (SELECT * FROM restocks WHERE reorder_qty > 0) r
 JOIN (SELECT vendor_name FROM vendor_status_m WHERE COALESCE(archived, FALSE) = FALSE) av ON r.vendor_name = av.vendor_name
 WHERE r.vendor_name NOT IN ({INTERNAL})"""))
-def q_v_vendor_restocks_weekly_active(spark, sf_dir):
-    f = fx(spark, sf_dir)
+def q_v_vendor_restocks_weekly_active(spark, sf_dir, grain="bt"):
+    f = fx(spark, sf_dir, grain)
     c = restock_inputs(f)
     return views.v_vendor_restocks_weekly_active(restock_list(f, 7), c["vendor_status"], P)
 
@@ -279,26 +279,26 @@ SELECT count(*) AS products_evaluated,
        median(wape) AS median_wape,
        round(100.0 * sum(CASE WHEN model_quality = 'WORSE_THAN_BASELINE' THEN 1 ELSE 0 END) / count(*), 2) AS pct_worse_than_baseline
 FROM flags WHERE model_quality <> 'NO_DATA'"""))
-def q_model_kpis(spark, sf_dir):
-    return views.model_kpis(weekly_chain(fx(spark, sf_dir))["model_quality_flags"])
+def q_model_kpis(spark, sf_dir, grain="bt"):
+    return views.model_kpis(weekly_chain(fx(spark, sf_dir, grain))["model_quality_flags"])
 
 
 @register("c41a_quality_distribution", with_fixture(BACKTEST, """
 SELECT model_quality, n_variants, round(100.0 * n_variants / sum(n_variants) OVER (), 2) AS pct
 FROM (SELECT model_quality, count(*) AS n_variants FROM flags WHERE model_quality <> 'NO_DATA' GROUP BY model_quality)"""))
-def q_quality_distribution(spark, sf_dir):
-    return views.quality_distribution(weekly_chain(fx(spark, sf_dir))["model_quality_flags"])
+def q_quality_distribution(spark, sf_dir, grain="bt"):
+    return views.quality_distribution(weekly_chain(fx(spark, sf_dir, grain))["model_quality_flags"])
 
 
 @register("c41b_wape_scatter", with_fixture(BACKTEST, """
 SELECT variant_id, wape, baseline_wape, model_quality FROM flags WHERE model_quality <> 'NO_DATA'"""))
-def q_wape_scatter(spark, sf_dir):
-    return views.wape_scatter(weekly_chain(fx(spark, sf_dir))["model_quality_flags"])
+def q_wape_scatter(spark, sf_dir, grain="bt"):
+    return views.wape_scatter(weekly_chain(fx(spark, sf_dir, grain))["model_quality_flags"])
 
 
 @register("c42_proof_series", with_fixture(BACKTEST, """
 SELECT week_start, CAST(sum(actual_qty) AS BIGINT) AS actual_qty, CAST(sum(predicted_qty) AS BIGINT) AS predicted_qty,
        CAST(sum(baseline_qty) AS BIGINT) AS baseline_qty
 FROM proof GROUP BY week_start"""))
-def q_proof_series(spark, sf_dir):
-    return views.proof_series(weekly_chain(fx(spark, sf_dir))["backtest_proof_4w"])
+def q_proof_series(spark, sf_dir, grain="bt"):
+    return views.proof_series(weekly_chain(fx(spark, sf_dir, grain))["backtest_proof_4w"])

@@ -81,5 +81,18 @@ def fixture_ctes(grain: str = "bt", p: Params = DEFAULT_PARAMS) -> list[str]:
     ]
 
 
-def with_fixture(body_ctes: list[str], select: str, grain: str = "bt", p: Params = DEFAULT_PARAMS) -> str:
-    return "WITH " + ",\n".join(fixture_ctes(grain, p) + list(body_ctes)) + "\n" + select
+class FixtureSQL:
+    """Oracle SQL over the fixture mapping; rendered per grain."""
+
+    def __init__(self, body_ctes: list[str], select: str, p: Params = DEFAULT_PARAMS):
+        self.body, self.select, self.p = list(body_ctes), select, p
+
+    def render(self, grain: str = "bt") -> str:
+        return "WITH " + ",\n".join(fixture_ctes(grain, self.p) + self.body) + "\n" + self.select
+
+    def __str__(self) -> str:
+        return self.render("bt")
+
+
+def with_fixture(body_ctes: list[str], select: str, p: Params = DEFAULT_PARAMS) -> FixtureSQL:
+    return FixtureSQL(body_ctes, select, p)

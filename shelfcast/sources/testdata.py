@@ -154,3 +154,48 @@ class Fixture:
     def sales_table(self) -> DataFrame:
         """Sales in the stored table's column order (fixture helper column dropped)."""
         return self.sales.drop("l_linenumber")
+
+
+class StoredFixture(Fixture):
+    """The same tables read back from a shelfcast store (see ``land``).
+
+    Facts are date-partitioned Parquet, so date predicates prune directories
+    and the latest-snapshot scalar subquery prunes to one partition.
+    """
+
+    DIMENSIONS = ("variants", "products", "locations", "vendors_existing", "vendor_status_existing")
+
+    def __init__(self, spark: SparkSession, sf_dir: str, store_dir: str, grain: str = "bt",
+                 params: Params = DEFAULT_PARAMS):
+        super().__init__(spark, sf_dir, grain, params)
+        self.store_dir = store_dir.rstrip("/")
+
+    def _dim(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.store_dir}/{name}")
+
+    variants = cached_property(lambda self: self._dim("variants"))
+    products = cached_property(lambda self: self._dim("products"))
+    locations = cached_property(lambda self: self._dim("locations"))
+    vendors_existing = cached_property(lambda self: self._dim("vendors_existing"))
+    vendor_status_existing = cached_property(lambda self: self._dim("vendor_status_existing"))
+
+    @cached_property
+    def sales(self) -> DataFrame:
+        from shelfcast.sources.store import table_schema
+        s = self.spark.read.schema(table_schema("sales_history_raw")).parquet(f"{self.store_dir}/sales_history_raw")
+        return s.withColumn("l_linenumber", F.element_at(F.split("sale_id", "_"), -1).cast("int"))
+
+    @cached_property
+    def inventory(self) -> DataFrame:
+        from shelfcast.sources.store import table_schema
+        return self.spark.read.schema(table_schema("inventory_snapshots_raw")).parquet(
+            f"{self.store_dir}/inventory_snapshots_raw")
+
+
+def land(fixture: Fixture, store_dir: str) -> None:
+    """Write the fixture's input tables into a store: dimensions whole, facts date-partitioned."""
+    from shelfcast.sources import store
+    for name in StoredFixture.DIMENSIONS:
+        getattr(fixture, name).write.mode("overwrite").parquet(f"{store_dir}/{name}")
+    store.write_fact(fixture.sales_table(), f"{store_dir}/sales_history_raw", "sales_history_raw")
+    store.write_fact(fixture.inventory, f"{store_dir}/inventory_snapshots_raw", "inventory_snapshots_raw")
