@@ -114,7 +114,11 @@ def forecast(model: DataFrame, key: str, horizon: int, step_days: int, z: float)
     Returns key, forecast_ts (date), forecast_value, prediction_interval_lower/upper_bound.
     """
     c = F.col
-    steps = model.select("*", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("h"))
+    # The output is ``horizon`` times the model table: hash-spread the (one row per
+    # series) model first, so the expansion runs on every core and lands
+    # partitioned by key for the per-series windows and joins downstream.
+    parts = int(model.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    steps = model.repartition(parts, key).select("*", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("h"))
     h = c("h").cast("double")
     n = c("n").cast("double")
     tstar = n - 1 + h

@@ -9,6 +9,7 @@ from shelfcast.plans.catalog import (ACTIVE_CTE, AS_OF, INTERNAL, P, RANK_CTE, R
                                      SALES_WEEKLY_CTE, STATUS_CTE, VENDORS_CTE, VVM_CTE, fx, register)
 from shelfcast.plans.oracle_fixture import d, with_fixture
 from shelfcast.plans.oracle_forecast import fit_ctes, forecast_cte, qty
+from shelfcast.plans.weekly import WeeklyRun, from_fixture
 from shelfcast.sources.testdata import Fixture
 
 Z = P.z_value
@@ -16,39 +17,9 @@ TRAIN_START, CUTOFF, LAST_WEEK = d(P.train_start_week), d(P.cutoff_week_start),
 FIT_COLS = "variant_id, n, last_ts, model, score, sigma, y_mean, y_last, drift, intercept, slope, t_mean, sxx"
 
 
-# ------------------------------------------------------------------ Spark chains
-def weekly_chain(f: Fixture) -> dict[str, DataFrame]:
-    status = f.vendor_status_existing
-    vvm = vendors.variant_vendor_map(f.variants, f.products, vendors.active_vendors(status, P))
-    daily = demand.sales_daily_validation(f.sales_table(), P)
-    weekly = demand.sales_weekly(daily, vvm, P)
-    out = {"vvm": vvm, "sales_daily": daily, "sales_weekly": weekly}
-    out.update(backtest.run_backtest(weekly, P))
-    return out
-
-
-def daily_chain(f: Fixture) -> dict[str, DataFrame]:
-    w = weekly_chain(f)
-    train = forecast.demand_model_input(w["sales_daily"], P, variant_map=w["vvm"])
-    model = forecast.fit_demand_model(train)
-    w.update(demand_train=train, demand_model=model, demand_forecasts=forecast.demand_forecasts(model, P))
-    return w
-
-
-def restock_inputs(f: Fixture) -> dict[str, DataFrame]:
-    c = daily_chain(f)
-    vend = vendors.maintain_vendors(f.products, f.vendors_existing, P)
-    c["vendors"] = vend
-    c["vendor_status"] = vendors.maintain_vendor_status(f.vendor_status_existing, vend)
-    c["cadence"] = vendors.vendor_cadence(vendors.vendor_sales_rank(f.sales_table(), f.variants, f.products, P), P)
-    return c
-
-
-def restock_list(f: Fixture, cadence_days: int = 7) -> DataFrame:
-    c = restock_inputs(f)
-    return restock.vendor_restocks(c["vvm"], f.variants, f.products, c["vendor_status"], c["cadence"], c["vendors"],
-                                   f.inventory, c["demand_forecasts"], f.sales_table(),
-                                   c["model_quality_flags"], P, cadence_days)
+# ------------------------------------------------------------------ Spark side: one WeeklyRun per query
+def run(f: Fixture) -> WeeklyRun:
+    return from_fixture(f, P)
 
 
 # ------------------------------------------------------------------ oracle CTE chains
@@ -137,51 +108,49 @@ DAILY = BACKTEST + [f"""dtrain AS (
 SELECT count(*) AS train_rows, count(*) > 0 AS has_training FROM train"""))
 def q_training_guard(spark, sf_dir, grain="bt"):
     from pyspark.sql import functions as F
-    w = weekly_chain(fx(spark, sf_dir, grain))
-    t = backtest.training_rows(w["sales_weekly"], P)
+    t = backtest.training_rows(run(fx(spark, sf_dir, grain)).sales_weekly, P)
     return t.agg(F.count(F.lit(1)).alias("train_rows")).select("train_rows", (F.col("train_rows") > 0).alias("has_training"))
 
 
 @register("c24_fit_weekly_model", with_fixture(BACKTEST, f"SELECT {FIT_COLS} FROM wk_fit"))
 def q_fit_weekly_model(spark, sf_dir, grain="bt"):
-    w = weekly_chain(fx(spark, sf_dir, grain))
-    return backtest.fit_weekly_model(w["sales_weekly"], P)
+    return run(fx(spark, sf_dir, grain)).weekly_model
 
 
 @register("c25_backtest_forecast", with_fixture(BACKTEST, "SELECT * FROM bt_fc"))
 def q_backtest_forecast(spark, sf_dir, grain="bt"):
-    return weekly_chain(fx(spark, sf_dir, grain))["backtest_forecast_4w"]
+    return run(fx(spark, sf_dir, grain)).backtest_forecast
 
 
 @register("c26_backtest_metrics", with_fixture(BACKTEST, "SELECT * FROM metrics"))
 def q_backtest_metrics(spark, sf_dir, grain="bt"):
-    return weekly_chain(fx(spark, sf_dir, grain))["backtest_metrics_variant_4w"]
+    return run(fx(spark, sf_dir, grain)).metrics
 
 
 @register("c27_backtest_baseline", with_fixture(BACKTEST, "SELECT * FROM baseline"))
 def q_backtest_baseline(spark, sf_dir, grain="bt"):
-    return weekly_chain(fx(spark, sf_dir, grain))["backtest_baseline_4w"]
+    return run(fx(spark, sf_dir, grain)).baseline
 
 
 @register("c28_backtest_proof", with_fixture(BACKTEST, "SELECT * FROM proof"))
 def q_backtest_proof(spark, sf_dir, grain="bt"):
-    return weekly_chain(fx(spark, sf_dir, grain))["backtest_proof_4w"]
+    return run(fx(spark, sf_dir, grain)).proof
 
 
 @register("c29_model_quality_flags", with_fixture(BACKTEST, "SELECT * FROM flags"))
 def q_model_quality_flags(spark, sf_dir, grain="bt"):
-    return weekly_chain(fx(spark, sf_dir, grain))["model_quality_flags"]
+    return run(fx(spark, sf_dir, grain)).flags
 
 
 # ------------------------------------------------------------------ C30-C32 daily model, stock-outs
 @register("c30_fit_demand_model", with_fixture(DAILY, f"SELECT {FIT_COLS} FROM dm_fit"))
 def q_fit_demand_model(spark, sf_dir, grain="bt"):
-    return daily_chain(fx(spark, sf_dir, grain))["demand_model"]
+    return run(fx(spark, sf_dir, grain)).demand_model
 
 
 @register("c31_demand_forecasts", with_fixture(DAILY, "SELECT * FROM demand_forecasts"))
 def q_demand_forecasts(spark, sf_dir, grain="bt"):
-    return daily_chain(fx(spark, sf_dir, grain))["demand_forecasts"]
+    return run(fx(spark, sf_dir, grain)).demand_forecasts
 
 
 @register("c32_stockout_predictions", with_fixture(DAILY + ["""cum AS (
@@ -193,10 +162,7 @@ SELECT variant_id, current_stock, min(forecast_date) AS stockout_date,
        CAST(date_diff('day', {AS_OF}, min(forecast_date)) AS INTEGER) AS days_remaining, {RUN_TS} AS created_at
 FROM cum WHERE cum_demand >= current_stock GROUP BY variant_id, current_stock"""))
 def q_stockout_predictions(spark, sf_dir, grain="bt"):
-    f = fx(spark, sf_dir, grain)
-    c = daily_chain(f)
-    cur = inventory.current_inventory(f.inventory, since=P.days_ago(P.snapshot_lookback_days), drop_blank_variants=True)
-    return restock.stockout_predictions(c["demand_forecasts"], cur, P)
+    return run(fx(spark, sf_dir, grain)).stockouts
 
 
 # ------------------------------------------------------------------ C33 restock, C37 view
@@ -254,12 +220,12 @@ ORDER BY negative_stock_flag DESC, reorder_qty DESC, vendor_name, variant_id"""
 
 @register("c33_vendor_restocks_weekly", restock_sql(7, RESTOCK_SELECT))
 def q_vendor_restocks_weekly(spark, sf_dir, grain="bt"):
-    return restock_list(fx(spark, sf_dir, grain), 7)
+    return run(fx(spark, sf_dir, grain)).restocks(7)
 
 
 @register("c33b_vendor_restocks_biweekly", restock_sql(14, RESTOCK_SELECT))
 def q_vendor_restocks_biweekly(spark, sf_dir, grain="bt"):
-    return restock_list(fx(spark, sf_dir, grain), 14)
+    return run(fx(spark, sf_dir, grain)).restocks(14)
 
 
 @register("c37_v_vendor_restocks_weekly_active", restock_sql(7, f"""
@@ -267,9 +233,7 @@ SELECT r.* FROM (SELECT * FROM restocks WHERE reorder_qty > 0) r
 JOIN (SELECT vendor_name FROM vendor_status_m WHERE COALESCE(archived, FALSE) = FALSE) av ON r.vendor_name = av.vendor_name
 WHERE r.vendor_name NOT IN ({INTERNAL})"""))
 def q_v_vendor_restocks_weekly_active(spark, sf_dir, grain="bt"):
-    f = fx(spark, sf_dir, grain)
-    c = restock_inputs(f)
-    return views.v_vendor_restocks_weekly_active(restock_list(f, 7), c["vendor_status"], P)
+    return run(fx(spark, sf_dir, grain)).restocks_active_view(7)
 
 
 # ------------------------------------------------------------------ C40-C42 model KPIs
@@ -280,20 +244,20 @@ SELECT count(*) AS products_evaluated,
        round(100.0 * sum(CASE WHEN model_quality = 'WORSE_THAN_BASELINE' THEN 1 ELSE 0 END) / count(*), 2) AS pct_worse_than_baseline
 FROM flags WHERE model_quality <> 'NO_DATA'"""))
 def q_model_kpis(spark, sf_dir, grain="bt"):
-    return views.model_kpis(weekly_chain(fx(spark, sf_dir, grain))["model_quality_flags"])
+    return views.model_kpis(run(fx(spark, sf_dir, grain)).flags)
 
 
 @register("c41a_quality_distribution", with_fixture(BACKTEST, """
 SELECT model_quality, n_variants, round(100.0 * n_variants / sum(n_variants) OVER (), 2) AS pct
 FROM (SELECT model_quality, count(*) AS n_variants FROM flags WHERE model_quality <> 'NO_DATA' GROUP BY model_quality)"""))
 def q_quality_distribution(spark, sf_dir, grain="bt"):
-    return views.quality_distribution(weekly_chain(fx(spark, sf_dir, grain))["model_quality_flags"])
+    return views.quality_distribution(run(fx(spark, sf_dir, grain)).flags)
 
 
 @register("c41b_wape_scatter", with_fixture(BACKTEST, """
 SELECT variant_id, wape, baseline_wape, model_quality FROM flags WHERE model_quality <> 'NO_DATA'"""))
 def q_wape_scatter(spark, sf_dir, grain="bt"):
-    return views.wape_scatter(weekly_chain(fx(spark, sf_dir, grain))["model_quality_flags"])
+    return views.wape_scatter(run(fx(spark, sf_dir, grain)).flags)
 
 
 @register("c42_proof_series", with_fixture(BACKTEST, """
@@ -301,4 +265,4 @@ SELECT week_start, CAST(sum(actual_qty) AS BIGINT) AS actual_qty, CAST(sum(predi
        CAST(sum(baseline_qty) AS BIGINT) AS baseline_qty
 FROM proof GROUP BY week_start"""))
 def q_proof_series(spark, sf_dir, grain="bt"):
-    return views.proof_series(weekly_chain(fx(spark, sf_dir, grain))["backtest_proof_4w"])
+    return views.proof_series(run(fx(spark, sf_dir, grain)).proof)

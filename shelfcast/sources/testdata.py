@@ -107,9 +107,19 @@ class Fixture:
             F.when(n % 11 == 0, F.lit(ARCHIVE_NOTE)).alias("note"))
 
     # ------------------------------------------------------------------ facts
+    def spread(self, df: DataFrame) -> DataFrame:
+        """Spread an input that arrives in fewer splits than there are cores.
+
+        The driver's files hold one row group each, so a whole table would be
+        one scan task; real fact tables come in many files and pass through.
+        """
+        cores = self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
     @cached_property
     def sales(self) -> DataFrame:
-        li = self.table("lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_shipdate")
+        li = self.spread(self.table("lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity",
+                                                        "l_shipdate"))
         pv = self.part_v.select("p_partkey", "p_brand", "variant_id", "sku_label")
         return li.join(pv, li.l_partkey == pv.p_partkey, "inner").select(
             F.concat_ws("_", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("sale_id"),
