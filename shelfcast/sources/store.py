@@ -50,7 +50,8 @@ def require_not_null(df: DataFrame, name: str) -> DataFrame:
     bad = F.lit(False)
     for k in keys:
         bad = bad | F.col(k).isNull()
-    return df.withColumn("_nn", F.when(bad, F.raise_error(F.lit(f"NULL key in {name}"))).otherwise(F.lit(0))).drop("_nn")
+    # a filter predicate (not a dropped column, which the optimizer would prune)
+    return df.filter(F.when(bad, F.raise_error(F.lit(f"NULL key in {name}")).cast("boolean")).otherwise(F.lit(True)))
 
 
 def create_if_absent(spark: SparkSession, path: str, name: str) -> None:
