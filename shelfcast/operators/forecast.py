@@ -184,3 +184,52 @@ def demand_forecasts(model: DataFrame, p: Params = DEFAULT_PARAMS, variants: Dat
         return out
     return out.join(variants.select("variant_id", "sku"), "variant_id", "left").select(
         "variant_id", "sku", "forecast_date", "predicted_qty", "confidence_lower", "confidence_upper", "created_at")
+
+
+# ---------------------------------------------------------------- regularize / infer frequency (§2.10)
+
+def regularize(series: DataFrame, key: str, ts: str, value: str, step_days: int, policy: str = "zero") -> DataFrame:
+    """Put each series on its own regular grid from first to last observation.
+
+    ``policy``: 'zero' fills missing periods with 0 (no sales), 'linear'
+    interpolates between the neighbouring observations, 'none' leaves NULL.
+    The grid per series is bounded by its span (the training window), and the
+    interpolation windows are per series.
+    """
+    bounds = series.groupBy(key).agg(F.min(ts).alias("_t0"), F.max(ts).alias("_t1"))
+    grid = bounds.select(key, F.explode(F.sequence("_t0", "_t1", F.make_interval(days=F.lit(step_days)))).alias(ts))
+    j = grid.join(series.select(key, ts, F.col(value).alias("_y")), [key, ts], "left")
+    if policy == "zero":
+        y = F.coalesce(F.col("_y").cast("double"), F.lit(0.0))
+    elif policy == "none":
+        y = F.col("_y").cast("double")
+    elif policy == "linear":
+        day = F.unix_date(F.col(ts))
+        known_day = F.when(F.col("_y").isNotNull(), day)
+        back = Window.partitionBy(key).orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
+        ahead = Window.partitionBy(key).orderBy(ts).rowsBetween(0, Window.unboundedFollowing)
+        j = j.select("*", F.last("_y", ignorenulls=True).over(back).alias("_py"),
+                     F.last(known_day, ignorenulls=True).over(back).alias("_pd"),
+                     F.first("_y", ignorenulls=True).over(ahead).alias("_ny"),
+                     F.first(known_day, ignorenulls=True).over(ahead).alias("_nd"))
+        frac = (day - F.col("_pd")).cast("double") / (F.col("_nd") - F.col("_pd")).cast("double")
+        y = F.when(F.col("_y").isNotNull(), F.col("_y").cast("double")).otherwise(
+            F.col("_py").cast("double") + (F.col("_ny") - F.col("_py")).cast("double") * frac)
+    else:
+        raise ValueError(f"unknown gap policy {policy!r}")
+    return j.select(key, ts, y.alias(value))
+
+
+def infer_frequency(series: DataFrame, key: str, ts: str) -> DataFrame:
+    """``AUTO_FREQUENCY``: the modal gap in days between observations per series (ties -> smaller).
+
+    Single-observation series get NULL.
+    """
+    w = Window.partitionBy(key).orderBy(ts)
+    gaps = series.select(key, F.datediff(F.col(ts), F.lag(ts).over(w)).alias("gap"))
+    counts = gaps.groupBy(key, "gap").agg(F.count(F.lit(1)).alias("n"))
+    # per-series argmax over a handful of distinct gaps: min of (-count, gap)
+    best = counts.filter(F.col("gap").isNotNull()).groupBy(key).agg(
+        F.min(F.struct((-F.col("n")).alias("neg"), F.col("gap").alias("gap"))).alias("b"))
+    keys = series.select(key).distinct()
+    return keys.join(best, key, "left").select(key, F.col("b.gap").alias("freq_days"))

@@ -266,3 +266,50 @@ SELECT week_start, CAST(sum(actual_qty) AS BIGINT) AS actual_qty, CAST(sum(predi
 FROM proof GROUP BY week_start"""))
 def q_proof_series(spark, sf_dir, grain="bt"):
     return views.proof_series(run(fx(spark, sf_dir, grain)).proof)
+
+
+# ------------------------------------------------------------------ §2.10 regularize / infer_frequency
+@register("f01_regularize_weekly_zero", with_fixture(BACKTEST, """
+SELECT g.variant_id, g.week_start, CAST(COALESCE(t.y, 0) AS DOUBLE) AS qty_sold
+FROM (SELECT variant_id, CAST(unnest(generate_series(min(ts), max(ts), INTERVAL 7 DAY)) AS DATE) AS week_start
+      FROM train GROUP BY variant_id) g
+LEFT JOIN train t ON t.variant_id = g.variant_id AND t.ts = g.week_start"""))
+def q_regularize_weekly_zero(spark, sf_dir, grain="bt"):
+    r = run(fx(spark, sf_dir, grain))
+    return forecast.regularize(backtest.training_rows(r.sales_weekly, P), "variant_id", "week_start", "qty_sold", 7)
+
+
+@register("f02_regularize_daily_linear", with_fixture(DAILY, """
+SELECT variant_id, ts AS sale_date,
+       CASE WHEN y IS NOT NULL THEN CAST(y AS DOUBLE)
+            ELSE CAST(py AS DOUBLE) + CAST(ny - py AS DOUBLE) * (CAST(d - pd AS DOUBLE) / CAST(nd - pd AS DOUBLE)) END AS qty_sold
+FROM (SELECT g.variant_id, g.ts, t.y, CAST(g.ts - DATE '1970-01-01' AS BIGINT) AS d,
+             last_value(t.y IGNORE NULLS) OVER (PARTITION BY g.variant_id ORDER BY g.ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS py,
+             last_value(CASE WHEN t.y IS NOT NULL THEN CAST(g.ts - DATE '1970-01-01' AS BIGINT) END IGNORE NULLS)
+               OVER (PARTITION BY g.variant_id ORDER BY g.ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pd,
+             first_value(t.y IGNORE NULLS) OVER (PARTITION BY g.variant_id ORDER BY g.ts ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS ny,
+             first_value(CASE WHEN t.y IS NOT NULL THEN CAST(g.ts - DATE '1970-01-01' AS BIGINT) END IGNORE NULLS)
+               OVER (PARTITION BY g.variant_id ORDER BY g.ts ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS nd
+      FROM (SELECT variant_id, CAST(unnest(generate_series(min(ts), max(ts), INTERVAL 1 DAY)) AS DATE) AS ts
+            FROM dtrain GROUP BY variant_id) g
+      LEFT JOIN dtrain t ON t.variant_id = g.variant_id AND t.ts = g.ts)"""))
+def q_regularize_daily_linear(spark, sf_dir, grain="bt"):
+    r = run(fx(spark, sf_dir, grain))
+    train = forecast.demand_model_input(r.sales_daily, P, variant_map=r.variant_map)
+    return forecast.regularize(train, "variant_id", "sale_date", "qty_sold", 1, policy="linear")
+
+
+@register("f03_infer_frequency", with_fixture(DAILY, """
+SELECT k.variant_id, b.gap AS freq_days
+FROM (SELECT DISTINCT variant_id FROM dtrain) k
+LEFT JOIN (
+  SELECT variant_id, gap FROM (
+    SELECT variant_id, gap, row_number() OVER (PARTITION BY variant_id ORDER BY n DESC, gap) AS rn
+    FROM (SELECT variant_id, gap, count(*) AS n FROM (
+            SELECT variant_id, CAST(date_diff('day', lag(ts) OVER (PARTITION BY variant_id ORDER BY ts), ts) AS INTEGER) AS gap
+            FROM dtrain) WHERE gap IS NOT NULL GROUP BY variant_id, gap))
+  WHERE rn = 1) b ON b.variant_id = k.variant_id"""))
+def q_infer_frequency(spark, sf_dir, grain="bt"):
+    r = run(fx(spark, sf_dir, grain))
+    train = forecast.demand_model_input(r.sales_daily, P, variant_map=r.variant_map)
+    return forecast.infer_frequency(train, "variant_id", "sale_date")
