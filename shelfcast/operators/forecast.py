@@ -22,6 +22,10 @@ fewer parameters, then name:
     last  ŷ = yl                        k=1   σ_h = σ·√h
     drift ŷ = yl + h·(yl-yf)/(N-1)       k=2   σ_h = σ·√h
     trend ŷ = a + b·(N-1+h)  (OLS)      k=2   σ_h = σ·√(1+1/N+(t-t̄)²/Sxx)
+    trend_season  trend + weekday offset (daily only, N ≥ 21)   k=9   σ_h as trend
+
+Weekday offsets are the mean trend residual per weekday ``w = unix_date mod 7``
+(w = 0 is a Thursday), exposed as ``season_w0..season_w6``.
 
 σ = √(SSE/max(m-k,1)). Series with N < 3 use the mean model with the sample
 standard deviation (0 for a single point). Reference exactness is about the
@@ -39,13 +43,19 @@ from shelfcast.params import DEFAULT_PARAMS, Params
 
 SSE_FLOOR = 1e-9
 MODEL_PARAMS = {"mean": 1, "last": 1, "drift": 2, "trend": 2}
+SEASON_PARAMS = 9            # trend (2) + seven weekday offsets
+SEASON_MIN_PERIODS = 21      # at least three full weeks before weekday offsets are scored
 
 FIT_COLUMNS = ("n", "last_ts", "model", "score", "sigma", "y_mean", "y_last", "drift", "intercept", "slope",
-               "t_mean", "sxx")
+               "t_mean", "sxx") + tuple(f"season_w{w}" for w in range(7))
+
 
+def series_sums(series: DataFrame, key: str, ts: str, value: str, step_days: int,
+                season: bool = False) -> DataFrame:
+    """Per-series exact sums (the sufficient statistics of every candidate).
 
-def series_sums(series: DataFrame, key: str, ts: str, value: str, step_days: int) -> DataFrame:
-    """Per-series exact sums (the sufficient statistics of every candidate)."""
+    With ``season`` also Σy, Σd·y, Σy² per weekday ``w = unix_date mod 7``.
+    """
     y = F.col(value).cast("bigint")
     day = F.unix_date(F.col(ts))
     w = Window.partitionBy(key).orderBy(ts)
@@ -56,27 +66,46 @@ def series_sums(series: DataFrame, key: str, ts: str, value: str, step_days: int
         F.min("d").alias("d0"), F.max("d").alias("d1"), F.max(ts).alias("last_ts"),
         F.sum("y").alias("sy"), F.sum(F.col("y") * F.col("y")).alias("syy"),
         F.sum(F.col("d") * F.col("y")).alias("sdy"),
-        F.min_by("y", "d").alias("yf"), F.max_by("y", "d").alias("yl"), F.sum("lagprod").alias("slag"))
+        F.min_by("y", "d").alias("yf"), F.max_by("y", "d").alias("yl"), F.sum("lagprod").alias("slag"),
+        *_weekday_sums(season))
+    seasonal = [f"{p}_w{w}" for w in range(7) for p in ("sy", "sdy", "syy")] if season else []
     return g.select(
         key, "last_ts", (F.floor((F.col("d1") - F.col("d0")) / step_days) + 1).cast("bigint").alias("n"),
         "sy", "syy", ((F.col("sdy") - F.col("d0") * F.col("sy")) / step_days).cast("bigint").alias("sty"),
-        "yf", "yl", "slag")
+        "yf", "yl", "slag", "d0", *seasonal)
+
+
+def _weekday_sums(season: bool) -> list[Column]:
+    if not season:
+        return []
+    wd = F.pmod(F.col("d"), F.lit(7))
+    out = []
+    for w in range(7):
+        hit = wd == w
+        zero = F.lit(0).cast("bigint")
+        out += [F.sum(F.when(hit, F.col("y")).otherwise(zero)).alias(f"sy_w{w}"),
+                F.sum(F.when(hit, F.col("d") * F.col("y")).otherwise(zero)).alias(f"sdy_w{w}"),
+                F.sum(F.when(hit, F.col("y") * F.col("y")).otherwise(zero)).alias(f"syy_w{w}")]
+    return out
 
 
 def _score(sse: Column, m: Column, k: int) -> Column:
     return F.round(m * F.log(F.greatest(sse, F.lit(SSE_FLOOR)) / m) + F.lit(2.0 * k), 6)
 
 
-def fit_forecaster(series: DataFrame, key: str, ts: str, value: str, step_days: int) -> DataFrame:
+def fit_forecaster(series: DataFrame, key: str, ts: str, value: str, step_days: int,
+                   season: bool = False) -> DataFrame:
     """Fit one model per series; returns ``key`` + FIT_COLUMNS.
 
     The formulas are staged over successive projections that refer to named
-    columns, so no expression tree repeats another one inside it.
+    columns, so no expression tree repeats another one inside it. ``season``
+    (daily series) adds the trend + weekday-offset candidate.
     """
     c = F.col
-    s = series_sums(series, key, ts, value, step_days)
+    s = series_sums(series, key, ts, value, step_days, season)
+    seasonal = [f"{p}_w{w}" for w in range(7) for p in ("sy", "sdy", "syy")] if season else []
     s1 = s.select(key, "n", "last_ts", *[c(x).cast("double").alias(x) for x in ("sy", "syy", "sty", "yf", "yl", "slag")],
-                  c("n").cast("double").alias("nd"))
+                  c("n").cast("double").alias("nd"), "d0", *seasonal)
     n = c("nd")
     s2 = s1.select("*", (n * (n - 1) / 2).alias("st"), ((n - 1) * n * (2 * n - 1) / 6).alias("stt"),
                    (c("sy") / n).alias("ybar"), (n - 1).alias("m"))
@@ -92,9 +121,17 @@ def fit_forecaster(series: DataFrame, key: str, ts: str, value: str, step_days:
         ((syy - yf * yf) + (syy - yl * yl) - 2 * slag).alias("sse_last"),
         ((syy - 2 * a * sy - 2 * b * sty + n * a * a + 2 * a * b * st + b * b * stt) - (yf - a) * (yf - a)).alias("sse_trend"))
     s6 = s5.select("*", (c("sse_last") - m * c("drift") * c("drift")).alias("sse_drift"))
-    cands = F.array(*[F.struct(_score(c(f"sse_{name}"), m, k).alias("score"), F.lit(k).alias("k"),
-                               F.lit(name).alias("model"), c(f"sse_{name}").alias("sse"))
-                      for name, k in MODEL_PARAMS.items()])
+    cand_list = [F.struct(_score(c(f"sse_{name}"), m, k).alias("score"), F.lit(k).alias("k"),
+                          F.lit(name).alias("model"), c(f"sse_{name}").alias("sse"))
+                 for name, k in MODEL_PARAMS.items()]
+    if season:
+        s6 = _season_terms(s6, step_days)
+        cand_list.append(F.when(n >= SEASON_MIN_PERIODS, F.struct(
+            _score(c("sse_trend_season"), m, SEASON_PARAMS).alias("score"), F.lit(SEASON_PARAMS).alias("k"),
+            F.lit("trend_season").alias("model"), c("sse_trend_season").alias("sse"))))
+    else:
+        s6 = s6.select("*", *[F.lit(None).cast("double").alias(f"season_w{w}") for w in range(7)])
+    cands = F.array(*cand_list)
     # series shorter than 3 periods always use the mean model (no candidate scoring)
     s7 = s6.select("*", F.when(n >= 3, F.array_min(cands)).alias("best"))
     best = c("best")
@@ -105,7 +142,48 @@ def fit_forecaster(series: DataFrame, key: str, ts: str, value: str, step_days:
         F.coalesce(best["model"], F.lit("mean")).alias("model"), best["score"].alias("score"),
         F.when(best.isNull(), small_sigma).otherwise(big_sigma).alias("sigma"),
         ybar.alias("y_mean"), yl.alias("y_last"), c("drift").alias("drift"),
-        a.alias("intercept"), b.alias("slope"), (st / n).alias("t_mean"), c("sxx").alias("sxx"))
+        a.alias("intercept"), b.alias("slope"), (st / n).alias("t_mean"), c("sxx").alias("sxx"),
+        *[c(f"season_w{w}") for w in range(7)])
+
+
+def _season_terms(df: DataFrame, step_days: int) -> DataFrame:
+    """Weekday offsets of the trend residuals and the seasonal model's SSE (points t >= 1).
+
+    Per weekday w the grid count, Σt and Σt² are closed forms of (N, first day);
+    Σy, Σt·y, Σy² come from the data. R_w / Q_w are the sum and squared sum of
+    trend residuals on weekday w; the offset is R_w / n_w.
+    """
+    c = F.col
+    a, b = c("intercept"), c("slope")
+    cols, contrib = [], []
+    for w in range(7):
+        r = F.pmod(F.lit(w) - c("d0"), F.lit(7))
+        nw = F.when(r <= c("nd") - 1, F.floor((c("nd") - 1 - r) / 7) + 1).otherwise(F.lit(0)).cast("double")
+        cols += [r.alias(f"r_w{w}"), nw.alias(f"n_w{w}"),
+                 ((c(f"sdy_w{w}") - c("d0") * c(f"sy_w{w}")) / step_days).cast("double").alias(f"sty_w{w}")]
+    df = df.select("*", *cols)
+    terms = []
+    for w in range(7):
+        nw, r = c(f"n_w{w}"), c(f"r_w{w}")
+        terms += [(nw * r + 7 * nw * (nw - 1) / 2).alias(f"st_w{w}"),
+                  (nw * r * r + 14 * r * nw * (nw - 1) / 2 + 49 * (nw - 1) * nw * (2 * nw - 1) / 6).alias(f"stt_w{w}")]
+    df = df.select("*", *terms)
+    rq = []
+    for w in range(7):
+        nw, syw, syyw = c(f"n_w{w}"), c(f"sy_w{w}").cast("double"), c(f"syy_w{w}").cast("double")
+        stw, sttw, styw = c(f"st_w{w}"), c(f"stt_w{w}"), c(f"sty_w{w}")
+        rq += [(syw - nw * a - b * stw).alias(f"rs_w{w}"),
+               (syyw + nw * a * a + b * b * sttw - 2 * a * syw - 2 * b * styw + 2 * a * b * stw).alias(f"qs_w{w}")]
+    df = df.select("*", *rq)
+    df = df.select("*", *[F.when(c(f"n_w{w}") > 0, c(f"rs_w{w}") / c(f"n_w{w}")).otherwise(F.lit(0.0))
+                          .alias(f"season_w{w}") for w in range(7)])
+    total = None
+    for w in range(7):
+        term = F.when(c(f"n_w{w}") > 0, c(f"qs_w{w}") - c(f"rs_w{w}") * c(f"season_w{w}")).otherwise(F.lit(0.0))
+        total = term if total is None else total + term
+    first_off = F.element_at(F.array(*[c(f"season_w{w}") for w in range(7)]), (F.pmod(c("d0"), F.lit(7)) + 1).cast("int"))
+    e0 = (c("yf") - a) - first_off
+    return df.select("*", (total - e0 * e0).alias("sse_trend_season"))
 
 
 def forecast(model: DataFrame, key: str, horizon: int, step_days: int, z: float) -> DataFrame:
@@ -123,8 +201,12 @@ def forecast(model: DataFrame, key: str, horizon: int, step_days: int, z: float)
     n = c("n").cast("double")
     tstar = n - 1 + h
     mdl = c("model")
+    fday = F.date_add("last_ts", c("h") * step_days)
+    offset = F.element_at(F.array(*[c(f"season_w{w}") for w in range(7)]),
+                          (F.pmod(F.unix_date(fday), F.lit(7)) + 1).cast("int"))
     yhat = (F.when(mdl == "mean", c("y_mean")).when(mdl == "last", c("y_last"))
             .when(mdl == "drift", c("y_last") + h * c("drift"))
+            .when(mdl == "trend_season", c("intercept") + c("slope") * tstar + offset)
             .otherwise(c("intercept") + c("slope") * tstar))
     se = (F.when(mdl == "mean", c("sigma") * F.sqrt(1 + 1 / n))
           .when(mdl.isin("last", "drift"), c("sigma") * F.sqrt(h))
@@ -163,8 +245,9 @@ def demand_model_input(sales_daily: DataFrame, p: Params = DEFAULT_PARAMS, varia
     return sd.join(keys.distinct(), "variant_id", "left_semi").select("sale_date", "variant_id", "qty_sold")
 
 
-def fit_demand_model(train: DataFrame) -> DataFrame:
-    return fit_forecaster(train, "variant_id", "sale_date", "qty_sold", 1)
+def fit_demand_model(train: DataFrame, season: bool = True) -> DataFrame:
+    """Daily model; weekday seasonality on (the weekly backtest model has none)."""
+    return fit_forecaster(train, "variant_id", "sale_date", "qty_sold", 1, season=season)
 
 
 def demand_forecasts(model: DataFrame, p: Params = DEFAULT_PARAMS, variants: DataFrame | None = None) -> DataFrame:

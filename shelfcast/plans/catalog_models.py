@@ -14,7 +14,8 @@ from shelfcast.sources.testdata import Fixture
 
 Z = P.z_value
 TRAIN_START, CUTOFF, LAST_WEEK = d(P.train_start_week), d(P.cutoff_week_start), d(P.last_complete_week_start)
-FIT_COLS = "variant_id, n, last_ts, model, score, sigma, y_mean, y_last, drift, intercept, slope, t_mean, sxx"
+FIT_COLS = ("variant_id, n, last_ts, model, score, sigma, y_mean, y_last, drift, intercept, slope, t_mean, sxx, "
+            + ", ".join(f"season_w{w}" for w in range(7)))
 
 
 # ------------------------------------------------------------------ Spark side: one WeeklyRun per query
@@ -87,7 +88,7 @@ BACKTEST = WEEKLY_BASE + [TRAIN_CTE] + fit_ctes("wk", "train", 7) + [
 DAILY = BACKTEST + [f"""dtrain AS (
   SELECT sd.variant_id, sd.sale_date AS ts, sd.qty_sold AS y
   FROM sales_daily_v sd JOIN vvm ON vvm.variant_id = sd.variant_id
-  WHERE sd.sale_date >= {AS_OF} - INTERVAL 365 DAY AND sd.qty_sold > 0)"""] + fit_ctes("dm", "dtrain", 1) + [
+  WHERE sd.sale_date >= {AS_OF} - INTERVAL 365 DAY AND sd.qty_sold > 0)"""] + fit_ctes("dm", "dtrain", 1, season=True) + [
     forecast_cte("dm", P.forecast_horizon_days, 1, Z),
     f"""demand_forecasts AS (
   SELECT variant_id, forecast_ts AS forecast_date, {qty('forecast_value')} AS predicted_qty,

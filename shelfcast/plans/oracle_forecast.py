@@ -7,11 +7,52 @@ that both engines evaluate the same floating-point expressions.
 from __future__ import annotations
 
 
-def fit_ctes(name: str, src: str, step: int) -> list[str]:
+EPOCH = "CAST(ts - DATE '1970-01-01' AS BIGINT)"
+SEASON_MIN, SEASON_K = 21, 9
+
+
+def _wd(expr: str) -> str:
+    return f"((({expr}) % 7) + 7) % 7"
+
+
+def fit_ctes(name: str, src: str, step: int, season: bool = False) -> list[str]:
     """CTEs ``{name}_fit`` over ``src(variant_id, ts, y)``."""
+    W = range(7)
+    wsums = "".join(
+        f", sum(CASE WHEN wd = {w} THEN y ELSE 0 END) AS sy_w{w}, sum(CASE WHEN wd = {w} THEN d * y ELSE 0 END) AS sdy_w{w}"
+        f", sum(CASE WHEN wd = {w} THEN y * y ELSE 0 END) AS syy_w{w}" for w in W) if season else ""
+    wpass = "".join(f", sy_w{w}, sdy_w{w}, syy_w{w}" for w in W) if season else ""
+    if season:
+        a_cols = ", ".join(f"{_wd(f'{w} - d0')} AS r_w{w}" for w in W)
+        n_cols = ", ".join(f"CAST(CASE WHEN {_wd(f'{w} - d0')} <= nd - 1 THEN floor((nd - 1 - {_wd(f'{w} - d0')}) / 7) + 1 ELSE 0 END AS DOUBLE) AS n_w{w}"
+                           f", CAST((sdy_w{w} - d0 * sy_w{w}) / {step} AS DOUBLE) AS sty_w{w}" for w in W)
+        b_cols = ", ".join(f"n_w{w} * r_w{w} + 7 * n_w{w} * (n_w{w} - 1) / 2 AS st_w{w}, "
+                           f"n_w{w} * r_w{w} * r_w{w} + 14 * r_w{w} * n_w{w} * (n_w{w} - 1) / 2 + 49 * (n_w{w} - 1) * n_w{w} * (2 * n_w{w} - 1) / 6 AS stt_w{w}"
+                           for w in W)
+        c_cols = ", ".join(f"CAST(sy_w{w} AS DOUBLE) - n_w{w} * intercept - slope * st_w{w} AS rs_w{w}, "
+                           f"CAST(syy_w{w} AS DOUBLE) + n_w{w} * intercept * intercept + slope * slope * stt_w{w} - 2 * intercept * CAST(sy_w{w} AS DOUBLE)"
+                           f" - 2 * slope * sty_w{w} + 2 * intercept * slope * st_w{w} AS qs_w{w}" for w in W)
+        d_cols = ", ".join(f"CASE WHEN n_w{w} > 0 THEN rs_w{w} / n_w{w} ELSE 0.0 END AS season_w{w}" for w in W)
+        total = " + ".join(f"(CASE WHEN n_w{w} > 0 THEN qs_w{w} - rs_w{w} * season_w{w} ELSE 0.0 END)" for w in W)
+        first_off = "[" + ", ".join(f"season_w{w}" for w in W) + "][" + _wd("d0") + " + 1]"
+        season_ctes = [
+            f"{name}_sa AS (SELECT *, {a_cols}, {n_cols} FROM {name}_s)",
+            f"{name}_sb AS (SELECT *, {b_cols} FROM {name}_sa)",
+            f"{name}_sc AS (SELECT *, {c_cols} FROM {name}_sb)",
+            f"{name}_sd AS (SELECT *, {d_cols} FROM {name}_sc)",
+            f"{name}_se AS (SELECT *, ({total}) - ((yf - intercept) - {first_off}) * ((yf - intercept) - {first_off}) AS sse_trend_season FROM {name}_sd)",
+        ]
+        last = f"{name}_se"
+        season_branch = (f"\n    UNION ALL SELECT variant_id, m, 'trend_season', {SEASON_K}, sse_trend_season FROM {name}_se "
+                         f"WHERE nd >= {SEASON_MIN}")
+        season_out = ", " + ", ".join(f"s.season_w{w}" for w in W)
+    else:
+        season_ctes, last, season_branch = [], f"{name}_s", ""
+        season_out = ", " + ", ".join(f"CAST(NULL AS DOUBLE) AS season_w{w}" for w in W)
     return [
         f"""{name}_pts AS (
   SELECT variant_id, ts, CAST(y AS BIGINT) AS y, CAST(ts - DATE '1970-01-01' AS BIGINT) AS d,
+         {_wd(EPOCH)} AS wd,
          CASE WHEN lag(CAST(ts - DATE '1970-01-01' AS BIGINT)) OVER (PARTITION BY variant_id ORDER BY ts)
                    = CAST(ts - DATE '1970-01-01' AS BIGINT) - {step}
               THEN CAST(y AS BIGINT) * lag(CAST(y AS BIGINT)) OVER (PARTITION BY variant_id ORDER BY ts)
@@ -20,14 +61,14 @@ def fit_ctes(name: str, src: str, step: int) -> list[str]:
         f"""{name}_sums AS (
   SELECT variant_id, max(ts) AS last_ts, CAST(floor((max(d) - min(d)) / {step}) + 1 AS BIGINT) AS n,
          sum(y) AS sy, sum(y * y) AS syy, CAST((sum(d * y) - min(d) * sum(y)) / {step} AS BIGINT) AS sty,
-         arg_min(y, d) AS yf, arg_max(y, d) AS yl, sum(lagprod) AS slag
+         arg_min(y, d) AS yf, arg_max(y, d) AS yl, sum(lagprod) AS slag, min(d) AS d0{wsums}
   FROM {name}_pts GROUP BY variant_id)""",
         f"""{name}_q AS (
-  SELECT variant_id, last_ts, n, nd, sy, syy, sty, yf, yl, slag,
+  SELECT variant_id, last_ts, n, nd, sy, syy, sty, yf, yl, slag, d0{wpass},
          nd * (nd - 1) / 2 AS st, (nd - 1) * nd * (2 * nd - 1) / 6 AS stt
   FROM (SELECT variant_id, last_ts, n, CAST(n AS DOUBLE) AS nd, CAST(sy AS DOUBLE) AS sy, CAST(syy AS DOUBLE) AS syy,
                CAST(sty AS DOUBLE) AS sty, CAST(yf AS DOUBLE) AS yf, CAST(yl AS DOUBLE) AS yl,
-               CAST(slag AS DOUBLE) AS slag FROM {name}_sums))""",
+               CAST(slag AS DOUBLE) AS slag, d0{wpass} FROM {name}_sums))""",
         f"""{name}_r AS (
   SELECT *, stt - st * st / nd AS sxx, sy / nd AS ybar, nd - 1 AS m,
          CASE WHEN nd >= 2 THEN (nd * sty - st * sy) / (nd * stt - st * st) END AS slope,
@@ -38,6 +79,7 @@ def fit_ctes(name: str, src: str, step: int) -> list[str]:
          (syy - yf * yf) - 2 * ybar * (sy - yf) + m * ybar * ybar AS sse_mean,
          (syy - yf * yf) + (syy - yl * yl) - 2 * slag AS sse_last
   FROM {name}_r)""",
+    ] + season_ctes + [
         f"""{name}_cand AS (
   SELECT variant_id, model, k, sse, round(m * ln(greatest(sse, 1e-9) / m) + 2.0 * k, 6) AS score
   FROM (
@@ -47,7 +89,7 @@ def fit_ctes(name: str, src: str, step: int) -> list[str]:
     UNION ALL SELECT variant_id, m, 'trend', 2,
       (syy - 2 * intercept * sy - 2 * slope * sty + nd * intercept * intercept + 2 * intercept * slope * st
        + slope * slope * stt) - (yf - intercept) * (yf - intercept)
-      FROM {name}_s WHERE nd >= 3))""",
+      FROM {name}_s WHERE nd >= 3{season_branch}))""",
         f"""{name}_best AS (
   SELECT variant_id, model, k, sse, score FROM (
     SELECT *, row_number() OVER (PARTITION BY variant_id ORDER BY score, k, model) AS rn FROM {name}_cand)
@@ -58,9 +100,9 @@ def fit_ctes(name: str, src: str, step: int) -> list[str]:
          CASE WHEN s.nd < 3 THEN NULL ELSE b.score END AS score,
          CASE WHEN s.nd < 3 THEN (CASE WHEN s.nd >= 2 THEN sqrt(greatest((s.syy - s.sy * s.sy / s.nd) / s.m, 0.0)) ELSE 0.0 END)
               ELSE sqrt(greatest(b.sse, 1e-9) / greatest(s.m - b.k, 1.0)) END AS sigma,
-         s.ybar AS y_mean, s.yl AS y_last, s.drift, s.intercept, s.slope, s.st / s.nd AS t_mean, s.sxx,
+         s.ybar AS y_mean, s.yl AS y_last, s.drift, s.intercept, s.slope, s.st / s.nd AS t_mean, s.sxx{season_out},
          s.nd
-  FROM {name}_s s LEFT JOIN {name}_best b ON b.variant_id = s.variant_id)""",
+  FROM {last} s LEFT JOIN {name}_best b ON b.variant_id = s.variant_id)""",
     ]
 
 
@@ -68,7 +110,10 @@ def forecast_cte(name: str, horizon: int, step: int, z: float) -> str:
     """CTE ``{name}_fc(variant_id, forecast_ts, forecast_value, lower, upper)``."""
     tstar = "((nd - 1) + CAST(h AS DOUBLE))"
     hd = "CAST(h AS DOUBLE)"
+    fday = f"CAST(CAST(last_ts + CAST(h * {step} AS INTEGER) AS DATE) - DATE '1970-01-01' AS BIGINT)"
+    offset = "[" + ", ".join(f"season_w{w}" for w in range(7)) + "][" + _wd(fday) + " + 1]"
     yhat = (f"CASE model WHEN 'mean' THEN y_mean WHEN 'last' THEN y_last WHEN 'drift' THEN y_last + {hd} * drift "
+            f"WHEN 'trend_season' THEN intercept + slope * {tstar} + {offset} "
             f"ELSE intercept + slope * {tstar} END")
     se = (f"CASE WHEN model = 'mean' THEN sigma * sqrt(1 + 1 / nd) "
           f"WHEN model IN ('last', 'drift') THEN sigma * sqrt({hd}) "

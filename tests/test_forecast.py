@@ -60,3 +60,19 @@ def test_forecast_rows_and_interval_order(spark, ys, horizon):
 def test_constant_series_has_collapsed_interval(spark):
     m = fit(spark, [(t, 4) for t in range(10)])
     assert m.model in ("mean", "last") and m.sigma < 1e-3
+
+
+def test_weekday_pattern_selects_season_and_recovers_offsets(spark):
+    pattern = [5, 1, 1, 2, 9, 3, 1]
+    rows = [(t, 10 + pattern[t % 7]) for t in range(8 * 7)]
+    s = series(spark, rows)            # starts 2001-01-01
+    m = forecast.fit_forecaster(s, "variant_id", "ts", "y", 1, season=True).first()
+    assert m.model == "trend_season"
+    epoch_wd0 = (dt.date(2001, 1, 1) - dt.date(1970, 1, 1)).days % 7
+    mean_pat = sum(pattern) / 7
+    for t in range(7):
+        w = (epoch_wd0 + t) % 7
+        assert getattr(m, f"season_w{w}") == pytest.approx(pattern[t] - mean_pat, abs=1e-6)
+    fc = forecast.forecast(forecast.fit_forecaster(s, "variant_id", "ts", "y", 1, season=True), "variant_id", 7, 1, 1.96)
+    got = [round(r.forecast_value, 6) for r in fc.orderBy("forecast_ts").collect()]
+    assert got == [10 + pattern[t % 7] for t in range(56, 63)]
