@@ -250,13 +250,19 @@ def fit_demand_model(train: DataFrame, season: bool = True) -> DataFrame:
     return fit_forecaster(train, "variant_id", "sale_date", "qty_sold", 1, season=season)
 
 
-def demand_forecasts(model: DataFrame, p: Params = DEFAULT_PARAMS, variants: DataFrame | None = None) -> DataFrame:
+def demand_forecasts(model: DataFrame, p: Params = DEFAULT_PARAMS, variants: DataFrame | None = None,
+                     holiday_effects: DataFrame | None = None) -> DataFrame:
     """60-day forecasts with a 95% interval, positive forecasts only.
 
-    The positivity filter is on the raw forecast value, before rounding.
-    With ``variants`` the sku label is attached (stand-alone form).
+    With ``holiday_effects`` (US calendar) forecasts on a holiday are shifted by
+    that holiday's effect. The positivity filter is on the raw forecast value,
+    before rounding. With ``variants`` the sku label is attached (stand-alone form).
     """
-    f = forecast(model, "variant_id", p.forecast_horizon_days, 1, p.z_value).filter(F.col("forecast_value") > 0)
+    f = forecast(model, "variant_id", p.forecast_horizon_days, 1, p.z_value)
+    if holiday_effects is not None:
+        from shelfcast.operators.holidays import add_holiday_effects
+        f = add_holiday_effects(f, holiday_effects, "variant_id")
+    f = f.filter(F.col("forecast_value") > 0)
     out = f.select(
         "variant_id", F.col("forecast_ts").alias("forecast_date"),
         to_quantity("forecast_value").alias("predicted_qty"),

@@ -8,7 +8,7 @@ from shelfcast.operators import backtest, demand, forecast, inventory, restock,
 from shelfcast.plans.catalog import (ACTIVE_CTE, AS_OF, INTERNAL, P, RANK_CTE, RUN_TS, SALES_DAILY_V_CTE,
                                      SALES_WEEKLY_CTE, STATUS_CTE, VENDORS_CTE, VVM_CTE, fx, register)
 from shelfcast.plans.oracle_fixture import d, with_fixture
-from shelfcast.plans.oracle_forecast import fit_ctes, forecast_cte, qty
+from shelfcast.plans.oracle_forecast import fit_ctes, forecast_cte, holiday_ctes, qty
 from shelfcast.plans.weekly import WeeklyRun, from_fixture
 from shelfcast.sources.testdata import Fixture
 
@@ -89,11 +89,11 @@ DAILY = BACKTEST + [f"""dtrain AS (
   SELECT sd.variant_id, sd.sale_date AS ts, sd.qty_sold AS y
   FROM sales_daily_v sd JOIN vvm ON vvm.variant_id = sd.variant_id
   WHERE sd.sale_date >= {AS_OF} - INTERVAL 365 DAY AND sd.qty_sold > 0)"""] + fit_ctes("dm", "dtrain", 1, season=True) + [
-    forecast_cte("dm", P.forecast_horizon_days, 1, Z),
+    forecast_cte("dm", P.forecast_horizon_days, 1, Z)] + holiday_ctes("dm", "dtrain") + [
     f"""demand_forecasts AS (
   SELECT variant_id, forecast_ts AS forecast_date, {qty('forecast_value')} AS predicted_qty,
          {qty('lower_bound')} AS confidence_lower, {qty('upper_bound')} AS confidence_upper, {RUN_TS} AS created_at
-  FROM dm_fc WHERE forecast_value > 0)""",
+  FROM dm_fch WHERE forecast_value > 0)""",
     f"""latest30 AS (SELECT max(snapshot_date) AS d FROM inventory WHERE snapshot_date >= {AS_OF} - INTERVAL 30 DAY)""",
     """raw_inv AS (
   SELECT variant_id, CAST(sum(available_qty) AS BIGINT) AS raw_stock
@@ -314,3 +314,9 @@ def q_infer_frequency(spark, sf_dir, grain="bt"):
     r = run(fx(spark, sf_dir, grain))
     train = forecast.demand_model_input(r.sales_daily, P, variant_map=r.variant_map)
     return forecast.infer_frequency(train, "variant_id", "sale_date")
+
+
+
+@register("f04_holiday_effects", with_fixture(DAILY, "SELECT * FROM dm_he"))
+def q_holiday_effects(spark, sf_dir, grain="bt"):
+    return run(fx(spark, sf_dir, grain)).holiday_effects

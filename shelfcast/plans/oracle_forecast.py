@@ -127,3 +127,55 @@ def forecast_cte(name: str, horizon: int, step: int, z: float) -> str:
 
 def qty(expr: str) -> str:
     return f"CASE WHEN {expr} IS NULL THEN NULL ELSE greatest(CAST(round(round({expr}, 6)) AS BIGINT), 0) END"
+
+
+# Same fixed rules as shelfcast.operators.holidays.US_HOLIDAY_RULES, written as SQL.
+def _hol_sql(years: str) -> str:
+    from shelfcast.operators.holidays import JUNETEENTH_FIRST_YEAR, US_HOLIDAY_RULES
+    parts = []
+    for name, month, rule in US_HOLIDAY_RULES:
+        first = f"make_date(CAST(year AS BIGINT), {month}, 1)"
+        if isinstance(rule, int):
+            d = f"make_date(CAST(year AS BIGINT), {month}, {rule})"
+        elif rule[0] > 0:
+            n, wd = rule
+            d = f"CAST({first} + CAST((({wd} - isodow({first})) % 7 + 7) % 7 + {7 * (n - 1)} AS INTEGER) AS DATE)"
+        else:
+            wd = rule[1]
+            last = f"last_day({first})"
+            d = f"CAST({last} - CAST(((isodow({last}) - {wd}) % 7 + 7) % 7 AS INTEGER) AS DATE)"
+        cond = f" WHERE year >= {JUNETEENTH_FIRST_YEAR}" if name == "Juneteenth" else ""
+        parts.append(f"SELECT year, '{name}' AS holiday, {d} AS holiday_date FROM {years}{cond}")
+    return "\n  UNION ALL ".join(parts)
+
+
+def holiday_ctes(name: str, src: str) -> list[str]:
+    """``{name}_he(variant_id, holiday, holiday_effect)`` and ``{name}_fch`` (holiday-shifted forecasts)."""
+    offset = "[" + ", ".join(f"f.season_w{w}" for w in range(7)) + "][" + _wd("CAST(h.ts - DATE '1970-01-01' AS BIGINT)") + " + 1]"
+    return [
+        f"""{name}_span AS (SELECT variant_id, CAST(last_ts - CAST(n - 1 AS INTEGER) AS DATE) AS first_d, last_ts FROM {name}_fit)""",
+        f"""{name}_hy AS (SELECT DISTINCT unnest(generate_series(year(first_d), year(last_ts))) AS year FROM {name}_span)""",
+        f"""{name}_cal AS (
+  {_hol_sql(f"{name}_hy")})""",
+        f"""{name}_hd AS (
+  SELECT s.variant_id, c.holiday, c.holiday_date AS ts, s.first_d FROM {name}_span s
+  JOIN {name}_cal c ON c.holiday_date BETWEEN s.first_d AND s.last_ts)""",
+        f"""{name}_he AS (
+  SELECT variant_id, holiday, list_reduce(list_sort(list(r)), lambda acc, x: acc + x) / count(r) AS holiday_effect
+  FROM (SELECT h.variant_id, h.holiday,
+               COALESCE(CAST(t.y AS DOUBLE), 0.0)
+                 - (COALESCE(f.intercept + f.slope * CAST(date_diff('day', h.first_d, h.ts) AS DOUBLE), f.y_mean)
+                    + COALESCE({offset}, 0.0)) AS r
+        FROM {name}_hd h LEFT JOIN {src} t ON t.variant_id = h.variant_id AND t.ts = h.ts
+        JOIN {name}_fit f ON f.variant_id = h.variant_id)
+  GROUP BY variant_id, holiday)""",
+        f"""{name}_fy AS (SELECT DISTINCT year(forecast_ts) AS year FROM {name}_fc)""",
+        f"""{name}_fcal AS (
+  {_hol_sql(f"{name}_fy")})""",
+        f"""{name}_fch AS (
+  SELECT f.variant_id, f.forecast_ts, f.forecast_value + COALESCE(e.holiday_effect, 0.0) AS forecast_value,
+         f.lower_bound + COALESCE(e.holiday_effect, 0.0) AS lower_bound,
+         f.upper_bound + COALESCE(e.holiday_effect, 0.0) AS upper_bound
+  FROM {name}_fc f LEFT JOIN {name}_fcal c ON c.holiday_date = f.forecast_ts
+  LEFT JOIN {name}_he e ON e.variant_id = f.variant_id AND e.holiday = c.holiday)""",
+    ]

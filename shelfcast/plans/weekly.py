@@ -18,7 +18,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfcast.operators import backtest, demand, forecast, inventory, restock, vendors, views
+from shelfcast.operators import backtest, demand, forecast, holidays, inventory, restock, vendors, views
 from shelfcast.params import DEFAULT_PARAMS, Params
 from shelfcast.session import checkpoint_dir
 
@@ -114,14 +114,22 @@ class WeeklyRun:
         return self._keep(backtest.model_quality_flags(self.metrics, self.baseline, self.p), "model_quality_flags")
 
     # ---------------- daily demand model, forecasts, stock-outs
+    @cached_property
+    def demand_train(self) -> DataFrame:
+        return forecast.demand_model_input(self.sales_daily, self.p, variant_map=self.variant_map)
+
     @cached_property
     def demand_model(self) -> DataFrame:
-        train = forecast.demand_model_input(self.sales_daily, self.p, variant_map=self.variant_map)
-        return forecast.fit_demand_model(train)
+        return forecast.fit_demand_model(self.demand_train)
+
+    @cached_property
+    def holiday_effects(self) -> DataFrame:
+        return holidays.holiday_effects(self.demand_train, self.demand_model, "variant_id", "sale_date", "qty_sold")
 
     @cached_property
     def demand_forecasts(self) -> DataFrame:
-        return self._keep(forecast.demand_forecasts(self.demand_model, self.p), "demand_forecasts")
+        return self._keep(forecast.demand_forecasts(self.demand_model, self.p, holiday_effects=self.holiday_effects),
+                          "demand_forecasts")
 
     @cached_property
     def current_for_restock(self) -> DataFrame:
