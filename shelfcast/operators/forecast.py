@@ -262,6 +262,11 @@ def demand_forecasts(model: DataFrame, p: Params = DEFAULT_PARAMS, variants: Dat
     if holiday_effects is not None:
         from shelfcast.operators.holidays import add_holiday_effects
         f = add_holiday_effects(f, holiday_effects, "variant_id")
+    return forecast_quantities(f, p, variants)
+
+
+def forecast_quantities(f: DataFrame, p: Params = DEFAULT_PARAMS, variants: DataFrame | None = None) -> DataFrame:
+    """Forecast rows -> ``demand_forecasts`` columns (positive raw forecasts, rounded, clamped)."""
     f = f.filter(F.col("forecast_value") > 0)
     out = f.select(
         "variant_id", F.col("forecast_ts").alias("forecast_date"),

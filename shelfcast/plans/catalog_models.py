@@ -320,3 +320,9 @@ def q_infer_frequency(spark, sf_dir, grain="bt"):
 @register("f04_holiday_effects", with_fixture(DAILY, "SELECT * FROM dm_he"))
 def q_holiday_effects(spark, sf_dir, grain="bt"):
     return run(fx(spark, sf_dir, grain)).holiday_effects
+
+
+
+@register("c31c_demand_forecasts_arima", None)       # tier 2: no SQL form; rows-only check + tests
+def q_demand_forecasts_arima(spark, sf_dir, grain="bt"):
+    return run(fx(spark, sf_dir, grain)).demand_forecasts_arima

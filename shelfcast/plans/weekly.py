@@ -18,7 +18,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfcast.operators import backtest, demand, forecast, holidays, inventory, restock, vendors, views
+from shelfcast.operators import arima, backtest, demand, forecast, holidays, inventory, restock, vendors, views
 from shelfcast.params import DEFAULT_PARAMS, Params
 from shelfcast.session import checkpoint_dir
 
@@ -131,6 +131,13 @@ class WeeklyRun:
         return self._keep(forecast.demand_forecasts(self.demand_model, self.p, holiday_effects=self.holiday_effects),
                           "demand_forecasts")
 
+    @cached_property
+    def demand_forecasts_arima(self) -> DataFrame:
+        """Tier-2 alternative to ``demand_forecasts`` (per-series ARIMA by AICc)."""
+        fc = arima.forecast_arima(self.demand_train, "variant_id", "sale_date", "qty_sold", 1,
+                                  self.p.forecast_horizon_days, self.p.z_value)
+        return forecast.forecast_quantities(fc.drop("model"), self.p)
+
     @cached_property
     def current_for_restock(self) -> DataFrame:
         return inventory.current_inventory(self.snapshots, since=self.p.days_ago(self.p.snapshot_lookback_days),
