@@ -27,17 +27,22 @@ def vendor_sales_rank(sales: DataFrame, variants: DataFrame, products: DataFrame
     (a shared sku credits its sales to every vendor using it, SURVEY Q5);
     ``key='variant_id'`` joins on the canonical key instead.
     """
+    dec = "decimal(18,9)"
+    # (sku, vendor) pairs with their row count and exact price sum: the same totals
+    # as joining every variant row, but a sku shared by millions of variants is
+    # one row per vendor on the join instead of millions.
     svp = (variants.alias("v").join(products.alias("p"), F.col("v.product_id") == F.col("p.product_id"))
            .filter(_present(f"v.{key}") & _present("p.vendor"))
-           .select(F.col(f"v.{key}").alias(key), F.col("p.vendor").alias("vendor_name"),
-                   F.col("v.price").try_cast("double").alias("unit_price")))
+           .groupBy(F.col(f"v.{key}").alias(key), F.col("p.vendor").alias("vendor_name"))
+           .agg(F.count(F.lit(1)).alias("rows"),
+                F.sum(F.coalesce(F.col("v.price").try_cast("double").cast(dec), F.lit(0).cast(dec))).cast(dec)
+                .alias("price_sum")))
     sold = (sales.filter((F.col("sale_date") >= date_lit(p.months_ago(p.vendor_rank_months))) & _present(key))
             .groupBy(key).agg(F.sum("quantity_sold").alias("units_sold_6m")))
     by_vendor = (sold.join(svp, key).groupBy("vendor_name")
-                 .agg(F.sum("units_sold_6m").alias("vendor_units_sold_6m"),
+                 .agg(F.sum(F.col("units_sold_6m") * F.col("rows")).alias("vendor_units_sold_6m"),
                       # summed exactly in decimal, reported as double: no summation-order noise
-                      F.sum(F.col("units_sold_6m").cast("decimal(19,0)")
-                            * F.coalesce(F.col("unit_price").cast("decimal(18,9)"), F.lit(0).cast("decimal(18,9)")))
+                      F.sum(F.col("units_sold_6m").cast("decimal(19,0)") * F.col("price_sum"))
                       .cast("double").alias("vendor_revenue_6m")))
     rank = F.dense_rank().over(Window.orderBy(F.col("vendor_revenue_6m").desc()))
     return by_vendor.select("vendor_name", "vendor_units_sold_6m", "vendor_revenue_6m",
