@@ -86,12 +86,20 @@ def _fitted(t: Column, day: Column) -> Column:
 
 
 def add_holiday_effects(fc: DataFrame, effects: DataFrame, key: str) -> DataFrame:
-    """Shift forecasts (value and bounds) that fall on a holiday by that holiday's effect."""
+    """Shift forecasts (value and bounds) that fall on a holiday by that holiday's effect.
+
+    Only holiday-dated rows meet the (series x holiday) effects table; the
+    rest pass through untouched. Both splits are broadcast joins against the
+    calendar (≤ 11 rows per forecast year), so the forecast rows are never
+    shuffled for this step.
+    """
     yrs = fc.select(F.year("forecast_ts").alias("year")).distinct()
     cal = F.broadcast(holiday_calendar(yrs).select("holiday", F.col("holiday_date").alias("forecast_ts")))
-    tagged = fc.join(cal, "forecast_ts", "left").join(effects, [key, "holiday"], "left")
+    cols = [key, "forecast_ts", "forecast_value", "prediction_interval_lower_bound", "prediction_interval_upper_bound"]
+    plain = fc.join(cal, "forecast_ts", "left_anti").select(*cols)
     eff = F.coalesce("holiday_effect", F.lit(0.0))
-    return tagged.select(
-        key, "forecast_ts", (F.col("forecast_value") + eff).alias("forecast_value"),
-        (F.col("prediction_interval_lower_bound") + eff).alias("prediction_interval_lower_bound"),
-        (F.col("prediction_interval_upper_bound") + eff).alias("prediction_interval_upper_bound"))
+    shifted = (fc.join(cal, "forecast_ts").join(effects, [key, "holiday"], "left")
+               .select(key, "forecast_ts", (F.col("forecast_value") + eff).alias("forecast_value"),
+                       (F.col("prediction_interval_lower_bound") + eff).alias("prediction_interval_lower_bound"),
+                       (F.col("prediction_interval_upper_bound") + eff).alias("prediction_interval_upper_bound")))
+    return plain.unionByName(shifted)

@@ -120,7 +120,8 @@ class WeeklyRun:
 
     @cached_property
     def demand_model(self) -> DataFrame:
-        return forecast.fit_demand_model(self.demand_train)
+        # read by the forecast and by the holiday effects
+        return self._keep(forecast.fit_demand_model(self.demand_train), "demand_model")
 
     @cached_property
     def holiday_effects(self) -> DataFrame:
