@@ -15,7 +15,7 @@ GID = "gid://shopify/{}/"
 ISO_Z = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 # Orders are stamped 20:00 at UTC-5, so the local sale date differs from the UTC date.
 ORDER_LOCAL = "yyyy-MM-dd'T'20:00:00'-05:00'"
-PRODUCTS_PER_PAGE, LEVELS_PER_PAGE, ORDERS_PER_PAGE = 50, 250, 250
+PRODUCTS_PER_PAGE, LEVELS_PER_PAGE, ORDERS_PER_PAGE, LINES_PER_NODE = 50, 250, 250, 250
 
 
 def _gid(kind: str, c) -> F.Column:
@@ -82,7 +82,10 @@ def order_pages(f: Fixture) -> DataFrame:
                     F.col("product_title").alias("title"), F.col("sku"), F.col("quantity_sold").alias("quantity"),
                     F.struct(_gid("ProductVariant", F.col("variant_id")).alias("id"),
                              F.struct(F.col("vendor").alias("vendor")).alias("product")).alias("variant"))
-    orders = (s.groupBy("o_orderkey", "sale_date", "cancelled", "test")
+    # at most LINES_PER_NODE lines per order node (the API pages nested lines the same
+    # way), so no group grows with the size of one order
+    chunk = F.floor(F.col("l_linenumber") / LINES_PER_NODE).alias("chunk")
+    orders = (s.groupBy("o_orderkey", "sale_date", "cancelled", "test", chunk)
               .agg(F.collect_list(F.struct(line.alias("node"))).alias("lines")))
     created = F.date_format(F.col("sale_date"), ORDER_LOCAL)
     node = F.struct(_gid("Order", F.col("o_orderkey").cast("string")).alias("id"),
