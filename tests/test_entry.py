@@ -9,7 +9,7 @@ TABLES = "region nation customer supplier part orders lineitem".split()
 def test_entry_smoke(spark):
     df = entry_mod.entry(spark)
     assert df.count() > 0
-    assert "current_stock" in df.columns
+    assert "reorder_qty" in df.columns
 
 
 def test_every_query_has_a_unique_name_and_most_have_oracles():
