@@ -136,13 +136,13 @@ class Fixture:
 
     @cached_property
     def inventory(self) -> DataFrame:
-        # variants x locations x snapshot offsets: the fixture's designed product.
-        # Both small sides are fixed-size (5 regions, 3 offsets), so the
-        # broadcast is bounded and the output is 15 rows per variant.
+        # Every variant is stocked at every location on each snapshot date: each
+        # variant row expands over the region keys (the fixed 5-row region table,
+        # read once as a scalar subquery) and the 3 offsets -> 15 rows per variant.
         v = self.variants_k.select("variant_id", "sku", "k")
-        regions = F.broadcast(self.table("region").select("r_regionkey"))
+        region_keys = self.table("region").select(F.sort_array(F.collect_list("r_regionkey"))).scalar()
         offs = F.explode(F.array(*[F.lit(o) for o in SNAPSHOT_OFFSETS_DAYS])).alias("off")
-        base = v.crossJoin(regions).select("*", offs)
+        base = v.select("*", F.explode(region_keys).alias("r_regionkey")).select("*", offs)
         snap_date = F.date_sub(date_lit(self.p.as_of), F.col("off"))
         return base.select(
             F.concat_ws("_", "variant_id", F.col("r_regionkey").cast("string"), snap_date.cast("string")).alias("snapshot_id"),
