@@ -157,6 +157,29 @@ class WeeklyRun:
     def restocks_active_view(self, cadence_days: int | None = None) -> DataFrame:
         return views.v_vendor_restocks_weekly_active(self.restocks(cadence_days), self.vendor_status, self.p)
 
+    # ---------------- catalog views
+    def views(self) -> dict[str, DataFrame]:
+        current = inventory.current_inventory(self.snapshots)
+        vvm = views.v_variant_vendor_map(self.variants, self.products)
+        active_inv = views.v_current_inventory_active(current, vvm, self.vendor_status, self.p)
+        return {
+            "current_inventory": current,
+            "v_active_vendors": views.v_active_vendors(self.vendor_status, self.p),
+            "v_variant_vendor_map": vvm,
+            "v_current_inventory_active": active_inv,
+            "v_vendor_restocks_weekly_active": self.restocks_active_view(7),
+            "v_vendor_summary": views.v_vendor_summary(active_inv),
+            "v_inventory_exceptions": views.v_inventory_exceptions(current, vvm),
+        }
+
+    def register_views(self) -> list[str]:
+        """Expose the views as session temp views (the reference's ``CREATE VIEW``s)."""
+        out = []
+        for name, df in self.views().items():
+            df.createOrReplaceTempView(name)
+            out.append(name)
+        return out
+
     # ---------------- everything, written out
     def outputs(self) -> dict[str, DataFrame]:
         return {

@@ -56,3 +56,18 @@ def test_streaming_ingest_upserts_each_file_once(spark, tmp_path):
     q.awaitTermination(120)
     assert spark.read.parquet(target).count() == n2
     allp.unpersist()
+
+
+def test_weekly_run_writes_outputs_and_views(spark, tmp_path):
+    from shelfcast.plans.weekly import from_fixture
+
+    f = Fixture(spark, SF, "bt", P)
+    run = from_fixture(f, P)
+    paths = run.write_all(str(tmp_path / "out"))
+    assert set(paths) >= {"model_quality_flags", "demand_forecasts", "vendor_restocks_weekly", "stockout_predictions"}
+    flags = spark.read.parquet(paths["model_quality_flags"])
+    assert flags.count() > 0
+    assert set(run.register_views()) == {"current_inventory", "v_active_vendors", "v_variant_vendor_map",
+                                         "v_current_inventory_active", "v_vendor_restocks_weekly_active",
+                                         "v_vendor_summary", "v_inventory_exceptions"}
+    assert spark.sql("SELECT count(*) FROM v_vendor_summary").first()[0] > 0
