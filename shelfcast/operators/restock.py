@@ -52,10 +52,21 @@ def fallback_demand(sales: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
             .agg(safe_div(F.sum("quantity_sold"), F.lit(p.fallback_days)).alias("avg_daily_units")))
 
 
+def fallback_from_daily(sales_daily: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
+    """The same 56-day average from the (already built) daily rollup instead of the raw history.
+
+    Equal to ``fallback_demand`` on the validation-form rollup (blank variants
+    dropped, one row per date and variant), without another fact scan.
+    """
+    return (sales_daily.filter(F.col("sale_date") >= date_lit(p.days_ago(p.fallback_days)))
+            .groupBy("variant_id")
+            .agg(safe_div(F.sum("qty_sold"), F.lit(p.fallback_days)).alias("avg_daily_units")))
+
+
 def vendor_restocks(variant_map: DataFrame, variants: DataFrame, products: DataFrame, status: DataFrame,
                     cadence: DataFrame, vendors: DataFrame, snapshots: DataFrame, forecasts: DataFrame,
                     sales: DataFrame, flags: DataFrame, p: Params = DEFAULT_PARAMS,
-                    cadence_days: int | None = None) -> DataFrame:
+                    cadence_days: int | None = None, fallback: DataFrame | None = None) -> DataFrame:
     """Re-order list for vendors on a ``cadence_days`` cycle (7 = weekly list, 14 = bi-weekly).
 
     horizon = lead time + review (7) + safety (3) days; forecast demand sums the
@@ -87,7 +98,7 @@ def vendor_restocks(variant_map: DataFrame, variants: DataFrame, products: DataF
           .groupBy("variant_id").agg(F.sum("predicted_qty").alias("expected_demand_forecast")))
 
     ri = raw_inventory(snapshots, p)
-    fb = fallback_demand(sales, p)
+    fb = fallback if fallback is not None else fallback_demand(sales, p)
     mq = flags.select("variant_id", "model_quality")
 
     j = (items.join(ri, "variant_id", "left").join(fd, "variant_id", "left")

@@ -152,7 +152,8 @@ class WeeklyRun:
     def restocks(self, cadence_days: int | None = None) -> DataFrame:
         return restock.vendor_restocks(self.variant_map, self.variants, self.products, self.vendor_status,
                                        self.cadence, self.vendors, self.snapshots, self.demand_forecasts,
-                                       self.sales, self.flags, self.p, cadence_days)
+                                       self.sales, self.flags, self.p, cadence_days,
+                                       fallback=restock.fallback_from_daily(self.sales_daily, self.p))
 
     def restocks_active_view(self, cadence_days: int | None = None) -> DataFrame:
         return views.v_vendor_restocks_weekly_active(self.restocks(cadence_days), self.vendor_status, self.p)
