@@ -53,7 +53,7 @@ def holdout_with_baseline(weekly: DataFrame, p: Params = DEFAULT_PARAMS) -> Data
     """
     wk = F.col("week_start")
     w = weekly.filter((wk >= date_lit(p.cutoff_week_start - dt.timedelta(weeks=1)))
-                      & (wk <= date_lit(p.last_complete_week_start)))
+                      & (wk <= date_lit(p.holdout_end_week)))
     win = Window.partitionBy(KEY).orderBy("week_start")
     prev_ok = F.lag("week_start").over(win) == F.date_sub(wk, 7)
     base = F.when(prev_ok, F.lag("qty_sold").over(win)).otherwise(F.lit(0).cast("bigint"))

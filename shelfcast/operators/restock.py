@@ -21,11 +21,13 @@ def stockout_predictions(forecasts: DataFrame, current: DataFrame, p: Params = D
     """First forecast date where cumulative demand reaches current stock.
 
     The running sum is a per-variant window over at most ``horizon`` rows.
-    Forecast dates before ``as_of`` are kept (SURVEY Q9), so ``days_remaining``
-    may be negative.
+    Forecast dates before ``as_of`` are kept by default (SURVEY Q9), so
+    ``days_remaining`` may be negative; ``Params.stockout_from_as_of`` drops them.
     """
     ci = current.filter(F.col("current_stock") > 0).select("variant_id", "current_stock")
     f = forecasts.select("variant_id", "forecast_date", "predicted_qty")
+    if p.stockout_from_as_of:
+        f = f.filter(F.col("forecast_date") >= date_lit(p.as_of))
     run = Window.partitionBy("variant_id").orderBy("forecast_date").rowsBetween(Window.unboundedPreceding, 0)
     cum = f.join(ci, "variant_id").select("variant_id", "forecast_date", "current_stock",
                                           F.sum("predicted_qty").over(run).alias("cum_demand"))

@@ -36,6 +36,7 @@ class Params:
 
     # ---- backtest ----
     holdout_weeks: int = 4
+    holdout_inclusive: bool = True          # Q1: holdout [cutoff, last] = 5 weeks; False = the 4 forecast weeks
     train_weeks: int = 52
     min_holdout_units: int = 4
     good_wape: float = 0.60
@@ -49,6 +50,7 @@ class Params:
     safety_days: int = 3
     fallback_days: int = 56
     cadence_days: int = 7
+    stockout_from_as_of: bool = False       # Q9: False counts every forecast day, even before as_of
 
     extra: dict = field(default_factory=dict, compare=False, hash=False)
 
@@ -63,6 +65,13 @@ class Params:
     def cutoff_week_start(self) -> dt.date:
         return self.last_complete_week_start - dt.timedelta(weeks=self.holdout_weeks)
 
+    @property
+    def holdout_end_week(self) -> dt.date:
+        """Last holdout week: the last complete week, or (strict) the 4th forecast week."""
+        if self.holdout_inclusive:
+            return self.last_complete_week_start
+        return self.cutoff_week_start + dt.timedelta(weeks=self.holdout_weeks - 1)
+
     @property
     def train_start_week(self) -> dt.date:
         return self.last_complete_week_start - dt.timedelta(weeks=self.train_weeks)

@@ -200,6 +200,18 @@ class WeeklyRun:
             df.write.mode("overwrite").parquet(paths[name])
         return paths
 
+    def cleanup(self) -> None:
+        """Delete this run's materialized steps from the shared folder (after ``write_all``).
+
+        DataFrames returned by this run read those files, so call it only
+        when they are no longer needed.
+        """
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.work_dir)
+        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if fs.exists(path):
+            fs.delete(path, True)
+
 
 def from_fixture(f, p: Params = DEFAULT_PARAMS, materialize_steps: bool = True) -> WeeklyRun:
     return WeeklyRun(f.spark, f.variants, f.products, f.sales_table(), f.inventory, f.vendors_existing,

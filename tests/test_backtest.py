@@ -50,3 +50,35 @@ def test_label_thresholds(spark):
                                ("nodata", 0.1, 3)], "variant_id string, baseline_wape double, sum_actual_holdout bigint")
     got = {r.variant_id: r.model_quality for r in backtest.model_quality_flags(m, b, P).collect()}
     assert got == {"g": "GOOD", "w": "GOOD", "bad": "BAD", "wk": "WEAK", "worse": "WORSE_THAN_BASELINE", "nodata": "NO_DATA"}
+
+
+def test_inclusive_holdout_scores_the_newest_week_against_zero(spark):
+    import dataclasses
+
+    # training weeks before the cutoff, then a constant 5 units through the last complete week
+    rows = [("a", str(dt.date(2001, 6, 4) + dt.timedelta(weeks=i)), 5) for i in range(22)]
+    w = weekly(spark, rows)
+    out = backtest.run_backtest(w, P)
+    fc_weeks = sorted(str(r.week_start) for r in out["backtest_forecast_4w"].collect())
+    assert fc_weeks == ["2001-10-01", "2001-10-08", "2001-10-15", "2001-10-22"]
+    proof = {str(r.week_start): (r.actual_qty, r.predicted_qty) for r in out["backtest_proof_4w"].collect()}
+    assert proof["2001-10-29"] == (5, 0)                      # Q1: 5th holdout week has no forecast
+    m = out["backtest_metrics_variant_4w"].first()
+    assert (m.sum_actual, m.sum_abs_error) == (25, 5)
+    strict = backtest.run_backtest(w, dataclasses.replace(P, holdout_inclusive=False))
+    ms = strict["backtest_metrics_variant_4w"].first()
+    assert (ms.sum_actual, ms.sum_abs_error, ms.wape) == (20, 0, 0.0)   # WAPE(actual = pred) = 0
+
+
+def test_stockout_from_as_of_option(spark):
+    import dataclasses
+
+    from shelfcast.operators import restock
+
+    days = [P.as_of + dt.timedelta(days=i) for i in range(-3, 5)]
+    fc = spark.createDataFrame([("a", d, 2) for d in days], "variant_id string, forecast_date date, predicted_qty bigint")
+    cur = spark.createDataFrame([("a", 4)], "variant_id string, current_stock bigint")
+    r = restock.stockout_predictions(fc, cur, P).first()
+    assert r.days_remaining == -2                              # Q9: counts forecast days before as_of
+    r2 = restock.stockout_predictions(fc, cur, dataclasses.replace(P, stockout_from_as_of=True)).first()
+    assert r2.days_remaining == 1

@@ -71,3 +71,8 @@ def test_weekly_run_writes_outputs_and_views(spark, tmp_path):
                                          "v_current_inventory_active", "v_vendor_restocks_weekly_active",
                                          "v_vendor_summary", "v_inventory_exceptions"}
     assert spark.sql("SELECT count(*) FROM v_vendor_summary").first()[0] > 0
+    import os
+
+    assert os.path.isdir(run.work_dir)
+    run.cleanup()
+    assert not os.path.exists(run.work_dir)
