@@ -73,6 +73,7 @@ def test_weekly_run_writes_outputs_and_views(spark, tmp_path):
     assert spark.sql("SELECT count(*) FROM v_vendor_summary").first()[0] > 0
     import os
 
-    assert os.path.isdir(run.work_dir)
+    local = run.work_dir.replace("file:", "", 1)
+    assert os.path.isdir(local)
     run.cleanup()
-    assert not os.path.exists(run.work_dir)
+    assert not os.path.exists(local)
