@@ -266,3 +266,44 @@ def enforce_retention(spark: SparkSession, path: str, column: str, as_of: dt.dat
             fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, f"{column}={v}"), True)
             dropped.append(v)
     return dropped
+
+
+# ------------------------------------------------------------------ self-referencing replace, hand-off files
+def table_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def replace_table(df: DataFrame, path: str) -> None:
+    """Replace the table at ``path`` with ``df`` even when ``df`` is computed from it.
+
+    Writes a new version next to it, then swaps directories (old -> backup,
+    new -> path, backup deleted). The path being read is never overwritten in
+    place; a failed write leaves the old table untouched.
+    """
+    spark = df.sparkSession
+    tag = uuid.uuid4().hex
+    new_path, old_path = f"{path}.__new_{tag}", f"{path}.__old_{tag}"
+    df.write.parquet(new_path)
+    fs, p = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    newp, oldp = jvm.org.apache.hadoop.fs.Path(new_path), jvm.org.apache.hadoop.fs.Path(old_path)
+    had_old = fs.exists(p)
+    if had_old and not fs.rename(p, oldp):
+        raise IOError(f"could not move {path} aside")
+    if not fs.rename(newp, p):
+        if had_old:
+            fs.rename(oldp, p)
+        raise IOError(f"could not move the new version into {path}")
+    if had_old:
+        fs.delete(oldp, True)
+
+
+def write_sync_tables(tables: dict[str, DataFrame], out_dir: str) -> None:
+    """The hand-off of products, variants, locations, inventory and sales as JSON lines.
+
+    Re-aimed from the single 5-array document, which would route every row
+    through one writer; each array becomes its own splittable dataset.
+    """
+    for name, df in tables.items():
+        df.write.mode("overwrite").json(f"{out_dir}/{name}")

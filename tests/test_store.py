@@ -77,3 +77,26 @@ def test_require_not_null(spark):
         store.require_not_null(df, "locations").collect()
     assert store.conform(df.select("name"), "locations").columns == ["location_id", "name", "active"]
     assert F is not None
+
+
+def test_replace_table_reading_itself(spark, tmp_path):
+    from shelfcast.operators import vendors as vops
+    from shelfcast.params import DEFAULT_PARAMS as P
+
+    path = str(tmp_path / "vendors")
+    spark.createDataFrame([(3, "Old", None, None, None)], schemas.VENDORS).write.parquet(path)
+    products = spark.createDataFrame([("p", "t", "New", "A", None, None)], schemas.PRODUCTS)
+    current = spark.read.parquet(path)
+    store.replace_table(vops.maintain_vendors(products, current, P), path)
+    got = sorted(tuple(r) for r in spark.read.parquet(path).collect())
+    assert got == [(3, "Old", 5, 6, 6), (4, "New", 5, 6, 6)]
+    assert store.table_exists(spark, path)
+    import os
+    assert sorted(os.listdir(tmp_path)) == ["vendors"]
+
+
+def test_sync_tables_round_trip(spark, tmp_path):
+    locs = spark.createDataFrame([("1", "A", True)], schemas.LOCATIONS)
+    store.write_sync_tables({"locations": locs}, str(tmp_path / "sync"))
+    back = spark.read.schema(schemas.LOCATIONS).json(str(tmp_path / "sync" / "locations"))
+    assert [tuple(r) for r in back.collect()] == [("1", "A", True)]
