@@ -76,23 +76,18 @@ def series_sums(series: DataFrame, key: str, ts: str, value: str, step_days: int
 
 
 def _weekday_sums(season: bool) -> list[Column]:
+    # written as SQL expressions: one JVM call per column instead of one per operator
     if not season:
         return []
-    wd = F.pmod(F.col("d"), F.lit(7))
     out = []
     for w in range(7):
-        hit = wd == w
-        zero = F.lit(0).cast("bigint")
-        out += [F.sum(F.when(hit, F.col("y")).otherwise(zero)).alias(f"sy_w{w}"),
-                F.sum(F.when(hit, F.col("d") * F.col("y")).otherwise(zero)).alias(f"sdy_w{w}"),
-                F.sum(F.when(hit, F.col("y") * F.col("y")).otherwise(zero)).alias(f"syy_w{w}")]
+        hit = f"pmod(d, 7) = {w}"
+        out += [F.expr(f"sum(CASE WHEN {hit} THEN y ELSE CAST(0 AS BIGINT) END)").alias(f"sy_w{w}"),
+                F.expr(f"sum(CASE WHEN {hit} THEN d * y ELSE CAST(0 AS BIGINT) END)").alias(f"sdy_w{w}"),
+                F.expr(f"sum(CASE WHEN {hit} THEN y * y ELSE CAST(0 AS BIGINT) END)").alias(f"syy_w{w}")]
     return out
 
 
-def _score(sse: Column, m: Column, k: int) -> Column:
-    return F.round(m * F.log(F.greatest(sse, F.lit(SSE_FLOOR)) / m) + F.lit(2.0 * k), 6)
-
-
 def fit_forecaster(series: DataFrame, key: str, ts: str, value: str, step_days: int,
                    season: bool = False) -> DataFrame:
     """Fit one model per series; returns ``key`` + FIT_COLUMNS.
@@ -101,49 +96,47 @@ def fit_forecaster(series: DataFrame, key: str, ts: str, value: str, step_days:
     columns, so no expression tree repeats another one inside it. ``season``
     (daily series) adds the trend + weekday-offset candidate.
     """
-    c = F.col
     s = series_sums(series, key, ts, value, step_days, season)
     seasonal = [f"{p}_w{w}" for w in range(7) for p in ("sy", "sdy", "syy")] if season else []
-    s1 = s.select(key, "n", "last_ts", *[c(x).cast("double").alias(x) for x in ("sy", "syy", "sty", "yf", "yl", "slag")],
-                  c("n").cast("double").alias("nd"), "d0", *seasonal)
-    n = c("nd")
-    s2 = s1.select("*", (n * (n - 1) / 2).alias("st"), ((n - 1) * n * (2 * n - 1) / 6).alias("stt"),
-                   (c("sy") / n).alias("ybar"), (n - 1).alias("m"))
-    s3 = s2.select("*", (c("stt") - c("st") * c("st") / n).alias("sxx"),
-                   F.when(n >= 2, (n * c("sty") - c("st") * c("sy")) / (n * c("stt") - c("st") * c("st"))).alias("slope"),
-                   F.when(n >= 2, (c("yl") - c("yf")) / c("m")).alias("drift"))
-    s4 = s3.select("*", (c("ybar") - c("slope") * c("st") / n).alias("intercept"))
-    sy, syy, sty, yf, yl, slag = (c(x) for x in ("sy", "syy", "sty", "yf", "yl", "slag"))
-    m, ybar, a, b, st, stt = c("m"), c("ybar"), c("intercept"), c("slope"), c("st"), c("stt")
-    s5 = s4.select(
-        "*",
-        ((syy - yf * yf) - 2 * ybar * (sy - yf) + m * ybar * ybar).alias("sse_mean"),
-        ((syy - yf * yf) + (syy - yl * yl) - 2 * slag).alias("sse_last"),
-        ((syy - 2 * a * sy - 2 * b * sty + n * a * a + 2 * a * b * st + b * b * stt) - (yf - a) * (yf - a)).alias("sse_trend"))
-    s6 = s5.select("*", (c("sse_last") - m * c("drift") * c("drift")).alias("sse_drift"))
-    cand_list = [F.struct(_score(c(f"sse_{name}"), m, k).alias("score"), F.lit(k).alias("k"),
-                          F.lit(name).alias("model"), c(f"sse_{name}").alias("sse"))
-                 for name, k in MODEL_PARAMS.items()]
+    # SQL expressions: one JVM call per column (the Column API would make one per operator)
+    s1 = s.selectExpr(key, "n", "last_ts", *[f"CAST({x} AS DOUBLE) AS {x}" for x in ("sy", "syy", "sty", "yf", "yl", "slag")],
+                      "CAST(n AS DOUBLE) AS nd", "d0", *seasonal)
+    s2 = s1.selectExpr("*", "nd * (nd - 1) / 2 AS st", "(nd - 1) * nd * (2 * nd - 1) / 6 AS stt", "sy / nd AS ybar",
+                       "nd - 1 AS m")
+    s3 = s2.selectExpr("*", "stt - st * st / nd AS sxx",
+                       "CASE WHEN nd >= 2 THEN (nd * sty - st * sy) / (nd * stt - st * st) END AS slope",
+                       "CASE WHEN nd >= 2 THEN (yl - yf) / m END AS drift")
+    s4 = s3.selectExpr("*", "ybar - slope * st / nd AS intercept")
+    s5 = s4.selectExpr(
+        "*", "(syy - yf * yf) - 2 * ybar * (sy - yf) + m * ybar * ybar AS sse_mean",
+        "(syy - yf * yf) + (syy - yl * yl) - 2 * slag AS sse_last",
+        "(syy - 2 * intercept * sy - 2 * slope * sty + nd * intercept * intercept + 2 * intercept * slope * st"
+        " + slope * slope * stt) - (yf - intercept) * (yf - intercept) AS sse_trend")
+    s6 = s5.selectExpr("*", "sse_last - m * drift * drift AS sse_drift")
+
+    def cand(name: str, k: int) -> str:
+        return (f"named_struct('score', {_score_sql(f'sse_{name}', k)}, 'k', {k}, 'model', '{name}', "
+                f"'sse', sse_{name})")
+
+    cands = [cand(name, k) for name, k in MODEL_PARAMS.items()]
     if season:
         s6 = _season_terms(s6, step_days)
-        cand_list.append(F.when(n >= SEASON_MIN_PERIODS, F.struct(
-            _score(c("sse_trend_season"), m, SEASON_PARAMS).alias("score"), F.lit(SEASON_PARAMS).alias("k"),
-            F.lit("trend_season").alias("model"), c("sse_trend_season").alias("sse"))))
+        cands.append(f"CASE WHEN nd >= {SEASON_MIN_PERIODS} THEN {cand('trend_season', SEASON_PARAMS)} END")
     else:
-        s6 = s6.select("*", *[F.lit(None).cast("double").alias(f"season_w{w}") for w in range(7)])
-    cands = F.array(*cand_list)
+        s6 = s6.selectExpr("*", *[f"CAST(NULL AS DOUBLE) AS season_w{w}" for w in range(7)])
     # series shorter than 3 periods always use the mean model (no candidate scoring)
-    s7 = s6.select("*", F.when(n >= 3, F.array_min(cands)).alias("best"))
-    best = c("best")
-    small_sigma = F.when(n >= 2, F.sqrt(F.greatest((syy - sy * sy / n) / m, F.lit(0.0)))).otherwise(F.lit(0.0))
-    big_sigma = F.sqrt(F.greatest(best["sse"], F.lit(SSE_FLOOR)) / F.greatest(m - best["k"], F.lit(1.0)))
-    return s7.select(
-        key, "n", "last_ts",
-        F.coalesce(best["model"], F.lit("mean")).alias("model"), best["score"].alias("score"),
-        F.when(best.isNull(), small_sigma).otherwise(big_sigma).alias("sigma"),
-        ybar.alias("y_mean"), yl.alias("y_last"), c("drift").alias("drift"),
-        a.alias("intercept"), b.alias("slope"), (st / n).alias("t_mean"), c("sxx").alias("sxx"),
-        *[c(f"season_w{w}") for w in range(7)])
+    s7 = s6.selectExpr("*", f"CASE WHEN nd >= 3 THEN array_min(array({', '.join(cands)})) END AS best")
+    small_sigma = "CASE WHEN nd >= 2 THEN sqrt(greatest((syy - sy * sy / nd) / m, CAST(0 AS DOUBLE))) ELSE CAST(0 AS DOUBLE) END"
+    big_sigma = f"sqrt(greatest(best.sse, CAST({SSE_FLOOR!r} AS DOUBLE)) / greatest(m - best.k, CAST(1 AS DOUBLE)))"
+    return s7.selectExpr(
+        key, "n", "last_ts", "coalesce(best.model, 'mean') AS model", "best.score AS score",
+        f"CASE WHEN best IS NULL THEN {small_sigma} ELSE {big_sigma} END AS sigma",
+        "ybar AS y_mean", "yl AS y_last", "drift", "intercept", "slope", "st / nd AS t_mean", "sxx",
+        *[f"season_w{w}" for w in range(7)])
+
+
+def _score_sql(sse: str, k: int) -> str:
+    return f"round(m * ln(greatest({sse}, CAST({SSE_FLOOR!r} AS DOUBLE)) / m) + CAST({2.0 * k!r} AS DOUBLE), 6)"
 
 
 def _season_terms(df: DataFrame, step_days: int) -> DataFrame:
@@ -151,39 +144,29 @@ def _season_terms(df: DataFrame, step_days: int) -> DataFrame:
 
     Per weekday w the grid count, Σt and Σt² are closed forms of (N, first day);
     Σy, Σt·y, Σy² come from the data. R_w / Q_w are the sum and squared sum of
-    trend residuals on weekday w; the offset is R_w / n_w.
+    trend residuals on weekday w; the offset is R_w / n_w. Written as SQL
+    expressions (one JVM call per column; ~100 columns).
     """
-    c = F.col
-    a, b = c("intercept"), c("slope")
-    cols, contrib = [], []
-    for w in range(7):
-        r = F.pmod(F.lit(w) - c("d0"), F.lit(7))
-        nw = F.when(r <= c("nd") - 1, F.floor((c("nd") - 1 - r) / 7) + 1).otherwise(F.lit(0)).cast("double")
-        cols += [r.alias(f"r_w{w}"), nw.alias(f"n_w{w}"),
-                 ((c(f"sdy_w{w}") - c("d0") * c(f"sy_w{w}")) / step_days).cast("double").alias(f"sty_w{w}")]
-    df = df.select("*", *cols)
-    terms = []
-    for w in range(7):
-        nw, r = c(f"n_w{w}"), c(f"r_w{w}")
-        terms += [(nw * r + 7 * nw * (nw - 1) / 2).alias(f"st_w{w}"),
-                  (nw * r * r + 14 * r * nw * (nw - 1) / 2 + 49 * (nw - 1) * nw * (2 * nw - 1) / 6).alias(f"stt_w{w}")]
-    df = df.select("*", *terms)
-    rq = []
-    for w in range(7):
-        nw, syw, syyw = c(f"n_w{w}"), c(f"sy_w{w}").cast("double"), c(f"syy_w{w}").cast("double")
-        stw, sttw, styw = c(f"st_w{w}"), c(f"stt_w{w}"), c(f"sty_w{w}")
-        rq += [(syw - nw * a - b * stw).alias(f"rs_w{w}"),
-               (syyw + nw * a * a + b * b * sttw - 2 * a * syw - 2 * b * styw + 2 * a * b * stw).alias(f"qs_w{w}")]
-    df = df.select("*", *rq)
-    df = df.select("*", *[F.when(c(f"n_w{w}") > 0, c(f"rs_w{w}") / c(f"n_w{w}")).otherwise(F.lit(0.0))
-                          .alias(f"season_w{w}") for w in range(7)])
-    total = None
-    for w in range(7):
-        term = F.when(c(f"n_w{w}") > 0, c(f"qs_w{w}") - c(f"rs_w{w}") * c(f"season_w{w}")).otherwise(F.lit(0.0))
-        total = term if total is None else total + term
-    first_off = F.element_at(F.array(*[c(f"season_w{w}") for w in range(7)]), (F.pmod(c("d0"), F.lit(7)) + 1).cast("int"))
-    e0 = (c("yf") - a) - first_off
-    return df.select("*", (total - e0 * e0).alias("sse_trend_season"))
+    W = range(7)
+    r = {w: f"pmod({w} - d0, 7)" for w in W}
+    df = df.selectExpr("*", *[f"{r[w]} AS r_w{w}" for w in W], *[
+        f"CAST(CASE WHEN {r[w]} <= nd - 1 THEN floor((nd - 1 - {r[w]}) / 7) + 1 ELSE 0 END AS DOUBLE) AS n_w{w}"
+        for w in W], *[f"CAST((sdy_w{w} - d0 * sy_w{w}) / {step_days} AS DOUBLE) AS sty_w{w}" for w in W])
+    df = df.selectExpr("*", *[f"n_w{w} * r_w{w} + 7 * n_w{w} * (n_w{w} - 1) / 2 AS st_w{w}" for w in W], *[
+        f"n_w{w} * r_w{w} * r_w{w} + 14 * r_w{w} * n_w{w} * (n_w{w} - 1) / 2"
+        f" + 49 * (n_w{w} - 1) * n_w{w} * (2 * n_w{w} - 1) / 6 AS stt_w{w}" for w in W])
+    df = df.selectExpr("*", *[
+        f"CAST(sy_w{w} AS DOUBLE) - n_w{w} * intercept - slope * st_w{w} AS rs_w{w}" for w in W], *[
+        f"CAST(syy_w{w} AS DOUBLE) + n_w{w} * intercept * intercept + slope * slope * stt_w{w}"
+        f" - 2 * intercept * CAST(sy_w{w} AS DOUBLE) - 2 * slope * sty_w{w} + 2 * intercept * slope * st_w{w} AS qs_w{w}"
+        for w in W])
+    df = df.selectExpr("*", *[f"CASE WHEN n_w{w} > 0 THEN rs_w{w} / n_w{w} ELSE CAST(0 AS DOUBLE) END AS season_w{w}"
+                              for w in W])
+    total = " + ".join(f"(CASE WHEN n_w{w} > 0 THEN qs_w{w} - rs_w{w} * season_w{w} ELSE CAST(0 AS DOUBLE) END)"
+                       for w in W)
+    first_off = "element_at(array(" + ", ".join(f"season_w{w}" for w in W) + "), CAST(pmod(d0, 7) + 1 AS INT))"
+    return df.selectExpr("*", f"({total}) - ((yf - intercept) - {first_off}) * ((yf - intercept) - {first_off})"
+                              " AS sse_trend_season")
 
 
 def forecast(model: DataFrame, key: str, horizon: int, step_days: int, z: float) -> DataFrame:
@@ -191,31 +174,28 @@ def forecast(model: DataFrame, key: str, horizon: int, step_days: int, z: float)
 
     Returns key, forecast_ts (date), forecast_value, prediction_interval_lower/upper_bound.
     """
-    c = F.col
     # The output is ``horizon`` times the model table: hash-spread the (one row per
     # series) model first, so the expansion runs on every core and lands
     # partitioned by key for the per-series windows and joins downstream.
     parts = int(model.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     steps = model.repartition(parts, key).select("*", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("h"))
-    h = c("h").cast("double")
-    n = c("n").cast("double")
-    tstar = n - 1 + h
-    mdl = c("model")
-    fday = F.date_add("last_ts", c("h") * step_days)
-    offset = F.element_at(F.array(*[c(f"season_w{w}") for w in range(7)]),
-                          (F.pmod(F.unix_date(fday), F.lit(7)) + 1).cast("int"))
-    yhat = (F.when(mdl == "mean", c("y_mean")).when(mdl == "last", c("y_last"))
-            .when(mdl == "drift", c("y_last") + h * c("drift"))
-            .when(mdl == "trend_season", c("intercept") + c("slope") * tstar + offset)
-            .otherwise(c("intercept") + c("slope") * tstar))
-    se = (F.when(mdl == "mean", c("sigma") * F.sqrt(1 + 1 / n))
-          .when(mdl.isin("last", "drift"), c("sigma") * F.sqrt(h))
-          .otherwise(c("sigma") * F.sqrt(1 + 1 / n + (tstar - c("t_mean")) * (tstar - c("t_mean")) / c("sxx"))))
-    pts = steps.select(key, F.date_add("last_ts", c("h") * step_days).alias("forecast_ts"),
-                       yhat.alias("forecast_value"), se.alias("se"))
-    return pts.select(key, "forecast_ts", "forecast_value",
-                      (c("forecast_value") - F.lit(z) * c("se")).alias("prediction_interval_lower_bound"),
-                      (c("forecast_value") + F.lit(z) * c("se")).alias("prediction_interval_upper_bound"))
+    hd, nd = "CAST(h AS DOUBLE)", "CAST(n AS DOUBLE)"
+    tstar = f"({nd} - 1 + {hd})"
+    fday = f"date_add(last_ts, h * {step_days})"
+    offset = ("element_at(array(" + ", ".join(f"season_w{w}" for w in range(7))
+              + f"), CAST(pmod(unix_date({fday}), 7) + 1 AS INT))")
+    yhat = (f"CASE WHEN model = 'mean' THEN y_mean WHEN model = 'last' THEN y_last "
+            f"WHEN model = 'drift' THEN y_last + {hd} * drift "
+            f"WHEN model = 'trend_season' THEN intercept + slope * {tstar} + {offset} "
+            f"ELSE intercept + slope * {tstar} END")
+    se = (f"CASE WHEN model = 'mean' THEN sigma * sqrt(1 + 1 / {nd}) "
+          f"WHEN model IN ('last', 'drift') THEN sigma * sqrt({hd}) "
+          f"ELSE sigma * sqrt(1 + 1 / {nd} + ({tstar} - t_mean) * ({tstar} - t_mean) / sxx) END")
+    pts = steps.selectExpr(key, f"{fday} AS forecast_ts", f"{yhat} AS forecast_value", f"{se} AS se")
+    zl = f"CAST({float(z)!r} AS DOUBLE)"
+    return pts.selectExpr(key, "forecast_ts", "forecast_value",
+                          f"forecast_value - {zl} * se AS prediction_interval_lower_bound",
+                          f"forecast_value + {zl} * se AS prediction_interval_upper_bound")
 
 
 def to_quantity(c: Column | str) -> Column:
