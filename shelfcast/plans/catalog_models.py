@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-
-from shelfcast.operators import backtest, demand, forecast, inventory, restock, vendors, views
+from shelfcast.operators import backtest, forecast, views
 from shelfcast.plans.catalog import (ACTIVE_CTE, AS_OF, INTERNAL, P, RANK_CTE, RUN_TS, SALES_DAILY_V_CTE,
                                      SALES_WEEKLY_CTE, STATUS_CTE, VENDORS_CTE, VVM_CTE, fx, register)
 from shelfcast.plans.oracle_fixture import d, with_fixture
