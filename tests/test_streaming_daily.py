@@ -77,3 +77,20 @@ def test_weekly_run_writes_outputs_and_views(spark, tmp_path):
     assert os.path.isdir(local)
     run.cleanup()
     assert not os.path.exists(local)
+
+
+def test_cli_weekly_over_a_store(spark, tmp_path):
+    from shelfcast import cli
+    from shelfcast.sources import store
+
+    f = Fixture(spark, SF, "bt", P)
+    st = str(tmp_path / "store")
+    for name, df in (("variants", f.variants), ("products", f.products), ("vendors", f.vendors_existing),
+                     ("vendor_status", f.vendor_status_existing)):
+        df.write.parquet(f"{st}/{name}")
+    recent = f.sales_table().filter(F.col("sale_date") >= F.lit("2000-10-01").cast("date"))
+    store.write_fact(recent, f"{st}/sales_history_raw", "sales_history_raw")
+    store.write_fact(f.inventory, f"{st}/inventory_snapshots_raw", "inventory_snapshots_raw")
+    args = cli.argparse.Namespace(store=st, out=str(tmp_path / "out"), as_of=P.as_of.isoformat())
+    paths = cli._weekly(spark, args)
+    assert spark.read.parquet(paths["vendor_restocks_weekly"]).count() > 0
