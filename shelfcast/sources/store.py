@@ -132,8 +132,13 @@ def dedupe(df: DataFrame, key: str, order: list[str], latest: bool = False) -> D
 
 
 def batch_range(source: DataFrame, date_col: str) -> tuple[Column, Column]:
-    """``min``/``max`` of the staged batch's dates as scalar subqueries."""
-    return (source.select(F.min(date_col)).scalar(), source.select(F.max(date_col)).scalar())
+    """``min``/``max`` of the staged batch's dates from ONE scalar subquery.
+
+    Every reference is the same subquery, so Spark evaluates it once
+    (ReuseSubquery) instead of once per bound and per use.
+    """
+    rng = source.select(F.struct(F.min(date_col).alias("lo"), F.max(date_col).alias("hi"))).scalar()
+    return rng["lo"], rng["hi"]
 
 
 def merge_rows(target_in_range: DataFrame, source: DataFrame, key: str, date_col: str,
