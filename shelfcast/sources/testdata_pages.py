@@ -85,7 +85,12 @@ def order_pages(f: Fixture) -> DataFrame:
     # at most LINES_PER_NODE lines per order node (the API pages nested lines the same
     # way), so no group grows with the size of one order
     chunk = F.floor(F.col("l_linenumber") / LINES_PER_NODE).alias("chunk")
-    orders = (s.groupBy("o_orderkey", "sale_date", "cancelled", "test", chunk)
+    # one shuffle by page: both groupings below reuse that partitioning
+    # (collect_list gains nothing from a map-side combine)
+    page = F.floor(F.col("o_orderkey") / ORDERS_PER_PAGE)
+    parts = int(s.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    orders = (s.repartition(parts, page.alias("page")).withColumn("page", page)
+              .groupBy("page", "o_orderkey", "sale_date", "cancelled", "test", chunk)
               .agg(F.collect_list(F.struct(line.alias("node"))).alias("lines")))
     created = F.date_format(F.col("sale_date"), ORDER_LOCAL)
     node = F.struct(_gid("Order", F.col("o_orderkey").cast("string")).alias("id"),
