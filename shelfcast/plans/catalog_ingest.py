@@ -65,7 +65,7 @@ def q_flatten_sales(spark, sf_dir, grain="bt"):
 @register("c05_refresh_dimension", with_fixture([], "SELECT * FROM variants"))
 def q_refresh_dimension(spark, sf_dir, grain="bt"):
     f = fx(spark, sf_dir, grain)
-    empty = f.variants.limit(0)
+    empty = f.variants.filter(F.lit(False))          # an empty load
     stale = f.variants.withColumn("title", F.lit("stale"))
     # an empty load keeps the stored rows; a non-empty load replaces them
     kept = store.refresh_dimension(f.variants, empty)
