@@ -99,3 +99,31 @@ def test_arima_tier_rows_and_ar1_recovery(spark):
         assert r.prediction_interval_lower_bound <= r.forecast_value <= r.prediction_interval_upper_bound
     first = min((r for r in fc if r.variant_id == "ar"), key=lambda r: r.forecast_ts)
     assert first.forecast_ts == dt.date(2001, 1, 1) + dt.timedelta(days=300)
+
+
+def test_regularize_policies_and_frequency(spark):
+    s = spark.createDataFrame([("a", dt.date(2001, 1, 1), 2), ("a", dt.date(2001, 1, 4), 8), ("b", dt.date(2001, 1, 1), 5)],
+                              "variant_id string, ts date, y bigint")
+    z = {(r.variant_id, r.ts.day): r.y for r in forecast.regularize(s, "variant_id", "ts", "y", 1).collect()}
+    assert z == {("a", 1): 2.0, ("a", 2): 0.0, ("a", 3): 0.0, ("a", 4): 8.0, ("b", 1): 5.0}
+    lin = {r.ts.day: r.y for r in forecast.regularize(s, "variant_id", "ts", "y", 1, "linear").collect()
+           if r.variant_id == "a"}
+    assert lin == {1: 2.0, 2: 4.0, 3: 6.0, 4: 8.0}
+    none = [r.y for r in forecast.regularize(s, "variant_id", "ts", "y", 1, "none").collect() if r.variant_id == "a"]
+    assert sorted(none, key=lambda v: (v is None, v)) == [2, 8, None, None]
+    days = [dt.date(2001, 1, 1) + dt.timedelta(days=d) for d in (0, 7, 14, 15, 22)]
+    f = spark.createDataFrame([("w", d) for d in days] + [("one", dt.date(2001, 1, 1))], "variant_id string, ts date")
+    got = {r.variant_id: r.freq_days for r in forecast.infer_frequency(f, "variant_id", "ts").collect()}
+    assert got == {"w": 7, "one": None}
+
+
+def test_holiday_calendar_rules(spark):
+    from shelfcast.operators.holidays import holiday_calendar
+
+    cal = {(r.year, r.holiday): r.holiday_date for r in
+           holiday_calendar(spark.createDataFrame([(2001,), (2020,), (2024,)], "year int")).collect()}
+    assert cal[(2001, "Thanksgiving")] == dt.date(2001, 11, 22)
+    assert cal[(2024, "Memorial")] == dt.date(2024, 5, 27)
+    assert cal[(2024, "MartinLutherKing")] == dt.date(2024, 1, 15)
+    assert cal[(2024, "Labor")] == dt.date(2024, 9, 2)
+    assert (2020, "Juneteenth") not in cal and cal[(2024, "Juneteenth")] == dt.date(2024, 6, 19)
