@@ -116,7 +116,9 @@ class WeeklyRun:
     # ---------------- daily demand model, forecasts, stock-outs
     @cached_property
     def demand_train(self) -> DataFrame:
-        return forecast.demand_model_input(self.sales_daily, self.p, variant_map=self.variant_map)
+        # read by the fit, the holiday effects and the ARIMA tier
+        return self._keep(forecast.demand_model_input(self.sales_daily, self.p, variant_map=self.variant_map),
+                          "demand_train")
 
     @cached_property
     def demand_model(self) -> DataFrame:
