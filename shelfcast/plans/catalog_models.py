@@ -302,8 +302,7 @@ FROM (SELECT g.variant_id, g.ts, t.y, CAST(g.ts - DATE '1970-01-01' AS BIGINT) A
             FROM dtrain GROUP BY variant_id) g
       LEFT JOIN dtrain t ON t.variant_id = g.variant_id AND t.ts = g.ts)"""))
 def q_regularize_daily_linear(spark, sf_dir, grain="bt"):
-    r = run(fx(spark, sf_dir, grain))
-    train = forecast.demand_model_input(r.sales_daily, P, variant_map=r.variant_map)
+    train = run(fx(spark, sf_dir, grain)).demand_train
     return forecast.regularize(train, "variant_id", "sale_date", "qty_sold", 1, policy="linear")
 
 
@@ -318,8 +317,7 @@ LEFT JOIN (
             FROM dtrain) WHERE gap IS NOT NULL GROUP BY variant_id, gap))
   WHERE rn = 1) b ON b.variant_id = k.variant_id"""))
 def q_infer_frequency(spark, sf_dir, grain="bt"):
-    r = run(fx(spark, sf_dir, grain))
-    train = forecast.demand_model_input(r.sales_daily, P, variant_map=r.variant_map)
+    train = run(fx(spark, sf_dir, grain)).demand_train
     return forecast.infer_frequency(train, "variant_id", "sale_date")
 
 
