@@ -31,3 +31,15 @@ def test_sample_queries_match_oracle(spark):
         d = sorted(map(tuple, con.sql(f"SELECT {', '.join(cols)} FROM ({o[name]})").fetchall()), key=repr)
         assert len(s) == len(d), name
         assert s == d, name
+
+
+def test_all_oracles_plan_and_column_names_match(spark):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    q, o = entry_mod.queries(), entry_mod.oracle_sql()
+    for name, sql in o.items():
+        con.execute("EXPLAIN " + sql)                       # parses and plans, no execution
+        cols = con.sql(f"SELECT * FROM ({sql}) LIMIT 0").columns
+        if name.startswith(("c0", "c1", "c20", "c21", "c22", "c34", "c35", "c36", "c38", "c39")) and not name.endswith("_part"):
+            assert sorted(cols) == sorted(q[name](spark, SF).columns), name
