@@ -7,13 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import linededup, sharding, simhash
+from shelfcast.llm import langid, linededup, quality, sharding, simhash, tokens
+from shelfcast.llm.common import held_out
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    predicted = langid.predict(docs, langid.fit(docs))
+    return predicted.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.fingerprint_hex().alias("fingerprint"), "component_id")
@@ -24,14 +31,30 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scored = quality.predict(docs, quality.fit(docs, _table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out().alias("held_out"), "score",
+                         (F.col("score") >= quality.KEEP_AT).cast("int").alias("predicted"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"))
 
 
+def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return tokens.encode_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op3_simhash": op3_simhash,
     "op4_line_dedup": op4_line_dedup,
+    "op7_quality": op7_quality,
     "op8_sharding": op8_sharding,
+    "op10_tokens": op10_tokens,
 }
 
 ORACLE: dict[str, str] = {
