@@ -205,3 +205,25 @@ def predict(docs: DataFrame, model: Model | float) -> DataFrame:
 
     return map_rows(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), T.StructType([
         T.StructField("doc_id", T.LongType()), T.StructField("score", T.DoubleType())]), run)
+
+
+def accepted(docs: DataFrame, model: Model | float, keep_at: float = KEEP_AT) -> DataFrame:
+    """The rows of ``docs`` that score at least ``keep_at``, in one pass and without a join; columns stay as they are."""
+    import pyarrow as pa
+
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def run(batches):
+        m = shared.value
+        for batch in batches:
+            if isinstance(m, float):
+                good = [m >= keep_at] * batch.num_rows
+            elif batch.num_rows:
+                texts = batch.column(at).cast(pa.binary()).to_pylist()
+                good = (m.score(np.array([statistics(t) for t in texts])) >= keep_at).tolist()
+            else:
+                good = []
+            yield batch.filter(pa.array(good, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

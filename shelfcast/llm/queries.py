@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import langid, linededup, quality, sharding, simhash, tokens
+from shelfcast.llm import (
+    decontam, embdedup, langid, licenses, linededup, mixing, quality, sharding, simhash, tokens,
+)
 from shelfcast.llm.common import held_out
 
 
@@ -21,6 +23,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(_table(spark, sf_dir, "documents"))
+    return found.withColumns({c: F.array_join(c, ",") for c in ("base_labels", "labels")})
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.fingerprint_hex().alias("fingerprint"), "component_id")
@@ -31,6 +38,14 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     scored = quality.predict(docs, quality.fit(docs, _table(spark, sf_dir, "labels")))
@@ -42,6 +57,10 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"))
 
 
+def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embdedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -50,10 +69,14 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_licenses": op2_licenses,
     "op3_simhash": op3_simhash,
     "op4_line_dedup": op4_line_dedup,
+    "op5_mixing": op5_mixing,
+    "op6_decontaminate": op6_decontaminate,
     "op7_quality": op7_quality,
     "op8_sharding": op8_sharding,
+    "op9_embeddings": op9_embeddings,
     "op10_tokens": op10_tokens,
 }
 

@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import sharding
+from shelfcast.llm import decontam, mixing, sharding
+from shelfcast.llm import quality as quality_op
 from shelfcast.llm import simhash as simhash_op
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return docs
+    """Documents the classifier accepts (score of at least ``KEEP_AT``)."""
+    model = quality_op.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality_op.accepted(docs, model)
 
 
 def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,11 +29,13 @@ def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return docs
+    """Documents that hold no benchmark item."""
+    return decontam.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return docs
+    """Every document at least once, documents of the smaller sources again as their weight asks."""
+    return mixing.repeat_documents(docs)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
