@@ -13,9 +13,9 @@
    range doubles, and the results' own neighbours are followed until no new
    one lies within the threshold. Cosine is computed in double precision, and
    a pair links only at or above the threshold.
-5. A shard that cannot be split because its sampled centroids are mostly
-   links themselves (a large group of near copies) is compared block by block
-   instead: exact, with bounded tasks.
+5. Sampled centroids that link are one group, so a split does not cut through
+   near copies. A shard whose centroids are mostly one group (a large group of
+   near copies) is compared block by block instead: exact, with bounded tasks.
 
 A pair that meets in several shards counts in the first one alone; shards
 return one row per member (links and local component), never pairs.
@@ -68,21 +68,29 @@ def classes_of(embeddings: DataFrame) -> tuple[DataFrame, DataFrame]:
             materialize(classes.select("cid", "label", F.size("vec").alias("dim"), "vec", "n", "least"), "classes"))
 
 
+def _groups(c: np.ndarray) -> np.ndarray:
+    """Group of each sampled centroid: centroids that link, directly or not, are not taken apart."""
+    a, b = np.nonzero(c @ c.T >= THRESHOLD)
+    return _local_components(len(c), a, b)
+
+
 def _assign(members: pd.DataFrame, centroids: pd.DataFrame) -> pd.DataFrame:
-    """Each member under its ``OVERLAP`` nearest centroids."""
-    centroids = centroids.sort_values("cid")
-    c, near = _unit(centroids["vec"]), min(OVERLAP, len(centroids))
+    """Each member under its ``OVERLAP`` nearest groups of centroids."""
+    c = _unit(centroids.sort_values("cid")["vec"])
+    groups, of = np.unique(_groups(c), return_inverse=True)
+    near = min(OVERLAP, len(groups))
     sims = _unit(members["vec"]) @ c.T
-    best = np.argsort(-sims, axis=1, kind="stable")[:, :near]
+    per_group = np.stack([sims[:, of == g].max(axis=1) for g in range(len(groups))], axis=1)
+    best = np.argsort(-per_group, axis=1, kind="stable")[:, :near]
     out = members.loc[members.index.repeat(near), ["cid", "vec", "n"]].reset_index(drop=True)
     out["path"] = np.repeat(members["path"].to_numpy(), near) + "/" + best.ravel().astype(str).astype(object)
     return out[["path", "cid", "vec", "n"]]
 
 
 def _is_dense(centroids: pd.DataFrame) -> pd.DataFrame:
-    c = _unit(centroids["vec"])
-    links = (c @ c.T)[np.triu_indices(len(c), 1)] >= THRESHOLD
-    return pd.DataFrame({"path": centroids["path"].iloc[:1], "dense": [bool(len(c) < 2 or links.mean() >= 0.5)]})
+    """A shard is dense if half of its sampled centroids are one group: splitting would cut links."""
+    largest = np.bincount(_groups(_unit(centroids["vec"]))).max()
+    return pd.DataFrame({"path": centroids["path"].iloc[:1], "dense": [bool(largest * 2 >= len(centroids))]})
 
 
 def cluster_shards(classes: DataFrame, max_shard: int = MAX_SHARD) -> tuple[DataFrame, DataFrame]:
@@ -166,11 +174,11 @@ def _search(x: np.ndarray, adjacent: list[np.ndarray], q: int, medoid: int) -> n
     opened = np.zeros(len(x), dtype=bool)
     beam = BEAM
     while True:
-        top = np.argsort(-sims, kind="stable")[:beam]
-        pool, sims = pool[top], sims[top]
         results = int((sims >= THRESHOLD).sum())
         if results * 2 > beam:
-            beam = 2 * results + BEAM
+            beam = 2 * results + BEAM                                     # grows before anything found is cut off
+        top = np.argsort(-sims, kind="stable")[:beam]
+        pool, sims = pool[top], sims[top]
         waiting = ~opened[pool]
         inside = waiting & (sims >= THRESHOLD)
         if inside.any():
@@ -224,7 +232,12 @@ def _searched(shard: pd.DataFrame) -> pd.DataFrame:
     """Links of one shard's members found by graph search, and local components."""
     shard = shard.sort_values("cid").reset_index(drop=True)
     x, place = _unit(shard["vec"]), {c: i for i, c in enumerate(shard["cid"])}
-    adjacent = [np.array([place[c] for c in near if c in place], dtype=np.int64) for near in shard["neighbours"]]
+    lists = [[place[c] for c in near if c in place] for near in shard["neighbours"]]
+    back: list[list[int]] = [[] for _ in lists]                          # reverse edges: whoever is near can be reached
+    for u, near in enumerate(lists):
+        for v in near:
+            back[v].append(u)
+    adjacent = [np.unique(np.array(near + more, dtype=np.int64)) for near, more in zip(lists, back)]
     medoid = int(np.argmax(x @ x.mean(axis=0)))
     found = [_search(x, adjacent, q, medoid) for q in range(len(x))]
     a = np.concatenate([np.full(len(f), q) for q, f in enumerate(found)]).astype(np.int64)
