@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
@@ -62,15 +62,3 @@ def week_start(c: Column | str) -> Column:
     """``DATE_TRUNC(d, WEEK(MONDAY))``."""
     c = F.col(c) if isinstance(c, str) else c
     return F.trunc(c, "week")
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops early), so
-    it is cheap for config/dimension tables. Beyond the bound the frame is
-    returned as-is and the join stays a shuffle join (AQE may still convert it
-    to a broadcast from measured shuffle sizes, or split skewed partitions).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

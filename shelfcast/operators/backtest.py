@@ -62,12 +62,13 @@ def holdout_with_baseline(weekly: DataFrame, p: Params = DEFAULT_PARAMS) -> Data
 
 
 def backtest_joined(hold: DataFrame, fc: DataFrame) -> DataFrame:
-    """Actual x forecast, full outer on (variant, week); missing sides count as 0."""
-    j = hold.alias("a").join(fc.alias("f"), [KEY, "week_start"], "full_outer")
-    return j.select(KEY, "week_start",
-                    F.coalesce("actual_qty", F.lit(0).cast("bigint")).alias("actual_qty"),
-                    F.coalesce("predicted_qty", F.lit(0).cast("bigint")).alias("predicted_qty"),
-                    F.coalesce("baseline_qty", F.lit(0).cast("bigint")).alias("baseline_qty"))
+    """Actual x forecast, full outer on (variant, week); missing sides count as 0, ``has_actual`` tells them apart."""
+    j = hold.withColumn("has_actual", F.lit(True)).join(fc, [KEY, "week_start"], "full_outer")
+    zero = F.lit(0).cast("bigint")
+    return j.select(KEY, "week_start", F.coalesce("actual_qty", zero).alias("actual_qty"),
+                    F.coalesce("predicted_qty", zero).alias("predicted_qty"),
+                    F.coalesce("baseline_qty", zero).alias("baseline_qty"),
+                    F.coalesce("has_actual", F.lit(False)).alias("has_actual"))
 
 
 def _ordered_mean(c: Column) -> Column:
@@ -81,23 +82,32 @@ def _ordered_mean(c: Column) -> Column:
                   F.aggregate(vals, F.lit(0.0), lambda acc, x: acc + x) / F.size(vals))
 
 
-def backtest_metrics(joined: DataFrame, guard: Column, p: Params = DEFAULT_PARAMS) -> DataFrame:
-    """Per-variant WAPE and MAPE over the full outer actual x forecast rows."""
-    err = F.abs(F.col("actual_qty") - F.col("predicted_qty"))
-    ape = F.when(F.col("actual_qty") != 0, err / F.col("actual_qty"))
-    agg = joined.filter(guard).groupBy(KEY).agg(
-        F.sum("actual_qty").alias("sum_actual"), F.sum(err).alias("sum_abs_error"), _ordered_mean(ape).alias("mape"))
-    return agg.select(KEY, "sum_actual", "sum_abs_error",
-                      safe_div(F.col("sum_abs_error"), F.nullif(F.col("sum_actual"), F.lit(0))).alias("wape"),
-                      "mape", ts_lit(p.run_ts).alias("created_at"))
+def backtest_scores(joined: DataFrame, guard: Column) -> DataFrame:
+    """Model and baseline errors per variant from one aggregate.
+
+    The model is scored over all actual x forecast rows, the baseline over the
+    weeks that have sales (Q4); both denominators are kept.
+    """
+    actual = F.col("actual_qty")
+    err, base_err = F.abs(actual - F.col("predicted_qty")), F.abs(actual - F.col("baseline_qty"))
+    seen = lambda c: F.sum(F.when(F.col("has_actual"), c))
+    ratio = lambda e, n: safe_div(F.col(e), F.nullif(F.col(n), F.lit(0)))
+    return joined.filter(guard).groupBy(KEY).agg(
+        F.sum(actual).alias("sum_actual"), F.sum(err).alias("sum_abs_error"),
+        _ordered_mean(F.when(actual != 0, err / actual)).alias("mape"),
+        seen(base_err).alias("_base_error"), seen(actual).alias("sum_actual_holdout"),
+    ).select("*", ratio("sum_abs_error", "sum_actual").alias("wape"),
+             ratio("_base_error", "sum_actual_holdout").alias("baseline_wape"))
+
+
+def backtest_metrics(scores: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
+    """Per-variant WAPE and MAPE."""
+    return scores.select(KEY, "sum_actual", "sum_abs_error", "wape", "mape", ts_lit(p.run_ts).alias("created_at"))
 
 
-def backtest_baseline(hold: DataFrame, guard: Column) -> DataFrame:
-    """Previous-week baseline WAPE over the weeks that have sales (Q4)."""
-    err = F.abs(F.col("actual_qty") - F.col("baseline_qty"))
-    agg = hold.filter(guard).groupBy(KEY).agg(F.sum(err).alias("e"), F.sum("actual_qty").alias("sum_actual_holdout"))
-    return agg.select(KEY, safe_div(F.col("e"), F.nullif(F.col("sum_actual_holdout"), F.lit(0))).alias("baseline_wape"),
-                      "sum_actual_holdout")
+def backtest_baseline(scores: DataFrame) -> DataFrame:
+    """Previous-week baseline WAPE of the variants with holdout sales."""
+    return scores.filter(F.col("sum_actual_holdout").isNotNull()).select(KEY, "baseline_wape", "sum_actual_holdout")
 
 
 def backtest_proof(joined: DataFrame, guard: Column, p: Params = DEFAULT_PARAMS) -> DataFrame:
@@ -109,33 +119,30 @@ def backtest_proof(joined: DataFrame, guard: Column, p: Params = DEFAULT_PARAMS)
         ts_lit(p.run_ts).alias("created_at"))
 
 
-def model_quality_flags(metrics: DataFrame, baseline: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
+def model_quality_flags(scores: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
     """Ordered CASE labels (first match wins, SURVEY Q3)."""
-    j = metrics.alias("m").join(baseline.alias("b"), KEY, "left")
-    wape, bw = F.col("m.wape"), F.col("b.baseline_wape")
-    label = (F.when(F.coalesce(F.col("b.sum_actual_holdout"), F.lit(0)) < p.min_holdout_units, F.lit("NO_DATA"))
+    wape, bw = F.col("wape"), F.col("baseline_wape")
+    label = (F.when(F.coalesce("sum_actual_holdout", F.lit(0)) < p.min_holdout_units, F.lit("NO_DATA"))
              .when(wape.isNull(), F.lit("NO_DATA"))
              .when(wape <= p.good_wape, F.lit("GOOD"))
              .when(bw.isNotNull() & (wape >= bw), F.lit("WORSE_THAN_BASELINE"))
              .when(wape > p.bad_wape, F.lit("BAD"))
              .when(wape > p.weak_wape, F.lit("WEAK"))
              .otherwise(F.lit("GOOD")))
-    return j.select(KEY, wape.alias("wape"), bw.alias("baseline_wape"), F.col("m.sum_actual").alias("sum_actual"),
-                    label.alias("model_quality"), ts_lit(p.run_ts).alias("created_at"))
+    return scores.select(KEY, "wape", "baseline_wape", "sum_actual", label.alias("model_quality"),
+                         ts_lit(p.run_ts).alias("created_at"))
 
 
 def run_backtest(weekly: DataFrame, p: Params = DEFAULT_PARAMS) -> dict[str, DataFrame]:
     """All five validation outputs from one weekly rollup."""
     guard = has_training(weekly, p)
     fc = backtest_forecast(fit_weekly_model(weekly, p), p)
-    hold = holdout_with_baseline(weekly, p)
-    joined = backtest_joined(hold, fc)
-    metrics = backtest_metrics(joined, guard, p)
-    base = backtest_baseline(hold, guard)
+    joined = backtest_joined(holdout_with_baseline(weekly, p), fc)
+    scores = backtest_scores(joined, guard)
     return {
         "backtest_forecast_4w": fc,
-        "backtest_metrics_variant_4w": metrics,
-        "backtest_baseline_4w": base,
+        "backtest_metrics_variant_4w": backtest_metrics(scores, p),
+        "backtest_baseline_4w": backtest_baseline(scores),
         "backtest_proof_4w": backtest_proof(joined, guard, p),
-        "model_quality_flags": model_quality_flags(metrics, base, p),
+        "model_quality_flags": model_quality_flags(scores, p),
     }

@@ -20,7 +20,7 @@ QTY = "decimal(19,0)"   # holds any bigint; decimal(19,0) x decimal(18,9) = deci
 
 def sales_daily(sales: DataFrame, variants: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
     """Units and revenue proxy (units x current price) per (sale_date, variant_id)."""
-    daily = (sales.filter((F.col("sale_date") >= date_lit(p.days_ago(p.sales_lookback_days)))
+    daily = (sales.filter(F.col("sale_date").between(date_lit(p.days_ago(p.sales_lookback_days)), date_lit(p.as_of))
                           & F.col("variant_id").isNotNull())
              .groupBy("sale_date", "variant_id")
              .agg(any_label("sku").alias("sku"), F.sum("quantity_sold").alias("qty")))
@@ -38,7 +38,7 @@ def sales_daily(sales: DataFrame, variants: DataFrame, p: Params = DEFAULT_PARAM
 
 def sales_daily_validation(sales: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
     """The validation script's daily rollup (blank variants dropped, no revenue)."""
-    return (sales.filter((F.col("sale_date") >= date_lit(p.days_ago(p.sales_lookback_days)))
+    return (sales.filter(F.col("sale_date").between(date_lit(p.days_ago(p.sales_lookback_days)), date_lit(p.as_of))
                          & F.col("variant_id").isNotNull() & (F.col("variant_id") != ""))
             .groupBy("sale_date", "variant_id")
             .agg(F.min("sku").alias("sku"), F.sum("quantity_sold").alias("qty_sold")))
@@ -47,7 +47,7 @@ def sales_daily_validation(sales: DataFrame, p: Params = DEFAULT_PARAMS) -> Data
 def sales_weekly(daily: DataFrame, variant_map: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
     """Monday-week totals for mapped variants only."""
     mapped = variant_map.groupBy("variant_id").agg(F.count(F.lit(1)).alias("mult"))
-    d = daily.filter(F.col("sale_date") >= date_lit(p.days_ago(p.sales_lookback_days)))
+    d = daily.filter(F.col("sale_date").between(date_lit(p.days_ago(p.sales_lookback_days)), date_lit(p.as_of)))
     return (d.join(mapped, "variant_id")
             .groupBy(week_start("sale_date").alias("week_start"), "variant_id")
             .agg(F.min("sku").alias("sku"), F.sum(F.col("qty_sold") * F.col("mult")).alias("qty_sold")))

@@ -175,11 +175,9 @@ def forecast(model: DataFrame, key: str, horizon: int, step_days: int, z: float)
 
     Returns key, forecast_ts (date), forecast_value, prediction_interval_lower/upper_bound.
     """
-    # The output is ``horizon`` times the model table: hash-spread the (one row per
-    # series) model first, so the expansion runs on every core and lands
-    # partitioned by key for the per-series windows and joins downstream.
-    parts = int(model.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    steps = model.repartition(parts, key).select("*", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("h"))
+    # The output is ``horizon`` times the model table (one row per series): rebalance
+    # before the expansion, with partition sizes left to adaptive execution.
+    steps = model.hint("rebalance", key).select("*", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("h"))
     hd, nd = "CAST(h AS DOUBLE)", "CAST(n AS DOUBLE)"
     tstar = f"({nd} - 1 + {hd})"
     fday = f"date_add(last_ts, h * {step_days})"
@@ -219,11 +217,11 @@ def demand_model_input(sales_daily: DataFrame, p: Params = DEFAULT_PARAMS, varia
         keys = variant_map.select("variant_id")
     else:
         keys = (variants.alias("v").join(products.alias("p"), F.col("v.product_id") == F.col("p.product_id"))
-                .filter(F.col("v.variant_id").isNotNull() & ~F.col("p.vendor").isin(*p.internal_vendors))
+                .filter(F.col("v.variant_id").isNotNull() & ~F.col("p.vendor").isin(list(p.internal_vendors)))
                 .select(F.col("v.variant_id").alias("variant_id")))
-    sd = sales_daily.filter((F.col("sale_date") >= date_lit(p.days_ago(p.sales_lookback_days)))
+    sd = sales_daily.filter(F.col("sale_date").between(date_lit(p.days_ago(p.sales_lookback_days)), date_lit(p.as_of))
                             & (F.col("qty_sold") > 0))
-    return sd.join(keys.distinct(), "variant_id", "left_semi").select("sale_date", "variant_id", "qty_sold")
+    return sd.join(keys, "variant_id", "left_semi").select("sale_date", "variant_id", "qty_sold")
 
 
 def fit_demand_model(train: DataFrame, season: bool = True) -> DataFrame:
@@ -232,7 +230,7 @@ def fit_demand_model(train: DataFrame, season: bool = True) -> DataFrame:
 
 
 def demand_forecasts(model: DataFrame, p: Params = DEFAULT_PARAMS, variants: DataFrame | None = None,
-                     holiday_effects: DataFrame | None = None) -> DataFrame:
+                     holiday_effects: DataFrame | None = None, calendar: DataFrame | None = None) -> DataFrame:
     """60-day forecasts with a 95% interval, positive forecasts only.
 
     With ``holiday_effects`` (US calendar) forecasts on a holiday are shifted by
@@ -241,7 +239,7 @@ def demand_forecasts(model: DataFrame, p: Params = DEFAULT_PARAMS, variants: Dat
     """
     f = forecast(model, "variant_id", p.forecast_horizon_days, 1, p.z_value)
     if holiday_effects is not None:
-        f = add_holiday_effects(f, holiday_effects, "variant_id")
+        f = add_holiday_effects(f, holiday_effects, "variant_id", calendar)
     return forecast_quantities(f, p, variants)
 
 

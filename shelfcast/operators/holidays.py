@@ -6,16 +6,18 @@ moved to observed weekdays.
 
 Effect of holiday H on a series = mean over H's dates inside the series' span
 of ``y - fitted trend(+season)``, counting days without sales as 0; it is added
-to forecasts that fall on H. Joins are equi-joins on ``year`` against the
-calendar (≤ 11 rows per year), so no series is paired with more than its own
-span's holidays.
+to forecasts that fall on H.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfcast.params import DEFAULT_PARAMS, Params
+
 # US federal holiday rules (name, month, rule). Rule: day of month,
 # or (n, weekday) for the n-th weekday (ISO 1 = Monday, n = -1 for the last).
 US_HOLIDAY_RULES = (
@@ -57,20 +59,28 @@ def holiday_calendar(years: DataFrame) -> DataFrame:
     return cal.filter((F.col("holiday") != "Juneteenth") | (F.col("year") >= JUNETEENTH_FIRST_YEAR))
 
 
-def _years_of(df: DataFrame, key: str, lo: str, hi: str) -> DataFrame:
-    return df.select(key, lo, hi, F.explode(F.sequence(F.year(lo), F.year(hi))).alias("year"))
+def run_calendar(spark: SparkSession, p: Params = DEFAULT_PARAMS) -> DataFrame:
+    """The holidays a run can meet: training reaches one year back, forecasts ``horizon`` days ahead of it."""
+    last = p.as_of + dt.timedelta(days=p.forecast_horizon_days)
+    years = spark.range(p.days_ago(p.sales_lookback_days).year, last.year + 1).select(F.col("id").cast("int").alias("year"))
+    return holiday_calendar(years).select("holiday", "holiday_date")
 
 
-def holiday_effects(series: DataFrame, model: DataFrame, key: str, ts: str, value: str) -> DataFrame:
-    """Mean residual per (series, holiday) over the holidays inside each daily series' span."""
-    span = model.select(key, F.date_sub("last_ts", (F.col("n") - 1).cast("int")).alias("_first"), "last_ts")
-    yrs = _years_of(span, key, "_first", "last_ts")
-    cal = F.broadcast(holiday_calendar(yrs.select("year").distinct()))
-    days = (yrs.join(cal, "year")
-            .filter(F.col("holiday_date").between(F.col("_first"), F.col("last_ts")))
-            .select(key, "holiday", F.col("holiday_date").alias(ts), "_first"))
-    obs = series.select(key, ts, F.col(value).cast("double").alias("_y"))
-    pts = days.join(obs, [key, ts], "left").join(model, key)
+def holiday_effects(series: DataFrame, model: DataFrame, key: str, ts: str, value: str, calendar: DataFrame) -> DataFrame:
+    """Mean residual per (series, holiday) over the holidays inside each daily series' span.
+
+    ``calendar`` (11 rows a year of the run) is broadcast: only observations on
+    a holiday leave the scan, and the fitted columns travel with the few
+    holiday rows of each series.
+    """
+    cal = F.broadcast(calendar.withColumn("_year", F.year("holiday_date")))
+    first = F.date_sub("last_ts", (F.col("n") - 1).cast("int"))
+    years = model.withColumn("_first", first).withColumn("_year", F.explode(F.sequence(F.year("_first"), F.year("last_ts"))))
+    days = (years.join(cal, "_year").filter(F.col("holiday_date").between(F.col("_first"), F.col("last_ts")))
+            .withColumnRenamed("holiday_date", ts))
+    dates = F.broadcast(calendar.select(F.col("holiday_date").alias(ts)).distinct())
+    obs = series.join(dates, ts, "left_semi").select(key, ts, F.col(value).cast("double").alias("_y"))
+    pts = days.join(obs, [key, ts], "left")
     t = F.datediff(F.col(ts), F.col("_first")).cast("double")
     resid = F.coalesce("_y", F.lit(0.0)) - _fitted(t, F.col(ts))
     vals = F.array_sort(F.collect_list(resid))        # ≤ 2 dates per holiday in a one-year window
@@ -85,21 +95,14 @@ def _fitted(t: Column, day: Column) -> Column:
     return trend + F.coalesce(offset, F.lit(0.0))
 
 
-def add_holiday_effects(fc: DataFrame, effects: DataFrame, key: str) -> DataFrame:
+def add_holiday_effects(fc: DataFrame, effects: DataFrame, key: str, calendar: DataFrame) -> DataFrame:
     """Shift forecasts (value and bounds) that fall on a holiday by that holiday's effect.
 
-    Only holiday-dated rows meet the (series x holiday) effects table; the
-    rest pass through untouched. Both splits are broadcast joins against the
-    calendar (≤ 11 rows per forecast year), so the forecast rows are never
-    shuffled for this step.
+    The calendar is broadcast, so a forecast row learns its holiday in place;
+    one join on (series, holiday) then brings the effect.
     """
-    yrs = fc.select(F.year("forecast_ts").alias("year")).distinct()
-    cal = F.broadcast(holiday_calendar(yrs).select("holiday", F.col("holiday_date").alias("forecast_ts")))
-    cols = [key, "forecast_ts", "forecast_value", "prediction_interval_lower_bound", "prediction_interval_upper_bound"]
-    plain = fc.join(cal, "forecast_ts", "left_anti").select(*cols)
+    named = fc.join(F.broadcast(calendar.withColumnRenamed("holiday_date", "forecast_ts")), "forecast_ts", "left")
     eff = F.coalesce("holiday_effect", F.lit(0.0))
-    shifted = (fc.join(cal, "forecast_ts").join(effects, [key, "holiday"], "left")
-               .select(key, "forecast_ts", (F.col("forecast_value") + eff).alias("forecast_value"),
-                       (F.col("prediction_interval_lower_bound") + eff).alias("prediction_interval_lower_bound"),
-                       (F.col("prediction_interval_upper_bound") + eff).alias("prediction_interval_upper_bound")))
-    return plain.unionByName(shifted)
+    cols = ("forecast_value", "prediction_interval_lower_bound", "prediction_interval_upper_bound")
+    return named.join(effects, [key, "holiday"], "left").select(
+        key, "forecast_ts", *[(F.col(c) + eff).alias(c) for c in cols])

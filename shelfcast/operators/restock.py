@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcast.functions.semantics import (bounded_broadcast, date_lit, null_greatest, round_to_long, safe_div,
-                                           ts_lit)
-from shelfcast.operators.inventory import latest_date
+from shelfcast.functions.semantics import date_lit, null_greatest, round_to_long, safe_div, ts_lit
+from shelfcast.operators.inventory import newest_snapshot
 from shelfcast.operators.vendors import active_vendors, vendor_defaults
 from shelfcast.params import DEFAULT_PARAMS, Params
 
-# Config relations are one row per vendor; broadcast them only below this proven size.
-VENDOR_BROADCAST_ROWS = 100_000
-
 
 def stockout_predictions(forecasts: DataFrame, current: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
     """First forecast date where cumulative demand reaches current stock.
@@ -36,18 +34,19 @@ def stockout_predictions(forecasts: DataFrame, current: DataFrame, p: Params = D
                     ts_lit(p.run_ts).alias("created_at")))
 
 
-def raw_inventory(snapshots: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
+def raw_inventory(snapshots: DataFrame, p: Params = DEFAULT_PARAMS, latest: dt.date | None = None) -> DataFrame:
     """Summed stock per variant on the latest snapshot of the last 30 days (blank variants dropped)."""
-    latest = latest_date(snapshots, "snapshot_date", p.days_ago(p.snapshot_lookback_days))
+    day = newest_snapshot(snapshots, p, p.snapshot_lookback_days, latest)
     v = F.col("variant_id")
-    return (snapshots.filter((F.col("snapshot_date") == latest) & v.isNotNull() & (v != ""))
+    return (snapshots.filter((F.col("snapshot_date") == day) & v.isNotNull() & (v != ""))
             .groupBy("variant_id").agg(F.sum("available_qty").alias("raw_stock")))
 
 
 def fallback_demand(sales: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
-    """Average daily units over ``as_of - 56`` .. now (57 dates, divisor 56; SURVEY Q8)."""
+    """Average daily units over ``as_of - 56`` .. ``as_of`` (57 dates, divisor 56; SURVEY Q8)."""
     v = F.col("variant_id")
-    return (sales.filter((F.col("sale_date") >= date_lit(p.days_ago(p.fallback_days))) & v.isNotNull() & (v != ""))
+    return (sales.filter(F.col("sale_date").between(date_lit(p.days_ago(p.fallback_days)), date_lit(p.as_of))
+                         & v.isNotNull() & (v != ""))
             .groupBy("variant_id")
             .agg(safe_div(F.sum("quantity_sold"), F.lit(p.fallback_days)).alias("avg_daily_units")))
 
@@ -58,21 +57,24 @@ def fallback_from_daily(sales_daily: DataFrame, p: Params = DEFAULT_PARAMS) -> D
     Equal to ``fallback_demand`` on the validation-form rollup (blank variants
     dropped, one row per date and variant), without another fact scan.
     """
-    return (sales_daily.filter(F.col("sale_date") >= date_lit(p.days_ago(p.fallback_days)))
+    return (sales_daily.filter(F.col("sale_date").between(date_lit(p.days_ago(p.fallback_days)), date_lit(p.as_of)))
             .groupBy("variant_id")
             .agg(safe_div(F.sum("qty_sold"), F.lit(p.fallback_days)).alias("avg_daily_units")))
 
 
-def vendor_restocks(variant_map: DataFrame, variants: DataFrame, products: DataFrame, status: DataFrame,
-                    cadence: DataFrame, vendors: DataFrame, snapshots: DataFrame, forecasts: DataFrame,
-                    sales: DataFrame, flags: DataFrame, p: Params = DEFAULT_PARAMS,
-                    cadence_days: int | None = None, fallback: DataFrame | None = None) -> DataFrame:
+def vendor_restocks(variant_map: DataFrame, status: DataFrame, cadence: DataFrame, vendors: DataFrame,
+                    snapshots: DataFrame, forecasts: DataFrame, fallback: DataFrame, flags: DataFrame,
+                    p: Params = DEFAULT_PARAMS, cadence_days: int | None = None,
+                    latest: dt.date | None = None) -> DataFrame:
     """Re-order list for vendors on a ``cadence_days`` cycle (7 = weekly list, 14 = bi-weekly).
 
-    horizon = lead time + review (7) + safety (3) days; forecast demand sums the
-    inclusive window ``[as_of, as_of + horizon]``. GOOD-quality items use the
-    forecast, everything else the 56-day average. Quantity = 0 when stock
-    covers demand, else ``max(moq, ceil(need / pack) * pack)``.
+    ``variant_map`` carries both titles; ``fallback`` is `fallback_demand` or
+    `fallback_from_daily`. horizon = lead time + review (7) + safety (3) days;
+    forecast demand sums the inclusive window ``[as_of, as_of + horizon]`` per
+    (vendor, variant), so a variant that two vendors supply gets each vendor's
+    own horizon. GOOD-quality items use the forecast, everything else the
+    56-day average. Quantity = 0 when stock covers demand, else
+    ``max(moq, ceil(need / pack) * pack)``.
     """
     cadence_days = p.cadence_days if cadence_days is None else cadence_days
     as_of = date_lit(p.as_of)
@@ -81,49 +83,41 @@ def vendor_restocks(variant_map: DataFrame, variants: DataFrame, products: DataF
                   .join(active_vendors(status, p), "vendor_name")
                   .join(cadence.filter(F.col("restock_frequency_days") == cadence_days).select("vendor_name"),
                         "vendor_name"))
-    vendor_cfg = bounded_broadcast(vendor_cfg, VENDOR_BROADCAST_ROWS)
-
-    vv = (variant_map.alias("m")
-          .join(variants.alias("v"), F.col("v.variant_id") == F.col("m.variant_id"))
-          .join(products.alias("p"), F.col("p.product_id") == F.col("v.product_id"))
-          .select(F.col("m.variant_id").alias("variant_id"), F.col("m.sku").alias("sku"),
-                  F.col("m.vendor_name").alias("vendor_name"), F.col("p.title").alias("product_title"),
-                  F.col("v.title").alias("variant_title")))
     horizon = (F.col("lead_time_days") + p.review_days + p.safety_days)
-    items = vv.join(vendor_cfg, "vendor_name").withColumn("horizon_days", horizon)
+    items = (variant_map.select("variant_id", "sku", "vendor_name", "product_title", "variant_title")
+             .join(vendor_cfg, "vendor_name").withColumn("horizon_days", horizon))
 
-    window = items.select("variant_id", F.date_add(as_of, F.col("horizon_days").cast("int")).alias("horizon_end"))
-    fd = (forecasts.select("variant_id", "forecast_date", "predicted_qty").join(window, "variant_id")
-          .filter(F.col("forecast_date").between(as_of, F.col("horizon_end")))
-          .groupBy("variant_id").agg(F.sum("predicted_qty").alias("expected_demand_forecast")))
+    window = items.select("vendor_name", "variant_id", F.date_add(as_of, F.col("horizon_days").cast("int")).alias("horizon_end"))
+    fd = (forecasts.select("variant_id", "forecast_date", "predicted_qty").filter(F.col("forecast_date") >= as_of)
+          .join(window, "variant_id").filter(F.col("forecast_date") <= F.col("horizon_end"))
+          .groupBy("vendor_name", "variant_id").agg(F.sum("predicted_qty").alias("expected_demand_forecast")))
 
-    ri = raw_inventory(snapshots, p)
-    fb = fallback if fallback is not None else fallback_demand(sales, p)
+    ri = raw_inventory(snapshots, p, latest)
     mq = flags.select("variant_id", "model_quality")
 
-    j = (items.join(ri, "variant_id", "left").join(fd, "variant_id", "left")
-         .join(fb, "variant_id", "left").join(mq, "variant_id", "left"))
+    j = (items.join(ri, "variant_id", "left").join(fallback, "variant_id", "left").join(mq, "variant_id", "left")
+         .join(fd, ["vendor_name", "variant_id"], "left"))
 
     raw = F.coalesce("raw_stock", F.lit(0).cast("bigint"))
     stock = F.coalesce(null_greatest("raw_stock"), F.lit(0).cast("bigint"))
     quality = F.coalesce("model_quality", F.lit("NO_DATA"))
     fcst = F.coalesce("expected_demand_forecast", F.lit(0).cast("bigint"))
-    fallback = round_to_long(F.coalesce("avg_daily_units", F.lit(0.0)) * F.col("horizon_days"))
+    usual = round_to_long(F.coalesce("avg_daily_units", F.lit(0.0)) * F.col("horizon_days"))
     calc = j.select(
         "vendor_name", "variant_id", "sku", "product_title", "variant_title",
         stock.alias("current_stock"), raw.alias("raw_stock"), (raw < 0).alias("negative_stock_flag"),
         "lead_time_days", "moq", "pack_size", "horizon_days", quality.alias("model_quality"),
-        F.when(quality == "GOOD", fcst).otherwise(fallback).alias("expected_demand"),
+        F.when(quality == "GOOD", fcst).otherwise(usual).alias("expected_demand"),
         F.when(quality == "GOOD", F.lit("FORECAST")).otherwise(F.lit("FALLBACK_56D")).alias("demand_source"),
-        fcst.alias("expected_demand_forecast"), fallback.alias("expected_demand_fallback"))
+        fcst.alias("expected_demand_forecast"), usual.alias("expected_demand_fallback"))
     need = F.col("expected_demand") - F.col("current_stock")
     packs = F.ceil(need / F.col("pack_size")) * F.col("pack_size")
     reorder = F.when(need <= 0, F.lit(0).cast("bigint")).otherwise(F.greatest(F.col("moq"), packs.cast("bigint")))
-    latest = latest_date(snapshots, "snapshot_date", p.days_ago(p.snapshot_lookback_days))
+    day = newest_snapshot(snapshots, p, p.snapshot_lookback_days, latest)
     out = calc.select(
         "vendor_name", "variant_id", "sku", "product_title", "variant_title", "current_stock", "raw_stock",
         "negative_stock_flag", "lead_time_days", "moq", "pack_size", "horizon_days", "model_quality",
         "expected_demand", "demand_source", reorder.alias("reorder_qty"), "expected_demand_forecast",
-        "expected_demand_fallback", latest.alias("snapshot_date"), ts_lit(p.run_ts).alias("created_at"))
+        "expected_demand_fallback", day.alias("snapshot_date"), ts_lit(p.run_ts).alias("created_at"))
     return (out.filter(F.col("reorder_qty") > 0)
             .orderBy(F.col("negative_stock_flag").desc(), F.col("reorder_qty").desc(), "vendor_name", "variant_id"))

@@ -1,16 +1,17 @@
 """Vendor configuration.
 
-Every relation here is keyed by vendor, i.e. already aggregated; the global
-windows (``dense_rank``, ``row_number``) run over one row per vendor.
+Every relation here is keyed by vendor, i.e. already aggregated. Global ranks
+and row numbers are bucketed (``functions.ranking``), so no task orders all vendors.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfcast.functions.ranking import with_dense_rank_desc, with_row_number
 from shelfcast.functions.semantics import date_lit, ts_lit
 from shelfcast.params import DEFAULT_PARAMS, Params
 
@@ -37,16 +38,17 @@ def vendor_sales_rank(sales: DataFrame, variants: DataFrame, products: DataFrame
            .agg(F.count(F.lit(1)).alias("rows"),
                 F.sum(F.coalesce(F.col("v.price").try_cast("double").cast(dec), F.lit(0).cast(dec))).cast(dec)
                 .alias("price_sum")))
-    sold = (sales.filter((F.col("sale_date") >= date_lit(p.months_ago(p.vendor_rank_months))) & _present(key))
+    sold = (sales.filter(F.col("sale_date").between(date_lit(p.months_ago(p.vendor_rank_months)), date_lit(p.as_of))
+                         & _present(key))
             .groupBy(key).agg(F.sum("quantity_sold").alias("units_sold_6m")))
     by_vendor = (sold.join(svp, key).groupBy("vendor_name")
                  .agg(F.sum(F.col("units_sold_6m") * F.col("rows")).alias("vendor_units_sold_6m"),
                       # summed exactly in decimal, reported as double: no summation-order noise
                       F.sum(F.col("units_sold_6m").cast("decimal(19,0)") * F.col("price_sum"))
                       .cast("double").alias("vendor_revenue_6m")))
-    rank = F.dense_rank().over(Window.orderBy(F.col("vendor_revenue_6m").desc()))
-    return by_vendor.select("vendor_name", "vendor_units_sold_6m", "vendor_revenue_6m",
-                            rank.alias("revenue_rank"), date_lit(p.as_of).alias("frozen_as_of_date"))
+    return with_dense_rank_desc(by_vendor, "vendor_revenue_6m", "revenue_rank").select(
+        "vendor_name", "vendor_units_sold_6m", "vendor_revenue_6m", "revenue_rank",
+        date_lit(p.as_of).alias("frozen_as_of_date"))
 
 
 def vendor_cadence(rank: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
@@ -62,8 +64,8 @@ def maintain_vendors(products: DataFrame, existing: DataFrame, p: Params = DEFAU
     all_vendors = products.filter(_present("vendor")).select(F.col("vendor").alias("vendor_name")).distinct()
     new = all_vendors.join(existing.select("vendor_name"), "vendor_name", "left_anti")
     max_id = F.coalesce(existing.select(F.max("vendor_id")).scalar(), F.lit(0).cast("bigint"))
-    new_ids = new.select(
-        (max_id + F.row_number().over(Window.orderBy("vendor_name"))).cast("bigint").alias("vendor_id"),
+    new_ids = with_row_number(new, "vendor_name", "_i").select(
+        (max_id + F.col("_i")).cast("bigint").alias("vendor_id"),
         "vendor_name",
         F.lit(p.default_lead_time_days).cast("bigint").alias("lead_time_days"),
         F.lit(p.default_moq).cast("bigint").alias("moq"),
@@ -113,14 +115,15 @@ def active_vendors(status: DataFrame, p: Params = DEFAULT_PARAMS, exclude_intern
     """Vendors not archived (internal vendors excluded for forecasting/restock only, Q6)."""
     cond = F.coalesce("archived", F.lit(False)) == F.lit(False)
     if exclude_internal:
-        cond = cond & ~F.col("vendor_name").isin(*p.internal_vendors)
+        cond = cond & ~F.col("vendor_name").isin(list(p.internal_vendors))
     return status.filter(cond).select("vendor_name")
 
 
-def variant_vendor_map(variants: DataFrame, products: DataFrame, active: DataFrame) -> DataFrame:
-    """C20: canonical variant -> vendor map restricted to active vendors."""
+def variant_vendor_map(variants: DataFrame, products: DataFrame, active: DataFrame, titles: bool = False) -> DataFrame:
+    """C20: canonical variant -> vendor map restricted to active vendors (``titles``: with both titles)."""
+    more = [F.col("p.title").alias("product_title"), F.col("v.title").alias("variant_title")] if titles else []
     return (variants.alias("v").join(products.alias("p"), F.col("v.product_id") == F.col("p.product_id"))
             .join(active.alias("av"), F.col("av.vendor_name") == F.col("p.vendor"))
             .filter(_present("v.variant_id") & _present("p.vendor"))
             .select(F.col("v.variant_id").alias("variant_id"), F.col("v.sku").alias("sku"),
-                    F.col("p.vendor").alias("vendor_name")))
+                    F.col("p.vendor").alias("vendor_name"), *more))

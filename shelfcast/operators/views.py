@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfcast.functions.ranking import exact_median
 from shelfcast.operators.vendors import active_vendors
 from shelfcast.params import DEFAULT_PARAMS, Params
 
@@ -40,7 +41,7 @@ def v_vendor_restocks_weekly_active(restocks: DataFrame, status: DataFrame, p: P
     """Restock lines of active, non-internal vendors."""
     active = v_active_vendors(status, p)
     return (restocks.join(active, "vendor_name", "inner")
-            .filter(~F.col("vendor_name").isin(*p.internal_vendors))
+            .filter(~F.col("vendor_name").isin(list(p.internal_vendors)))
             .select(*restocks.columns))
 
 
@@ -72,12 +73,11 @@ def model_kpis(flags: DataFrame) -> DataFrame:
     """Products evaluated, % GOOD, median WAPE, % worse than baseline (scorable items)."""
     s = scorable(flags)
     n = F.count(F.lit(1))
-    return s.agg(
-        n.alias("products_evaluated"),
-        F.round(100.0 * F.sum(F.when(F.col("model_quality") == "GOOD", 1).otherwise(0)) / n, 2).alias("pct_good"),
-        F.median("wape").alias("median_wape"),
-        F.round(100.0 * F.sum(F.when(F.col("model_quality") == "WORSE_THAN_BASELINE", 1).otherwise(0)) / n, 2)
-        .alias("pct_worse_than_baseline"))
+    share = lambda label: F.round(100.0 * F.count_if(F.col("model_quality") == label) / n, 2)
+    counts = s.agg(n.alias("products_evaluated"), F.when(n > 0, share("GOOD")).alias("pct_good"),
+                   F.when(n > 0, share("WORSE_THAN_BASELINE")).alias("pct_worse_than_baseline"))
+    return counts.select("products_evaluated", "pct_good", exact_median(s, "wape", "median_wape").scalar().alias("median_wape"),
+                         "pct_worse_than_baseline")
 
 
 def quality_distribution(flags: DataFrame) -> DataFrame:

@@ -13,10 +13,10 @@ from dataclasses import dataclass, field
 
 @dataclass(frozen=True)
 class Params:
-    as_of: dt.date = dt.date(2001, 11, 5)
-    run_ts: dt.datetime = dt.datetime(2001, 11, 5, 0, 0, 0)
+    as_of: dt.date = field(default_factory=dt.date.today)
+    run_ts: dt.datetime | None = None       # None: midnight of ``as_of``
     # Vendors treated as "our own brand": excluded from forecasting and restock.
-    internal_vendors: tuple[str, ...] = ("Brand#1",)
+    internal_vendors: tuple[str, ...] = ()
 
     # ---- lookbacks (days) ----
     sales_lookback_days: int = 365          # sales_daily / training window
@@ -52,7 +52,9 @@ class Params:
     cadence_days: int = 7
     stockout_from_as_of: bool = False       # Q9: False counts every forecast day, even before as_of
 
-    extra: dict = field(default_factory=dict, compare=False, hash=False)
+    def __post_init__(self) -> None:
+        if self.run_ts is None:
+            object.__setattr__(self, "run_ts", dt.datetime.combine(self.as_of, dt.time()))
 
     # ---- derived dates (the script variables) ----
     @property

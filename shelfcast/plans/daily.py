@@ -2,36 +2,83 @@
 
 Layout of a landing folder (JSON lines, one API page per line)::
 
-    products/  locations/  inventory/  orders/
+    products/  locations/  inventory/  orders/      each with day=YYYY-MM-DD folders
 
-Dimensions are replaced only when the load is non-empty (C05); inventory and
-sales go through staging (C06) and the partition-bounded upsert (C07/C08).
+A load reads the days that landed since the last one (``<store>/_loaded_days``):
+dimensions from the newest of them, facts from all. A folder without
+``day=`` folders is read whole. Dimensions are replaced only when the load is
+non-empty (C05); inventory and sales go through staging (C06) and the
+partition-bounded upsert (C07/C08), whose range is that of the new days.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfcast.sources import landing, store
 
+KINDS = {"products": landing.PRODUCTS_PAGE, "locations": landing.LOCATIONS_PAGE,
+         "inventory": landing.INVENTORY_PAGE, "orders": landing.ORDERS_PAGE}
+
+
+def new_days(spark: SparkSession, landing_dir: str, store_dir: str) -> list[str] | None:
+    """Landed days that no load has read yet, ascending; None for a folder without days."""
+    landed = {d for kind in KINDS for d in store.partition_values(spark, f"{landing_dir}/{kind}", "day")}
+    if not landed:
+        return None
+    loaded = f"{store_dir}/_loaded_days"
+    done = {r.day for r in spark.read.parquet(loaded).collect()} if store.table_exists(spark, loaded) else set()
+    return sorted(landed - done)
+
+
+def _paths(spark: SparkSession, landing_dir: str, kind: str, days: list[str] | None) -> list[str]:
+    if days is None:
+        return [f"{landing_dir}/{kind}"]
+    held = set(store.partition_values(spark, f"{landing_dir}/{kind}", "day"))
+    days = [d for d in days if d in held]
+    return [f"{landing_dir}/{kind}/day={d}" for d in (days[-1:] if kind in ("products", "locations") else days)]
+
+
+def daily_load(spark: SparkSession, landing_dir: str, store_dir: str, since: dt.datetime | None = None,
+               on_duplicate: str = "error", on_reject: str = "fail") -> dict:
+    """Run one daily load; returns what was written (rows/partitions per table, rejected pages per kind).
+
+    ``on_reject``: 'fail' stops before anything is written, naming the counts;
+    'quarantine' appends the rejected pages to ``<store>/rejects`` and loads
+    the rest. ``on_duplicate`` is `store.upsert_partitions`'s.
+    """
+    days = new_days(spark, landing_dir, store_dir)
+    if days == []:
+        return {"days": []}
+    pages: dict[str, DataFrame] = {}
+    rejects = None
+    for kind, schema in KINDS.items():
+        paths = _paths(spark, landing_dir, kind, days)
+        read = landing.read_pages(spark, paths, schema) if paths else landing.parse_pages(
+            spark.createDataFrame([], "value string"), "value", schema, corrupt=True)
+        pages[kind], bad = landing.split_rejects(read, kind)
+        rejects = bad if rejects is None else rejects.unionByName(bad)
+    counts = {r["kind"]: r["n"] for r in rejects.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if counts and on_reject == "fail":
+        raise ValueError(f"rejected pages: {counts}")
+    report: dict = {"days": days, "rejects": counts}
+    if counts:
+        rejects.write.mode("append").parquet(f"{store_dir}/rejects")
 
-def daily_load(spark: SparkSession, landing_dir: str, store_dir: str, since: dt.datetime | None = None) -> dict:
-    """Run one daily load; returns what was written (rows/partitions per table)."""
-    pages = {name: landing.read_pages(spark, f"{landing_dir}/{name}", schema)
-             for name, schema in (("products", landing.PRODUCTS_PAGE), ("locations", landing.LOCATIONS_PAGE),
-                                  ("inventory", landing.INVENTORY_PAGE), ("orders", landing.ORDERS_PAGE))}
     products, variants = landing.flatten_products(pages["products"], with_position=True)
     locations = landing.flatten_locations(pages["locations"])
     inventory = landing.flatten_inventory(pages["inventory"], variants, locations)
     sales = landing.flatten_sales(pages["orders"], since)
-
-    report = {}
     for name, df in (("products", products), ("variants", variants.drop("listing_pos")), ("locations", locations)):
         report[name] = store.write_dimension(df, f"{store_dir}/{name}", name)
     for name, df, stg in (("inventory_snapshots_raw", inventory, "inventory_snapshots_stg"),
                           ("sales_history_raw", sales, "sales_history_stg")):
         staged = store.stage(df, f"{store_dir}/{stg}", stg)
-        report[name] = store.upsert_partitions(spark, f"{store_dir}/{name}", name, staged, on_duplicate="latest")
+        report[name] = store.upsert_partitions(spark, f"{store_dir}/{name}", name, staged, on_duplicate=on_duplicate)
+    if days:
+        spark.createDataFrame([(d,) for d in days], "day string").coalesce(1) \
+            .write.mode("append").parquet(f"{store_dir}/_loaded_days")
     return report

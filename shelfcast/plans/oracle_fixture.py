@@ -7,7 +7,8 @@ independent of the Spark code in ``shelfcast.sources.testdata``.
 
 from __future__ import annotations
 
-from shelfcast.params import DEFAULT_PARAMS, Params
+from shelfcast.params import Params
+from shelfcast.sources.testdata import FIXTURE_PARAMS
 
 
 def d(x) -> str:
@@ -18,7 +19,7 @@ def ts(x) -> str:
     return f"TIMESTAMP '{x.strftime('%Y-%m-%d %H:%M:%S')}'"
 
 
-def fixture_ctes(grain: str = "bt", p: Params = DEFAULT_PARAMS) -> list[str]:
+def fixture_ctes(grain: str = "bt", p: Params = FIXTURE_PARAMS) -> list[str]:
     vid = "p_brand || '|' || p_type" if grain == "bt" else "CAST(p_partkey AS VARCHAR)"
     return [
         f"""part_v AS (
@@ -73,9 +74,12 @@ def fixture_ctes(grain: str = "bt", p: Params = DEFAULT_PARAMS) -> list[str]:
          CAST((k * 37 + r_regionkey * 11 + off * 5) % 60 - 25 AS BIGINT) AS available_qty,
          CAST(k % 7 AS BIGINT) AS incoming_qty, CAST(k % 3 AS BIGINT) AS committed_qty,
          snapshot_date, CAST(snapshot_date AS TIMESTAMP) AS snapshot_timestamp
-  FROM (SELECT v.variant_id, v.sku, v.k, r.r_regionkey, o.off,
+  FROM (SELECT v.variant_id, v.sku, v.k, s.r_regionkey, o.off,
                CAST({d(p.as_of)} - o.off AS DATE) AS snapshot_date
-        FROM variants_k v, region r, (VALUES (1), (8), (15)) o(off)))""",
+        FROM (SELECT DISTINCT pv.variant_id, n.n_regionkey AS r_regionkey
+              FROM lineitem JOIN part_v pv ON pv.p_partkey = l_partkey
+              JOIN supplier ON s_suppkey = l_suppkey JOIN nation n ON n.n_nationkey = s_nationkey) s
+        JOIN variants_k v ON v.variant_id = s.variant_id, (VALUES (1), (8), (15)) o(off)))""",
         """order_flags AS (
   SELECT o_orderkey, o_orderstatus = 'P' AS cancelled, o_orderkey % 97 = 0 AS test FROM orders)""",
     ]
@@ -84,7 +88,7 @@ def fixture_ctes(grain: str = "bt", p: Params = DEFAULT_PARAMS) -> list[str]:
 class FixtureSQL:
     """Oracle SQL over the fixture mapping; rendered per grain."""
 
-    def __init__(self, body_ctes: list[str], select: str, p: Params = DEFAULT_PARAMS):
+    def __init__(self, body_ctes: list[str], select: str, p: Params = FIXTURE_PARAMS):
         self.body, self.select, self.p = list(body_ctes), select, p
 
     def render(self, grain: str = "bt") -> str:
@@ -94,5 +98,5 @@ class FixtureSQL:
         return self.render("bt")
 
 
-def with_fixture(body_ctes: list[str], select: str, p: Params = DEFAULT_PARAMS) -> FixtureSQL:
+def with_fixture(body_ctes: list[str], select: str, p: Params = FIXTURE_PARAMS) -> FixtureSQL:
     return FixtureSQL(body_ctes, select, p)

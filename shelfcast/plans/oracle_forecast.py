@@ -1,128 +1,79 @@
-"""SQL (DuckDB) form of the tier-1 forecaster, for the oracle side only.
+"""The forecaster as SQL (DuckDB), for the oracle side only.
 
-Mirrors the definition in ``shelfcast.operators.forecast`` term by term so
-that both engines evaluate the same floating-point expressions.
+Written from the model's definition on the zero-filled grid: every period of a
+series is a row, the candidates are evaluated point by point, their errors are
+summed from residual rows, and the trend is the engine's own regression. The
+Spark side never builds that grid (it works from per-series sums), so the two
+share no formula; floats are compared at 6 places.
 """
 
 from __future__ import annotations
 
+SEASON_COLS = [f"season_w{w}" for w in range(7)]
+FLOATS = {"score", "sigma", "y_mean", "y_last", "drift", "intercept", "slope", "t_mean", "sxx", "holiday_effect", *SEASON_COLS}
 
-EPOCH = "CAST(ts - DATE '1970-01-01' AS BIGINT)"
-SEASON_MIN, SEASON_K = 21, 9
 
-
-def _wd(expr: str) -> str:
-    return f"((({expr}) % 7) + 7) % 7"
+def rounded(cols: str) -> str:
+    """The column list with its floats rounded to 6 places."""
+    return ", ".join(f"round({c}, 6) AS {c}" if c in FLOATS else c for c in cols.split(", "))
 
 
 def fit_ctes(name: str, src: str, step: int, season: bool = False) -> list[str]:
-    """CTEs ``{name}_fit`` over ``src(variant_id, ts, y)``."""
-    W = range(7)
-    wsums = "".join(
-        f", sum(CASE WHEN wd = {w} THEN y ELSE 0 END) AS sy_w{w}, sum(CASE WHEN wd = {w} THEN d * y ELSE 0 END) AS sdy_w{w}"
-        f", sum(CASE WHEN wd = {w} THEN y * y ELSE 0 END) AS syy_w{w}" for w in W) if season else ""
-    wpass = "".join(f", sy_w{w}, sdy_w{w}, syy_w{w}" for w in W) if season else ""
-    if season:
-        a_cols = ", ".join(f"{_wd(f'{w} - d0')} AS r_w{w}" for w in W)
-        n_cols = ", ".join(f"CAST(CASE WHEN {_wd(f'{w} - d0')} <= nd - 1 THEN floor((nd - 1 - {_wd(f'{w} - d0')}) / 7) + 1 ELSE 0 END AS DOUBLE) AS n_w{w}"
-                           f", CAST((sdy_w{w} - d0 * sy_w{w}) / {step} AS DOUBLE) AS sty_w{w}" for w in W)
-        b_cols = ", ".join(f"n_w{w} * r_w{w} + 7 * n_w{w} * (n_w{w} - 1) / 2 AS st_w{w}, "
-                           f"n_w{w} * r_w{w} * r_w{w} + 14 * r_w{w} * n_w{w} * (n_w{w} - 1) / 2 + 49 * (n_w{w} - 1) * n_w{w} * (2 * n_w{w} - 1) / 6 AS stt_w{w}"
-                           for w in W)
-        c_cols = ", ".join(f"CAST(sy_w{w} AS DOUBLE) - n_w{w} * intercept - slope * st_w{w} AS rs_w{w}, "
-                           f"CAST(syy_w{w} AS DOUBLE) + n_w{w} * intercept * intercept + slope * slope * stt_w{w} - 2 * intercept * CAST(sy_w{w} AS DOUBLE)"
-                           f" - 2 * slope * sty_w{w} + 2 * intercept * slope * st_w{w} AS qs_w{w}" for w in W)
-        d_cols = ", ".join(f"CASE WHEN n_w{w} > 0 THEN rs_w{w} / n_w{w} ELSE 0.0 END AS season_w{w}" for w in W)
-        total = " + ".join(f"(CASE WHEN n_w{w} > 0 THEN qs_w{w} - rs_w{w} * season_w{w} ELSE 0.0 END)" for w in W)
-        first_off = "[" + ", ".join(f"season_w{w}" for w in W) + "][" + _wd("d0") + " + 1]"
-        season_ctes = [
-            f"{name}_sa AS (SELECT *, {a_cols}, {n_cols} FROM {name}_s)",
-            f"{name}_sb AS (SELECT *, {b_cols} FROM {name}_sa)",
-            f"{name}_sc AS (SELECT *, {c_cols} FROM {name}_sb)",
-            f"{name}_sd AS (SELECT *, {d_cols} FROM {name}_sc)",
-            f"{name}_se AS (SELECT *, ({total}) - ((yf - intercept) - {first_off}) * ((yf - intercept) - {first_off}) AS sse_trend_season FROM {name}_sd)",
-        ]
-        last = f"{name}_se"
-        season_branch = (f"\n    UNION ALL SELECT variant_id, m, 'trend_season', {SEASON_K}, sse_trend_season FROM {name}_se "
-                         f"WHERE nd >= {SEASON_MIN}")
-        season_out = ", " + ", ".join(f"s.season_w{w}" for w in W)
-    else:
-        season_ctes, last, season_branch = [], f"{name}_s", ""
-        season_out = ", " + ", ".join(f"CAST(NULL AS DOUBLE) AS season_w{w}" for w in W)
+    """CTE ``{name}_fit`` over ``src(variant_id, ts, y)``, one row per series."""
+    weekday = f"(epoch(ts)::BIGINT // 86400) % 7"
+    seasonal = (f"UNION ALL SELECT variant_id, 'trend_season', 9, sum((y - fitted - shift) ^ 2) FILTER (WHERE t > 0) "
+                f"FROM {name}_shifted WHERE n >= 21 GROUP BY ALL" if season else "")
+    shifts = ", ".join(f"any_value(shift) FILTER (WHERE wd = {w})" + (" " if season else "* NULL ") + f"AS season_w{w}" for w in range(7))
+    empty = "0" if season else "NULL"
     return [
-        f"""{name}_pts AS (
-  SELECT variant_id, ts, CAST(y AS BIGINT) AS y, CAST(ts - DATE '1970-01-01' AS BIGINT) AS d,
-         {_wd(EPOCH)} AS wd,
-         CASE WHEN lag(CAST(ts - DATE '1970-01-01' AS BIGINT)) OVER (PARTITION BY variant_id ORDER BY ts)
-                   = CAST(ts - DATE '1970-01-01' AS BIGINT) - {step}
-              THEN CAST(y AS BIGINT) * lag(CAST(y AS BIGINT)) OVER (PARTITION BY variant_id ORDER BY ts)
-              ELSE 0 END AS lagprod
-  FROM {src})""",
-        f"""{name}_sums AS (
-  SELECT variant_id, max(ts) AS last_ts, CAST(floor((max(d) - min(d)) / {step}) + 1 AS BIGINT) AS n,
-         sum(y) AS sy, sum(y * y) AS syy, CAST((sum(d * y) - min(d) * sum(y)) / {step} AS BIGINT) AS sty,
-         arg_min(y, d) AS yf, arg_max(y, d) AS yl, sum(lagprod) AS slag, min(d) AS d0{wsums}
-  FROM {name}_pts GROUP BY variant_id)""",
-        f"""{name}_q AS (
-  SELECT variant_id, last_ts, n, nd, sy, syy, sty, yf, yl, slag, d0{wpass},
-         nd * (nd - 1) / 2 AS st, (nd - 1) * nd * (2 * nd - 1) / 6 AS stt
-  FROM (SELECT variant_id, last_ts, n, CAST(n AS DOUBLE) AS nd, CAST(sy AS DOUBLE) AS sy, CAST(syy AS DOUBLE) AS syy,
-               CAST(sty AS DOUBLE) AS sty, CAST(yf AS DOUBLE) AS yf, CAST(yl AS DOUBLE) AS yl,
-               CAST(slag AS DOUBLE) AS slag, d0{wpass} FROM {name}_sums))""",
-        f"""{name}_r AS (
-  SELECT *, stt - st * st / nd AS sxx, sy / nd AS ybar, nd - 1 AS m,
-         CASE WHEN nd >= 2 THEN (nd * sty - st * sy) / (nd * stt - st * st) END AS slope,
-         CASE WHEN nd >= 2 THEN (yl - yf) / (nd - 1) END AS drift
-  FROM {name}_q)""",
-        f"""{name}_s AS (
-  SELECT *, ybar - slope * st / nd AS intercept,
-         (syy - yf * yf) - 2 * ybar * (sy - yf) + m * ybar * ybar AS sse_mean,
-         (syy - yf * yf) + (syy - yl * yl) - 2 * slag AS sse_last
-  FROM {name}_r)""",
-    ] + season_ctes + [
-        f"""{name}_cand AS (
-  SELECT variant_id, model, k, sse, round(m * ln(greatest(sse, 1e-9) / m) + 2.0 * k, 6) AS score
-  FROM (
-    SELECT variant_id, m, 'mean' AS model, 1 AS k, sse_mean AS sse FROM {name}_s WHERE nd >= 3
-    UNION ALL SELECT variant_id, m, 'last', 1, sse_last FROM {name}_s WHERE nd >= 3
-    UNION ALL SELECT variant_id, m, 'drift', 2, sse_last - m * drift * drift FROM {name}_s WHERE nd >= 3
-    UNION ALL SELECT variant_id, m, 'trend', 2,
-      (syy - 2 * intercept * sy - 2 * slope * sty + nd * intercept * intercept + 2 * intercept * slope * st
-       + slope * slope * stt) - (yf - intercept) * (yf - intercept)
-      FROM {name}_s WHERE nd >= 3{season_branch}))""",
-        f"""{name}_best AS (
-  SELECT variant_id, model, k, sse, score FROM (
-    SELECT *, row_number() OVER (PARTITION BY variant_id ORDER BY score, k, model) AS rn FROM {name}_cand)
-  WHERE rn = 1)""",
+        f"""{name}_grid AS (
+  SELECT g.variant_id, g.ts, ifnull(s.y, 0)::DOUBLE AS y,
+         row_number() OVER (PARTITION BY g.variant_id ORDER BY g.ts) - 1 AS t, count(*) OVER (PARTITION BY g.variant_id) AS n,
+         {weekday.replace("ts", "g.ts")} AS wd
+  FROM (SELECT variant_id, unnest(generate_series(min(ts), max(ts), INTERVAL {step} DAY))::DATE AS ts FROM {src} GROUP BY variant_id) g
+  LEFT JOIN {src} s ON s.variant_id = g.variant_id AND s.ts = g.ts)""",
+        f"""{name}_line AS (
+  SELECT variant_id, any_value(n) AS n, max(ts) AS last_ts, avg(y) AS y_mean, arg_max(y, t) AS y_last, arg_min(y, t) AS y_first,
+         avg(t) AS t_mean, sum(t * t) - sum(t) * avg(t) AS sxx, ifnull(stddev_samp(y), 0) AS spread,
+         CASE WHEN any_value(n) > 1 THEN regr_slope(y, t) END AS slope, CASE WHEN any_value(n) > 1 THEN regr_intercept(y, t) END AS intercept
+  FROM {name}_grid GROUP BY ALL)""",
+        f"""{name}_points AS (
+  SELECT g.*, l.y_mean, (l.y_last - l.y_first) / nullif(g.n - 1, 0) AS drift, l.intercept + l.slope * g.t AS fitted,
+         lag(y) OVER (PARTITION BY variant_id ORDER BY t) AS before
+  FROM {name}_grid g JOIN {name}_line l USING (variant_id))""",
+        f"""{name}_shifted AS (
+  SELECT *, avg(y - fitted) OVER (PARTITION BY variant_id, wd) AS shift FROM {name}_points)""",
+        f"""{name}_errors AS (
+  SELECT variant_id, 'mean' AS model, 1 AS k, sum((y - y_mean) ^ 2) FILTER (WHERE t > 0) AS sse FROM {name}_points GROUP BY ALL
+  UNION ALL SELECT variant_id, 'last', 1, sum((y - before) ^ 2) FROM {name}_points GROUP BY ALL
+  UNION ALL SELECT variant_id, 'drift', 2, sum((y - before - drift) ^ 2) FROM {name}_points GROUP BY ALL
+  UNION ALL SELECT variant_id, 'trend', 2, sum((y - fitted) ^ 2) FILTER (WHERE t > 0) FROM {name}_points GROUP BY ALL
+  {seasonal})""",
+        f"""{name}_choice AS (
+  SELECT variant_id, min({{'score': round((n - 1) * ln(greatest(sse, 1e-9) / (n - 1)) + 2 * k, 6), 'k': k, 'model': e.model, 'sse': sse}}) AS best
+  FROM {name}_errors e JOIN {name}_line USING (variant_id) WHERE n >= 3 GROUP BY ALL)""",
+        f"""{name}_shifts AS (SELECT variant_id, {shifts} FROM {name}_shifted GROUP BY ALL)""",
         f"""{name}_fit AS (
-  SELECT s.variant_id, s.n, s.last_ts,
-         CASE WHEN s.nd < 3 THEN 'mean' ELSE b.model END AS model,
-         CASE WHEN s.nd < 3 THEN NULL ELSE b.score END AS score,
-         CASE WHEN s.nd < 3 THEN (CASE WHEN s.nd >= 2 THEN sqrt(greatest((s.syy - s.sy * s.sy / s.nd) / s.m, 0.0)) ELSE 0.0 END)
-              ELSE sqrt(greatest(b.sse, 1e-9) / greatest(s.m - b.k, 1.0)) END AS sigma,
-         s.ybar AS y_mean, s.yl AS y_last, s.drift, s.intercept, s.slope, s.st / s.nd AS t_mean, s.sxx{season_out},
-         s.nd
-  FROM {last} s LEFT JOIN {name}_best b ON b.variant_id = s.variant_id)""",
+  SELECT variant_id, n, last_ts, ifnull(best.model, 'mean') AS model, best.score AS score,
+         CASE WHEN best IS NULL THEN spread ELSE sqrt(greatest(best.sse, 1e-9) / greatest(n - 1 - best.k, 1)) END AS sigma,
+         y_mean, y_last, (y_last - y_first) / nullif(n - 1, 0) AS drift, intercept, slope, t_mean, sxx,
+         {", ".join(f"ifnull(season_w{w}, {empty})::DOUBLE AS season_w{w}" for w in range(7))}
+  FROM {name}_line LEFT JOIN {name}_choice USING (variant_id) JOIN {name}_shifts USING (variant_id))""",
     ]
 
 
 def forecast_cte(name: str, horizon: int, step: int, z: float) -> str:
-    """CTE ``{name}_fc(variant_id, forecast_ts, forecast_value, lower, upper)``."""
-    tstar = "((nd - 1) + CAST(h AS DOUBLE))"
-    hd = "CAST(h AS DOUBLE)"
-    fday = f"CAST(CAST(last_ts + CAST(h * {step} AS INTEGER) AS DATE) - DATE '1970-01-01' AS BIGINT)"
-    offset = "[" + ", ".join(f"season_w{w}" for w in range(7)) + "][" + _wd(fday) + " + 1]"
-    yhat = (f"CASE model WHEN 'mean' THEN y_mean WHEN 'last' THEN y_last WHEN 'drift' THEN y_last + {hd} * drift "
-            f"WHEN 'trend_season' THEN intercept + slope * {tstar} + {offset} "
-            f"ELSE intercept + slope * {tstar} END")
-    se = (f"CASE WHEN model = 'mean' THEN sigma * sqrt(1 + 1 / nd) "
-          f"WHEN model IN ('last', 'drift') THEN sigma * sqrt({hd}) "
-          f"ELSE sigma * sqrt(1 + 1 / nd + ({tstar} - t_mean) * ({tstar} - t_mean) / sxx) END")
+    """CTE ``{name}_fc(variant_id, forecast_ts, forecast_value, lower_bound, upper_bound)``."""
+    shift = "list_extract([" + ", ".join(SEASON_COLS) + "], 1 + (epoch(day)::BIGINT // 86400) % 7)"
     return f"""{name}_fc AS (
-  SELECT variant_id, CAST(last_ts + CAST(h * {step} AS INTEGER) AS DATE) AS forecast_ts,
-         yhat AS forecast_value, yhat - {z!r} * se AS lower_bound, yhat + {z!r} * se AS upper_bound
-  FROM (SELECT variant_id, last_ts, h, {yhat} AS yhat, {se} AS se
-        FROM {name}_fit CROSS JOIN range(1, {horizon + 1}) r(h)))"""
+  SELECT variant_id, day AS forecast_ts, middle AS forecast_value, middle - {z!r} * sigma * wide AS lower_bound,
+         middle + {z!r} * sigma * wide AS upper_bound
+  FROM (SELECT *, (n - 1 + h)::DOUBLE AS t_new, (last_ts + (h * {step})::INTEGER)::DATE AS day,
+               CASE model WHEN 'mean' THEN y_mean WHEN 'last' THEN y_last WHEN 'drift' THEN y_last + h * drift
+                          WHEN 'trend' THEN intercept + slope * t_new ELSE intercept + slope * t_new + {shift} END AS middle,
+               sqrt(CASE WHEN model IN ('last', 'drift') THEN h WHEN model = 'mean' THEN 1 + 1 / n
+                         ELSE 1 + 1 / n + (t_new - t_mean) ^ 2 / sxx END) AS wide
+        FROM (SELECT *, unnest(range(1, {horizon + 1})) AS h FROM {name}_fit)))"""
 
 
 def qty(expr: str) -> str:
@@ -151,31 +102,16 @@ def _hol_sql(years: str) -> str:
 
 def holiday_ctes(name: str, src: str) -> list[str]:
     """``{name}_he(variant_id, holiday, holiday_effect)`` and ``{name}_fch`` (holiday-shifted forecasts)."""
-    offset = "[" + ", ".join(f"f.season_w{w}" for w in range(7)) + "][" + _wd("CAST(h.ts - DATE '1970-01-01' AS BIGINT)") + " + 1]"
+    moved = ", ".join(f"{c} + ifnull(holiday_effect, 0) AS {c}" for c in ("forecast_value", "lower_bound", "upper_bound"))
     return [
-        f"""{name}_span AS (SELECT variant_id, CAST(last_ts - CAST(n - 1 AS INTEGER) AS DATE) AS first_d, last_ts FROM {name}_fit)""",
-        f"""{name}_hy AS (SELECT DISTINCT unnest(generate_series(year(first_d), year(last_ts))) AS year FROM {name}_span)""",
+        f"""{name}_years AS (
+  SELECT unnest(range(min(year(ts)), max(year(ts)) + 2)) AS year FROM {name}_grid)""",
         f"""{name}_cal AS (
-  {_hol_sql(f"{name}_hy")})""",
-        f"""{name}_hd AS (
-  SELECT s.variant_id, c.holiday, c.holiday_date AS ts, s.first_d FROM {name}_span s
-  JOIN {name}_cal c ON c.holiday_date BETWEEN s.first_d AND s.last_ts)""",
+  {_hol_sql(f"{name}_years")})""",
         f"""{name}_he AS (
-  SELECT variant_id, holiday, list_reduce(list_sort(list(r)), lambda acc, x: acc + x) / count(r) AS holiday_effect
-  FROM (SELECT h.variant_id, h.holiday,
-               COALESCE(CAST(t.y AS DOUBLE), 0.0)
-                 - (COALESCE(f.intercept + f.slope * CAST(date_diff('day', h.first_d, h.ts) AS DOUBLE), f.y_mean)
-                    + COALESCE({offset}, 0.0)) AS r
-        FROM {name}_hd h LEFT JOIN {src} t ON t.variant_id = h.variant_id AND t.ts = h.ts
-        JOIN {name}_fit f ON f.variant_id = h.variant_id)
-  GROUP BY variant_id, holiday)""",
-        f"""{name}_fy AS (SELECT DISTINCT year(forecast_ts) AS year FROM {name}_fc)""",
-        f"""{name}_fcal AS (
-  {_hol_sql(f"{name}_fy")})""",
+  SELECT variant_id, holiday, avg(y - ifnull(fitted, y_mean) - ifnull(shift, 0)) AS holiday_effect
+  FROM {name}_shifted JOIN {name}_cal ON holiday_date = ts GROUP BY ALL)""",
         f"""{name}_fch AS (
-  SELECT f.variant_id, f.forecast_ts, f.forecast_value + COALESCE(e.holiday_effect, 0.0) AS forecast_value,
-         f.lower_bound + COALESCE(e.holiday_effect, 0.0) AS lower_bound,
-         f.upper_bound + COALESCE(e.holiday_effect, 0.0) AS upper_bound
-  FROM {name}_fc f LEFT JOIN {name}_fcal c ON c.holiday_date = f.forecast_ts
-  LEFT JOIN {name}_he e ON e.variant_id = f.variant_id AND e.holiday = c.holiday)""",
+  SELECT variant_id, forecast_ts, {moved}
+  FROM {name}_fc LEFT JOIN {name}_cal ON holiday_date = forecast_ts LEFT JOIN {name}_he USING (variant_id, holiday))""",
     ]

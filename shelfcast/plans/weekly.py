@@ -13,14 +13,16 @@ never the fact scans of earlier ones) and keeps every later plan small.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfcast.operators import arima, backtest, demand, forecast, holidays, inventory, restock, vendors, views
+from shelfcast.operators import backtest, demand, forecast, holidays, inventory, restock, vendors, views
 from shelfcast.params import DEFAULT_PARAMS, Params
 from shelfcast.session import checkpoint_dir
+from shelfcast.sources import store
 
 
 def materialize(df: DataFrame, name: str, root: str) -> DataFrame:
@@ -30,17 +32,28 @@ def materialize(df: DataFrame, name: str, root: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+ROLLUPS = {"sales_daily": "sale_date", "sales_weekly": "week_start"}
+CADENCE = "vendor_restock_cadence_one_time"
+
+
 class WeeklyRun:
-    """Inputs: variants, products, sales (raw history), snapshots, vendors, vendor_status."""
+    """Inputs: variants, products, sales (raw history), snapshots, vendors, vendor_status.
+
+    ``cadence``: the stored cadence table, which is frozen once and then read;
+    None computes it (the one-time set-up run). ``latest_snapshot`` is the
+    newest snapshot partition if the caller knows it from the store's listing.
+    """
 
     def __init__(self, spark: SparkSession, variants: DataFrame, products: DataFrame, sales: DataFrame,
                  snapshots: DataFrame, vendors_table: DataFrame, vendor_status: DataFrame,
-                 p: Params = DEFAULT_PARAMS, work_dir: str | None = None, materialize_steps: bool = True):
+                 p: Params = DEFAULT_PARAMS, work_dir: str | None = None, materialize_steps: bool = True,
+                 cadence: DataFrame | None = None, latest_snapshot: dt.date | None = None):
         self.spark, self.p = spark, p
         self.variants, self.products, self.sales, self.snapshots = variants, products, sales, snapshots
         self.vendors_in, self.status_in = vendors_table, vendor_status
         self.work_dir = work_dir or f"{checkpoint_dir(spark)}/shelfcast-run-{uuid.uuid4().hex}"
         self.materialize_steps = materialize_steps
+        self.cadence_in, self.latest_snapshot = cadence, latest_snapshot
 
     def _keep(self, df: DataFrame, name: str) -> DataFrame:
         return materialize(df, name, self.work_dir) if self.materialize_steps else df
@@ -60,12 +73,20 @@ class WeeklyRun:
 
     @cached_property
     def cadence(self) -> DataFrame:
+        if self.cadence_in is not None:
+            return self.cadence_in
         return self._keep(vendors.vendor_cadence(self.vendor_rank, self.p), "vendor_restock_cadence")
 
+    @cached_property
+    def variant_lines(self) -> DataFrame:
+        # the map with titles, under the maintained status: vendors added by this run count
+        return self._keep(vendors.variant_vendor_map(self.variants, self.products,
+                                                     vendors.active_vendors(self.vendor_status, self.p), titles=True),
+                          "variant_lines")
+
     @cached_property
     def variant_map(self) -> DataFrame:
-        return vendors.variant_vendor_map(self.variants, self.products,
-                                          vendors.active_vendors(self.status_in, self.p))
+        return self.variant_lines.select("variant_id", "sku", "vendor_name")
 
     # ---------------- rollups
     @cached_property
@@ -97,13 +118,17 @@ class WeeklyRun:
     def joined(self) -> DataFrame:
         return backtest.backtest_joined(self.holdout, self.backtest_forecast)
 
+    @cached_property
+    def scores(self) -> DataFrame:
+        return backtest.backtest_scores(self.joined, self.guard)
+
     @cached_property
     def metrics(self) -> DataFrame:
-        return backtest.backtest_metrics(self.joined, self.guard, self.p)
+        return backtest.backtest_metrics(self.scores, self.p)
 
     @cached_property
     def baseline(self) -> DataFrame:
-        return backtest.backtest_baseline(self.holdout, self.guard)
+        return backtest.backtest_baseline(self.scores)
 
     @cached_property
     def proof(self) -> DataFrame:
@@ -111,7 +136,7 @@ class WeeklyRun:
 
     @cached_property
     def flags(self) -> DataFrame:
-        return self._keep(backtest.model_quality_flags(self.metrics, self.baseline, self.p), "model_quality_flags")
+        return self._keep(backtest.model_quality_flags(self.scores, self.p), "model_quality_flags")
 
     # ---------------- daily demand model, forecasts, stock-outs
     @cached_property
@@ -126,25 +151,23 @@ class WeeklyRun:
         return self._keep(forecast.fit_demand_model(self.demand_train), "demand_model")
 
     @cached_property
-    def holiday_effects(self) -> DataFrame:
-        return holidays.holiday_effects(self.demand_train, self.demand_model, "variant_id", "sale_date", "qty_sold")
+    def calendar(self) -> DataFrame:
+        return holidays.run_calendar(self.spark, self.p)
 
     @cached_property
-    def demand_forecasts(self) -> DataFrame:
-        return self._keep(forecast.demand_forecasts(self.demand_model, self.p, holiday_effects=self.holiday_effects),
-                          "demand_forecasts")
+    def holiday_effects(self) -> DataFrame:
+        return holidays.holiday_effects(self.demand_train, self.demand_model, "variant_id", "sale_date", "qty_sold",
+                                        self.calendar)
 
     @cached_property
-    def demand_forecasts_arima(self) -> DataFrame:
-        """Tier-2 alternative to ``demand_forecasts`` (per-series ARIMA by AICc)."""
-        fc = arima.forecast_arima(self.demand_train, "variant_id", "sale_date", "qty_sold", 1,
-                                  self.p.forecast_horizon_days, self.p.z_value)
-        return forecast.forecast_quantities(fc.drop("model"), self.p)
+    def demand_forecasts(self) -> DataFrame:
+        return self._keep(forecast.demand_forecasts(self.demand_model, self.p, holiday_effects=self.holiday_effects,
+                                                    calendar=self.calendar), "demand_forecasts")
 
     @cached_property
     def current_for_restock(self) -> DataFrame:
-        return inventory.current_inventory(self.snapshots, since=self.p.days_ago(self.p.snapshot_lookback_days),
-                                           drop_blank_variants=True)
+        return inventory.current_inventory(self.snapshots, self.p, self.p.snapshot_lookback_days,
+                                           drop_blank_variants=True, latest=self.latest_snapshot)
 
     @cached_property
     def stockouts(self) -> DataFrame:
@@ -152,17 +175,16 @@ class WeeklyRun:
 
     # ---------------- restock lists and views
     def restocks(self, cadence_days: int | None = None) -> DataFrame:
-        return restock.vendor_restocks(self.variant_map, self.variants, self.products, self.vendor_status,
-                                       self.cadence, self.vendors, self.snapshots, self.demand_forecasts,
-                                       self.sales, self.flags, self.p, cadence_days,
-                                       fallback=restock.fallback_from_daily(self.sales_daily, self.p))
+        return restock.vendor_restocks(self.variant_lines, self.vendor_status, self.cadence, self.vendors, self.snapshots,
+                                       self.demand_forecasts, restock.fallback_from_daily(self.sales_daily, self.p),
+                                       self.flags, self.p, cadence_days, self.latest_snapshot)
 
     def restocks_active_view(self, cadence_days: int | None = None) -> DataFrame:
         return views.v_vendor_restocks_weekly_active(self.restocks(cadence_days), self.vendor_status, self.p)
 
     # ---------------- catalog views
     def views(self) -> dict[str, DataFrame]:
-        current = inventory.current_inventory(self.snapshots)
+        current = inventory.current_inventory(self.snapshots, self.p, latest=self.latest_snapshot)
         vvm = views.v_variant_vendor_map(self.variants, self.products)
         active_inv = views.v_current_inventory_active(current, vvm, self.vendor_status, self.p)
         return {
@@ -191,30 +213,44 @@ class WeeklyRun:
             "backtest_baseline_4w": self.baseline, "backtest_proof_4w": self.proof,
             "model_quality_flags": self.flags, "demand_forecasts": self.demand_forecasts,
             "stockout_predictions": self.stockouts, "vendors": self.vendors, "vendor_status": self.vendor_status,
-            "vendor_restock_cadence_one_time": self.cadence, "vendor_restocks_weekly": self.restocks(7),
-            "vendor_restocks_biweekly": self.restocks(14),
-        }
+            "vendor_restocks_weekly": self.restocks(7), "vendor_restocks_biweekly": self.restocks(14),
+            "negative_stock_skus": inventory.negative_stock(self.snapshots, self.variants, self.products, self.p,
+                                                            self.latest_snapshot),
+            "current_inventory": inventory.current_inventory(self.snapshots, self.p, latest=self.latest_snapshot),
+            "latest_snapshot_count": inventory.latest_snapshot_count(self.snapshots, self.p, self.latest_snapshot),
+            "sales_daily_freshness": inventory.sales_daily_freshness(self.sales_daily, self.p),
+            "model_kpis": views.model_kpis(self.flags), "quality_distribution": views.quality_distribution(self.flags),
+            "wape_scatter": views.wape_scatter(self.flags), "proof_series": views.proof_series(self.proof),
+        } | ({} if self.cadence_in is not None else {
+            "vendor_sales_rank_one_time": self.vendor_rank, "vendor_restock_cadence_one_time": self.cadence})
 
     def write_all(self, out_dir: str) -> dict[str, str]:
+        """Write every output, and the dashboard views under ``views/``; rollups are partitioned by date."""
         paths = {}
-        for name, df in self.outputs().items():
+        for name, df in (self.outputs() | {f"views/{n}": v for n, v in self.views().items()}).items():
             paths[name] = f"{out_dir}/{name}"
-            df.write.mode("overwrite").parquet(paths[name])
+            if name in ROLLUPS:
+                store.write_rollup(df, paths[name], ROLLUPS[name], "variant_id")
+            else:
+                df.write.mode("overwrite").parquet(paths[name])
         return paths
 
+    def save_config(self, store_dir: str) -> None:
+        """Keep vendors, their status and (once) the frozen cadence in the store, so ids and cycles stay."""
+        store.replace_table(self.vendors, f"{store_dir}/vendors")
+        store.replace_table(self.vendor_status, f"{store_dir}/vendor_status")
+        if self.cadence_in is None:
+            store.replace_table(self.cadence, f"{store_dir}/{CADENCE}")
+
     def cleanup(self) -> None:
-        """Delete this run's materialized steps from the shared folder (after ``write_all``).
+        """Delete this run's materialized steps from the shared folder.
 
         DataFrames returned by this run read those files, so call it only
         when they are no longer needed.
         """
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.work_dir)
-        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if fs.exists(path):
-            fs.delete(path, True)
+        store.delete_folder(self.spark, self.work_dir)
 
 
-def from_fixture(f, p: Params = DEFAULT_PARAMS, materialize_steps: bool = True) -> WeeklyRun:
+def from_fixture(f, p: Params, materialize_steps: bool = True) -> WeeklyRun:
     return WeeklyRun(f.spark, f.variants, f.products, f.sales_table(), f.inventory, f.vendors_existing,
                      f.vendor_status_existing, p, materialize_steps=materialize_steps)

@@ -48,11 +48,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and intermediate tables.
 
     On a cluster ``spark.checkpoint.dir`` names a shared filesystem folder and
-    is used as-is. Only when it is unset (local tests) do we pick our own.
+    is used as-is. Only a local session may go without: it gets its own
+    temporary folder, which other machines could not read.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="shelfcast-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)

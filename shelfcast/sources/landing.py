@@ -3,7 +3,8 @@
 The sync job lands every API response page as one JSON line; the landing
 metadata the page itself does not carry (page number, and for inventory the
 location id and snapshot instant) sits next to ``data``. Pages are read with
-explicit schemas (never inferred) and flattened with ``explode`` — narrow,
+explicit schemas (never inferred), pages that do not fit are rejected whole
+(`split_rejects`), and the rest is flattened with ``explode`` — narrow,
 per-page work, so landing many days of pages scales with the number of files.
 """
 
@@ -50,14 +51,51 @@ ORDER_NODE = _st(("id", S), ("name", S), ("createdAt", S), ("cancelledAt", S), (
 ORDERS_PAGE = _st(("page", L), ("data", _st(("orders", _st(("edges", _edges(ORDER_NODE)), ("pageInfo", PAGE_INFO))))))
 
 
-def read_pages(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Landed JSON-lines pages with a fixed schema."""
-    return spark.read.schema(schema).json(path)
+CORRUPT = "_corrupt"
 
 
-def parse_pages(raw: DataFrame, column: str, schema: T.StructType) -> DataFrame:
+def read_pages(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
+    """Landed JSON-lines pages with a fixed schema, and ``_corrupt`` with the text of a line that does not fit it."""
+    return parse_pages(spark.read.text(path).filter(F.trim("value") != ""), "value", schema, corrupt=True)
+
+
+def parse_pages(raw: DataFrame, column: str, schema: T.StructType, corrupt: bool = False) -> DataFrame:
     """Pages held as JSON text in a column (e.g. a message payload)."""
-    return raw.select(F.from_json(F.col(column), schema).alias("_p")).select("_p.*")
+    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]) if corrupt else schema
+    options = {"columnNameOfCorruptRecord": CORRUPT} if corrupt else {}
+    return raw.select(F.from_json(F.col(column), full, options).alias("_p")).select("_p.*")
+
+
+def _unreadable(c) -> F.Column:
+    """A written instant that is no timestamp."""
+    return c.isNotNull() & F.try_to_timestamp(c).isNull()
+
+
+def _bad_page(kind: str) -> F.Column:
+    """True for a page that cannot be flattened without losing something it holds."""
+    none = F.lit(False)
+    bad = {
+        "products": lambda: F.exists("data.products.edges", lambda e: _unreadable(e["node"]["createdAt"])
+                                     | _unreadable(e["node"]["updatedAt"])),
+        "locations": lambda: none,
+        "inventory": lambda: F.col("snapshot_ts").isNull() | _unreadable(F.col("snapshot_ts")),
+        "orders": lambda: F.exists("data.orders.edges", lambda e: e["node"]["createdAt"].isNull()
+                                   | _unreadable(e["node"]["createdAt"])),
+    }[kind]()
+    return F.col(CORRUPT).isNotNull() | F.coalesce(bad, none)
+
+
+def split_rejects(pages: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
+    """(pages to flatten, rejected pages as (kind, page, reason, text)) of `read_pages`.
+
+    A truncated line, a value of the wrong type and an instant that cannot be
+    read reject the whole page. Absent values keep their documented defaults.
+    """
+    marked = pages.withColumn("_bad", _bad_page(kind))
+    good = marked.filter(~F.col("_bad")).drop("_bad", CORRUPT)
+    text = F.coalesce(CORRUPT, F.to_json(F.struct(*[c for c in pages.columns if c != CORRUPT])))
+    reason = F.when(F.col(CORRUPT).isNotNull(), F.lit("not the page schema")).otherwise(F.lit("unreadable instant"))
+    return good, marked.filter("_bad").select(F.lit(kind).alias("kind"), "page", reason.alias("reason"), text.alias("text"))
 
 
 def _instant(c) -> F.Column:
@@ -156,9 +194,3 @@ def flatten_sales(pages: DataFrame, since: dt.datetime | None = None) -> DataFra
         F.col("title").alias("product_title"), F.coalesce("quantity", F.lit(0).cast("bigint")).alias("quantity_sold"),
         "sale_date", "sale_timestamp", F.coalesce("variant.product.vendor", F.lit("")).alias("vendor"),
         F.lit(None).cast("decimal(38,9)").alias("line_price"))
-
-
-def read_sync_document(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """The 5-array hand-off document (products, variants, locations, inventory, sales)."""
-    doc = spark.read.option("multiLine", True).json(path)
-    return {name: doc.select(F.explode(name).alias("r")).select("r.*") for name in doc.columns}

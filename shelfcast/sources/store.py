@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -90,7 +91,8 @@ def write_fact(df: DataFrame, path: str, name: str, mode: str = "overwrite") ->
     out = require_not_null(conform(df, name), name)
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     out = out.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    out.write.mode(mode).partitionBy(part).parquet(path)
+    # an overwrite replaces the partitions it brings, whatever the session's own setting is
+    out.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
 
 
 # ------------------------------------------------------------------ C05 / C06 dimension refresh, staging
@@ -106,14 +108,14 @@ def write_dimension(df: DataFrame, path: str, name: str) -> bool:
     """Replace a dimension table; an empty load is a no-op. Returns True if written."""
     if df.isEmpty():
         return False
-    conform(df, name).write.mode("overwrite").parquet(path)
+    require_not_null(conform(df, name), name).write.mode("overwrite").parquet(path)
     return True
 
 
 def stage(df: DataFrame, path: str, name: str) -> DataFrame:
     """Replace the staging table (empty batches truncate it) and return it re-read."""
     spark = df.sparkSession
-    conform(df, name).write.mode("overwrite").parquet(path)
+    require_not_null(conform(df, name), name).write.mode("overwrite").parquet(path)
     return spark.read.schema(table_schema(name)).parquet(path)
 
 
@@ -195,36 +197,48 @@ def multi_matched_keys(target_in_range: DataFrame, source: DataFrame, key: str)
     return dup.join(target_in_range.select(key).distinct(), key, "left_semi")
 
 
+class Upserted(NamedTuple):
+    partitions: int             # partitions rewritten
+    dropped: int                # staged rows given up for a later one of their key
+
+
 def upsert_partitions(spark: SparkSession, path: str, name: str, source: DataFrame,
-                      on_duplicate: str = "error") -> int:
-    """Apply a staged batch to a stored fact table; rewrites only partitions in the batch range.
+                      on_duplicate: str = "error") -> Upserted:
+    """Apply a batch to a stored fact table; rewrites only partitions in the batch range.
 
     ``on_duplicate``: 'error' fails when two source rows match one stored row;
-    'latest' keeps the newest source row per key first. Returns the number of
-    partitions rewritten (0 for an empty batch: C06's skip).
+    'latest' keeps the newest source row per key first and reports how many
+    rows that dropped. An empty batch changes nothing (C06's skip). The batch
+    and the merged rows are each written once to the shared folder, and both
+    copies are deleted afterwards.
     """
     _, date_col, _, _ = schemas.TABLES[name]
     key = FACT_KEYS[name]
     keep = ("line_price",) if name == "sales_history_raw" else ()
-    source = conform(source, name)
-    bounds = source.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi")).first()  # one tiny action
-    if bounds is None or bounds["lo"] is None:
-        return 0
-    lo, hi = bounds["lo"], bounds["hi"]
-    create_if_absent(spark, path, name)
-    target = read_fact(spark, path, name, lo, hi)       # literal range: static partition pruning
-    if on_duplicate == "latest":
-        ts_col = "sale_timestamp" if name == "sales_history_raw" else "snapshot_timestamp"
-        source = dedupe(source, key, [ts_col] + [c for c in source.columns if c not in (key, ts_col)], latest=True)
-    elif on_duplicate == "error" and not multi_matched_keys(target, source, key).isEmpty():
-        raise ValueError(f"upsert into {name}: a stored row matches several staged rows")
-    merged = merge_rows(target, source, key, date_col, keep)
-    staging = f"{checkpoint_dir(spark)}/upsert-{name}-{uuid.uuid4().hex}"
-    merged.write.parquet(staging)                        # lineage cut in the shared folder
-    staged = spark.read.schema(table_schema(name)).parquet(staging)
-    n_parts = staged.select(date_col).distinct().count()
-    write_fact(staged, path, name, mode="overwrite")     # dynamic: only these partitions are replaced
-    return n_parts
+    work = f"{checkpoint_dir(spark)}/upsert-{name}-{uuid.uuid4().hex}"
+    try:
+        conform(source, name).write.parquet(f"{work}/source")
+        source = spark.read.schema(table_schema(name)).parquet(f"{work}/source")
+        bounds = source.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi"), F.count(F.lit(1)).alias("n")).first()
+        if bounds["lo"] is None:
+            return Upserted(0, 0)
+        lo, hi, dropped = bounds["lo"], bounds["hi"], 0
+        create_if_absent(spark, path, name)
+        target = read_fact(spark, path, name, lo, hi)       # literal range: static partition pruning
+        if on_duplicate == "latest":
+            ts_col = "sale_timestamp" if name == "sales_history_raw" else "snapshot_timestamp"
+            source = dedupe(source, key, [ts_col] + [c for c in source.columns if c not in (key, ts_col)], latest=True)
+            dropped = bounds["n"] - source.count()
+        elif on_duplicate != "error":
+            raise ValueError(f"on_duplicate is 'error' or 'latest', not {on_duplicate!r}")
+        elif not multi_matched_keys(target, source, key).isEmpty():
+            raise ValueError(f"upsert into {name}: a stored row matches several staged rows")
+        merge_rows(target, source, key, date_col, keep).write.parquet(f"{work}/merged")
+        write_fact(spark.read.schema(table_schema(name)).parquet(f"{work}/merged"), path, name, mode="overwrite")
+        touched = [v for v in partition_values(spark, path, date_col) if lo <= dt.date.fromisoformat(v) <= hi]
+        return Upserted(len(touched), dropped)
+    finally:
+        delete_folder(spark, work)
 
 
 # ------------------------------------------------------------------ C12 retention, C18b partition metadata
@@ -239,6 +253,12 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
 def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     """Partition values from the directory listing (metadata only, no data read)."""
     fs, p = _fs(spark, path)
@@ -255,10 +275,17 @@ def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     return out
 
 
-def latest_partition(spark: SparkSession, path: str, column: str) -> dt.date | None:
-    """C18b on a stored table: newest partition date, NULL/default partitions skipped."""
-    vals = partition_values(spark, path, column)
-    return max((dt.date.fromisoformat(v) for v in vals), default=None)
+def latest_partition(spark: SparkSession, path: str, column: str, until: dt.date | None = None) -> dt.date | None:
+    """C18b on a stored table: newest partition date (not after ``until``), NULL/default partitions skipped."""
+    days = (dt.date.fromisoformat(v) for v in partition_values(spark, path, column))
+    return max((d for d in days if until is None or d <= until), default=None)
+
+
+def write_rollup(df: DataFrame, path: str, date_col: str, cluster: str) -> None:
+    """Replace a date-partitioned rollup: each file holds a narrow range of dates and cluster keys."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (df.repartitionByRange(n, date_col, cluster).sortWithinPartitions(date_col, cluster)
+     .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(date_col).parquet(path))
 
 
 def enforce_retention(spark: SparkSession, path: str, column: str, as_of: dt.date, days: int = 365) -> list[str]:

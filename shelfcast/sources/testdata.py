@@ -18,9 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.functions.semantics import date_lit, ts_lit
-from shelfcast.params import DEFAULT_PARAMS, Params
+from shelfcast.params import Params
 
 # Fixed values of the fixture mapping (FIXTURES.md §2).
+FIXTURE_PARAMS = Params(as_of=dt.date(2001, 11, 5), run_ts=dt.datetime(2001, 11, 5), internal_vendors=("Brand#1",))
 SNAPSHOT_OFFSETS_DAYS = (1, 8, 15)
 EXISTING_VENDOR_MAX_N = 22
 INACTIVE_REGIONKEY = 4
@@ -42,7 +43,7 @@ def variant_key(grain: str):
 class Fixture:
     """Lazily built retail tables over one scale-factor directory."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, grain: str = "bt", params: Params = DEFAULT_PARAMS):
+    def __init__(self, spark: SparkSession, sf_dir: str, grain: str = "bt", params: Params = FIXTURE_PARAMS):
         self.spark, self.sf_dir, self.grain, self.p = spark, sf_dir.rstrip("/"), grain, params
 
     def table(self, name: str) -> DataFrame:
@@ -107,19 +108,9 @@ class Fixture:
             F.when(n % 11 == 0, F.lit(ARCHIVE_NOTE)).alias("note"))
 
     # ------------------------------------------------------------------ facts
-    def spread(self, df: DataFrame) -> DataFrame:
-        """Spread an input that arrives in fewer splits than there are cores.
-
-        The driver's files hold one row group each, so a whole table would be
-        one scan task; real fact tables come in many files and pass through.
-        """
-        cores = self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
     @cached_property
     def sales(self) -> DataFrame:
-        li = self.spread(self.table("lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity",
-                                                        "l_shipdate"))
+        li = self.table("lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_shipdate")
         pv = self.part_v.select("p_partkey", "p_brand", "variant_id", "sku_label")
         return li.join(pv, li.l_partkey == pv.p_partkey, "inner").select(
             F.concat_ws("_", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("sale_id"),
@@ -136,13 +127,16 @@ class Fixture:
 
     @cached_property
     def inventory(self) -> DataFrame:
-        # Every variant is stocked at every location on each snapshot date: each
-        # variant row expands over the region keys (the fixed 5-row region table,
-        # read once as a scalar subquery) and the 3 offsets -> 15 rows per variant.
-        v = self.variants_k.select("variant_id", "sku", "k")
-        region_keys = self.table("region").select(F.sort_array(F.collect_list("r_regionkey"))).scalar()
+        # A variant is stocked in the regions whose suppliers ship it: the (variant,
+        # region) pairs that the order lines hold, on each of the 3 snapshot dates.
+        shipped = (self.table("lineitem").select("l_partkey", "l_suppkey")
+                   .join(self.part_v.select(F.col("p_partkey").alias("l_partkey"), "variant_id"), "l_partkey")
+                   .join(self.table("supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"), "l_suppkey")
+                   .join(self.table("nation").select(F.col("n_nationkey").alias("s_nationkey"),
+                                                     F.col("n_regionkey").alias("r_regionkey")), "s_nationkey")
+                   .select("variant_id", "r_regionkey").distinct())
         offs = F.explode(F.array(*[F.lit(o) for o in SNAPSHOT_OFFSETS_DAYS])).alias("off")
-        base = v.select("*", F.explode(region_keys).alias("r_regionkey")).select("*", offs)
+        base = shipped.join(self.variants_k.select("variant_id", "sku", "k"), "variant_id").select("*", offs)
         snap_date = F.date_sub(date_lit(self.p.as_of), F.col("off"))
         return base.select(
             F.concat_ws("_", "variant_id", F.col("r_regionkey").cast("string"), snap_date.cast("string")).alias("snapshot_id"),
@@ -176,7 +170,7 @@ class StoredFixture(Fixture):
     DIMENSIONS = ("variants", "products", "locations", "vendors_existing", "vendor_status_existing")
 
     def __init__(self, spark: SparkSession, sf_dir: str, store_dir: str, grain: str = "bt",
-                 params: Params = DEFAULT_PARAMS):
+                 params: Params = FIXTURE_PARAMS):
         super().__init__(spark, sf_dir, grain, params)
         self.store_dir = store_dir.rstrip("/")
 

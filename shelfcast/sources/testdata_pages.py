@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.sources.testdata import ARCHIVED_AT, Fixture
 
-GID = "gid://shopify/{}/"
+GID = "gid://shop/{}/"
 ISO_Z = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 # Orders are stamped 20:00 at UTC-5, so the local sale date differs from the UTC date.
 ORDER_LOCAL = "yyyy-MM-dd'T'20:00:00'-05:00'"
@@ -62,7 +62,7 @@ def location_pages(f: Fixture) -> DataFrame:
 def inventory_pages(f: Fixture) -> DataFrame:
     inv = f.inventory.join(f.variants_k.select("variant_id", "k"), "variant_id")
     q = lambda name, c: F.struct(F.lit(name).alias("name"), F.col(c).alias("quantity"))
-    node = F.struct(F.concat(F.lit("gid://shopify/InventoryLevel/"), F.col("snapshot_id")).alias("id"),
+    node = F.struct(F.concat(F.lit("gid://shop/InventoryLevel/"), F.col("snapshot_id")).alias("id"),
                     F.struct(_gid("InventoryItem", F.concat(F.lit("inv"), F.col("k").cast("string"))).alias("id"),
                              F.col("sku")).alias("item"),
                     F.array(q("available", "available_qty"), q("incoming", "incoming_qty"),

@@ -28,7 +28,7 @@ def order_pages_stream(spark: SparkSession, landing_dir: str, max_files_per_trig
 
 def ingest_sales(spark: SparkSession, landing_dir: str, sales_path: str, checkpoint: str,
                  since: dt.datetime | None = None, available_now: bool = True,
-                 on_duplicate: str = "latest") -> StreamingQuery:
+                 on_duplicate: str = "error") -> StreamingQuery:
     """Start the stream: landed order pages -> ``sales_history_raw`` upserts.
 
     ``available_now`` processes everything landed so far and stops (a daily

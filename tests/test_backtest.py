@@ -30,15 +30,16 @@ def test_metrics_baseline_and_labels(spark):
     hold = backtest.holdout_with_baseline(w, P2)
     guard = backtest.has_training(w, P2)
     j = backtest.backtest_joined(hold, fc)
-    m = {r.variant_id: r for r in backtest.backtest_metrics(j, guard, P2).collect()}
+    scores = backtest.backtest_scores(j, guard)
+    m = {r.variant_id: r for r in backtest.backtest_metrics(scores, P2).collect()}
     # a: actual 4,4,2 vs pred 4,4,0 -> error 2 / 10
     assert (m["a"].sum_actual, m["a"].sum_abs_error, m["a"].wape) == (10, 2, 0.2)
     assert m["b"].sum_abs_error == 5 and m["b"].mape == 1.0      # forecast-only week (actual 0) is not in MAPE
-    b = {r.variant_id: r for r in backtest.backtest_baseline(hold, guard).collect()}
+    b = {r.variant_id: r for r in backtest.backtest_baseline(scores).collect()}
+    assert set(b) == {"a", "b"} and set(m) == {"a", "b"}
     # a baseline: 1->4 (3), 4->4 (0), week 10-15 missing -> 2 vs 0 (2) => 5/10
     assert b["a"].baseline_wape == 0.5 and b["a"].sum_actual_holdout == 10
-    flags = {r.variant_id: r.model_quality for r in backtest.model_quality_flags(
-        backtest.backtest_metrics(j, guard, P2), backtest.backtest_baseline(hold, guard), P2).collect()}
+    flags = {r.variant_id: r.model_quality for r in backtest.model_quality_flags(scores, P2).collect()}
     assert flags == {"a": "GOOD", "b": "NO_DATA"}
 
 
@@ -48,7 +49,7 @@ def test_label_thresholds(spark):
                               "variant_id string, wape double, sum_actual bigint")
     b = spark.createDataFrame([("g", 0.1, 10), ("w", 0.9, 10), ("bad", 2.0, 10), ("wk", None, 10), ("worse", 0.7, 10),
                                ("nodata", 0.1, 3)], "variant_id string, baseline_wape double, sum_actual_holdout bigint")
-    got = {r.variant_id: r.model_quality for r in backtest.model_quality_flags(m, b, P).collect()}
+    got = {r.variant_id: r.model_quality for r in backtest.model_quality_flags(m.join(b, "variant_id"), P).collect()}
     assert got == {"g": "GOOD", "w": "GOOD", "bad": "BAD", "wk": "WEAK", "worse": "WORSE_THAN_BASELINE", "nodata": "NO_DATA"}
 
 

@@ -3,7 +3,7 @@ import duckdb
 import __spark_entry__ as entry_mod
 
 SF = "/root/testdata/sf0.001"
-TABLES = "region nation customer supplier part orders lineitem".split()
+TABLES = "region nation customer supplier part orders lineitem documents embeddings benchmark labels".split()
 
 
 def test_entry_smoke(spark):

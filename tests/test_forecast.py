@@ -78,29 +78,6 @@ def test_weekday_pattern_selects_season_and_recovers_offsets(spark):
     assert got == [10 + pattern[t % 7] for t in range(56, 63)]
 
 
-def test_arima_tier_rows_and_ar1_recovery(spark):
-    import numpy as np
-
-    from shelfcast.operators import arima
-
-    rng = np.random.default_rng(7)
-    x = np.zeros(300)
-    for t in range(1, 300):
-        x[t] = 0.6 * x[t - 1] + rng.normal()
-    y = np.round(x * 3 + 40).astype(int)
-    rows = [("ar", dt.date(2001, 1, 1) + dt.timedelta(days=t), int(v)) for t, v in enumerate(y)]
-    rows += [("short", dt.date(2001, 1, 1), 3), ("short", dt.date(2001, 1, 3), 5)]
-    s = spark.createDataFrame(rows, "variant_id string, ts date, y bigint")
-    fc = arima.forecast_arima(s, "variant_id", "ts", "y", 1, 4, 1.96).collect()
-    assert len(fc) == 2 * 4
-    models = {r.variant_id: r.model for r in fc}
-    assert models["ar"].startswith("arima(") and models["short"] == "mean"
-    for r in fc:
-        assert r.prediction_interval_lower_bound <= r.forecast_value <= r.prediction_interval_upper_bound
-    first = min((r for r in fc if r.variant_id == "ar"), key=lambda r: r.forecast_ts)
-    assert first.forecast_ts == dt.date(2001, 1, 1) + dt.timedelta(days=300)
-
-
 def test_regularize_policies_and_frequency(spark):
     s = spark.createDataFrame([("a", dt.date(2001, 1, 1), 2), ("a", dt.date(2001, 1, 4), 8), ("b", dt.date(2001, 1, 1), 5)],
                               "variant_id string, ts date, y bigint")

@@ -75,4 +75,3 @@ def test_flatten_sales_filters_and_local_date(spark):
                   for r in sales.collect())
     assert rows == [("1_1", "9", "", 0, "2001-11-04", dt.datetime(2001, 11, 5, 4, 30), ""),
                     ("1_3", "8", "", 0, "2001-11-04", dt.datetime(2001, 11, 5, 4, 30), "V")]
-    assert F is not None

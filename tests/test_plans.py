@@ -3,7 +3,7 @@
 import datetime as dt
 
 from shelfcast.operators import demand, restock, vendors
-from shelfcast.params import DEFAULT_PARAMS as P
+from shelfcast.sources.testdata import FIXTURE_PARAMS as P
 from shelfcast.sources import store
 from shelfcast.sources.testdata import Fixture
 
@@ -39,13 +39,3 @@ def test_fact_reads_prune_partitions(spark, tmp_path):
 
     ranged = store.read_fact(spark, path, "sales_history_raw", dt.date(2001, 10, 1), dt.date(2001, 10, 31))
     assert all("<= 2001-10-31" in ln for ln in scan_lines(plan_of(ranged), "sales_history_raw"))
-
-
-def test_vendor_config_broadcast_is_size_checked(spark):
-    from shelfcast.functions.semantics import bounded_broadcast
-
-    small = spark.range(10)
-    big = spark.range(1000)
-    assert "ResolvedHint" in small.hint("broadcast")._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in bounded_broadcast(small, 100)._jdf.queryExecution().analyzed().toString().lower()
-    assert "broadcast" not in bounded_broadcast(big, 100)._jdf.queryExecution().analyzed().toString().lower()

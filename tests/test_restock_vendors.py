@@ -8,6 +8,7 @@ from shelfcast.params import Params
 
 P = Params(as_of=dt.date(2001, 11, 5))
 AS_OF = P.as_of
+LINES = "variant_id string, sku string, vendor_name string, product_title string, variant_title string"
 
 
 def test_stockout_first_date_reaching_stock(spark):
@@ -32,9 +33,7 @@ def test_stockout_date_is_monotone_in_stock(spark):
 
 
 def restock_inputs(spark, stock, quality, forecast_units, sold_56d, moq=5, pack=4, lead=4):
-    vmap = spark.createDataFrame([("v", "SKU", "Acme")], "variant_id string, sku string, vendor_name string")
-    variants = spark.createDataFrame([("v", "p", "SKU", "vt", 1.0, "i")], schemas.VARIANTS)
-    products = spark.createDataFrame([("p", "pt", "Acme", "ACTIVE", None, None)], schemas.PRODUCTS)
+    vmap = spark.createDataFrame([("v", "SKU", "Acme", "pt", "vt")], LINES)
     status = spark.createDataFrame([("Acme", False, None, None)], schemas.VENDOR_STATUS)
     cadence = spark.createDataFrame([("Acme", 1, 1.0, 1, 7, AS_OF)],
                                     "vendor_name string, revenue_rank int, vendor_revenue_6m double, "
@@ -47,7 +46,22 @@ def restock_inputs(spark, stock, quality, forecast_units, sold_56d, moq=5, pack=
     sales = spark.createDataFrame([("x", "o", "#o", "v", "SKU", "t", sold_56d, AS_OF - dt.timedelta(days=3), None, "Acme", None)],
                                   schemas.SALES_HISTORY)
     flags = spark.createDataFrame([("v", quality)], "variant_id string, model_quality string")
-    return restock.vendor_restocks(vmap, variants, products, status, cadence, vend, snaps, fc, sales, flags, P)
+    return restock.vendor_restocks(vmap, status, cadence, vend, snaps, fc, restock.fallback_demand(sales, P), flags, P)
+
+
+def test_a_variant_of_two_vendors_has_each_vendors_own_demand(spark):
+    vmap = spark.createDataFrame([("v", "SKU", "Near", "pt", "vt"), ("v", "SKU", "Far", "pt", "vt")], LINES)
+    status = spark.createDataFrame([("Near", False, None, None), ("Far", None, None, None)], schemas.VENDOR_STATUS)
+    cadence = spark.createDataFrame([("Near", 7), ("Far", 7)], "vendor_name string, restock_frequency_days int")
+    vend = spark.createDataFrame([(1, "Near", 0, 1, 1), (2, "Far", 10, 1, 1)], schemas.VENDORS)
+    snaps = spark.createDataFrame([], schemas.INVENTORY_SNAPSHOTS)
+    fc = spark.createDataFrame([("v", AS_OF + dt.timedelta(days=i), 1) for i in range(-5, 60)],
+                               "variant_id string, forecast_date date, predicted_qty bigint")
+    flags = spark.createDataFrame([("v", "GOOD")], "variant_id string, model_quality string")
+    fallback = spark.createDataFrame([], "variant_id string, avg_daily_units double")
+    got = {r.vendor_name: r.expected_demand for r in restock.vendor_restocks(
+        vmap, status, cadence, vend, snaps, fc, fallback, flags, P).collect()}
+    assert got == {"Near": 11, "Far": 21}         # horizons of 10 and 20 days, both ends counted
 
 
 def test_restock_quantities(spark):
@@ -106,4 +120,3 @@ def test_vendor_rank_ties_and_cadence(spark):
     assert got == {"A": (10, 20.0, 1), "C": (10, 20.0, 1), "B": (20, 20.0, 1)}
     cad = vendors.vendor_cadence(rank, Params(fast_cadence_top_n=0))
     assert {r.restock_frequency_days for r in cad.collect()} == {14}
-    assert F is not None

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfcast import schemas
+from shelfcast.session import checkpoint_dir
 from shelfcast.sources import store
 
 from conftest import D, TS
@@ -41,23 +42,47 @@ def test_upsert_partitions_on_disk(spark, tmp_path):
                      path, "sales_history_raw")
     n = store.upsert_partitions(spark, path, "sales_history_raw",
                                 sale(spark, [("a", 10, "2001-11-01"), ("c", 4, "2001-11-02")]))
-    assert n == 2
+    assert n == (2, 0)
     assert state(spark.read.parquet(path)) == [("a", 10, "2001-11-01"), ("b", 2, "2001-11-02"),
                                                ("c", 4, "2001-11-02"), ("x", 7, "2001-10-01")]
     again = store.upsert_partitions(spark, path, "sales_history_raw",
                                     sale(spark, [("a", 10, "2001-11-01"), ("c", 4, "2001-11-02")]))
-    assert again == 2 and len(state(spark.read.parquet(path))) == 4
-    assert store.upsert_partitions(spark, path, "sales_history_raw", sale(spark, [])) == 0
+    assert again.partitions == 2 and len(state(spark.read.parquet(path))) == 4
+    assert store.upsert_partitions(spark, path, "sales_history_raw", sale(spark, [])) == (0, 0)
     with pytest.raises(ValueError):
         store.upsert_partitions(spark, path, "sales_history_raw",
                                 sale(spark, [("a", 1, "2001-11-01"), ("a", 2, "2001-11-01")]))
-    store.upsert_partitions(spark, path, "sales_history_raw",
-                            sale(spark, [("a", 1, "2001-11-01"), ("a", 2, "2001-11-01")]), on_duplicate="latest")
+    kept = store.upsert_partitions(spark, path, "sales_history_raw",
+                                   sale(spark, [("a", 1, "2001-11-01"), ("a", 2, "2001-11-01")]), on_duplicate="latest")
+    assert kept == (1, 1)                                   # the staged row given up is reported
     assert store.latest_partition(spark, path, "sale_date") == dt.date(2001, 11, 2)
     assert store.enforce_retention(spark, path, "sale_date", dt.date(2001, 11, 5), 30) == ["2001-10-01"]
     assert store.partition_values(spark, path, "sale_date") and "2001-10-01" not in store.partition_values(spark, path, "sale_date")
 
 
+def test_upsert_in_a_plain_session_keeps_the_other_partitions(spark, tmp_path):
+    """A caller's own session has static partition overwrite: the writer must not depend on it."""
+    import os
+
+    path = str(tmp_path / "sales")
+    plain = spark.newSession()
+    plain.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    store.write_fact(sale(plain, [("a", 1, "2001-11-01"), ("x", 7, "2001-10-01")]), path, "sales_history_raw")
+    before = set(os.listdir(checkpoint_dir(plain).replace("file:", "")))
+    store.upsert_partitions(plain, path, "sales_history_raw", sale(plain, [("c", 4, "2001-11-01")]))
+    assert state(plain.read.parquet(path)) == [("a", 1, "2001-11-01"), ("c", 4, "2001-11-01"), ("x", 7, "2001-10-01")]
+    assert set(os.listdir(checkpoint_dir(plain).replace("file:", ""))) == before        # no staging copy stays
+
+
+def test_null_keys_fail_dimensions_and_staging(spark, tmp_path):
+    locs = spark.createDataFrame([(None, "x", True)], "location_id string, name string, active boolean")
+    with pytest.raises(Exception, match="NULL key"):
+        store.write_dimension(locs, str(tmp_path / "l"), "locations")
+    bad = sale(spark, [("a", 1, "2001-11-01")]).withColumn("sale_id", F.lit(None).cast("string"))
+    with pytest.raises(Exception, match="NULL key"):
+        store.stage(bad, str(tmp_path / "s"), "sales_history_stg")
+
+
 def test_dedupe_keeps_first_in_total_order(spark):
     df = sale(spark, [("a", 5, "2001-11-01"), ("a", 3, "2001-11-01"), ("b", 1, "2001-11-02")])
     got = store.dedupe(df, "sale_id", ["quantity_sold"])
@@ -76,12 +101,11 @@ def test_require_not_null(spark):
     with pytest.raises(Exception):
         store.require_not_null(df, "locations").collect()
     assert store.conform(df.select("name"), "locations").columns == ["location_id", "name", "active"]
-    assert F is not None
 
 
 def test_replace_table_reading_itself(spark, tmp_path):
     from shelfcast.operators import vendors as vops
-    from shelfcast.params import DEFAULT_PARAMS as P
+    from shelfcast.sources.testdata import FIXTURE_PARAMS as P
 
     path = str(tmp_path / "vendors")
     spark.createDataFrame([(3, "Old", None, None, None)], schemas.VENDORS).write.parquet(path)

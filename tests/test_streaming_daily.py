@@ -1,8 +1,11 @@
 import datetime as dt
+import json
+import os
 
+import pytest
 from pyspark.sql import functions as F
 
-from shelfcast.params import DEFAULT_PARAMS as P
+from shelfcast.sources.testdata import FIXTURE_PARAMS as P
 from shelfcast.plans.daily import daily_load
 from shelfcast.sources import testdata_pages as pages
 from shelfcast.sources.testdata import Fixture
@@ -24,8 +27,9 @@ def test_daily_load_round_trip(spark, tmp_path):
     _land(pages.inventory_pages(f), f"{land}/inventory")
     _land(pages.order_pages(f), f"{land}/orders")
     out = str(tmp_path / "store")
-    rep = daily_load(spark, land, out, since=SINCE)
-    assert rep["products"] and rep["variants"] and rep["inventory_snapshots_raw"] == 3
+    rep = daily_load(spark, land, out, since=SINCE, on_duplicate="latest")
+    assert rep["products"] and rep["variants"] and rep["inventory_snapshots_raw"].partitions == 3
+    assert rep["sales_history_raw"].partitions > 3 and rep["rejects"] == {}
     stored = spark.read.parquet(f"{out}/sales_history_raw")
     expected = f.sales.join(f.order_flags, F.col("order_id") == F.col("o_orderkey").cast("string")) \
         .filter(~F.col("test") & ~F.col("cancelled") & (F.col("sale_date") >= F.lit("2001-09-30").cast("date"))) \
@@ -33,26 +37,69 @@ def test_daily_load_round_trip(spark, tmp_path):
     assert stored.select("sale_id").distinct().count() == expected
     # loading the same pages again changes nothing (idempotent upsert)
     n1 = stored.count()
-    daily_load(spark, land, out, since=SINCE)
+    daily_load(spark, land, out, since=SINCE, on_duplicate="latest")
     assert spark.read.parquet(f"{out}/sales_history_raw").count() == n1
 
 
+def _lines(path, lines):
+    os.makedirs(path)
+    with open(f"{path}/part.json", "w") as f:
+        f.writelines(x + "\n" for x in lines)
+
+
+def _order_page(oid, created, quantity=1, page=1):
+    line = {"id": "gid://x/LineItem/1", "title": "t", "sku": "S", "quantity": quantity,
+            "variant": {"id": "gid://x/ProductVariant/9", "product": {"vendor": "V"}}}
+    order = {"id": f"gid://x/Order/{oid}", "name": f"#{oid}", "createdAt": created, "test": False,
+             "lineItems": {"edges": [{"node": line}]}}
+    return json.dumps({"page": page, "data": {"orders": {"edges": [{"node": order}]}}})
+
+
+def test_bad_pages_are_rejected_and_counted(spark, tmp_path):
+    land, out = str(tmp_path / "landing"), str(tmp_path / "store")
+    good = _order_page(1, "2001-11-01T10:00:00Z")
+    _lines(f"{land}/orders", [good, good[:-20], _order_page(2, "yesterday"), _order_page(3, "2001-11-01T10:00:00Z", "two"), ""])
+    for kind in ("products", "locations", "inventory"):
+        _lines(f"{land}/{kind}", [])
+    with pytest.raises(ValueError, match="'orders': 3"):
+        daily_load(spark, land, out)
+    assert not os.path.exists(f"{out}/sales_history_raw")
+    rep = daily_load(spark, land, out, on_reject="quarantine")
+    assert rep["rejects"] == {"orders": 3}
+    assert [r.sale_id for r in spark.read.parquet(f"{out}/sales_history_raw").collect()] == ["1_1"]
+    reasons = sorted(r.reason for r in spark.read.parquet(f"{out}/rejects").collect())
+    assert reasons == ["not the page schema", "not the page schema", "unreadable instant"]
+
+
+def test_only_new_days_are_read(spark, tmp_path):
+    land, out = str(tmp_path / "landing"), str(tmp_path / "store")
+    for kind in ("products", "locations", "inventory"):
+        _lines(f"{land}/{kind}/day=2001-11-01", [])
+    _lines(f"{land}/orders/day=2001-11-01", [_order_page(1, "2001-11-01T10:00:00Z")])
+    assert daily_load(spark, land, out)["days"] == ["2001-11-01"]
+    assert daily_load(spark, land, out) == {"days": []}
+    _lines(f"{land}/orders/day=2001-11-02", [_order_page(2, "2001-11-02T10:00:00Z")])
+    rep = daily_load(spark, land, out)
+    assert rep["days"] == ["2001-11-02"] and rep["sales_history_raw"] == (1, 0)
+    assert spark.read.parquet(f"{out}/sales_history_raw").count() == 2
+
+
 def test_streaming_ingest_upserts_each_file_once(spark, tmp_path):
     f = Fixture(spark, SF, "bt", P)
     land, target, ckpt = str(tmp_path / "orders"), str(tmp_path / "sales"), str(tmp_path / "ckpt")
     allp = pages.order_pages(f).cache()
     first = allp.limit(3)
     _land(first, f"{land}/batch1")
-    q = ingest_sales(spark, f"{land}/*", target, ckpt, since=SINCE)
+    q = ingest_sales(spark, f"{land}/*", target, ckpt, since=SINCE, on_duplicate="latest")
     q.awaitTermination(120)
     n1 = spark.read.parquet(target).count()
     assert n1 > 0
     _land(allp, f"{land}/batch2")          # overlaps batch1: upsert, not duplicate
-    q = ingest_sales(spark, f"{land}/*", target, ckpt, since=SINCE)
+    q = ingest_sales(spark, f"{land}/*", target, ckpt, since=SINCE, on_duplicate="latest")
     q.awaitTermination(120)
     n2 = spark.read.parquet(target).count()
     assert n2 >= n1
-    q = ingest_sales(spark, f"{land}/*", target, ckpt, since=SINCE)   # nothing new
+    q = ingest_sales(spark, f"{land}/*", target, ckpt, since=SINCE, on_duplicate="latest")   # nothing new
     q.awaitTermination(120)
     assert spark.read.parquet(target).count() == n2
     allp.unpersist()
@@ -91,6 +138,18 @@ def test_cli_weekly_over_a_store(spark, tmp_path):
     recent = f.sales_table().filter(F.col("sale_date") >= F.lit("2000-10-01").cast("date"))
     store.write_fact(recent, f"{st}/sales_history_raw", "sales_history_raw")
     store.write_fact(f.inventory, f"{st}/inventory_snapshots_raw", "inventory_snapshots_raw")
-    args = cli.argparse.Namespace(store=st, out=str(tmp_path / "out"), as_of=P.as_of.isoformat())
+    args = cli.argparse.Namespace(store=st, out=str(tmp_path / "out"), as_of=P.as_of.isoformat(), internal_vendor=["Brand#1"])
     paths = cli._weekly(spark, args)
     assert spark.read.parquet(paths["vendor_restocks_weekly"]).count() > 0
+    assert {"negative_stock_skus", "model_kpis", "proof_series", "views/v_vendor_summary",
+            "vendor_restock_cadence_one_time"} <= set(paths)
+    assert any(n.startswith("sale_date=") for n in os.listdir(paths["sales_daily"]))
+    read = lambda name: sorted(map(tuple, spark.read.parquet(f"{st}/{name}").collect()), key=repr)
+    first = {name: read(name) for name in ("vendors", "vendor_status", "vendor_restock_cadence_one_time")}
+    assert len(first["vendors"]) > f.vendors_existing.count()
+    # a later run keeps ids, status and the frozen cadence
+    args.as_of = (P.as_of - dt.timedelta(days=28)).isoformat()
+    args.out = str(tmp_path / "out2")
+    again = cli._weekly(spark, args)
+    assert "vendor_restock_cadence_one_time" not in again
+    assert {name: read(name) for name in first} == first
