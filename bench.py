@@ -69,6 +69,10 @@ def main() -> None:
         df = qs[name](spark, sf_dir, grain=grain)
         df.write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
+    if mode == "pipeline":
+        for r in catalog_models.SHARED_RUNS.values():
+            r.cleanup()
+    registry.close(spark)
     sf = os.path.basename(sf_dir).replace("sf", "")
     print(json.dumps({"metric": "headline_total", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": float(sf) if sf.replace(".", "").isdigit() else sf,

@@ -23,9 +23,19 @@ FIT_COLS = ("variant_id, n, last_ts, model, score, sigma, y_mean, y_last, drift,
 SHARED_RUNS: dict | None = None     # bench: one WeeklyRun per (session, data, grain), steps reused in order
 
 
+_OPEN: list[WeeklyRun] = []
+
+
+def close_runs() -> None:
+    """Delete the materialized steps of every run that a query has started."""
+    while _OPEN:
+        _OPEN.pop().cleanup()
+
+
 def run(f: Fixture) -> WeeklyRun:
     if SHARED_RUNS is None:
-        return from_fixture(f, P)
+        _OPEN.append(from_fixture(f, P))
+        return _OPEN[-1]
     k = (id(f.spark), f.sf_dir, f.grain)
     if k not in SHARED_RUNS:
         SHARED_RUNS[k] = from_fixture(f, P)
