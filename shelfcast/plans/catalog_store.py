@@ -6,6 +6,7 @@ rows that are compared went through the writers, the upsert and the readers.
 
 from __future__ import annotations
 
+import functools
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfcast.operators import inventory
 from shelfcast.plans.catalog import ORACLE, P, fx, register
 from shelfcast.plans.catalog_ingest import SINCE, inventory_batches, sales_batches
-from shelfcast.plans.oracle_fixture import FixtureSQL
+from shelfcast.plans.oracle_fixture import FixtureSQL, with_fixture
 from shelfcast.session import checkpoint_dir
 from shelfcast.sources import landing, store
 from shelfcast.sources import testdata_pages as pages
@@ -79,6 +80,24 @@ def q_landed_sales(spark, sf_dir, grain="bt"):
     return landing.flatten_sales(_landed(fx(spark, sf_dir, grain), "orders"), SINCE)
 
 
+@register("s05_sync_tables", with_fixture([], """
+SELECT 'products' AS name, product_id AS key, title AS label FROM products
+UNION ALL SELECT 'variants', variant_id, sku FROM variants
+UNION ALL SELECT 'locations', location_id, name FROM locations
+UNION ALL SELECT 'inventory', snapshot_id, available_qty::VARCHAR FROM inventory
+UNION ALL SELECT 'sales', sale_id, quantity_sold::VARCHAR FROM sales"""))
+def q_sync_tables(spark, sf_dir, grain="bt"):
+    f = fx(spark, sf_dir, grain)
+    path = _folder(spark, "sync")
+    store.write_sync_tables({"products": f.products, "variants": f.variants, "locations": f.locations,
+                             "inventory": f.inventory, "sales": f.sales_table()}, path)
+    back = store.read_sync_tables(spark, path)
+    columns = {"products": ("product_id", "title"), "variants": ("variant_id", "sku"), "locations": ("location_id", "name"),
+               "inventory": ("snapshot_id", "available_qty"), "sales": ("sale_id", "quantity_sold")}
+    parts = [back[n].selectExpr(f"'{n}' AS name", f"{k} AS key", f"CAST({v} AS STRING) AS label") for n, (k, v) in columns.items()]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 # ------------------------------------------------------------------ C06-C08 staging and upsert on stored facts
 def _upserted(f: Fixture, name: str, target: DataFrame, source: DataFrame) -> DataFrame:
     path, staging = _folder(f.spark, name), _folder(f.spark, f"{name}-stg")

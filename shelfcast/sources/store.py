@@ -339,3 +339,12 @@ def write_sync_tables(tables: dict[str, DataFrame], out_dir: str) -> None:
     """
     for name, df in tables.items():
         df.write.mode("overwrite").json(f"{out_dir}/{name}")
+
+
+SYNC_TABLES = {"products": "products", "variants": "variants", "locations": "locations",
+               "inventory": "inventory_snapshots_raw", "sales": "sales_history_raw"}
+
+
+def read_sync_tables(spark: SparkSession, in_dir: str) -> dict[str, DataFrame]:
+    """The hand-off tables back, with their fixed schemas."""
+    return {name: spark.read.schema(table_schema(table)).json(f"{in_dir}/{name}") for name, table in SYNC_TABLES.items()}
