@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfcast.llm.common import map_rows
+from shelfcast.llm.common import map_rows, materialize
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -59,8 +59,9 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     texts = texts.withColumn("text_hash", F.xxhash64("text"))
     keys = map_rows(texts.select("doc_id", "text_hash", "text"), _KEYS, _line_keys(min_chars))
-    repeated = (keys.groupBy("key").agg(F.countDistinct("doc_id").alias("n_docs"), F.max("doc_id").alias("keeper"))
-                .filter(F.col("n_docs") >= min_docs).select("key", "keeper"))
+    # a table of its own: the join below then deals out both sides itself, and Spark can split a line that many share
+    repeated = materialize(keys.groupBy("key").agg(F.countDistinct("doc_id").alias("n_docs"), F.max("doc_id").alias("keeper"))
+                           .filter(F.col("n_docs") >= min_docs).select("key", "keeper"), "repeated-lines")
     drops = (keys.join(repeated, "key").filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
              .groupBy("doc_id", "text_hash").agg(F.flatten(F.collect_list("positions")).alias("drop")))
     t, d = texts.alias("t"), drops.alias("d")
