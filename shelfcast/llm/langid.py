@@ -30,7 +30,7 @@ MAX_WORDS = 60_000
 MAX_GRAMS = 60_000
 LONGEST_GRAM = 5
 SMOOTHING = 0.5
-CACHE_WORDS = 200_000
+CACHE_WORDS = 300_000
 UNKNOWN = "und"
 
 WORDS = re.compile(r"[^\W\d_]+")
@@ -103,41 +103,50 @@ def fit(docs: DataFrame, max_train_docs: int = MAX_TRAIN_DOCS, max_words: int =
 
 
 class Scorer:
-    """Scores texts with a model; remembers the backoff of at most ``CACHE_WORDS`` unseen words."""
+    """Scores texts with a model; remembers the backoff of at most ``CACHE_WORDS`` unseen words.
+
+    Every known or remembered word is a row of one matrix, so a text is its
+    word counts times the rows they point at.
+    """
 
     def __init__(self, model: Model):
         self.model = model
-        self.seen: dict[str, np.ndarray] = {}
-        self.known = {w: np.array(v) for w, v in model.words.items()}
-        self.grams = {g: np.array(v) for g, v in model.grams.items()}
-        self.nothing = np.zeros(len(model.langs))
-
-    def word(self, word: str) -> np.ndarray:
-        got = self.known.get(word)
-        if got is None:
-            got = self.seen.get(word)
-        if got is None:
-            got = self._backoff(word)
-            if len(word) <= 32:
-                if len(self.seen) >= CACHE_WORDS:
-                    self.seen.clear()
-                self.seen[word] = got
-        return got
-
-    def _backoff(self, word: str) -> np.ndarray:
+        self.n_known = len(model.words)
+        self.rows = np.zeros((self.n_known + CACHE_WORDS + 1, max(len(model.langs), 1)))
+        if self.n_known:
+            self.rows[:self.n_known] = list(model.words.values())
+        self.index = {w: i for i, w in enumerate(model.words)}       # then the remembered words
+
+    def _backoff(self, word: str) -> list[float]:
+        grams = self.model.grams.get
         for n in range(min(LONGEST_GRAM, len(word) + 2), 0, -1):
-            found = [v for v in map(self.grams.get, grams_of(word, n)) if v is not None]
+            found = [v for v in map(grams, grams_of(word, n)) if v is not None]
             if found:
-                return np.mean(found, axis=0)
-        return self.nothing
+                return [sum(per_lang) / len(found) for per_lang in zip(*found)]
+        return [0.0] * len(self.model.langs)
+
+    def scores(self, counts: Counter) -> np.ndarray:
+        """Log scores of the words, each as often as it is counted."""
+        at = list(map(self.index.get, counts))
+        extra = 0.0
+        for place, word in [(k, w) for k, (i, w) in enumerate(zip(at, counts)) if i is None]:
+            vector = self._backoff(word)
+            if len(word) <= 32 and len(self.index) < self.n_known + CACHE_WORDS:
+                at[place] = self.index[word] = len(self.index)
+                self.rows[at[place]] = vector
+            else:
+                at[place] = -1                                    # a row of zeros
+                extra = extra + counts[word] * np.array(vector)
+        total = np.fromiter(counts.values(), dtype=float, count=len(counts)) @ self.rows[at] + extra
+        if len(self.index) >= self.n_known + CACHE_WORDS:         # remember anew
+            self.index = {w: i for i, w in enumerate(self.model.words)}
+        return total
 
     def predict(self, text: bytes | None) -> tuple[str, float]:
         words = words_of(text)
         if not words or not self.model.langs:
             return UNKNOWN, 0.0
-        counts = Counter(words)
-        scores = np.array(list(counts.values()), dtype=float) @ np.array([self.word(w) for w in counts])
-        scores += np.array(self.model.prior)
+        scores = self.scores(Counter(words)) + np.array(self.model.prior)
         best = int(np.argmax(scores))
         return self.model.langs[best], float(1.0 / np.exp(scores - scores[best]).sum())
 

@@ -49,5 +49,7 @@ def test_unseen_words_back_off_to_shorter_grams():
     model = langid.Model(["a", "b"], [0.0, 0.0], {"known": [-1.0, -9.0]},
                          {"^kno": [-1.0, -9.0], "ki": [-9.0, -1.0], "k": [-1.0, -1.0]})
     s = langid.Scorer(model)
-    assert s.word("known").tolist() == [-1, -9] and s.word("kiwi").tolist() == [-9, -1] and s.word("kno").tolist() == [-1, -9]
-    assert s.word("sk").tolist() == [-1, -1] and s.word("zzz").tolist() == [0, 0]
+    one = lambda *words: s.scores(langid.Counter(words)).tolist()
+    assert one("known") == [-1, -9] and one("kiwi") == [-9, -1] and one("kno") == [-1, -9]
+    assert one("sk") == [-1, -1] and one("zzz") == [0, 0]
+    assert one("known", "known", "kiwi") == [-11, -19] and one("kiwi", "k" * 40) == [-10, -2]
