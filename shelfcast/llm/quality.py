@@ -129,11 +129,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_train_docs: int = MAX_TRAIN_DOCS
     share = max_train_docs / max(marked.count(), 1)
     chosen = marked.filter(hash_fraction("doc_id", seed=SEED) < share)
     fold = F.pmod(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")), F.lit(4)) == 3
-    texts = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(chosen, "doc_id")
+    # `chosen` has about max_train_docs rows of two numbers whatever the labels' size: broadcast, so no text is shuffled
+    texts = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
              .select("y", fold.alias("calibrate"), "text"))
-    # the sample's statistics: about max_train_docs narrow rows, re-dealt over a fixed number of partitions
-    stats = materialize(map_rows(texts, _STATS, lambda rows: ((y, c, statistics(t)) for y, c, t in rows))
-                        .coalesce(FIT_PARTITIONS), "quality-stats")
+    stats = materialize(map_rows(texts, _STATS, lambda rows: ((y, c, statistics(t)) for y, c, t in rows)), "quality-stats")
     d = len(STATISTICS)
     moments = stats.agg(F.count("*").alias("n"), F.avg("y").alias("good"), F.min("y").alias("lo"), F.max("y").alias("hi"),
                         *[F.avg(F.col("x")[i]).alias(f"m{i}") for i in range(d)],
@@ -161,7 +160,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_train_docs: int = MAX_TRAIN_DOCS
 
     def solve(rows: DataFrame) -> np.ndarray:
         sums = [np.frombuffer(bytes(r.normal)).reshape(n_features + 1, n_features + 2)
-                for r in rows.select("y", "x").mapInArrow(normal_equations, partial).collect()]
+                for r in rows.select("y", "x").coalesce(FIT_PARTITIONS).mapInArrow(normal_equations, partial).collect()]
         total = np.sum(sums, axis=0)
         n = max(total[-1, n_features], 1.0)
         penalty = RIDGE * n * np.eye(n_features + 1)

@@ -23,7 +23,9 @@ def brute(rows):
 
 EDGE = [(0, None), (1, ""), (2, " a  b\n\n c\t"), (3, "it's we'll 'tis 12½ x² naïve ÀÉ ßʼn"), (4, "漢字 и кириллица 🙂"),
         (5, "before <|endoftext|> after"), (6, "a\x1cb\x85c\xa0d \x1f e"), (7, "word " * 30_000), (8, "!!! ???  \r\n"),
-        (9, "x" * 5_000), (10, "'s's 's"), (11, " "), (12, "\n \n"), (13, "éé́")]
+        (9, "x" * 5_000), (10, "'s's 's"), (11, " "), (12, "\n \n"), (13, "éé́"),
+        (14, "  two   three    four\n  x \n y \t z  "), (15, " lead"), (16, "  lead"), (17, "   lead"), (18, "trail "),
+        (19, "trail  "), (20, "trail\n "), (21, "a \n\n b\xa0 c \xa0 d"), (22, "one\n two\n\n three")]
 
 
 def test_edge_texts_match_the_tokenizer(spark):
@@ -64,5 +66,5 @@ def test_a_changed_dictionary_is_noticed(spark):
 def test_other_tokenizers_are_encoded_whole():
     enc = tokens.Encoder(public_tokenizers.path("word_bpe_49k.json"))
     assert not enc.by_piece
-    ids = np.frombuffer(enc.ids("Hello there"), dtype="<u4").tolist()
+    ids = np.frombuffer(enc.ids("Hello there"), dtype=f"<u{enc.width}").tolist()
     assert ids == Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")).encode("Hello there", add_special_tokens=False).ids
