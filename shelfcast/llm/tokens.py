@@ -47,8 +47,10 @@ SAMPLE_BYTES = 32 << 10      # of each, what the trainer sees
 BLOCK_BYTES = 4 << 20
 BLOCK_DOCS = 4096
 PART_BYTES = 128 << 20
-LEVEL = 3
-CACHE_PIECES = 400_000
+LEVEL = 1
+CACHE_WORDS = 1_000_000         # words that an encoder remembers
+CACHE_PIECES = 200_000        # pieces of what is no plain word
+CACHE_MISSES = 4_000_000      # lookups that a full cache may fail before it starts anew
 
 # The byte-level BPE split pattern, written out for code points
 # up to U+024F (letters, numbers and white space of Unicode in that range).
@@ -58,6 +60,9 @@ SPACES = "\t-\r \x85\xa0"
 PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^{SPACES}{LETTERS}{NUMBERS}]+"
                     rf"|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+")
 BEYOND = re.compile("[^\x00-ɏ]")
+# Where cutting a text before every blank would cut a run of white space that is one piece.
+RUNS = re.compile(rf"[{SPACES}] (?:[{SPACES}]|\Z)")
+STOPS = frozenset(".,;:!?")
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -67,20 +72,45 @@ def byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
-class Encoder(dict):
-    """Ids of a text as little-endian 32-bit bytes.
+class Cache(dict):
+    """Remembers what ``make`` gives for the keys worth it, at most ``size``.
+
+    The first ones stay until ``CACHE_MISSES`` lookups of others have failed.
+    """
+
+    def __init__(self, make, size: int, worth):
+        super().__init__()
+        self.make, self.size, self.worth, self.misses = make, size, worth, 0
+
+    def __missing__(self, key: str) -> bytes:
+        ids = self.make(key)
+        if len(self) < self.size:
+            if self.worth(key) and len(key) <= 32:
+                self[key] = ids
+        else:
+            self.misses += 1
+            if self.misses >= CACHE_MISSES:
+                self.clear()
+                self.misses = 0
+        return ids
+
+
+class Encoder:
+    """Ids of a text as little-endian integers of ``width`` bytes.
 
     The byte-level split makes pieces independent, so a piece is encoded once
-    by the tokenizer's model and remembered (at most ``CACHE_PIECES``). Texts
-    beyond Latin letters, texts that hold an added token's string, and
-    tokenizers of another make are encoded whole by the tokenizer.
+    by the tokenizer's model and remembered. A blank followed by something
+    else always begins a piece, so a text is first cut before its blanks and
+    the words, blank included, are remembered as well. Texts beyond Latin
+    letters, texts that hold an added token's string, and tokenizers of
+    another make are encoded whole by the tokenizer.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         split = spec.get("pre_tokenizer") or {}
@@ -88,22 +118,48 @@ class Encoder(dict):
                          and not split.get("add_prefix_space") and not spec.get("normalizer")
                          and spec["model"].get("type") == "BPE" and not spec["model"].get("ignore_merges"))
         self.added = [t["content"] for t in spec.get("added_tokens", [])]
-        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        size = self.tokenizer.get_vocab_size()
+        self.width = 2 if size <= 1 << 16 else 4
+        self.id_bytes = [i.to_bytes(self.width, "little") for i in range(size)]
         self.alphabet = byte_alphabet()
-
-    def __missing__(self, piece: str) -> bytes:
-        spelled = piece.encode("utf-8").decode("latin-1").translate(self.alphabet)
-        ids = np.array([t.id for t in self.tokenizer.model.tokenize(spelled)], dtype="<u4").tobytes()
-        if len(piece) <= 64:
-            if len(self) >= CACHE_PIECES:
-                self.clear()
-            self[piece] = ids
-        return ids
+        self.pieces = Cache(self._piece, CACHE_PIECES, bool)
+        self.words = Cache(self._word, CACHE_WORDS, bool)       # keyed without the blank before them
+
+    def _piece(self, piece: str) -> bytes:
+        if piece.isascii() and piece.isprintable():
+            spelled = piece.replace(" ", self.alphabet[32])
+        else:
+            spelled = piece.encode("utf-8").decode("latin-1").translate(self.alphabet)
+        id_bytes = self.id_bytes
+        return b"".join([id_bytes[t.id] for t in self.model.tokenize(spelled)])
+
+    def _word(self, word: str) -> bytes:
+        """Ids of a blank and ``word``: letters are one piece, with a stop they are two."""
+        if word.isalpha():
+            return self._piece(" " + word)
+        if word[-1:] in STOPS and word[:-1].isalpha():
+            return self.words[word[:-1]] + self.pieces[word[-1]]
+        return self._split(" " + word)
+
+    def _split(self, text: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, PIECES.findall(text)))
+
+    def _beyond(self, text: str) -> bool:
+        if text.isascii():
+            return False
+        try:
+            text.encode("latin-1")              # much faster than the search
+            return False
+        except UnicodeEncodeError:
+            return BEYOND.search(text) is not None
 
     def ids(self, text: str) -> bytes:
-        if not self.by_piece or any(t in text for t in self.added) or (not text.isascii() and BEYOND.search(text)):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        return b"".join(map(self.__getitem__, PIECES.findall(text)))
+        if not self.by_piece or any(t in text for t in self.added) or self._beyond(text):
+            return b"".join([self.id_bytes[i] for i in self.tokenizer.encode(text, add_special_tokens=False).ids])
+        if RUNS.search(text):
+            return b"".join(map(self.pieces.__getitem__, PIECES.findall(text)))
+        first, *words = text.split(" ")
+        return self._split(first) + b"".join(map(self.words.__getitem__, words))
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -116,11 +172,6 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def serialize(ids: bytes, width: int) -> bytes:
-    """32-bit ids as ``width``-byte little-endian integers."""
-    return ids if width == 4 else np.frombuffer(ids, dtype="<u4").astype("<u2").tobytes()
-
-
 def deserialize(data: bytes, width: int) -> bytes:
     """The 32-bit form of serialized ids."""
     return data if width == 4 else np.frombuffer(data, dtype="<u2").astype("<u4").tobytes()
@@ -134,7 +185,7 @@ def train_dictionary(docs: DataFrame, tokenizer_path: str, sample_docs: int = SA
     def encode(rows):
         enc = encoder(tokenizer_path)
         for (text,) in rows:
-            yield (serialize(enc.ids((text or b"").decode("utf-8")), enc.width)[:SAMPLE_BYTES],)
+            yield (enc.ids((text or b"").decode("utf-8"))[:SAMPLE_BYTES],)
 
     got = map_rows(sample, T.StructType([T.StructField("ids", T.BinaryType())]), encode).collect()
     samples = sorted(bytes(r.ids) for r in got if r.ids)
@@ -158,14 +209,13 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     dictionary = train_dictionary(docs, tokenizer_path)
     digest = hashlib.sha256(dictionary).hexdigest()
-    end = np.array([end_id], dtype="<u4").tobytes()
 
     def compress(rows):
         enc = encoder(tokenizer_path)
         packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(dictionary))
         for doc_id, text in rows:
-            ids = enc.ids((text or b"").decode("utf-8")) + end
-            yield doc_id, len(ids) // 4, packer.compress(serialize(ids, enc.width))
+            ids = enc.ids((text or b"").decode("utf-8")) + enc.id_bytes[end_id]
+            yield doc_id, len(ids) // enc.width, packer.compress(ids)
 
     frames = materialize(map_rows(docs, T.StructType([
         T.StructField("doc_id", T.LongType()), T.StructField("n_tokens", T.LongType()),
@@ -223,38 +273,44 @@ def _opened(spark: SparkSession, path: str) -> tuple[bytes, str, int]:
     return data, d["dict_sha256"], d["width"]
 
 
+def _decoded(batches: Iterator[pa.RecordBatch], dictionary: bytes, digest: str, width: int) -> Iterator[list[tuple]]:
+    """Per block: (part, ids before in the part, doc_id, n_tokens, 32-bit ids) of its documents."""
+    unpacker = zstandard.ZstdDecompressor(dict_data=_dictionary(dictionary))
+    for batch in batches:
+        for k in range(batch.num_rows):
+            part, _, first, sha, ids, counts, offsets, payload = (c[k].as_py() for c in batch.columns)
+            if sha != digest:
+                raise ValueError(f"block written with dictionary {sha}, read with {digest}")
+            texts = [deserialize(unpacker.decompress(payload[a:b]), width) for a, b in zip(offsets, offsets[1:])]
+            sizes = [len(t) // 4 for t in texts]
+            if sizes != counts:
+                raise ValueError(f"part {part}: a frame does not hold the ids its index says")
+            before = (first + np.cumsum(sizes) - sizes).tolist()
+            yield [(part, b, d, n, t) for b, d, n, t in zip(before, ids, sizes, texts)]
+
+
+def _map_documents(spark: SparkSession, path: str, column: str, kind: pa.DataType, value) -> DataFrame:
+    """(part, before, doc_id, n_tokens, ``column``) per document, ``value`` of its ids."""
+    opened = _opened(spark, path)
+    schema = pa.schema([("part", pa.int32()), ("before", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()),
+                        (column, kind)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _decoded(batches, *opened):
+            made = [(*r[:4], value(r[4])) for r in rows]
+            yield pa.RecordBatch.from_arrays([pa.array(list(v), f.type) for v, f in zip(zip(*made), schema)], schema=schema)
+
+    sql = f"part int, before bigint, doc_id bigint, n_tokens bigint, {column} {'binary' if kind == pa.binary() else 'bigint'}"
+    return spark.read.schema(BLOCK_SCHEMA).parquet(path).mapInArrow(run, sql)
+
+
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """(part, block, first, i, before, doc_id, n_tokens, ids) of every document.
+    """(part, before, doc_id, n_tokens, ids) of every document.
 
     ``ids`` are little-endian unsigned 32-bit integers; ``before`` counts the
-    ids of the documents before it in its block.
+    ids of the documents before it in its part.
     """
-    dictionary, digest, width = _opened(spark, path)
-    blocks = spark.read.schema(BLOCK_SCHEMA).parquet(path)
-    out = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("first", T.LongType()),
-                        T.StructField("before", T.LongType()), T.StructField("doc_id", T.LongType()),
-                        T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
-    schema = pa.schema([("part", pa.int32()), ("first", pa.int64()), ("before", pa.int64()), ("doc_id", pa.int64()),
-                        ("n_tokens", pa.int64()), ("ids", pa.binary())])
-
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpacker = zstandard.ZstdDecompressor(dict_data=_dictionary(dictionary))
-        for batch in batches:
-            for k in range(batch.num_rows):
-                part, _, first, sha, ids, counts, offsets, payload = (c[k].as_py() for c in batch.columns)
-                if sha != digest:
-                    raise ValueError(f"block written with dictionary {sha}, read with {digest}")
-                texts = [deserialize(unpacker.decompress(payload[a:b]), width) for a, b in zip(offsets, offsets[1:])]
-                sizes = [len(t) // 4 for t in texts]
-                if sizes != counts:
-                    raise ValueError(f"part {part}: a frame does not hold the ids its index says")
-                before = (np.cumsum(sizes) - sizes).tolist()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([part] * len(ids), pa.int32()), pa.array([first] * len(ids), pa.int64()),
-                     pa.array(before, pa.int64()), pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()),
-                     pa.array(texts, pa.binary())], schema=schema)
-
-    return blocks.mapInArrow(decode, out)
+    return _map_documents(spark, path, "ids", pa.binary(), lambda ids: ids)
 
 
 def read_document(spark: SparkSession, path: str, doc_id: int) -> list[list[int]]:
@@ -271,17 +327,13 @@ def read_document(spark: SparkSession, path: str, doc_id: int) -> list[list[int]
 
 def token_digest(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, from the files."""
-    decoded = read_tokens(spark, path)
-    rows = map_rows(decoded, T.StructType([
-        T.StructField("part", T.IntegerType()), T.StructField("at", T.LongType()), T.StructField("doc_id", T.LongType()),
-        T.StructField("n_tokens", T.LongType()), T.StructField("ids_crc32", T.LongType())]),
-        lambda batch: ((p, first + before, d, n, zlib.crc32(ids)) for p, first, before, d, n, ids in batch))
+    rows = _map_documents(spark, path, "ids_crc32", pa.int64(), zlib.crc32)
     totals = (spark.read.schema(BLOCK_SCHEMA).parquet(path).groupBy("part")
               .agg(F.sum(F.expr("aggregate(n_tokens, 0L, (s, x) -> s + x)")).alias("n")))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)     # one row a part
     starts = totals.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("part_start"))
     return rows.join(starts, "part").select(
-        "doc_id", (F.col("part_start") + F.col("at")).cast("bigint").alias("start"), "n_tokens", "ids_crc32")
+        "doc_id", (F.col("part_start") + F.col("before")).cast("bigint").alias("start"), "n_tokens", "ids_crc32")
 
 
 def encode_documents(docs: DataFrame, tokenizer_path: str) -> DataFrame:
