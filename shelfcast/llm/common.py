@@ -52,8 +52,8 @@ def map_rows(df: DataFrame, schema: T.StructType,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cols = [c.cast(pa.binary()).to_pylist() if pa.types.is_string(c.type) else c.to_pylist()
-                    for c in batch.columns]
+            cols = [c.cast(pa.large_binary()).to_pylist() if pa.types.is_string(c.type) or pa.types.is_large_string(c.type)
+                    else c.to_pylist() for c in batch.columns]
             rows = list(fn(list(zip(*cols))))
             out = list(zip(*rows)) if rows else [[] for _ in range(n_out)]
             yield pa.RecordBatch.from_arrays(
