@@ -74,6 +74,12 @@ def maintain_vendors(products: DataFrame, existing: DataFrame, p: Params = DEFAU
         .unionByName(new_ids)
 
 
+def vendor_names(products: DataFrame, existing: DataFrame) -> DataFrame:
+    """The names `maintain_vendors` ends up with, without numbering the new ones."""
+    listed = products.filter(_present("vendor")).select(F.col("vendor").alias("vendor_name"))
+    return existing.select("vendor_name").unionByName(listed).distinct()
+
+
 def vendor_defaults(vendors: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
     return vendors.select(
         *[c for c in vendors.columns if c not in ("lead_time_days", "moq", "pack_size")],

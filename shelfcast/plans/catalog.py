@@ -131,14 +131,13 @@ vendor_rank AS (
 CONFIG = [VENDORS_CTE, STATUS_CTE]
 
 
-def vendor_tables(f: Fixture) -> tuple[DataFrame, DataFrame]:
-    """The maintained vendors and their maintained status."""
-    kept = vendors.maintain_vendors(f.products, f.vendors_existing, P)
-    return kept, vendors.maintain_vendor_status(f.vendor_status_existing, kept)
+def vendor_status(f: Fixture) -> DataFrame:
+    """The maintained status: every stored or listed vendor has a row."""
+    return vendors.maintain_vendor_status(f.vendor_status_existing, vendors.vendor_names(f.products, f.vendors_existing))
 
 
 def vendor_map(f: Fixture) -> DataFrame:
-    return vendors.variant_vendor_map(f.variants, f.products, vendors.active_vendors(vendor_tables(f)[1], P))
+    return vendors.variant_vendor_map(f.variants, f.products, vendors.active_vendors(vendor_status(f), P))
 
 
 # ------------------------------------------------------------------ C10, C21, C22 demand
@@ -251,7 +250,7 @@ def q_maintain_vendors(spark, sf_dir, grain="bt"):
 
 @register("c16_maintain_vendor_status", with_fixture(CONFIG, "SELECT * FROM vendor_status_m"))
 def q_maintain_vendor_status(spark, sf_dir, grain="bt"):
-    return vendor_tables(fx(spark, sf_dir, grain))[1]
+    return vendor_status(fx(spark, sf_dir, grain))
 
 
 @register("c16b_archive_vendor", with_fixture(CONFIG, f"""
@@ -260,7 +259,7 @@ SELECT vendor_name, vendor_name = 'Brand#3' OR archived AS archived,
        if(vendor_name = 'Brand#3', 'Stop reordering from this vendor', note) AS note
 FROM vendor_status_m"""))
 def q_archive_vendor(spark, sf_dir, grain="bt"):
-    return vendors.archive_vendor(vendor_tables(fx(spark, sf_dir, grain))[1], "Brand#3", P.run_ts)
+    return vendors.archive_vendor(vendor_status(fx(spark, sf_dir, grain)), "Brand#3", P.run_ts)
 
 
 @register("c16c_unarchive_vendor", with_fixture(CONFIG, """
@@ -268,14 +267,14 @@ SELECT vendor_name, vendor_name <> 'Brand#11' AND archived AS archived,
        if(vendor_name = 'Brand#11', NULL, archived_at) AS archived_at, note
 FROM vendor_status_m"""))
 def q_unarchive_vendor(spark, sf_dir, grain="bt"):
-    return vendors.unarchive_vendor(vendor_tables(fx(spark, sf_dir, grain))[1], "Brand#11")
+    return vendors.unarchive_vendor(vendor_status(fx(spark, sf_dir, grain)), "Brand#11")
 
 
 # ------------------------------------------------------------------ C34-C39 views
 @register("c34_v_active_vendors", with_fixture(CONFIG, """
 SELECT vendor_name FROM vendor_status_m WHERE archived IS DISTINCT FROM TRUE"""))
 def q_v_active_vendors(spark, sf_dir, grain="bt"):
-    return views.v_active_vendors(vendor_tables(fx(spark, sf_dir, grain))[1], P)
+    return views.v_active_vendors(vendor_status(fx(spark, sf_dir, grain)), P)
 
 
 @register("c35_v_variant_vendor_map", with_fixture([VVM_VIEW_CTE], "SELECT * FROM vvm_view"))
@@ -287,7 +286,7 @@ def q_v_variant_vendor_map(spark, sf_dir, grain="bt"):
 def _ci_active(f: Fixture) -> DataFrame:
     ci = inventory.current_inventory(f.inventory, P)
     return views.v_current_inventory_active(ci, views.v_variant_vendor_map(f.variants, f.products),
-                                            vendor_tables(f)[1], P)
+                                            vendor_status(f), P)
 
 
 @register("c36_v_current_inventory_active", with_fixture([*CONFIG, CI_CTE, VVM_VIEW_CTE, CI_ACTIVE_CTE], "SELECT * FROM ci_active"))
