@@ -21,6 +21,7 @@ documents for each; the BM25 statistics are always those of all items.
 
 from __future__ import annotations
 
+import bisect
 import math
 import re
 from collections import Counter, defaultdict
@@ -65,15 +66,23 @@ def parts_of(words: list[str]) -> tuple[set[tuple], set[tuple]]:
     return shingles(words[:-n]), shingles(words[-n:])
 
 
+class TermIds(dict):
+    """Term -> number; -1 for a term of no item."""
+
+    def __missing__(self, term: str) -> int:
+        return -1
+
+
 @dataclass
 class Index:
     """Items of one slice; postings are sorted by (term, item) and cut at block ends into entries."""
     items: list[int]
     parts: list[tuple[set, set]]
-    term_ids: dict[str, int]
+    term_ids: TermIds
     term_entries: np.ndarray         # term -> its first entry; the next term's first ends it
     entry_block: np.ndarray
     entry_max: np.ndarray
+    term_max: np.ndarray
     entry_postings: np.ndarray       # entry -> its first posting
     posting_item: np.ndarray
     posting_impact: np.ndarray
@@ -98,7 +107,7 @@ def build_index(items: list[tuple[int, list[str]]], df: dict[str, int], n_items:
     for i, (_, words) in enumerate(items):
         for t, v in impacts(words).items():
             lists[t].append((i, v))
-    term_ids = {t: k for k, t in enumerate(sorted(lists))}
+    term_ids = TermIds((t, k) for k, t in enumerate(sorted(lists)))
     term_entries, entry_block, entry_max, entry_postings, item, impact = [], [], [], [], [], []
     for t in term_ids:
         term_entries.append(len(entry_block))
@@ -112,6 +121,7 @@ def build_index(items: list[tuple[int, list[str]]], df: dict[str, int], n_items:
             impact.append(v)
     return Index([i for i, _ in items], [parts_of(w) for _, w in items], term_ids,
                  np.array([*term_entries, len(entry_block)]), np.array(entry_block, dtype=np.int64), np.array(entry_max),
+                 np.array([max(v for _, v in lists[t]) for t in term_ids]),
                  np.array([*entry_postings, len(item)]), np.array(item, dtype=np.int64), np.array(impact),
                  max((len(w) for _, w in items), default=1))
 
@@ -123,71 +133,82 @@ def _ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return which, np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(starts, sizes)
 
 
-def _sums(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys, each key's sum, and the place of every row's key."""
+def _sums(keys: np.ndarray, values: np.ndarray, n_keys: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, each key's sum, and the place of every row's key; keys below ``n_keys``."""
+    if n_keys <= 4 * len(keys) + 1_000_000:
+        return np.arange(n_keys), np.bincount(keys, weights=values, minlength=n_keys), keys
     distinct, inverse = np.unique(keys, return_inverse=True)
     return distinct, np.bincount(inverse, weights=values, minlength=len(distinct)), inverse
 
 
 def retrieve(index: Index, passage: np.ndarray, term: np.ndarray, threshold: float = THRESHOLD) -> list[tuple[int, int, float]]:
     """All (passage, item, score) at or above the threshold; (passage, term) are distinct pairs."""
-    near = threshold - 1e-9
+    if not len(passage):
+        return []
+    near, n_passages = threshold - 1e-9, int(passage.max()) + 1
+    bound = np.bincount(passage, weights=index.term_max[term], minlength=n_passages)
+    alive = bound[passage] >= near                          # WAND: the terms' maxima must reach the threshold
+    passage, term = passage[alive], term[alive]
     row, entry = _ranges(index.term_entries[term], index.term_entries[term + 1])
     n_blocks = len(index.items) // BLOCK_ITEMS + 1
-    _, bound, inverse = _sums(passage[row] * n_blocks + index.entry_block[entry], index.entry_max[entry])
-    alive = bound[inverse] >= near                          # block-max: the rest of the postings is never touched
+    _, bound, place = _sums(passage[row] * n_blocks + index.entry_block[entry], index.entry_max[entry], n_passages * n_blocks)
+    alive = bound[place] >= near                            # block-max: the rest of the postings is never touched
     row, entry = row[alive], entry[alive]
     which, posting = _ranges(index.entry_postings[entry], index.entry_postings[entry + 1])
-    keys, score, _ = _sums(passage[row][which] * len(index.items) + index.posting_item[posting], index.posting_impact[posting])
+    n_items = len(index.items)
+    keys, score, _ = _sums(passage[row][which] * n_items + index.posting_item[posting], index.posting_impact[posting],
+                           n_passages * n_items)
     hit = score >= near
-    return [(int(k) // len(index.items), int(k) % len(index.items), float(s)) for k, s in zip(keys[hit], score[hit])]
+    return [(int(k) // n_items, int(k) % n_items, float(v)) for k, v in zip(keys[hit], score[hit])]
 
 
-def _passages(n_words: int, longest: int) -> list[tuple[int, int]]:
-    """Windows of twice the longest item that overlap by its length."""
-    starts = range(0, max(n_words - longest, 1), longest)
-    return [(s, min(s + 2 * longest, n_words)) for s in starts]
+def _n_passages(n_words: int, longest: int) -> int:
+    """Windows of twice the longest item, one every ``longest`` words: any item stands whole in one of them."""
+    return max(1, math.ceil((n_words - longest) / longest))
 
 
 def match_texts(texts: list[bytes | None], index: Index) -> list[tuple[int, int, float, float, float, int, int]]:
     """(text, item id, score, question overlap, answer overlap, passages, first passage's word) per verified pair."""
     found: dict[tuple[int, int], list] = {}
-    spans, passage, term = [], [], []
+    longest, n_terms = index.longest, len(index.term_ids)
+    held: list[tuple[int, int, list[str]]] = []             # first passage, text, words
+    pairs: list[np.ndarray] = []
+    n_held, n_passages = 0, 0
 
     def flush():
-        if passage:
-            pairs = np.unique(np.concatenate(passage) * len(index.term_ids) + np.concatenate(term))
-            for p, i, score in retrieve(index, pairs // len(index.term_ids), pairs % len(index.term_ids)):
-                k, start, words = spans[p]
-                held = shingles(words) if len(words) >= SHINGLE_WORDS else set()
-                question, answer = index.parts[i]
-                n = len(next(iter(question)))
-                if n != SHINGLE_WORDS:                       # an item shorter than a shingle: its own length
-                    held = set(zip(*(words[j:] for j in range(n))))
-                q, a = len(question & held) / len(question), len(answer & held) / len(answer)
-                if q >= OVERLAP and a >= OVERLAP:
-                    hit = found.setdefault((k, index.items[i]), [0.0, 0.0, 0.0, 0, start])
-                    hit[:5] = [max(hit[0], score), max(hit[1], q), max(hit[2], a), hit[3] + 1, min(hit[4], start)]
-        spans.clear()
-        passage.clear()
-        term.clear()
-
-    held_words = 0
+        distinct = np.unique(np.concatenate(pairs))
+        firsts = [first for first, _, _ in held]
+        for p, i, score in retrieve(index, distinct // n_terms, distinct % n_terms):
+            first, k, words = held[bisect.bisect_right(firsts, p) - 1]
+            start = (p - first) * longest
+            question, answer = index.parts[i]
+            n = len(next(iter(question)))                    # less than a shingle for a shorter item
+            window = words[start:start + 2 * longest]
+            here = set(zip(*(window[j:] for j in range(n))))
+            q, a = len(question & here) / len(question), len(answer & here) / len(answer)
+            if q >= OVERLAP and a >= OVERLAP:
+                hit = found.setdefault((k, index.items[i]), [0.0, 0.0, 0.0, 0, start])
+                hit[:] = [max(hit[0], score), max(hit[1], q), max(hit[2], a), hit[3] + 1, min(hit[4], start)]
+
     for k, text in enumerate(texts):
         words = words_of(text)
-        ids = np.fromiter((index.term_ids.get(w, -1) for w in words), dtype=np.int64, count=len(words))
-        for start, end in _passages(len(words), index.longest):
-            known = ids[start:end]
-            known = known[known >= 0]
-            if len(known):
-                passage.append(np.full(len(known), len(spans)))
-                term.append(known)
-                spans.append((k, start, words[start:end]))
-                held_words += len(known)
-                if held_words >= BATCH_WORDS:
-                    flush()
-                    held_words = 0
-    flush()
+        ids = np.fromiter(map(index.term_ids.__getitem__, words), dtype=np.int64, count=len(words))
+        at = np.flatnonzero(ids >= 0)
+        if not len(at):
+            continue
+        own = _n_passages(len(words), longest)
+        later = at // longest                                # a word is in the passage that starts here, and the one before
+        for passage in (later, later - 1):
+            inside = (passage >= 0) & (passage < own)
+            pairs.append((n_passages + passage[inside]) * n_terms + ids[at[inside]])
+        held.append((n_passages, k, words))
+        n_passages += own
+        n_held += len(at)
+        if n_held >= BATCH_WORDS:
+            flush()
+            held, pairs, n_held, n_passages = [], [], 0, 0
+    if held:
+        flush()
     return [(k, item, *v) for (k, item), v in found.items()]
 
 
