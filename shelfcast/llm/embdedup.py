@@ -139,17 +139,19 @@ def cluster_shards(classes: DataFrame, max_shard: int = MAX_SHARD, overlap: int
     return materialize(shards, "shards"), materialize(solid, "dense")
 
 
-def prune(x: np.ndarray, i: int, order: np.ndarray, sims: np.ndarray, degree: int = DEGREE) -> list[int]:
-    """Robust pruning: nearest first, dropping what a kept neighbour is ``ALPHA`` times closer to."""
+def prune(x: np.ndarray, order: np.ndarray, sims: np.ndarray, degree: int = DEGREE) -> list[int]:
+    """Robust pruning of the neighbours ``order``, nearest first: each kept one drops what it is ``ALPHA`` times closer to."""
+    near = x[order]
+    # chord distances, squared: those to the node itself, and of every pair of neighbours
+    dropped = ALPHA * ALPHA * (2 - 2 * (near @ near.T)) <= np.maximum(2 - 2 * sims, 0)
     kept: list[int] = []
     alive = np.ones(len(order), dtype=bool)
-    far = np.sqrt(np.maximum(2 - 2 * sims, 0))              # chord distance to i
     for k in range(len(order)):
         if alive[k]:
             kept.append(int(order[k]))
             if len(kept) == degree:
                 break
-            alive &= ~(ALPHA * np.sqrt(np.maximum(2 - 2 * (x[order] @ x[order[k]]), 0)) <= far)
+            alive &= ~dropped[k]
     return kept
 
 
@@ -164,7 +166,7 @@ def _adjacency(shard: pd.DataFrame) -> pd.DataFrame:
             sims[r, start + r] = -2.0
             order = np.argpartition(-sims[r], near - 1)[:near] if near > 0 else np.array([], dtype=int)
             order = order[np.argsort(-sims[r, order], kind="stable")]
-            rows.append(ids[prune(x, start + r, order, sims[r, order])].tolist())
+            rows.append(ids[prune(x, order, sims[r, order])].tolist())
     return pd.DataFrame({"cid": ids, "neighbours": rows})
 
 
@@ -187,13 +189,14 @@ def _search(x: np.ndarray, adjacent: list[np.ndarray], q: int, medoid: int, widt
         if inside.any():
             expand = pool[inside]                                         # follow every result at once
         elif waiting.any():
-            expand = pool[waiting][:2]
+            expand = pool[waiting][:4]
         else:
             return pool[(sims >= THRESHOLD) & (pool != q)]
         opened[expand] = True
-        new = np.unique(np.concatenate([adjacent[u] for u in expand]))
-        new = new[~seen[new]]
-        seen[new] = True
+        reached = np.zeros(len(x), dtype=bool)
+        reached[np.concatenate([adjacent[u] for u in expand])] = True
+        new = np.flatnonzero(reached & ~seen)
+        seen |= reached
         pool, sims = np.concatenate([pool, new]), np.concatenate([sims, x[new] @ x[q]])
 
 
@@ -346,10 +349,11 @@ def near_duplicates(embeddings: DataFrame, max_shard: int = MAX_SHARD) -> DataFr
         if recall >= MIN_RECALL:
             break
     parts = connected_components(links.filter("cid <> root").select(F.col("cid").alias("a"), F.col("root").alias("b")))
-    labelled = (classes.select("cid", "n", "least").join(totals, "cid", "left")
-                .join(parts.withColumnRenamed("node", "cid"), "cid", "left")
-                .withColumn("component", F.coalesce("component", "cid")))
-    least = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
+    labelled = materialize(classes.select("cid", "n", "least").join(totals, "cid", "left")
+                           .join(parts.withColumnRenamed("node", "cid"), "cid", "left")
+                           .withColumn("component", F.coalesce("component", "cid")), "labelled")
+    # a table of its own: Spark can then split the join on a component that holds many classes
+    least = materialize(labelled.groupBy("component").agg(F.min("least").alias("component_id")), "least")
     per_class = labelled.join(least, "component").select(
         "cid", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id")
     alone = rows.filter("cid IS NULL").select(
