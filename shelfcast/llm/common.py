@@ -90,7 +90,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     list in one task. Each round is one written table in the shared folder.
     """
     def star(directed: DataFrame) -> DataFrame:
-        least = directed.groupBy("a").agg(F.min("b").alias("m"))
+        # a table of its own, or the join would take over the aggregate's layout and could not be split
+        least = materialize(directed.groupBy("a").agg(F.min("b").alias("m")), "least")
         return directed.join(least, "a").select("a", "b", F.least("a", "m").alias("m"))
 
     def state(e: DataFrame):
@@ -104,8 +105,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if before[0] == 0:
             break
         both = cur.unionByName(cur.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = (star(both).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                 .distinct())
+        large = materialize(star(both).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "large")
         s = star(large)
         small = (s.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(s.select("a", F.col("m").alias("b"))).distinct())

@@ -123,8 +123,9 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = R
     distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
     links = fingerprint_links(distinct.select("fp"), radius)
     parts = connected_components(links).select(F.col("node").alias("fp"), "component")
-    labelled = distinct.join(parts, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    least = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
+    labelled = materialize(distinct.join(parts, "fp", "left").withColumn("component", F.coalesce("component", "fp")), "labelled")
+    # a table of its own: Spark can then split the join on a component that holds many fingerprints
+    least = materialize(labelled.groupBy("component").agg(F.min("least").alias("component_id")), "least")
     ids = labelled.join(least, "component").select("fp", "component_id")
     return fps.join(ids, "fp").select("doc_id", "fp", "component_id")
 
