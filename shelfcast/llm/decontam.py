@@ -12,7 +12,7 @@ goes on to a block's postings only if the block's maxima for its terms add up
 to the threshold; all items at or above the threshold are retrieved. A hit is
 verified by 5-word shingles: at least 0.8 of the item's question shingles and
 0.8 of its answer shingles (the last quarter of its words) must be in the
-passage.
+passage. An item of under 10 words is one part.
 
 The index is collected in slices of at most about ``INDEX_BYTES`` of item
 text. A larger benchmark takes several slices, with one pass over the
@@ -59,10 +59,13 @@ def shingles(words: list[str]) -> set[tuple]:
 
 
 def parts_of(words: list[str]) -> tuple[set[tuple], set[tuple]]:
-    """Shingles of an item's question and answer: its last quarter, at least one shingle long, is the answer."""
-    n = max(math.ceil(len(words) * ANSWER_SHARE), SHINGLE_WORDS)
-    if len(words) <= n:
+    """Shingles of an item's question and answer: its last quarter, at least one shingle long, is the answer.
+
+    An item too short for a whole shingle in each (under 10 words) is one part, question and answer alike.
+    """
+    if len(words) < 2 * SHINGLE_WORDS:
         return shingles(words), shingles(words)
+    n = max(math.ceil(len(words) * ANSWER_SHARE), SHINGLE_WORDS)
     return shingles(words[:-n]), shingles(words[-n:])
 
 

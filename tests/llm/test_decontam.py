@@ -61,6 +61,29 @@ def test_edge_rows(spark):
     assert sorted(kept, key=repr) == sorted([1, 2, 5, 6, 8, 12, None], key=repr)
 
 
+def runs(words):
+    """The test's own 5-word shingles, as joined strings."""
+    n = min(5, len(words))
+    return {" ".join(words[k:k + n]) for k in range(len(words) - n + 1)}
+
+
+def test_short_items_are_found(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    noise = lambda: " ".join(word() for _ in range(40))
+    items = [(n, [word() for _ in range(n)]) for n in range(5, 13)]
+    docs, want = [], set()
+    for n, words in items:
+        for kind, part in enumerate((words, words[:-1], words[1:], words[:-2])):
+            d = 10 * n + kind
+            docs.append((d, f"{noise()} {' '.join(part)} {noise()}"))
+            if len(runs(words) & runs(docs[-1][1].split())) >= 0.8 * len(runs(words)):
+                want.add((d, n))
+    got = found(docs_of(spark, docs), items_of(spark, [(n, " ".join(w)) for n, w in items]))
+    assert {(10 * n, n) for n, _ in items} <= got
+    assert {p for p in got if p[1] < 10} == {p for p in want if p[1] < 10}
+
+
 def test_empty_tables(spark):
     docs = docs_of(spark, [(1, "some text of some length")])
     assert decontam.find_contamination(docs, items_of(spark, [])).count() == 0
