@@ -10,9 +10,10 @@ Retrieval is block-max WAND over a batch of passages: postings are laid out in
 blocks of items, each (term, block) entry with its largest impact. A passage
 goes on to a block's postings only if the block's maxima for its terms add up
 to the threshold; all items at or above the threshold are retrieved. A hit is
-verified by 5-word shingles: at least 0.8 of the item's question shingles and
-0.8 of its answer shingles (the last quarter of its words) must be in the
-passage. An item of under 10 words is one part.
+verified by 5-word shingles: at least 0.8 of the whole item's shingles must be
+in the passage, or 0.8 of its question shingles and 0.8 of its answer shingles
+(the last quarter of its words), which may then stand apart. An item of under
+10 words is one part.
 
 The index is collected in slices of at most about ``INDEX_BYTES`` of item
 text. A larger benchmark takes several slices, with one pass over the
@@ -81,6 +82,7 @@ class Index:
     """Items of one slice; postings are sorted by (term, item) and cut at block ends into entries."""
     items: list[int]
     parts: list[tuple[set, set]]
+    whole: list[set]                 # shingles of the whole item, those across the cut too
     term_ids: TermIds
     term_entries: np.ndarray         # term -> its first entry; the next term's first ends it
     entry_block: np.ndarray
@@ -122,7 +124,7 @@ def build_index(items: list[tuple[int, list[str]]], df: dict[str, int], n_items:
             entry_max[-1] = max(entry_max[-1], v)
             item.append(i)
             impact.append(v)
-    return Index([i for i, _ in items], [parts_of(w) for _, w in items], term_ids,
+    return Index([i for i, _ in items], [parts_of(w) for _, w in items], [shingles(w) for _, w in items], term_ids,
                  np.array([*term_entries, len(entry_block)]), np.array(entry_block, dtype=np.int64), np.array(entry_max),
                  np.array([max(v for _, v in lists[t]) for t in term_ids]),
                  np.array([*entry_postings, len(item)]), np.array(item, dtype=np.int64), np.array(impact),
@@ -170,8 +172,8 @@ def _n_passages(n_words: int, longest: int) -> int:
     return max(1, math.ceil((n_words - longest) / longest))
 
 
-def match_texts(texts: list[bytes | None], index: Index) -> list[tuple[int, int, float, float, float, int, int]]:
-    """(text, item id, score, question overlap, answer overlap, passages, first passage's word) per verified pair."""
+def match_texts(texts: list[bytes | None], index: Index) -> list[tuple[int, int, float, float, float, int, int, float]]:
+    """(text, item id, score, question overlap, answer overlap, passages, first passage's word, overlap) per verified pair."""
     found: dict[tuple[int, int], list] = {}
     longest, n_terms = index.longest, len(index.term_ids)
     held: list[tuple[int, int, list[str]]] = []             # first passage, text, words
@@ -185,13 +187,14 @@ def match_texts(texts: list[bytes | None], index: Index) -> list[tuple[int, int,
             first, k, words = held[bisect.bisect_right(firsts, p) - 1]
             start = (p - first) * longest
             question, answer = index.parts[i]
-            n = len(next(iter(question)))                    # less than a shingle for a shorter item
+            whole = index.whole[i]
+            n = len(next(iter(whole)))                       # less than a shingle for a shorter item
             window = words[start:start + 2 * longest]
             here = set(zip(*(window[j:] for j in range(n))))
-            q, a = len(question & here) / len(question), len(answer & here) / len(answer)
-            if q >= OVERLAP and a >= OVERLAP:
-                hit = found.setdefault((k, index.items[i]), [0.0, 0.0, 0.0, 0, start])
-                hit[:] = [max(hit[0], score), max(hit[1], q), max(hit[2], a), hit[3] + 1, min(hit[4], start)]
+            q, a, w = (len(part & here) / len(part) for part in (question, answer, whole))
+            if w >= OVERLAP or (q >= OVERLAP and a >= OVERLAP):
+                hit = found.setdefault((k, index.items[i]), [0.0, 0.0, 0.0, 0, start, 0.0])
+                hit[:] = [max(hit[0], score), max(hit[1], q), max(hit[2], a), hit[3] + 1, min(hit[4], start), max(hit[5], w)]
 
     for k, text in enumerate(texts):
         words = words_of(text)
@@ -219,11 +222,13 @@ _TERMS = T.StructType([T.StructField("item_id", T.LongType()), T.StructField("wo
 _HITS = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("item_id", T.LongType()), T.StructField("score", T.DoubleType()),
     T.StructField("question_overlap", T.DoubleType()), T.StructField("answer_overlap", T.DoubleType()),
-    T.StructField("n_passages", T.LongType()), T.StructField("first_word", T.LongType())])
+    T.StructField("n_passages", T.LongType()), T.StructField("first_word", T.LongType()), T.StructField("overlap", T.DoubleType())])
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, item_id, score, question_overlap, answer_overlap, n_passages, first_word) per document and item it holds.
+    """(doc_id, item_id, score, question_overlap, answer_overlap, n_passages, first_word, overlap) per document and item it holds.
+
+    ``overlap`` is that of the whole item.
 
     Documents without a verified item have no row. Items and documents without
     words (null, empty) match nothing; an item with a null item_id is matched
@@ -256,7 +261,7 @@ def _scan(texts: DataFrame, index: Index) -> DataFrame:
 
     def scan(rows):
         hits = match_texts([t for _, t in rows], shared.value)
-        return [(rows[k][0], item, score, q, a, n, first) for k, item, score, q, a, n, first in hits]
+        return [(rows[k][0], *hit) for k, *hit in hits]
 
     return map_rows(texts, _HITS, scan)
 

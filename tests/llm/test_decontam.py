@@ -84,6 +84,28 @@ def test_short_items_are_found(spark):
     assert {p for p in got if p[1] < 10} == {p for p in want if p[1] < 10}
 
 
+def test_a_word_changed_anywhere(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    noise = lambda: " ".join(word() for _ in range(40))
+    items = [(n, [word() for _ in range(n)]) for n in (12, 15, 25, 33, 40, 59)]
+    docs, want = [], {}
+    for n, words in items:
+        for k in range(n):
+            edit = words[:k] + ["changed"] + words[k + 1:]
+            docs.append((100 * n + k, f"{noise()} {' '.join(edit)} {noise()}"))
+            share = len(runs(words) & runs(edit)) / len(runs(words))
+            if share >= 0.8:
+                want[100 * n + k, n] = share
+    got = decontam.find_contamination(docs_of(spark, docs), items_of(spark, [(n, " ".join(w)) for n, w in items])).collect()
+    overlap = {(r.doc_id, r.item_id): r.overlap for r in got}
+    assert len(want) > 100 and want.keys() <= overlap.keys()
+    assert all(abs(overlap[k] - v) < 1e-9 for k, v in want.items())
+    # question and answer apart, with other words between: as before
+    apart = items[1][1][:10] + ["between"] * 8 + items[1][1][10:]
+    assert found(docs_of(spark, [(1, " ".join(apart))]), items_of(spark, [(15, " ".join(items[1][1]))])) == {(1, 15)}
+
+
 def test_empty_tables(spark):
     docs = docs_of(spark, [(1, "some text of some length")])
     assert decontam.find_contamination(docs, items_of(spark, [])).count() == 0
