@@ -4,11 +4,14 @@ Layout of a landing folder (JSON lines, one API page per line)::
 
     products/  locations/  inventory/  orders/      each with day=YYYY-MM-DD folders
 
-A load reads the days that landed since the last one (``<store>/_loaded_days``):
-dimensions from the newest of them, facts from all. A folder without
-``day=`` folders is read whole. Dimensions are replaced only when the load is
-non-empty (C05); inventory and sales go through staging (C06) and the
-partition-bounded upsert (C07/C08), whose range is that of the new days.
+A load reads the files that landed since the last one, whatever their day:
+``<store>/_loaded_files`` keeps path, size and modification time of each file
+read, so pages that come late into a day are read by the next load. Facts come
+from the new files, dimensions from all files of the newest landed day (an id
+listed again there counts as last landed). A folder without ``day=`` folders is
+read whole. Dimensions are replaced only when the load is non-empty (C05);
+inventory and sales go through staging (C06) and the partition-bounded upsert
+(C07/C08), whose range is that of the new files.
 """
 
 from __future__ import annotations
@@ -24,22 +27,34 @@ KINDS = {"products": landing.PRODUCTS_PAGE, "locations": landing.LOCATIONS_PAGE,
          "inventory": landing.INVENTORY_PAGE, "orders": landing.ORDERS_PAGE}
 
 
-def new_days(spark: SparkSession, landing_dir: str, store_dir: str) -> list[str] | None:
-    """Landed days that no load has read yet, ascending; None for a folder without days."""
-    landed = {d for kind in KINDS for d in store.partition_values(spark, f"{landing_dir}/{kind}", "day")}
-    if not landed:
-        return None
-    loaded = f"{store_dir}/_loaded_days"
-    done = {r.day for r in spark.read.parquet(loaded).collect()} if store.table_exists(spark, loaded) else set()
-    return sorted(landed - done)
+DIMENSIONS = ("products", "locations")
+FILES = "kind string, day string, path string, size bigint, modified bigint"
 
 
-def _paths(spark: SparkSession, landing_dir: str, kind: str, days: list[str] | None) -> list[str]:
-    if days is None:
-        return [f"{landing_dir}/{kind}"]
-    held = set(store.partition_values(spark, f"{landing_dir}/{kind}", "day"))
-    days = [d for d in days if d in held]
-    return [f"{landing_dir}/{kind}/day={d}" for d in (days[-1:] if kind in ("products", "locations") else days)]
+def landed_files(spark: SparkSession, landing_dir: str) -> list[tuple] | None:
+    """`FILES` of all landed days; None for a folder without days."""
+    days = [(kind, d) for kind in KINDS for d in store.partition_values(spark, f"{landing_dir}/{kind}", "day")]
+    return [(kind, d, *file) for kind, d in days
+            for file in store.data_files(spark, f"{landing_dir}/{kind}/day={d}")] if days else None
+
+
+def new_files(spark: SparkSession, landed: list[tuple], store_dir: str) -> set[tuple]:
+    """The landed files that no load has read yet, or not as they are now."""
+    loaded = f"{store_dir}/_loaded_files"
+    done = set(map(tuple, spark.read.schema(FILES).parquet(loaded).collect())) if store.table_exists(spark, loaded) else set()
+    return set(landed) - done
+
+
+def _paths(landing_dir: str, kind: str, landed: list[tuple] | None, new: set[tuple]) -> tuple[list[str], list[str]]:
+    """Paths to read for the first time, and files of the newest day's dimensions to read again."""
+    if landed is None:
+        return [f"{landing_dir}/{kind}"], []
+    files = [f for f in landed if f[0] == kind]
+    if kind in DIMENSIONS:
+        newest = max((day for _, day, *_ in files), default=None)
+        files = [f for f in files if f[1] == newest]
+    again = [f[2] for f in files if f not in new] if kind in DIMENSIONS else []
+    return [f[2] for f in files if f in new], again
 
 
 def daily_load(spark: SparkSession, landing_dir: str, store_dir: str, since: dt.datetime | None = None,
@@ -50,16 +65,23 @@ def daily_load(spark: SparkSession, landing_dir: str, store_dir: str, since: dt.
     'quarantine' appends the rejected pages to ``<store>/rejects`` and loads
     the rest. ``on_duplicate`` is `store.upsert_partitions`'s.
     """
-    days = new_days(spark, landing_dir, store_dir)
-    if days == []:
+    landed = landed_files(spark, landing_dir)
+    new = set() if landed is None else new_files(spark, landed, store_dir)
+    if landed is not None and not new:
         return {"days": []}
+    days = None if landed is None else sorted({day for _, day, *_ in new})
     pages: dict[str, DataFrame] = {}
     rejects = None
     for kind, schema in KINDS.items():
-        paths = _paths(spark, landing_dir, kind, days)
-        read = landing.read_pages(spark, paths, schema) if paths else landing.parse_pages(
-            spark.createDataFrame([], "value string"), "value", schema, corrupt=True)
+        paths, again = _paths(landing_dir, kind, landed, new)
+        stamped = landed is not None and kind in DIMENSIONS
+        read = landing.read_pages(spark, paths, schema, stamped) if paths else landing.parse_pages(
+            spark.createDataFrame([], f"value string, {landing.LANDED} timestamp" if stamped else "value string"),
+            "value", schema, corrupt=True)
         pages[kind], bad = landing.split_rejects(read, kind)
+        if again:                                       # their rejects were counted by the load that read them first
+            seen, _ = landing.split_rejects(landing.read_pages(spark, again, schema, stamped), kind)
+            pages[kind] = pages[kind].unionByName(seen)
         rejects = bad if rejects is None else rejects.unionByName(bad)
     counts = {r["kind"]: r["n"] for r in rejects.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
     if counts and on_reject == "fail":
@@ -70,6 +92,10 @@ def daily_load(spark: SparkSession, landing_dir: str, store_dir: str, since: dt.
 
     products, variants = landing.flatten_products(pages["products"], with_position=True)
     locations = landing.flatten_locations(pages["locations"])
+    if landed is not None:
+        products = store.dedupe(products, "product_id", ["listing_pos"], latest=True)
+        variants = store.dedupe(variants, "variant_id", ["listing_pos"], latest=True)
+        locations = store.dedupe(locations, "location_id", [landing.LANDED], latest=True)
     inventory = landing.flatten_inventory(pages["inventory"], variants, locations)
     sales = landing.flatten_sales(pages["orders"], since)
     for name, df in (("products", products), ("variants", variants.drop("listing_pos")), ("locations", locations)):
@@ -78,7 +104,6 @@ def daily_load(spark: SparkSession, landing_dir: str, store_dir: str, since: dt.
                           ("sales_history_raw", sales, "sales_history_stg")):
         staged = store.stage(df, f"{store_dir}/{stg}", stg)
         report[name] = store.upsert_partitions(spark, f"{store_dir}/{name}", name, staged, on_duplicate=on_duplicate)
-    if days:
-        spark.createDataFrame([(d,) for d in days], "day string").coalesce(1) \
-            .write.mode("append").parquet(f"{store_dir}/_loaded_days")
+    if new:
+        spark.createDataFrame(sorted(new), FILES).coalesce(1).write.mode("append").parquet(f"{store_dir}/_loaded_files")
     return report

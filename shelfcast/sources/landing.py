@@ -52,18 +52,30 @@ ORDERS_PAGE = _st(("page", L), ("data", _st(("orders", _st(("edges", _edges(ORDE
 
 
 CORRUPT = "_corrupt"
+LANDED = "_landed"               # modification time of a page's file
 
 
-def read_pages(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
-    """Landed JSON-lines pages with a fixed schema, and ``_corrupt`` with the text of a line that does not fit it."""
-    return parse_pages(spark.read.text(path).filter(F.trim("value") != ""), "value", schema, corrupt=True)
+def read_pages(spark: SparkSession, path: str | list[str], schema: T.StructType, landed: bool = False) -> DataFrame:
+    """Landed JSON-lines pages with a fixed schema, and ``_corrupt`` with the text of a line that does not fit it.
+
+    With ``landed`` also ``_landed``, which tells repeated listings of one day apart.
+    """
+    raw = spark.read.text(path)
+    if landed:
+        raw = raw.select("value", F.col("_metadata.file_modification_time").alias(LANDED))
+    return parse_pages(raw.filter(F.trim("value") != ""), "value", schema, corrupt=True)
 
 
 def parse_pages(raw: DataFrame, column: str, schema: T.StructType, corrupt: bool = False) -> DataFrame:
     """Pages held as JSON text in a column (e.g. a message payload)."""
     full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]) if corrupt else schema
     options = {"columnNameOfCorruptRecord": CORRUPT} if corrupt else {}
-    return raw.select(F.from_json(F.col(column), full, options).alias("_p")).select("_p.*")
+    landed = _landed(raw)
+    return raw.select(*landed, F.from_json(F.col(column), full, options).alias("_p")).select(*landed, "_p.*")
+
+
+def _landed(pages: DataFrame) -> list[str]:
+    return [LANDED] if LANDED in pages.columns else []
 
 
 def _unreadable(c) -> F.Column:
@@ -93,7 +105,7 @@ def split_rejects(pages: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
     """
     marked = pages.withColumn("_bad", _bad_page(kind))
     good = marked.filter(~F.col("_bad")).drop("_bad", CORRUPT)
-    text = F.coalesce(CORRUPT, F.to_json(F.struct(*[c for c in pages.columns if c != CORRUPT])))
+    text = F.coalesce(CORRUPT, F.to_json(F.struct(*[c for c in pages.columns if c not in (CORRUPT, LANDED)])))
     reason = F.when(F.col(CORRUPT).isNotNull(), F.lit("not the page schema")).otherwise(F.lit("unreadable instant"))
     return good, marked.filter("_bad").select(F.lit(kind).alias("kind"), "page", reason.alias("reason"), text.alias("text"))
 
@@ -106,30 +118,34 @@ def _instant(c) -> F.Column:
 def flatten_products(pages: DataFrame, with_position: bool = False) -> tuple[DataFrame, DataFrame]:
     """Products and their variants; ids are GID suffixes, sku '' and price 0.0 by default.
 
-    ``with_position`` keeps ``listing_pos`` (page, product, variant index) so a
-    later last-wins lookup can follow the API listing order.
+    ``with_position`` keeps ``listing_pos`` (time of landing if known, page,
+    product, variant index) so a later last-wins lookup can follow the API
+    listing order.
     """
-    prod = (pages.select("page", F.posexplode("data.products.edges").alias("pi", "e"))
-            .select("page", "pi", "e.node.*"))
+    pos = [*_landed(pages), "page", "pi"]
+    prod = (pages.select(*pos[:-1], F.posexplode("data.products.edges").alias("pi", "e"))
+            .select(*pos, "e.node.*"))
     products = prod.select(
+        *([F.struct(*pos).alias("listing_pos")] if with_position else []),
         gid_suffix("id").alias("product_id"), "title", "vendor", "status",
         _instant(F.col("createdAt")).alias("created_at"), _instant(F.col("updatedAt")).alias("updated_at"))
-    var = (prod.select("page", "pi", gid_suffix("id").alias("product_id"),
+    var = (prod.select(*pos, gid_suffix("id").alias("product_id"),
                        F.posexplode("variants.edges").alias("vi", "ve"))
-           .select("page", "pi", "vi", "product_id", "ve.node.*"))
+           .select(*pos, "vi", "product_id", "ve.node.*"))
     price = F.coalesce(F.nullif(F.col("price"), F.lit("")).try_cast("double"), F.lit(0.0))
     cols = [gid_suffix("id").alias("variant_id"), "product_id", F.coalesce("sku", F.lit("")).alias("sku"), "title",
             price.alias("price"), gid_suffix("inventoryItem.id").alias("inventory_item_id")]
     if with_position:
-        cols.append(F.struct("page", "pi", "vi").alias("listing_pos"))
+        cols.append(F.struct(*pos, "vi").alias("listing_pos"))
     return products, var.select(*cols)
 
 
 # ------------------------------------------------------------------ C02 locations
 def flatten_locations(pages: DataFrame) -> DataFrame:
     """Locations with ``active = bool(isActive)``."""
-    return (pages.select(F.explode("data.locations.edges").alias("e")).select("e.node.*")
-            .select(gid_suffix("id").alias("location_id"), "name",
+    landed = _landed(pages)
+    return (pages.select(*landed, F.explode("data.locations.edges").alias("e")).select(*landed, "e.node.*")
+            .select(*landed, gid_suffix("id").alias("location_id"), "name",
                     F.coalesce("isActive", F.lit(False)).alias("active")))
 
 

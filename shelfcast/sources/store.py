@@ -275,6 +275,18 @@ def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     return out
 
 
+def data_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(path, size, modification time in ms) of the files below ``path``; hidden ones, as Spark's readers skip, are left out."""
+    fs, p = _fs(spark, path)
+    out = []
+    for st in fs.listStatus(p) if fs.exists(p) else []:
+        if st.getPath().getName().startswith(("_", ".")):
+            continue
+        name = st.getPath().toString()
+        out += data_files(spark, name) if st.isDirectory() else [(name, st.getLen(), st.getModificationTime())]
+    return out
+
+
 def latest_partition(spark: SparkSession, path: str, column: str, until: dt.date | None = None) -> dt.date | None:
     """C18b on a stored table: newest partition date (not after ``until``), NULL/default partitions skipped."""
     days = (dt.date.fromisoformat(v) for v in partition_values(spark, path, column))

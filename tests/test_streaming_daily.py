@@ -84,6 +84,43 @@ def test_only_new_days_are_read(spark, tmp_path):
     assert spark.read.parquet(f"{out}/sales_history_raw").count() == 2
 
 
+def _add(path, name, lines):
+    os.makedirs(path, exist_ok=True)
+    with open(f"{path}/{name}.json", "w") as f:
+        f.writelines(x + "\n" for x in lines)
+
+
+def _product_page(title, pid=1, page=1):
+    node = {"id": f"gid://x/Product/{pid}", "title": title, "vendor": "V", "status": "ACTIVE", "createdAt": "2001-01-01T00:00:00Z",
+            "updatedAt": "2001-01-01T00:00:00Z",
+            "variants": {"edges": [{"node": {"id": f"gid://x/ProductVariant/{pid}", "sku": "S", "title": title, "price": "1"}}]}}
+    return json.dumps({"page": page, "data": {"products": {"edges": [{"node": node}]}}})
+
+
+def test_late_pages_of_a_read_day(spark, tmp_path):
+    land, out = str(tmp_path / "landing"), str(tmp_path / "store")
+    read = lambda name, col: sorted(r[col] for r in spark.read.parquet(f"{out}/{name}").collect())
+    day = "day=2001-11-02"
+    _add(f"{land}/orders/{day}", "a", [_order_page(1, "2001-11-02T10:00:00Z"), _order_page(2, "bad")])
+    _add(f"{land}/products/{day}", "a", [_product_page("first")])
+    assert daily_load(spark, land, out, on_reject="quarantine")["rejects"] == {"orders": 1}
+    # a page put aside lands again, corrected, in the day that was read; products are listed again, with one more
+    _add(f"{land}/orders/{day}", "b", [_order_page(2, "2001-11-02T11:00:00Z")])
+    _add(f"{land}/products/{day}", "b", [_product_page("second"), _product_page("other", pid=2, page=2)])
+    os.utime(f"{land}/products/{day}/a.json", (1e9, 1e9 - 60))
+    rep = daily_load(spark, land, out)
+    assert rep["days"] == ["2001-11-02"] and rep["rejects"] == {}
+    assert read("sales_history_raw", "sale_id") == ["1_1", "2_1"]
+    assert read("products", "title") == read("variants", "title") == ["other", "second"]
+    # an older day that lands late brings its sales, and not its products
+    _add(f"{land}/orders/day=2001-11-01", "a", [_order_page(3, "2001-11-01T10:00:00Z")])
+    _add(f"{land}/products/day=2001-11-01", "a", [_product_page("older")])
+    assert daily_load(spark, land, out)["days"] == ["2001-11-01"]
+    assert read("sales_history_raw", "sale_id") == ["1_1", "2_1", "3_1"]
+    assert read("products", "title") == ["other", "second"]
+    assert daily_load(spark, land, out) == {"days": []}
+
+
 def test_streaming_ingest_upserts_each_file_once(spark, tmp_path):
     f = Fixture(spark, SF, "bt", P)
     land, target, ckpt = str(tmp_path / "orders"), str(tmp_path / "sales"), str(tmp_path / "ckpt")
