@@ -17,7 +17,8 @@ in the passage, or 0.8 of its question shingles and 0.8 of its answer shingles
 
 The index is collected in slices of at most about ``INDEX_BYTES`` of item
 text. A larger benchmark takes several slices, with one pass over the
-documents for each; the BM25 statistics are always those of all items.
+documents for each; the BM25 statistics and the passages are always those of
+all items.
 """
 
 from __future__ import annotations
@@ -94,8 +95,9 @@ class Index:
     longest: int
 
 
-def build_index(items: list[tuple[int, list[str]]], df: dict[str, int], n_items: int, mean_len: float) -> Index:
-    """Index of a slice of items, under the statistics of all items."""
+def build_index(items: list[tuple[int, list[str]]], df: dict[str, int], n_items: int, mean_len: float,
+                longest: int | None = None) -> Index:
+    """Index of a slice of items, under the statistics of all items; ``longest`` is that of the slice if not given."""
     idf = {t: math.log(1 + (n_items - n + 0.5) / (n + 0.5)) for t, n in df.items()}
 
     def impacts(words: list[str]) -> dict[str, float]:
@@ -128,7 +130,7 @@ def build_index(items: list[tuple[int, list[str]]], df: dict[str, int], n_items:
                  np.array([*term_entries, len(entry_block)]), np.array(entry_block, dtype=np.int64), np.array(entry_max),
                  np.array([max(v for _, v in lists[t]) for t in term_ids]),
                  np.array([*entry_postings, len(item)]), np.array(item, dtype=np.int64), np.array(impact),
-                 max((len(w) for _, w in items), default=1))
+                 longest or max((len(w) for _, w in items), default=1))
 
 
 def _ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -240,7 +242,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     read = map_rows(benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text"), _TERMS,
                     lambda rows: ((i, w) for i, w in ((i, words_of(t)) for i, t in rows) if w))
     items = materialize(read, "items")
-    stats = items.agg(F.count("*").alias("n"), F.avg(F.size("words")).alias("mean_len"),
+    stats = items.agg(F.count("*").alias("n"), F.avg(F.size("words")).alias("mean_len"), F.max(F.size("words")).alias("longest"),
                       F.sum(F.octet_length(F.concat_ws(" ", "words"))).alias("bytes")).first()
     df = items.select(F.explode(F.array_distinct("words")).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     n_slices = max(1, math.ceil((stats["bytes"] or 0) / INDEX_BYTES))
@@ -252,7 +254,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         counts = {r["term"]: r["df"] for r in df.join(terms, "term", "left_semi").collect()}   # of one slice's text
         rows = [(r["item_id"], r["words"]) for r in part.collect()]                             # one slice's text
         if rows:
-            out = out.unionByName(_scan(texts, build_index(rows, counts, stats["n"], stats["mean_len"])))
+            out = out.unionByName(_scan(texts, build_index(rows, counts, stats["n"], stats["mean_len"], stats["longest"])))
     return out
 
 

@@ -120,6 +120,19 @@ def test_several_slices_give_the_same(spark, monkeypatch):
     assert [r[:2] for r in one] == [r[:2] for r in many]        # windows follow the longest item of a slice
 
 
+def test_slices_keep_the_passages(spark, monkeypatch):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    items = [(n, " ".join(word() for _ in range(n))) for n in range(10, 60, 3)]
+    filler = lambda: " ".join(word() for _ in range(rng.randint(20, 200)))
+    docs = docs_of(spark, [(d, " ".join(f"{filler()} {t} {filler()}" for _, t in rng.sample(items, 4))) for d in range(20)])
+    rows = lambda: sorted((r.doc_id, r.item_id, r.n_passages, r.first_word, r.question_overlap, r.answer_overlap, r.overlap,
+                           round(r.score, 9)) for r in decontam.find_contamination(docs, items_of(spark, items)).collect())
+    one = rows()
+    monkeypatch.setattr(decontam, "INDEX_BYTES", 1_000)
+    assert len(one) == 80 and rows() == one
+
+
 def test_retrieval_returns_all_above_the_threshold():
     rng = random.Random(2)
     vocabulary = [f"w{i}" for i in range(120)]
