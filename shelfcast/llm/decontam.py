@@ -27,9 +27,11 @@ import bisect
 import math
 import re
 from collections import Counter, defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -238,7 +240,15 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items that repeat an item_id are items of their own. Extra columns are
     ignored; without items, or without documents, the result is empty.
     """
-    spark = docs.sparkSession
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    out = docs.sparkSession.createDataFrame([], _HITS)
+    for index in _indexes(benchmark):
+        out = out.unionByName(_scan(texts, index))
+    return out
+
+
+def _indexes(benchmark: DataFrame) -> Iterator[Index]:
+    """The index of each slice of the items; none without items."""
     read = map_rows(benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text"), _TERMS,
                     lambda rows: ((i, w) for i, w in ((i, words_of(t)) for i, t in rows) if w))
     items = materialize(read, "items")
@@ -246,16 +256,13 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                       F.sum(F.octet_length(F.concat_ws(" ", "words"))).alias("bytes")).first()
     df = items.select(F.explode(F.array_distinct("words")).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     n_slices = max(1, math.ceil((stats["bytes"] or 0) / INDEX_BYTES))
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    out = spark.createDataFrame([], _HITS)
     for k in range(n_slices if stats["n"] else 0):
         part = items.filter(F.pmod(F.xxhash64("item_id", "words"), F.lit(n_slices)) == k)
         terms = part.select(F.explode("words").alias("term")).distinct()
         counts = {r["term"]: r["df"] for r in df.join(terms, "term", "left_semi").collect()}   # of one slice's text
         rows = [(r["item_id"], r["words"]) for r in part.collect()]                             # one slice's text
         if rows:
-            out = out.unionByName(_scan(texts, build_index(rows, counts, stats["n"], stats["mean_len"], stats["longest"])))
-    return out
+            yield build_index(rows, counts, stats["n"], stats["mean_len"], stats["longest"])
 
 
 def _scan(texts: DataFrame, index: Index) -> DataFrame:
@@ -272,3 +279,22 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents that hold a test item; a row with a null doc_id stays."""
     held = find_contamination(docs, benchmark).select("doc_id").distinct()
     return docs.join(held, "doc_id", "left_anti").select(docs.columns)
+
+
+def clean_rows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that hold no test item, each decided by its own text, whatever its doc_id; columns stay as they are."""
+    for index in _indexes(benchmark):
+        docs = _without(docs, index)
+    return docs
+
+
+def _without(docs: DataFrame, index: Index) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(index)
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            held = {k for k, *_ in match_texts(batch.column(at).cast(pa.large_binary()).to_pylist(), shared.value)}
+            yield batch.filter(pa.array([k not in held for k in range(batch.num_rows)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

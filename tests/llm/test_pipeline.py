@@ -60,6 +60,15 @@ def test_simhash_stage_keeps_one_row(spark):
     assert sorted(((r.doc_id) for r in stages.simhash(spark, docs, SF).collect()), key=repr) == [1, 3, None]
 
 
+def test_decontaminate_stage_decides_by_row(spark, tmp_path):
+    item = " ".join(f"w{i}" for i in range(20))
+    spark.createDataFrame([(1, item)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = docs_of(spark, [(None, f"before {item} after"), (None, "a clean text"), (7, item), (7, "another clean text"), (8, None)])
+    kept = stages.decontaminate(spark, docs, str(tmp_path))
+    assert kept.dtypes == docs.dtypes
+    assert sorted(texts(kept), key=repr) == sorted([(None, "a clean text"), (7, "another clean text"), (8, None)], key=repr)
+
+
 def test_stages_on_an_empty_table(spark):
     docs = docs_of(spark, [])
     for _, stage in corpus_pipeline.STAGES:
