@@ -40,6 +40,14 @@ def drop_scratch(spark: SparkSession) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete one folder of `scratch_path` that nothing reads any more."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    if path in _SCRATCH:
+        _SCRATCH.remove(path)
+
+
 def map_rows(df: DataFrame, schema: T.StructType,
              fn: Callable[[list[tuple]], Iterable[tuple]]) -> DataFrame:
     """``mapInArrow`` over Python tuples: ``fn`` gets the rows of one Arrow batch.
@@ -47,7 +55,7 @@ def map_rows(df: DataFrame, schema: T.StructType,
     Strings arrive as UTF-8 bytes: the text helpers work on bytes, where
     ``lower()`` and ``split()`` are the ASCII-only forms the contracts ask for.
     """
-    arrow_schema = _arrow_schema(schema)
+    types = arrow_schema(schema)
     n_out = len(schema.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -57,12 +65,12 @@ def map_rows(df: DataFrame, schema: T.StructType,
             rows = list(fn(list(zip(*cols))))
             out = list(zip(*rows)) if rows else [[] for _ in range(n_out)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(v), type=f.type) for v, f in zip(out, arrow_schema)], schema=arrow_schema)
+                [pa.array(list(v), type=f.type) for v, f in zip(out, types)], schema=types)
 
     return df.mapInArrow(run, schema)
 
 
-def _arrow_schema(schema: T.StructType) -> pa.Schema:
+def arrow_schema(schema: T.StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 
     return to_arrow_schema(schema)

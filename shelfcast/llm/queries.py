@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm import (
-    decontam, embdedup, langid, licenses, linededup, mixing, quality, sharding, simhash, tokens,
+    codes, decontam, embdedup, langid, licenses, linededup, mixing, quality, sharding, simhash, tokens, whitening,
 )
 from shelfcast.llm.common import held_out
 
@@ -67,6 +67,19 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return whitening.whiten(vectors, whitening.fit(vectors)).withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
+def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = codes.fit(_table(spark, sf_dir, "embeddings"))
+    coded = codes.with_label_error(codes.encode(model))
+    return coded.select("vec_id", F.lower(F.hex("code")).alias("code"),
+                        *[F.expr(f"try_cast({c} AS bigint)").alias(c) for c in ("error", "label_error")],
+                        F.lit(model.digest).alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_licenses": op2_licenses,
@@ -78,8 +91,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_embeddings": op9_embeddings,
     "op10_tokens": op10_tokens,
+    "op12_whitening": op12_whitening,
+    "op13_codes": op13_codes,
 }
 
 ORACLE: dict[str, str] = {
     "op4_line_dedup": linededup.ORACLE,
+    "op13_codes": codes.oracle(),
 }
