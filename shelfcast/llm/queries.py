@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm import (
-    codes, decontam, embdedup, langid, licenses, linededup, mixing, quality, sharding, simhash, tokens, whitening,
+    codes, decontam, embdedup, langid, licenses, linededup, mixing, pii, quality, sharding, simhash, tokens, whitening,
 )
 from shelfcast.llm.common import held_out
 
@@ -67,6 +67,13 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(_table(spark, sf_dir, "documents"))
+    joined = {c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",") for c in ("base", "spans")}
+    counts = [F.expr(f"CAST(size(filter(base, s -> s.kind = '{k}')) AS bigint) AS n_{k}") for k in pii.BASE_KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined["base"], 256).alias("base_sha256"), joined["spans"].alias("spans"))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings")
     return whitening.whiten(vectors, whitening.fit(vectors)).withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
@@ -91,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_embeddings": op9_embeddings,
     "op10_tokens": op10_tokens,
+    "op11_personal_data": op11_personal_data,
     "op12_whitening": op12_whitening,
     "op13_codes": op13_codes,
 }
