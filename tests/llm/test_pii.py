@@ -127,7 +127,7 @@ def test_reliabilities_match_em_by_candidate():
     assert real[back.ravel()] == pytest.approx(post, abs=1e-9) and share == pytest.approx(prior[1], abs=1e-9)
     assert table[0, 1] == pytest.approx(tables[1, 0], abs=1e-9)
     assert ((real[back.ravel()] > 0.5) == truth).mean() > 0.9
-    assert table[0, 1, pii.YES] > table[1, 1, pii.YES]                           # the first labeler is the more reliable one
+    assert table[0, 1, pii.YES] > table[2, 1, pii.YES]                           # the first labeler is more reliable than the third
 
 
 def test_classifier_is_the_optimum_of_its_loss(spark):
