@@ -9,11 +9,11 @@ from __future__ import annotations
 
 import functools
 
-from shelfcast.plans import catalog, catalog_ingest, catalog_models, catalog_store  # noqa: F401
+from shelfcast.plans import catalog, catalog_forecast, catalog_ingest, catalog_models, catalog_store  # noqa: F401
 
 PART_GRAIN = ("c04_flatten_sales", "c08_upsert_sales", "c10_sales_daily", "c11_current_inventory",
               "c22_sales_weekly", "c24_fit_weekly_model", "c29_model_quality_flags", "c31_demand_forecasts",
-              "c32_stockout_predictions", "c33_vendor_restocks_weekly")
+              "c32_stockout_predictions", "c33_vendor_restocks_weekly", "f05_fit_arima", "f06_forecast_arima")
 
 
 def queries():
