@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions.ranking import exact_median
@@ -97,3 +97,42 @@ def proof_series(proof: DataFrame) -> DataFrame:
     return proof.groupBy("week_start").agg(
         F.sum("actual_qty").alias("actual_qty"), F.sum("predicted_qty").alias("predicted_qty"),
         F.sum("baseline_qty").alias("baseline_qty"))
+
+
+# ---------------------------------------------------------------- the views by name
+
+# Over the catalog tables of one database ({db}); in order, as later ones read earlier ones.
+VIEW_SQL = {
+    "v_active_vendors": "SELECT vendor_name FROM {db}.vendor_status WHERE NOT coalesce(archived, false)",
+    "v_variant_vendor_map": """
+        SELECT variant_id, nullif(v.sku, '') AS sku, p.vendor AS vendor_name, p.title AS product_title, v.title AS variant_title
+        FROM {db}.variants v JOIN {db}.products p USING (product_id)
+        WHERE variant_id IS NOT NULL AND p.vendor > ''""",
+    "current_inventory": """
+        SELECT snapshot_date, variant_id, min(nullif(sku, '')) AS sku, sum(available_qty) AS raw_stock,
+               CASE WHEN sum(available_qty) IS NOT NULL THEN greatest(sum(available_qty), 0) END AS current_stock,
+               sum(available_qty) < 0 AS negative_stock_flag
+        FROM {db}.inventory_snapshots_raw
+        WHERE snapshot_date = (SELECT max(snapshot_date) FROM {db}.inventory_snapshots_raw)
+        GROUP BY snapshot_date, variant_id""",
+    "v_current_inventory_active": """
+        SELECT snapshot_date, variant_id, m.sku, m.vendor_name, m.product_title, m.variant_title, raw_stock, current_stock, negative_stock_flag
+        FROM {db}.current_inventory JOIN ({db}.v_variant_vendor_map m LEFT SEMI JOIN {db}.v_active_vendors a ON a.vendor_name = m.vendor_name)
+             USING (variant_id)""",
+    "v_vendor_summary": """
+        SELECT vendor_name, count(DISTINCT variant_id) AS active_variant_count, sum(current_stock) AS total_current_stock,
+               count_if(negative_stock_flag) AS negative_variants
+        FROM {db}.v_current_inventory_active GROUP BY vendor_name""",
+    "v_inventory_exceptions": """
+        SELECT snapshot_date, variant_id, m.sku, raw_stock, current_stock, negative_stock_flag, m.vendor_name,
+               CASE WHEN m.vendor_name IS NULL THEN 'MISSING_VENDOR_MAPPING' WHEN negative_stock_flag THEN 'NEGATIVE_STOCK' ELSE 'OK' END AS exception_type
+        FROM {db}.current_inventory LEFT JOIN {db}.v_variant_vendor_map m USING (variant_id)
+        WHERE negative_stock_flag OR m.vendor_name IS NULL""",
+}
+
+
+def create_views(spark: SparkSession, database: str) -> list[str]:
+    """Create (or replace) the dashboard views in ``database``, beside its products, variants, vendor_status and snapshots."""
+    for name, sql in VIEW_SQL.items():
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS {sql.format(db=database)}")
+    return list(VIEW_SQL)

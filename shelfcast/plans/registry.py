@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import functools
 
-from shelfcast.plans import catalog, catalog_forecast, catalog_ingest, catalog_models, catalog_store  # noqa: F401
+from shelfcast.plans import catalog, catalog_forecast, catalog_ingest, catalog_models, catalog_store, catalog_tables  # noqa: F401
 
 PART_GRAIN = ("c04_flatten_sales", "c08_upsert_sales", "c10_sales_daily", "c11_current_inventory",
               "c22_sales_weekly", "c24_fit_weekly_model", "c29_model_quality_flags", "c31_demand_forecasts",
@@ -26,6 +26,7 @@ def queries():
 def close(spark) -> None:
     """Delete the folders that queries run in this process have written; their results end with it."""
     catalog_models.close_runs()
+    catalog_tables.drop_databases(spark)
     catalog_store.drop_stores(spark)
 
 

@@ -197,9 +197,84 @@ def multi_matched_keys(target_in_range: DataFrame, source: DataFrame, key: str)
     return dup.join(target_in_range.select(key).distinct(), key, "left_semi")
 
 
-class Upserted(NamedTuple):
-    partitions: int             # partitions rewritten
-    dropped: int                # staged rows given up for a later one of their key
+BITS_PER_KEY, HASHES, MAX_BLOOM_WORDS = 16, 4, 1 << 21        # at most 16 MB
+
+
+def bloom_words(keys: DataFrame, key: str, n: int) -> tuple[Column, int]:
+    """A Bloom filter of ``keys`` as (array of 64-bit words from one scalar subquery, number of words).
+
+    ``n`` is the number of keys; beyond `MAX_BLOOM_WORDS` words the filter lets
+    more rows through, which the exact join after it sorts out.
+    """
+    words = min(MAX_BLOOM_WORDS, max(1, -(-n * BITS_PER_KEY // 64)))
+    at = F.explode(F.array(*[F.pmod(F.xxhash64(F.lit(i), key), F.lit(words * 64)) for i in range(HASHES)])).alias("bit")
+    filled = (keys.select(at).selectExpr("bit div 64 AS word", "shiftleft(1L, CAST(bit % 64 AS INT)) AS mask")
+              .groupBy("word").agg(F.bit_or("mask").alias("mask")))
+    every = keys.sparkSession.range(words).select(F.col("id").alias("word"))
+    return (every.join(filled, "word", "left")
+            .agg(F.expr("transform(array_sort(collect_list(struct(word, coalesce(mask, 0L) AS mask))), w -> w.mask) AS words"))
+            .scalar(), words)
+
+
+def may_contain(words: Column, n_words: int, key: str) -> Column:
+    """Whether a row's key may be in the filter of `bloom_words` (never false for one that is)."""
+    bits = [F.pmod(F.xxhash64(F.lit(i), key), F.lit(n_words * 64)) for i in range(HASHES)]
+    hit = F.lit(True)
+    for b in bits:
+        hit = hit & (F.call_function("getbit", F.get(words, F.floor(b / 64).cast("int")), (b % 64).cast("int")) == 1)
+    return hit
+
+
+def moved_keys(target: DataFrame, source: DataFrame, key: str, date_col: str) -> DataFrame:
+    """(key, stored_date, staged_date): staged keys that are stored under a date outside the batch's range.
+
+    The bounded MERGE cannot see them and inserts them again. Only the key and
+    date columns of the other partitions are read; a Bloom filter of the staged
+    keys leaves few of their rows, and only those meet the batch in an exact
+    join, so the stored table is not shuffled.
+    """
+    b = source.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi"), F.count(F.lit(1)).alias("n")).first()
+    staged = source.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max(date_col).alias("staged_date"))
+    outside = target.select(key, F.col(date_col).alias("stored_date"))
+    if b["lo"] is None:
+        return outside.filter(F.lit(False)).join(staged, key).select(key, "stored_date", "staged_date")
+    words, n_words = bloom_words(source.select(key).filter(F.col(key).isNotNull()), key, b["n"])
+    candidates = outside.filter(~F.col("stored_date").between(date_lit(b["lo"]), date_lit(b["hi"])) & may_contain(words, n_words, key))
+    return candidates.join(staged, key).select(key, "stored_date", "staged_date")
+
+
+class Upserted(NamedTuple("Upserted", [("partitions", int), ("dropped", int)])):
+    """Partitions rewritten, and staged rows given up for a later one of their key.
+
+    ``dates`` are the partitions' values: what rollups of the table have to look at again.
+    """
+
+    dates: tuple[str, ...] = ()
+
+    @classmethod
+    def of(cls, dates: list[str], dropped: int) -> "Upserted":
+        out = cls(len(dates), dropped)
+        out.dates = tuple(sorted(dates))
+        return out
+
+
+def one_row_per_match(target_in_range: DataFrame, source: DataFrame, name: str, on_duplicate: str) -> tuple[DataFrame, int]:
+    """The batch with at most one row for a stored one, and how many rows that dropped (see `upsert_partitions`)."""
+    key = FACT_KEYS[name]
+    if on_duplicate == "latest":
+        ts_col = "sale_timestamp" if name == "sales_history_raw" else "snapshot_timestamp"
+        kept = dedupe(source, key, [ts_col] + [c for c in source.columns if c not in (key, ts_col)], latest=True)
+        return kept, source.count() - kept.count()
+    if on_duplicate != "error":
+        raise ValueError(f"on_duplicate is 'error' or 'latest', not {on_duplicate!r}")
+    if not multi_matched_keys(target_in_range, source, key).isEmpty():
+        raise ValueError(f"upsert into {name}: a stored row matches several staged rows")
+    return source, 0
+
+
+def kept_on_match(name: str) -> tuple[str, ...]:
+    """Columns of a fact table that an update leaves as stored (beside its date)."""
+    return ("line_price",) if name == "sales_history_raw" else ()
 
 
 def upsert_partitions(spark: SparkSession, path: str, name: str, source: DataFrame,
@@ -213,30 +288,21 @@ def upsert_partitions(spark: SparkSession, path: str, name: str, source: DataFra
     copies are deleted afterwards.
     """
     _, date_col, _, _ = schemas.TABLES[name]
-    key = FACT_KEYS[name]
-    keep = ("line_price",) if name == "sales_history_raw" else ()
     work = f"{checkpoint_dir(spark)}/upsert-{name}-{uuid.uuid4().hex}"
     try:
         conform(source, name).write.parquet(f"{work}/source")
         source = spark.read.schema(table_schema(name)).parquet(f"{work}/source")
-        bounds = source.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi"), F.count(F.lit(1)).alias("n")).first()
+        bounds = source.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi")).first()
         if bounds["lo"] is None:
             return Upserted(0, 0)
-        lo, hi, dropped = bounds["lo"], bounds["hi"], 0
+        lo, hi = bounds["lo"], bounds["hi"]
         create_if_absent(spark, path, name)
         target = read_fact(spark, path, name, lo, hi)       # literal range: static partition pruning
-        if on_duplicate == "latest":
-            ts_col = "sale_timestamp" if name == "sales_history_raw" else "snapshot_timestamp"
-            source = dedupe(source, key, [ts_col] + [c for c in source.columns if c not in (key, ts_col)], latest=True)
-            dropped = bounds["n"] - source.count()
-        elif on_duplicate != "error":
-            raise ValueError(f"on_duplicate is 'error' or 'latest', not {on_duplicate!r}")
-        elif not multi_matched_keys(target, source, key).isEmpty():
-            raise ValueError(f"upsert into {name}: a stored row matches several staged rows")
-        merge_rows(target, source, key, date_col, keep).write.parquet(f"{work}/merged")
+        source, dropped = one_row_per_match(target, source, name, on_duplicate)
+        merge_rows(target, source, FACT_KEYS[name], date_col, kept_on_match(name)).write.parquet(f"{work}/merged")
         write_fact(spark.read.schema(table_schema(name)).parquet(f"{work}/merged"), path, name, mode="overwrite")
         touched = [v for v in partition_values(spark, path, date_col) if lo <= dt.date.fromisoformat(v) <= hi]
-        return Upserted(len(touched), dropped)
+        return Upserted.of(touched, dropped)
     finally:
         delete_folder(spark, work)
 
