@@ -1,7 +1,7 @@
 """Global ranks and medians without a one-task window.
 
-Rows are dealt into buckets by approximate quantiles of the order value (equal
-values share a bucket), each bucket is ranked by itself, and a bucket's offset
+Rows are dealt into buckets by approximate quantiles of the order value, or by
+a sample of the strings (equal values share a bucket), each bucket is ranked by itself, and a bucket's offset
 is what the aggregated counts of the buckets before it add up to. Only the
 bucket counts, at most ``BUCKETS`` rows, are ordered globally.
 """
@@ -12,13 +12,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKETS = 200
+SAMPLE = 8_000          # strings drawn to cut buckets
 
 
-def name_order(c: Column | str) -> Column:
-    """A number in the byte order of a string's first six bytes (ties share it)."""
-    c = F.col(c) if isinstance(c, str) else c
-    head = F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), 1, 6)), 12, "0")
-    return F.conv(head, 16, 10).cast("double")
+def _string_cuts(df: DataFrame, order: str) -> Column:
+    """At most ``BUCKETS - 1`` of the strings themselves, ascending: even steps through a hash-chosen sample of distinct ones."""
+    n = df.select(F.count(F.lit(1))).scalar()
+    drawn = F.pmod(F.xxhash64(F.lit(17), order), F.lit(1 << 30)) < F.lit(float(SAMPLE * (1 << 30))) / F.greatest(n, F.lit(1))
+    ordered = df.filter(F.col(order).isNotNull() & drawn).select(F.array_sort(F.collect_set(order)).alias("s"))
+    steps = f"transform(sequence(1, {BUCKETS - 1}), i -> get(s, CAST(i * size(s) div {BUCKETS} AS INT)))"
+    return ordered.select(F.expr(f"array_compact(array_distinct({steps}))")).scalar()
+
+
+def _string_bucketed(df: DataFrame, order: str) -> DataFrame:
+    """``df`` with ``_bucket`` ascending in the whole string; nulls in bucket -1."""
+    placed = df.withColumn("_cuts", _string_cuts(df, order))
+    below = F.size(F.filter("_cuts", lambda x: x < F.col(order)))
+    return placed.withColumn("_bucket", F.when(F.col(order).isNull(), F.lit(-1)).otherwise(below)).drop("_cuts")
 
 
 def _bucketed(df: DataFrame, order: Column) -> DataFrame:
@@ -48,17 +58,22 @@ def with_dense_rank_desc(df: DataFrame, value: str, name: str) -> DataFrame:
 
 def with_row_number(df: DataFrame, order: str, name: str) -> DataFrame:
     """``row_number() OVER (ORDER BY order)`` of a string column as ``name``."""
-    ranked = _with_offset(_bucketed(df, name_order(order)), F.count(F.lit(1)))
+    ranked = _with_offset(_string_bucketed(df, order), F.count(F.lit(1)))
     own = F.row_number().over(Window.partitionBy("_bucket").orderBy(order))
     return ranked.withColumn(name, (F.col("_before") + own).cast("bigint")).drop("_bucket", "_before")
 
 
 def exact_median(df: DataFrame, value: str, name: str) -> DataFrame:
-    """One row: the median of the non-null values (mean of the middle two), null without any."""
-    known = df.filter(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("_v"))
-    ranked = _with_offset(_bucketed(known, F.col("_v")), F.count(F.lit(1)))
-    n = known.select(F.count(F.lit(1))).scalar()
-    middle = F.floor((n + 1) / 2), F.floor((n + 2) / 2)
-    place = F.col("_before") + F.row_number().over(Window.partitionBy("_bucket").orderBy("_v"))
-    at = (F.col("_i") == middle[0]) | (F.col("_i") == middle[1])
-    return ranked.withColumn("_i", place).filter(at).agg(F.avg("_v").alias(name))
+    """One row: the median of the non-null values (mean of the middle two), null without any.
+
+    Selected from counts of equal values, which combine map-side: a value that
+    half of all rows share is one row here.
+    """
+    counts = (df.filter(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("_v"))
+              .agg(F.count(F.lit(1)).alias("_c")))
+    ranked = _with_offset(_bucketed(counts, F.col("_v")), F.sum("_c"))
+    upto = F.col("_before") + F.sum("_c").over(Window.partitionBy("_bucket").orderBy("_v"))
+    n = counts.select(F.sum("_c")).scalar()
+    at = lambda place: F.max(F.when((F.col("_upto") - F.col("_c") < place) & (place <= F.col("_upto")), F.col("_v")))
+    middle = ranked.withColumn("_upto", upto).agg(at(F.floor((n + 1) / 2)).alias("_a"), at(F.floor((n + 2) / 2)).alias("_b"))
+    return middle.select(((F.col("_a") + F.col("_b")) / 2).alias(name))
