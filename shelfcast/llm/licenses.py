@@ -13,6 +13,7 @@ Base labels are independent of the index: they name every phrase of
 
 from __future__ import annotations
 
+import bisect
 import math
 import re
 from collections import Counter, defaultdict
@@ -76,10 +77,14 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 def phrase_starts(joined: bytes, phrase: bytes) -> list[int]:
     """Word positions where ``phrase`` stands in ``joined`` (words between single blanks, one blank at either end)."""
-    out, at = [], joined.find(b" " + phrase + b" ")
+    needle = b" " + phrase + b" "
+    out, word, counted = [], 0, 0
+    at = joined.find(needle)
     while at >= 0:
-        out.append(joined.count(b" ", 0, at))
-        at = joined.find(b" " + phrase + b" ", at + 1)
+        word += joined.count(b" ", counted, at)
+        counted = at
+        out.append(word)
+        at = joined.find(needle, at + 1)
     return out
 
 
@@ -135,7 +140,8 @@ def _templates_at(words: list[bytes], joined: bytes, postings: dict, weights: li
         for key in keys:
             if key not in phrases:
                 phrases[key] = phrase_starts(joined, key.encode())
-            if not any(low <= s and s + len(key.split()) <= high for s in phrases[key]):
+            first = bisect.bisect_left(phrases[key], low)                  # starts ascend
+            if first == len(phrases[key]) or phrases[key][first] + len(key.split()) > high:
                 break
         else:
             labels[label] = share

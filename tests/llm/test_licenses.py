@@ -53,5 +53,43 @@ def test_templates_need_alignment_and_key_phrases(spark):
     assert out[8].score == 0 and out[1].score > 0.9
 
 
+def test_repeated_phrases_take_linear_time(spark):
+    import time
+
+    for unit, n in (("cc by ", 1_000_000), ("apache license under the version ", 200_000), ("general public license ", 250_000)):
+        start = time.perf_counter()
+        r = licenses.scan_licenses(docs_of(spark, [(1, unit * n)])).first()
+        assert r.n_words == n * len(unit.split()) and r.n_base == (0 if "apache" in unit else n)
+        assert time.perf_counter() - start < 60
+
+
+def brute_labels(text, weights):
+    """Labels by trying every template at every place of the text, from the rule: half of the anchors' weight within the slack, and all key phrases."""
+    words = licenses.words_of((text or "").encode())
+    found = set(brute_base(text)[4])
+    for (label, notice, keys), anchors in zip(licenses.TEMPLATES, weights):
+        template = notice.encode().split()
+        for offset in range(-len(template), len(words) + 1):
+            near = {(w, p) for p, w in enumerate(template) if w in anchors
+                    for d in range(-licenses.SLACK // 2, licenses.SLACK // 2 + 1) if 0 <= offset + p + d < len(words) and words[offset + p + d] == w}
+            if sum(anchors[w] for w in {w for w, _ in near}) >= 0.5 * sum(anchors.values()):
+                region = words[max(offset - licenses.SLACK, 0):offset + len(template) + licenses.SLACK + 1]
+                text_region = " " + " ".join(w.decode() for w in region) + " "
+                if all(f" {k} " in text_region for k in keys):
+                    found.add(label)
+    return sorted(found)
+
+
+def test_labels_match_templates_tried_at_every_place(spark):
+    notices = [notice for _, notice, _ in licenses.TEMPLATES]
+    texts = [t for n in notices for t in (f"x y z {n} and more", f"{n.replace(' ', ' q ', 1)} tail", " ".join(reversed(n.split())),
+                                          " ".join(n.split()[::2]), f"{n} {notices[0]}")]
+    docs = docs_of(spark, list(enumerate(texts)))
+    _, weights = licenses.build_index(*licenses.document_frequencies(docs))
+    got = {r.doc_id: r.labels for r in licenses.scan_licenses(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == [brute_labels(t, weights) for t in texts]
+    assert sum(map(len, got.values())) > len(notices)
+
+
 def test_empty_table(spark):
     assert licenses.scan_licenses(docs_of(spark, [])).count() == 0
