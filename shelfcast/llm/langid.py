@@ -6,9 +6,8 @@ until some gram is known, and takes the mean of the known grams' log
 frequencies. A text's scores are the sums over its words, every word counted.
 
 The model is fitted on a hash-chosen sample of about ``max_train_docs``
-labelled documents and keeps the ``max_words`` and ``max_grams`` most frequent
-entries, so its size is bounded whatever the corpus; prediction reads every
-whole text.
+labelled documents and keeps every word and gram of it, so its size is that of
+the sample whatever the corpus; prediction reads every whole text.
 """
 
 from __future__ import annotations
@@ -26,8 +25,6 @@ from pyspark.sql import types as T
 from shelfcast.llm.common import hash_fraction, held_out, map_rows, materialize
 
 MAX_TRAIN_DOCS = 12_000
-MAX_WORDS = 60_000
-MAX_GRAMS = 60_000
 LONGEST_GRAM = 5
 SMOOTHING = 0.5
 CACHE_WORDS = 300_000
@@ -47,27 +44,44 @@ def grams_of(word: str, n: int) -> list[str]:
     return [marked[i:i + n] for i in range(len(marked) - n + 1)]
 
 
+class Table(dict):
+    """Keys with the place of their log frequencies in ``rows`` (one column a language)."""
+
+    def __init__(self, places=(), rows: np.ndarray | None = None):
+        super().__init__(places)
+        self.rows = rows
+
+    def __reduce__(self):
+        return Table, (dict(self), self.rows)
+
+    @classmethod
+    def of(cls, vectors: dict[str, list[float]], n_langs: int) -> "Table":
+        return vectors if isinstance(vectors, cls) else cls(
+            zip(vectors, range(len(vectors))), np.array(list(vectors.values()), dtype=float).reshape(len(vectors), n_langs))
+
+
 @dataclass
 class Model:
     langs: list[str]
     prior: list[float]                       # log share of the training documents
-    words: dict[str, list[float]]            # log frequency per language
+    words: dict[str, list[float]]            # log frequency per language (`fit` makes a `Table`)
     grams: dict[str, list[float]]
 
 
-def _counted(counts: DataFrame, key: str, langs: list[str], limit: int) -> dict[str, list[float]]:
-    """The ``limit`` most frequent keys of ``counts (lang, key, n)`` as smoothed log frequencies."""
+def _counted(counts: DataFrame, key: str, langs: list[str]) -> Table:
+    """All keys of ``counts (lang, key, n)`` with smoothed log frequencies, in code point order."""
     per_lang = [F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).alias(f"n{i}")
                 for i, lang in enumerate(langs)]
-    totals = counts.groupBy(key).agg(*per_lang, F.sum("n").alias("total"))
-    rows = totals.orderBy(F.desc("total"), key).limit(limit).drop("total").collect()
-    table = np.array([r[1:] for r in rows], dtype=float).reshape(len(rows), len(langs)) + SMOOTHING
-    logs = np.log(table / table.sum(0)) if len(rows) else table
-    return {r[0]: logs[i].tolist() for i, r in enumerate(rows)}
+    if not langs:
+        return Table((), np.zeros((0, 0)))
+    found = counts.groupBy(key).agg(*per_lang).toArrow()
+    keys = found.column(0).to_pylist()
+    order = sorted(range(len(keys)), key=keys.__getitem__)
+    table = np.stack([found.column(1 + i).to_numpy() for i in range(len(langs))], axis=1)[order] + SMOOTHING
+    return Table(((keys[j], i) for i, j in enumerate(order)), np.log(table / table.sum(0)))
 
 
-def fit(docs: DataFrame, max_train_docs: int = MAX_TRAIN_DOCS, max_words: int = MAX_WORDS,
-        max_grams: int = MAX_GRAMS) -> Model:
+def fit(docs: DataFrame, max_train_docs: int = MAX_TRAIN_DOCS) -> Model:
     """Learn from the documents outside the held-out fold that have a lang."""
     labelled = docs.filter(F.col("lang").isNotNull() & ~held_out()).select(
         "doc_id", F.col("lang").cast("string").alias("lang"), "text")
@@ -99,7 +113,7 @@ def fit(docs: DataFrame, max_train_docs: int = MAX_TRAIN_DOCS, max_words: int =
              .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     total = sum(priors.values())
     return Model(langs, [math.log(priors[lang] / total) for lang in langs],
-                 _counted(words, "word", langs, max_words), _counted(grams, "gram", langs, max_grams))
+                 _counted(words, "word", langs), _counted(grams, "gram", langs))
 
 
 class Scorer:
@@ -111,18 +125,19 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model = model
-        self.n_known = len(model.words)
+        self.words, self.grams = (Table.of(t, len(model.langs)) for t in (model.words, model.grams))
+        self.n_known = len(self.words)
         self.rows = np.zeros((self.n_known + CACHE_WORDS + 1, max(len(model.langs), 1)))
         if self.n_known:
-            self.rows[:self.n_known] = list(model.words.values())
-        self.index = {w: i for i, w in enumerate(model.words)}       # then the remembered words
+            self.rows[:self.n_known] = self.words.rows
+        self.index = dict(self.words)                                # then the remembered words
 
     def _backoff(self, word: str) -> list[float]:
-        grams = self.model.grams.get
+        grams = self.grams.get
         for n in range(min(LONGEST_GRAM, len(word) + 2), 0, -1):
             found = [v for v in map(grams, grams_of(word, n)) if v is not None]
             if found:
-                return [sum(per_lang) / len(found) for per_lang in zip(*found)]
+                return (self.grams.rows[found].sum(axis=0) / len(found)).tolist()
         return [0.0] * len(self.model.langs)
 
     def scores(self, counts: Counter) -> np.ndarray:
@@ -139,7 +154,7 @@ class Scorer:
                 extra = extra + counts[word] * np.array(vector)
         total = np.fromiter(counts.values(), dtype=float, count=len(counts)) @ self.rows[at] + extra
         if len(self.index) >= self.n_known + CACHE_WORDS:         # remember anew
-            self.index = {w: i for i, w in enumerate(self.model.words)}
+            self.index = dict(self.words)
         return total
 
     def predict(self, text: bytes | None) -> tuple[str, float]:
@@ -158,7 +173,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     that learned nothing. Ties go to the language first in code point order.
     Extra columns are ignored; repeated rows are predicted as often.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)        # at most max_words + max_grams rows
+    shared = docs.sparkSession.sparkContext.broadcast(model)        # the words and grams of the bounded sample
     scorers: list[Scorer] = []
 
     def run(rows):
