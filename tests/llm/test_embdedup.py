@@ -80,7 +80,40 @@ def test_split_shards_and_dense_groups_reach_the_recall(spark, max_shard):
 
 def test_audit_sees_lost_links(spark):
     _, classes = embdedup.classes_of(frame(spark, cloud(6, 20, [60])))
-    links = embdedup.class_links(classes).groupBy("cid").sum("links").toDF("cid", "links")
-    assert embdedup.audit_recall(classes, links, sample=1000) == 1.0
+    links, _ = embdedup.class_links(classes)
+    assert embdedup.mean_recall(embdedup.audit_recall(classes, links, sample=1000)) == 1.0
     half = links.withColumn("links", (links["links"] / 2).cast("bigint"))
-    assert embdedup.audit_recall(classes, half, sample=1000) < 0.6
+    assert embdedup.mean_recall(embdedup.audit_recall(classes, half, sample=1000)) < 0.6
+
+
+def test_a_dense_group_does_not_hide_lost_small_groups(spark):
+    """One dense group and 300 pairs: recall counts classes, not links, and leaves exactly compared ones out."""
+    _, classes = embdedup.classes_of(frame(spark, cloud(8, 50, [400] + [2] * 300)))
+    links, compared = embdedup.class_links(classes, max_shard=96)
+    assert compared.count() >= 300
+    lost = links.withColumn("links", (links["links"] > 50).cast("bigint") * links["links"])        # the pairs' links are gone
+    assert embdedup.mean_recall(embdedup.audit_recall(classes, lost, sample=5000, compared=compared)) < 0.2
+    assert embdedup.mean_recall(embdedup.audit_recall(classes, links, sample=5000, compared=compared)) >= embdedup.MIN_RECALL
+
+
+def test_labels_below_the_recall_are_compared_exactly(spark, monkeypatch):
+    rows = cloud(9, 200, [3, 5, 8, 30])
+    plain = embdedup.class_links
+
+    def loses(classes, *a):
+        links, compared = plain(classes, *a)
+        return links.filter("cid IS NULL"), compared.limit(0)
+
+    monkeypatch.setattr(embdedup, "class_links", loses)
+    out = embdedup.near_duplicates(frame(spark, rows), max_shard=32)
+    assert rows_of(out.drop("recall")) == brute(rows) and out.first().recall == 1.0
+
+
+def test_double_vectors_stay_double_when_shards_are_split(spark):
+    rng = np.random.default_rng(10)
+    vectors = rng.standard_normal((300, 8))
+    df = spark.createDataFrame([(i, v.tolist(), 1, "x") for i, v in enumerate(vectors)], SCHEMA.replace("float", "double"))
+    _, classes = embdedup.classes_of(df)
+    shards, solid = embdedup.cluster_shards(classes, max_shard=64)
+    placed = {tuple(r.vec) for part in (shards, solid) for r in part.select("vec").collect()}
+    assert placed == {tuple(v) for v in vectors.tolist()}
