@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -71,10 +71,11 @@ def covering_masks(radius: int = RADIUS, bits: int = BITS) -> list[int]:
     return out
 
 
-def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp) per row of ``docs``."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return map_rows(rows, _FP, lambda batch: ((d, fingerprint(t, words)) for d, t in batch))
+def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, key: Column | None = None) -> DataFrame:
+    """(doc_id, fp) per row of ``docs``, and ``row_key`` if a key (string) of the rows is given."""
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", *([] if key is None else [key.alias("row_key")]))
+    schema = _FP if key is None else T.StructType([*_FP, T.StructField("row_key", T.StringType())])
+    return map_rows(rows, schema, lambda batch: ((d, fingerprint(t, words), *(k.decode() for k in more)) for d, t, *more in batch))
 
 
 def _near(a: str, b: str, radius: int):
@@ -110,24 +111,27 @@ def fingerprint_links(fps: DataFrame, radius: int = RADIUS, max_bucket: int = MA
     return pairs.unionByName(stars).distinct()
 
 
-def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = RADIUS, key: Column | None = None) -> DataFrame:
     """(doc_id, fp, component_id) per row of ``docs``; component_id is the smallest doc_id reachable.
 
+    With ``key`` also row_key and component, the component's smallest
+    fingerprint, which every component has.
+
     Texts without words (null, empty, white space) have fingerprint 0 and link
     like any other. A row with a null doc_id takes part, but names no
     component; a component without any doc_id has a null component_id.
     Repeated rows come back as often. Extra columns are ignored, and an empty
     table gives an empty result.
     """
-    fps = materialize(fingerprints(docs, words), "fingerprints")
+    fps = materialize(fingerprints(docs, words, key), "fingerprints")
     distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
     links = fingerprint_links(distinct.select("fp"), radius)
     parts = connected_components(links).select(F.col("node").alias("fp"), "component")
     labelled = materialize(distinct.join(parts, "fp", "left").withColumn("component", F.coalesce("component", "fp")), "labelled")
     # a table of its own: Spark can then split the join on a component that holds many fingerprints
     least = materialize(labelled.groupBy("component").agg(F.min("least").alias("component_id")), "least")
-    ids = labelled.join(least, "component").select("fp", "component_id")
-    return fps.join(ids, "fp").select("doc_id", "fp", "component_id")
+    ids = labelled.join(least, "component").select("fp", "component_id", "component")
+    return fps.join(ids, "fp").select("doc_id", "fp", "component_id", *([] if key is None else ["row_key", "component"]))
 
 
 def fingerprint_hex(fp: str = "fp"):

@@ -17,15 +17,18 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component: the one with the smallest doc_id.
+    """One row of each SimHash component, decided by row: the first by doc_id (nulls last), then by a hash of id and text.
 
-    Rows that repeat the kept doc_id are the same document and become one row.
-    A row with a null doc_id cannot be named by a component and stays.
+    Rows that repeat the kept one's doc_id and text are the same document and
+    become one row. Rows of different texts under one doc_id are different
+    documents.
     """
-    found = simhash_op.near_duplicates(docs)
-    keep = found.filter("doc_id = component_id").select("doc_id").distinct()
-    unnamed = docs.filter("doc_id IS NULL")
-    return docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(unnamed)
+    text = F.coalesce("text", F.lit(""))
+    key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), text))
+    found = simhash_op.near_duplicates(docs, key=key)
+    first = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_key")).alias("r"))
+    keep = first.select(F.col("r.row_key").alias("_key"))
+    return docs.withColumn("_key", key).join(keep, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

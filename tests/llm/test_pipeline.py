@@ -55,21 +55,10 @@ def test_run_and_registration(spark):
 
 
 def test_simhash_stage_keeps_one_row(spark):
-    base = " ".join(f"w{i}" for i in range(40))
-    docs = docs_of(spark, [(2, base), (1, base), (1, base), (None, base), (3, "another text altogether here")], extra=("fp",))
-    assert sorted(((r.doc_id) for r in stages.simhash(spark, docs, SF).collect()), key=repr) == [1, 3, None]
-
-
-def test_decontaminate_stage_decides_by_row(spark, tmp_path):
-    item = " ".join(f"w{i}" for i in range(20))
-    spark.createDataFrame([(1, item)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
-    docs = docs_of(spark, [(None, f"before {item} after"), (None, "a clean text"), (7, item), (7, "another clean text"), (8, None)])
-    kept = stages.decontaminate(spark, docs, str(tmp_path))
-    assert kept.dtypes == docs.dtypes
-    assert sorted(texts(kept), key=repr) == sorted([(None, "a clean text"), (7, "another clean text"), (8, None)], key=repr)
-
-
-def test_stages_on_an_empty_table(spark):
-    docs = docs_of(spark, [])
-    for _, stage in corpus_pipeline.STAGES:
-        assert stage(spark, docs, SF).count() == 0
+    base, other = " ".join(f"w{i}" for i in range(40)), " ".join(f"v{i}" for i in range(40))
+    kept = lambda rows: sorted(((r.doc_id, r.text) for r in stages.simhash(spark, docs_of(spark, rows, extra=("fp", "row_key")), SF).collect()), key=repr)
+    assert kept([(2, base), (1, base), (1, base), (None, base), (3, other)]) == [(1, base), (3, other)]
+    assert kept([(1, base), (2, base), (2, other)]) == [(1, base), (2, other)]        # two texts under one id are two documents
+    assert kept([(2, base), (2, other)]) == sorted([(2, base), (2, other)])
+    assert kept([(None, base), (None, base), (None, other), (4, None), (5, "")]) == sorted([(None, base), (None, other), (4, None)], key=repr)
+    assert kept([]) == []
