@@ -157,11 +157,17 @@ def mix(docs: DataFrame, target: Target = Target()) -> DataFrame:
 
 
 def repeat_documents(docs: DataFrame, target: Target = Target()) -> DataFrame:
-    """``docs`` with every row as often as its source's weight asks; the columns stay as they are."""
+    """``docs`` with every row as often as its source's weight asks, in the order of `mix`; the columns stay as they are.
+
+    A copy stands at the share of its source's epochs that its draw has
+    reached, so every stretch of the result holds the sources by their weights
+    and each source's copies epoch by epoch, block by block, in drawn order.
+    """
     _, sources = plan(docs, target)
     text = F.coalesce("_row.text", F.lit(""))
     rows = docs.select(F.struct("*").alias("_row")).select(
         "_row", F.col("_row.doc_id").cast("bigint").alias("doc_id"), _source_key("_row.source").alias("key"),
         F.xxhash64(text).alias("text_hash"))
-    drawn = rows.join(sources.select("key", "whole", "cut"), "key").withColumn("n", _copies().cast("int"))
-    return drawn.filter("n > 0").select("_row", F.explode(F.sequence(F.lit(1), F.col("n")))).select("_row.*")
+    drawn = rows.join(sources.select("key", "whole", "cut", "epochs"), "key").withColumn("n", _copies()).filter("n > 0")
+    copies = drawn.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)))
+    return copies.orderBy((F.col("epoch") + _draw(F.col("epoch"))) / F.col("epochs"), "text_hash", "doc_id").select("_row.*")

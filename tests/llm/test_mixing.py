@@ -89,6 +89,17 @@ def test_repeated_documents_keep_their_columns(spark):
     assert set(copies) == {d[0] for d in data}
 
 
+def test_repeated_documents_stand_in_the_order_of_the_plan(spark):
+    docs = docs_of(spark, rows({"big": 3000, "small": 400}))
+    out = [(r.source, r.doc_id) for r in mixing.repeat_documents(docs).collect()]
+    plan = sorted(mixing.mix(docs).collect(), key=lambda r: (r.epoch, r.block, r.position))
+    for source in ("big", "small"):
+        assert [d for s, d in out if s == source] == [r.doc_id for r in plan if r.source == source]
+    whole = collections.Counter(s for s, _ in out)["small"] / len(out)
+    for i in range(0, len(out) - 500, 500):                                # every stretch holds the sources by their weights
+        assert abs(sum(s == "small" for s, _ in out[i:i + 500]) / 500 - whole) < 0.08
+
+
 def test_one_source_no_tokens_and_empty_table(spark):
     assert mixing.mix(docs_of(spark, [(1, "a b", None, "s"), (2, "c", None, "s")])).count() == 2
     assert mixing.mix(docs_of(spark, [(1, None, None, "s"), (2, "", None, "t")])).count() == 2
