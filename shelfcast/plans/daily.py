@@ -5,8 +5,10 @@ Layout of a landing folder (JSON lines, one API page per line)::
     products/  locations/  inventory/  orders/      each with day=YYYY-MM-DD folders
 
 A load reads the files that landed since the last one, whatever their day:
-``<store>/_loaded_files`` keeps path, size and modification time of each file
-read, so pages that come late into a day are read by the next load. Facts come
+``<store>/_files_read``, a ledger partitioned by day, keeps path, size and
+modification time of each file read, so pages that come late into a day are
+read by the next load. The listing meets the ledger in an anti join; the driver
+collects one load's files. Facts come
 from the new files, dimensions from all files of the newest landed day (an id
 listed again there counts as last landed). A folder without ``day=`` folders is
 read whole. Dimensions are replaced only when the load is non-empty (C05);
@@ -17,6 +19,7 @@ inventory and sales go through staging (C06) and the partition-bounded upsert
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,33 +31,52 @@ KINDS = {"products": landing.PRODUCTS_PAGE, "locations": landing.LOCATIONS_PAGE,
 
 
 DIMENSIONS = ("products", "locations")
+LEDGER = "_files_read"
 FILES = "kind string, day string, path string, size bigint, modified bigint"
 
 
-def landed_files(spark: SparkSession, landing_dir: str) -> list[tuple] | None:
-    """`FILES` of all landed days; None for a folder without days."""
-    days = [(kind, d) for kind in KINDS for d in store.partition_values(spark, f"{landing_dir}/{kind}", "day")]
-    return [(kind, d, *file) for kind, d in days
-            for file in store.data_files(spark, f"{landing_dir}/{kind}/day={d}")] if days else None
+def landed_files(spark: SparkSession, landing_dir: str) -> DataFrame | None:
+    """`FILES` of all landed days, listed without reading them; None for a folder without days."""
+    folders = [(kind, f"{landing_dir}/{kind}") for kind in KINDS if store.partition_values(spark, f"{landing_dir}/{kind}", "day")]
+    found = None
+    for kind, folder in folders:
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+                 .select(F.lit(kind).alias("kind"), F.regexp_extract("path", r"/day=([^/]+)/", 1).alias("day"), "path",
+                         F.col("length").alias("size"), F.unix_millis("modificationTime").alias("modified"))
+                 .filter("day <> ''"))
+        found = files if found is None else found.unionByName(files)
+    return found
 
 
-def new_files(spark: SparkSession, landed: list[tuple], store_dir: str) -> set[tuple]:
+def new_files(spark: SparkSession, landed: DataFrame, store_dir: str) -> DataFrame:
     """The landed files that no load has read yet, or not as they are now."""
-    loaded = f"{store_dir}/_loaded_files"
-    done = set(map(tuple, spark.read.schema(FILES).parquet(loaded).collect())) if store.table_exists(spark, loaded) else set()
-    return set(landed) - done
+    ledger = f"{store_dir}/{LEDGER}"
+    if not store.table_exists(spark, ledger):
+        return landed
+    return landed.join(spark.read.schema(FILES).parquet(ledger), landed.columns, "left_anti")
 
 
-def _paths(landing_dir: str, kind: str, landed: list[tuple] | None, new: set[tuple]) -> tuple[list[str], list[str]]:
+def _newest_day(landed: DataFrame, kind: str) -> list[str]:
+    """Paths of a dimension's newest landed day."""
+    files = landed.filter(F.col("kind") == kind)
+    day = files.agg(F.max("day")).first()[0]
+    return [r["path"] for r in files.filter(F.col("day") == day).collect()] if day else []
+
+
+def _paths(landing_dir: str, kind: str, landed: DataFrame | None, new: list[tuple]) -> tuple[list[str], list[str]]:
     """Paths to read for the first time, and files of the newest day's dimensions to read again."""
     if landed is None:
         return [f"{landing_dir}/{kind}"], []
-    files = [f for f in landed if f[0] == kind]
-    if kind in DIMENSIONS:
-        newest = max((day for _, day, *_ in files), default=None)
-        files = [f for f in files if f[1] == newest]
-    again = [f[2] for f in files if f not in new] if kind in DIMENSIONS else []
-    return [f[2] for f in files if f in new], again
+    fresh = [path for k, _, path, *_ in new if k == kind]
+    if kind not in DIMENSIONS:
+        return fresh, []
+    newest = _newest_day(landed, kind)
+    return [p for p in newest if p in set(fresh)], [p for p in newest if p not in set(fresh)]
+
+
+def _load_id(new: list[tuple]) -> str:
+    """The same for a load that is run again over the same files."""
+    return hashlib.md5(repr(sorted(new)).encode()).hexdigest() if new else "all"
 
 
 def daily_load(spark: SparkSession, landing_dir: str, store_dir: str, since: dt.datetime | None = None,
@@ -62,11 +84,11 @@ def daily_load(spark: SparkSession, landing_dir: str, store_dir: str, since: dt.
     """Run one daily load; returns what was written (rows/partitions per table, rejected pages per kind).
 
     ``on_reject``: 'fail' stops before anything is written, naming the counts;
-    'quarantine' appends the rejected pages to ``<store>/rejects`` and loads
-    the rest. ``on_duplicate`` is `store.upsert_partitions`'s.
+    'quarantine' writes the rejected pages to ``<store>/rejects/load=<id>`` and
+    loads the rest. ``on_duplicate`` is `store.upsert_partitions`'s.
     """
     landed = landed_files(spark, landing_dir)
-    new = set() if landed is None else new_files(spark, landed, store_dir)
+    new = [] if landed is None else sorted(map(tuple, new_files(spark, landed, store_dir).collect()))   # one load's files
     if landed is not None and not new:
         return {"days": []}
     days = None if landed is None else sorted({day for _, day, *_ in new})
@@ -87,8 +109,8 @@ def daily_load(spark: SparkSession, landing_dir: str, store_dir: str, since: dt.
     if counts and on_reject == "fail":
         raise ValueError(f"rejected pages: {counts}")
     report: dict = {"days": days, "rejects": counts}
-    if counts:
-        rejects.write.mode("append").parquet(f"{store_dir}/rejects")
+    if counts:                                          # a load that is run again replaces its own rejects
+        rejects.write.mode("overwrite").parquet(f"{store_dir}/rejects/load={_load_id(new)}")
 
     products, variants = landing.flatten_products(pages["products"], with_position=True)
     locations = landing.flatten_locations(pages["locations"])
@@ -105,5 +127,5 @@ def daily_load(spark: SparkSession, landing_dir: str, store_dir: str, since: dt.
         staged = store.stage(df, f"{store_dir}/{stg}", stg)
         report[name] = store.upsert_partitions(spark, f"{store_dir}/{name}", name, staged, on_duplicate=on_duplicate)
     if new:
-        spark.createDataFrame(sorted(new), FILES).coalesce(1).write.mode("append").parquet(f"{store_dir}/_loaded_files")
+        spark.createDataFrame(new, FILES).coalesce(1).write.mode("append").partitionBy("day").parquet(f"{store_dir}/{LEDGER}")
     return report

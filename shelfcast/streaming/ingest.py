@@ -14,31 +14,49 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfcast.sources import landing, store
 
 
 def order_pages_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(landing.ORDERS_PAGE)
+    """Landed lines as text: the batch parses them, so that a line that is no page is seen."""
+    reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(landing_dir)
+    return reader.load(landing_dir)
 
 
 def ingest_sales(spark: SparkSession, landing_dir: str, sales_path: str, checkpoint: str,
                  since: dt.datetime | None = None, available_now: bool = True,
-                 on_duplicate: str = "error") -> StreamingQuery:
+                 on_duplicate: str = "error", on_reject: str = "fail", rejects_path: str | None = None,
+                 max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the stream: landed order pages -> ``sales_history_raw`` upserts.
 
     ``available_now`` processes everything landed so far and stops (a daily
     scheduled run); otherwise the query keeps running and picks up new files.
+    Pages are judged as by the daily load: 'fail' ends the query before the
+    micro-batch writes anything, naming the count; 'quarantine' writes its
+    rejected pages to ``<rejects_path>/batch=<n>`` (``<sales_path>_rejects`` if
+    not given; a replayed micro-batch replaces its own) and upserts the rest.
     """
+    if on_reject not in ("fail", "quarantine"):
+        raise ValueError(f"on_reject: {on_reject!r}")
+    rejects_path = rejects_path or f"{sales_path.rstrip('/')}_rejects"
+
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        sales = landing.flatten_sales(batch, since)
+        lines = batch.filter(F.trim("value") != "")
+        pages, bad = landing.split_rejects(landing.parse_pages(lines, "value", landing.ORDERS_PAGE, corrupt=True), "orders")
+        n_bad = bad.count()
+        if n_bad and on_reject == "fail":
+            raise ValueError(f"rejected pages: {{'orders': {n_bad}}}")
+        if n_bad:
+            bad.write.mode("overwrite").parquet(f"{rejects_path}/batch={epoch_id}")
+        sales = landing.flatten_sales(pages, since)
         store.upsert_partitions(batch.sparkSession, sales_path, "sales_history_raw", sales, on_duplicate=on_duplicate)
 
-    w = (order_pages_stream(spark, landing_dir).writeStream.foreachBatch(apply)
+    w = (order_pages_stream(spark, landing_dir, max_files_per_trigger).writeStream.foreachBatch(apply)
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()

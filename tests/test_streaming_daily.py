@@ -3,6 +3,7 @@ import json
 import os
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from shelfcast.sources.testdata import FIXTURE_PARAMS as P
@@ -142,6 +143,46 @@ def test_streaming_ingest_upserts_each_file_once(spark, tmp_path):
     allp.unpersist()
 
 
+def test_streamed_bad_pages_are_rejects(spark, tmp_path):
+    land, target = str(tmp_path / "orders"), str(tmp_path / "sales")
+    good, late = _order_page(1, "2001-11-01T10:00:00Z"), _order_page(2, "2001-11-02T10:00:00Z")
+    _lines(f"{land}/a", [good, good[:len(good) // 2], "", _order_page(3, "yesterday")])
+    _lines(f"{land}/b", [late])
+    q = ingest_sales(spark, f"{land}/*", target, str(tmp_path / "c1"))
+    with pytest.raises(StreamingQueryException, match="rejected pages"):
+        q.awaitTermination(120)
+    assert not os.path.exists(target)
+    q = ingest_sales(spark, f"{land}/*", target, str(tmp_path / "c2"), on_reject="quarantine", max_files_per_trigger=1)
+    q.awaitTermination(120)
+    assert len([p for p in q.recentProgress if p["numInputRows"]]) == 2       # one file a micro-batch
+    assert sorted(r.order_id for r in spark.read.parquet(target).collect()) == ["1", "2"]
+    bad = spark.read.parquet(f"{target}_rejects").collect()
+    assert sorted(r.reason for r in bad) == ["not the page schema", "unreadable instant"]
+
+
+def test_ledger_by_day_and_rejects_of_a_load_run_again(spark, tmp_path, monkeypatch):
+    from shelfcast.sources import store
+
+    land, out = str(tmp_path / "landing"), str(tmp_path / "store")
+    for kind in ("products", "locations", "inventory"):
+        os.makedirs(f"{land}/{kind}")
+    good = _order_page(1, "2001-11-01T10:00:00Z")
+    _lines(f"{land}/orders/day=2001-11-01", [good, "{"])
+    upsert = store.upsert_partitions
+    monkeypatch.setattr(store, "upsert_partitions", lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        daily_load(spark, land, out, on_reject="quarantine")
+    monkeypatch.setattr(store, "upsert_partitions", upsert)
+    assert daily_load(spark, land, out, on_reject="quarantine")["rejects"] == {"orders": 1}
+    assert spark.read.parquet(f"{out}/rejects").count() == 1                   # not once a try
+    assert [n for n in os.listdir(f"{out}/_files_read") if n.startswith("day=")] == ["day=2001-11-01"]
+    assert daily_load(spark, land, out) == {"days": []}
+    _lines(f"{land}/orders/day=2001-11-01/late", [_order_page(2, "2001-11-01T11:00:00Z")])
+    assert daily_load(spark, land, out)["days"] == ["2001-11-01"]
+    assert spark.read.parquet(f"{out}/sales_history_raw").count() == 2
+    assert spark.read.parquet(f"{out}/_files_read").count() == 2
+
+
 def test_weekly_run_writes_outputs_and_views(spark, tmp_path):
     from shelfcast.plans.weekly import from_fixture
 
