@@ -62,6 +62,12 @@ def current_inventory(snapshots: DataFrame, p: Params = DEFAULT_PARAMS, days: in
         (F.col("raw_stock") < 0).alias("negative_stock_flag"))
 
 
+def restock_stock(current: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
+    """The restock job's stock from `current_inventory` over all dates: newest snapshot within the lookback, no blank variants."""
+    v = F.col("variant_id")
+    return current.filter((F.col("snapshot_date") >= date_lit(p.days_ago(p.snapshot_lookback_days))) & v.isNotNull() & (v != ""))
+
+
 def latest_snapshot_count(snapshots: DataFrame, p: Params = DEFAULT_PARAMS, latest: dt.date | None = None) -> DataFrame:
     """C17: newest snapshot date within the lookback, and its row count."""
     day = newest_snapshot(snapshots, p, p.readiness_lookback_days, latest)

@@ -65,11 +65,12 @@ def fallback_from_daily(sales_daily: DataFrame, p: Params = DEFAULT_PARAMS) -> D
 def vendor_restocks(variant_map: DataFrame, status: DataFrame, cadence: DataFrame, vendors: DataFrame,
                     snapshots: DataFrame, forecasts: DataFrame, fallback: DataFrame, flags: DataFrame,
                     p: Params = DEFAULT_PARAMS, cadence_days: int | None = None,
-                    latest: dt.date | None = None) -> DataFrame:
+                    latest: dt.date | None = None, stock: DataFrame | None = None) -> DataFrame:
     """Re-order list for vendors on a ``cadence_days`` cycle (7 = weekly list, 14 = bi-weekly).
 
     ``variant_map`` carries both titles; ``fallback`` is `fallback_demand` or
-    `fallback_from_daily`. horizon = lead time + review (7) + safety (3) days;
+    `fallback_from_daily`; ``stock`` is `inventory.restock_stock` if the caller
+    has it already. horizon = lead time + review (7) + safety (3) days;
     forecast demand sums the inclusive window ``[as_of, as_of + horizon]`` per
     (vendor, variant), so a variant that two vendors supply gets each vendor's
     own horizon. GOOD-quality items use the forecast, everything else the
@@ -92,7 +93,7 @@ def vendor_restocks(variant_map: DataFrame, status: DataFrame, cadence: DataFram
           .join(window, "variant_id").filter(F.col("forecast_date") <= F.col("horizon_end"))
           .groupBy("vendor_name", "variant_id").agg(F.sum("predicted_qty").alias("expected_demand_forecast")))
 
-    ri = raw_inventory(snapshots, p, latest)
+    ri = raw_inventory(snapshots, p, latest) if stock is None else stock.select("variant_id", "raw_stock")
     mq = flags.select("variant_id", "model_quality")
 
     j = (items.join(ri, "variant_id", "left").join(fallback, "variant_id", "left").join(mq, "variant_id", "left")

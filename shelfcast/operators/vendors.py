@@ -20,9 +20,9 @@ def _present(c: str):
     return F.col(c).isNotNull() & (F.col(c) != "")
 
 
-def vendor_sales_rank(sales: DataFrame, variants: DataFrame, products: DataFrame,
-                      p: Params = DEFAULT_PARAMS, key: str = "sku") -> DataFrame:
-    """Units and revenue per vendor over the last ``vendor_rank_months``, dense-ranked.
+def vendor_sales(sales: DataFrame, variants: DataFrame, products: DataFrame,
+                 p: Params = DEFAULT_PARAMS, key: str = "sku") -> DataFrame:
+    """Units and revenue per vendor over the last ``vendor_rank_months``.
 
     ``key='sku'`` reproduces the reference join on the non-unique sku label
     (a shared sku credits its sales to every vendor using it, SURVEY Q5);
@@ -41,16 +41,26 @@ def vendor_sales_rank(sales: DataFrame, variants: DataFrame, products: DataFrame
     sold = (sales.filter(F.col("sale_date").between(date_lit(p.months_ago(p.vendor_rank_months)), date_lit(p.as_of))
                          & _present(key))
             .groupBy(key).agg(F.sum("quantity_sold").alias("units_sold_6m")))
-    by_vendor = (sold.join(svp, key).groupBy("vendor_name")
-                 .agg(F.sum(F.col("units_sold_6m") * F.col("rows")).alias("vendor_units_sold_6m"),
-                      # summed exactly in decimal, reported as double: no summation-order noise
-                      F.sum(F.col("units_sold_6m").cast("decimal(19,0)") * F.col("price_sum"))
-                      .cast("double").alias("vendor_revenue_6m")))
+    return (sold.join(svp, key).groupBy("vendor_name")
+            .agg(F.sum(F.col("units_sold_6m") * F.col("rows")).alias("vendor_units_sold_6m"),
+                 # summed exactly in decimal, reported as double: no summation-order noise
+                 F.sum(F.col("units_sold_6m").cast("decimal(19,0)") * F.col("price_sum"))
+                 .cast("double").alias("vendor_revenue_6m")))
+
+
+def rank_vendors(by_vendor: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
+    """`vendor_sales` with its dense revenue rank. The input is read three times: keep it first if it is costly."""
     return with_dense_rank_desc(by_vendor, "vendor_revenue_6m", "revenue_rank").select(
         "vendor_name", "vendor_units_sold_6m", "vendor_revenue_6m", "revenue_rank",
         date_lit(p.as_of).alias("frozen_as_of_date"))
 
 
+def vendor_sales_rank(sales: DataFrame, variants: DataFrame, products: DataFrame,
+                      p: Params = DEFAULT_PARAMS, key: str = "sku") -> DataFrame:
+    """`vendor_sales`, dense-ranked by revenue."""
+    return rank_vendors(vendor_sales(sales, variants, products, p, key), p)
+
+
 def vendor_cadence(rank: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
     """C14: top-N vendors by revenue restock weekly, the rest bi-weekly (ties may exceed N)."""
     days = F.when(F.col("revenue_rank") <= p.fast_cadence_top_n, F.lit(p.fast_cadence_days)) \

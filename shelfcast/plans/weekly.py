@@ -69,7 +69,9 @@ class WeeklyRun:
 
     @cached_property
     def vendor_rank(self) -> DataFrame:
-        return vendors.vendor_sales_rank(self.sales, self.variants, self.products, self.p)
+        # the rank reads one row a vendor three times, not the sales behind it
+        sold = self._keep(vendors.vendor_sales(self.sales, self.variants, self.products, self.p), "vendor_sales")
+        return vendors.rank_vendors(sold, self.p)
 
     @cached_property
     def cadence(self) -> DataFrame:
@@ -164,10 +166,22 @@ class WeeklyRun:
         return self._keep(forecast.demand_forecasts(self.demand_model, self.p, holiday_effects=self.holiday_effects,
                                                     calendar=self.calendar), "demand_forecasts")
 
+    @cached_property
+    def newest_day(self) -> dt.date | None:
+        # one value; later steps filter by the literal instead of looking it up again
+        if self.latest_snapshot is not None:
+            return self.latest_snapshot
+        day = inventory.newest_snapshot(self.snapshots, self.p, None, None)
+        return self.spark.range(1).select(day.alias("day")).first()["day"]
+
+    @cached_property
+    def current(self) -> DataFrame:
+        # read by the stock-outs, both restock lists and the views
+        return self._keep(inventory.current_inventory(self.snapshots, self.p, latest=self.newest_day), "current_inventory")
+
     @cached_property
     def current_for_restock(self) -> DataFrame:
-        return inventory.current_inventory(self.snapshots, self.p, self.p.snapshot_lookback_days,
-                                           drop_blank_variants=True, latest=self.latest_snapshot)
+        return inventory.restock_stock(self.current, self.p)
 
     @cached_property
     def stockouts(self) -> DataFrame:
@@ -177,14 +191,14 @@ class WeeklyRun:
     def restocks(self, cadence_days: int | None = None) -> DataFrame:
         return restock.vendor_restocks(self.variant_lines, self.vendor_status, self.cadence, self.vendors, self.snapshots,
                                        self.demand_forecasts, restock.fallback_from_daily(self.sales_daily, self.p),
-                                       self.flags, self.p, cadence_days, self.latest_snapshot)
+                                       self.flags, self.p, cadence_days, self.newest_day, self.current_for_restock)
 
     def restocks_active_view(self, cadence_days: int | None = None) -> DataFrame:
         return views.v_vendor_restocks_weekly_active(self.restocks(cadence_days), self.vendor_status, self.p)
 
     # ---------------- catalog views
     def views(self) -> dict[str, DataFrame]:
-        current = inventory.current_inventory(self.snapshots, self.p, latest=self.latest_snapshot)
+        current = self.current
         vvm = views.v_variant_vendor_map(self.variants, self.products)
         active_inv = views.v_current_inventory_active(current, vvm, self.vendor_status, self.p)
         return {
@@ -215,9 +229,9 @@ class WeeklyRun:
             "stockout_predictions": self.stockouts, "vendors": self.vendors, "vendor_status": self.vendor_status,
             "vendor_restocks_weekly": self.restocks(7), "vendor_restocks_biweekly": self.restocks(14),
             "negative_stock_skus": inventory.negative_stock(self.snapshots, self.variants, self.products, self.p,
-                                                            self.latest_snapshot),
-            "current_inventory": inventory.current_inventory(self.snapshots, self.p, latest=self.latest_snapshot),
-            "latest_snapshot_count": inventory.latest_snapshot_count(self.snapshots, self.p, self.latest_snapshot),
+                                                            self.newest_day),
+            "current_inventory": self.current,
+            "latest_snapshot_count": inventory.latest_snapshot_count(self.snapshots, self.p, self.newest_day),
             "sales_daily_freshness": inventory.sales_daily_freshness(self.sales_daily, self.p),
             "model_kpis": views.model_kpis(self.flags), "quality_distribution": views.quality_distribution(self.flags),
             "wape_scatter": views.wape_scatter(self.flags), "proof_series": views.proof_series(self.proof),
