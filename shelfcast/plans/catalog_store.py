@@ -16,7 +16,7 @@ from shelfcast.plans.catalog import ORACLE, P, fx, register
 from shelfcast.plans.catalog_ingest import SINCE, inventory_batches, sales_batches
 from shelfcast.plans.oracle_fixture import FixtureSQL, with_fixture
 from shelfcast.session import checkpoint_dir
-from shelfcast.sources import landing, store
+from shelfcast.sources import document, landing, store
 from shelfcast.sources import testdata_pages as pages
 from shelfcast.sources.testdata import Fixture
 
@@ -91,13 +91,25 @@ def q_sync_tables(spark, sf_dir, grain="bt"):
     path = _folder(spark, "sync")
     store.write_sync_tables({"products": f.products, "variants": f.variants, "locations": f.locations,
                              "inventory": f.inventory, "sales": f.sales_table()}, path)
-    back = store.read_sync_tables(spark, path)
+    return _keys_and_labels(store.read_sync_tables(spark, path))
+
+
+def _keys_and_labels(back: dict[str, DataFrame]) -> DataFrame:
     columns = {"products": ("product_id", "title"), "variants": ("variant_id", "sku"), "locations": ("location_id", "name"),
                "inventory": ("snapshot_id", "available_qty"), "sales": ("sale_id", "quantity_sold")}
     parts = [back[n].selectExpr(f"'{n}' AS name", f"{k} AS key", f"CAST({v} AS STRING) AS label") for n, (k, v) in columns.items()]
     return functools.reduce(DataFrame.unionByName, parts)
 
 
+@register("s05b_sync_documents", _same("s05_sync_tables"))
+def q_sync_documents(spark, sf_dir, grain="bt"):
+    f = fx(spark, sf_dir, grain)
+    path = _folder(spark, "documents")
+    document.write_documents({"products": f.products, "variants": f.variants, "locations": f.locations,
+                              "inventory": f.inventory, "sales": f.sales_table()}, path)
+    return _keys_and_labels(document.read_documents(spark, path, _folder(spark, "pieces")))
+
+
 # ------------------------------------------------------------------ C06-C08 staging and upsert on stored facts
 def _upserted(f: Fixture, name: str, target: DataFrame, source: DataFrame) -> DataFrame:
     path, staging = _folder(f.spark, name), _folder(f.spark, f"{name}-stg")
