@@ -15,7 +15,10 @@
    a pair links only at or above the threshold.
 5. Sampled centroids that link are one group, so a split does not cut through
    near copies. A shard whose centroids are mostly one group (a large group of
-   near copies) is compared block by block instead: exact, with bounded tasks.
+   near copies) is dealt to blocks by the angle to the group's mean, the leader.
+   Two members whose angles to it add up to less than the threshold's angle link
+   for certain, two whose angles differ by more do not: pairs of blocks decided
+   so are counted as a whole, the others are compared: exact, in bounded tasks.
 
 A pair that meets in several shards counts in the first one alone; shards
 return one row per member (links and local component), never pairs.
@@ -44,6 +47,9 @@ MAX_LEVELS = 12
 AUDIT_CLASSES = 512
 MIN_RECALL = 0.9
 EFFORTS = (1, 2, 4)          # times OVERLAP and BEAM, until the audit is content
+ANGLE = float(np.arccos(THRESHOLD))
+SLACK = 1e-6                 # far above the rounding of an angle
+RINGS = 128                  # quantiles of the angle to the leader
 
 
 def _unit(vectors) -> np.ndarray:
@@ -90,13 +96,18 @@ def _assign(members: pd.DataFrame, centroids: pd.DataFrame, overlap: int) -> pd.
 
 
 def _is_dense(centroids: pd.DataFrame) -> pd.DataFrame:
-    """A shard is dense if half of its sampled centroids are one group: splitting would cut links."""
-    largest = np.bincount(_groups(_unit(centroids["vec"]))).max()
-    return pd.DataFrame({"path": centroids["path"].iloc[:1], "dense": [bool(largest * 2 >= len(centroids))]})
+    """A shard is dense if half of its sampled centroids are one group: splitting would cut links. The leader is that group's mean."""
+    x = _unit(centroids.sort_values("cid")["vec"])
+    groups = _groups(x)
+    sizes = np.bincount(groups)
+    leader = x[groups == sizes.argmax()].mean(axis=0)
+    norm = np.linalg.norm(leader)                              # near zero for a group all around: no leader
+    return pd.DataFrame({"path": centroids["path"].iloc[:1], "dense": [bool(sizes.max() * 2 >= len(x))],
+                         "leader": [(leader / norm).tolist() if norm > SLACK else None]})
 
 
 def cluster_shards(classes: DataFrame, max_shard: int = MAX_SHARD, overlap: int = OVERLAP) -> tuple[DataFrame, DataFrame]:
-    """(path, cid, vec, n): members of the shards to search, and of the dense ones to compare in blocks."""
+    """(path, cid, vec, n): members of the shards to search; and of the dense ones, with their leader."""
     members = classes.select(F.concat_ws("|", "label", "dim").alias("path"), "cid", "vec", "n")
     done: list[DataFrame] = []
     dense: list[DataFrame] = []
@@ -113,11 +124,11 @@ def cluster_shards(classes: DataFrame, max_shard: int = MAX_SHARD, overlap: int
         share = F.least(F.lit(64.0), wanted) / F.col("size")
         centroids = materialize(split.filter(hash_fraction("path", "cid", seed=90 + level) < share)
                                 .select("path", "cid", "vec", "size"), "centroids")
-        state = centroids.groupBy("path").applyInPandas(lambda c: _is_dense(c), "path string, dense boolean")
+        state = centroids.groupBy("path").applyInPandas(lambda c: _is_dense(c), "path string, dense boolean, leader array<double>")
         # a path without a sampled centroid cannot be split either
         state = materialize(large.join(state, "path", "left").select(
-            "path", "size", F.coalesce("dense", F.lit(True)).alias("dense")), "shard-state")
-        solid = state.filter("dense OR size IS NULL" if level < MAX_LEVELS - 1 else "true").select("path", "size")
+            "path", "size", "leader", F.coalesce("dense", F.lit(True)).alias("dense")), "shard-state")
+        solid = state.filter("dense" if level < MAX_LEVELS - 1 else "true").select("path", "leader")
         dense.append(members.join(solid, "path"))
         loose = state.join(solid, "path", "left_anti").select("path", "size")
         salts = F.ceil(F.col("size") / F.lit(SALT_ROWS)).cast("int")
@@ -129,7 +140,7 @@ def cluster_shards(classes: DataFrame, max_shard: int = MAX_SHARD, overlap: int
             salted.groupBy("path", "salt").cogroup(spread.groupBy("path", "salt"))
             .applyInPandas(lambda m, c: _assign(m, c, overlap), members.select("path", "cid", "vec", "n").schema), "members")
     empty = members.limit(0)
-    shards, solid = empty, empty.withColumn("size", F.lit(0).cast("bigint"))
+    shards, solid = empty, empty.withColumn("leader", F.lit(None).cast("array<double>"))
     for d in done:
         shards = shards.unionByName(d)
     for d in dense:
@@ -226,10 +237,9 @@ def _first_here(paths: list, here: str, a: np.ndarray, b: np.ndarray) -> np.ndar
     return ~shared
 
 
-def _link_rows(shard: pd.DataFrame, a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
-    """(cid, links, root) of a shard whose links, both ways, are (a, b)."""
+def _link_rows(shard: pd.DataFrame, a: np.ndarray, b: np.ndarray, new: np.ndarray | slice = slice(None)) -> pd.DataFrame:
+    """(cid, links, root) of a shard whose links, both ways, are (a, b); those in ``new`` count."""
     ids, n = shard["cid"].to_numpy(), shard["n"].to_numpy()
-    new = _first_here(shard["paths"].tolist(), shard["path"].iat[0], a, b)
     links = np.bincount(a[new], weights=n[b[new]], minlength=len(ids)).astype(np.int64)
     return pd.DataFrame({"cid": ids, "links": links, "root": ids[_local_components(len(ids), a, b)]})
 
@@ -249,7 +259,8 @@ def _searched(shard: pd.DataFrame, width: int) -> pd.DataFrame:
     a = np.concatenate([np.full(len(f), q) for q, f in enumerate(found)]).astype(np.int64)
     b = np.concatenate(found).astype(np.int64)
     both = np.unique(np.concatenate([a * len(x) + b, b * len(x) + a]))   # either side may have found it
-    return _link_rows(shard, both // len(x), both % len(x))
+    a, b = both // len(x), both % len(x)
+    return _link_rows(shard, a, b, _first_here(shard["paths"].tolist(), shard["path"].iat[0], a, b))
 
 
 def _compared(blocks: pd.DataFrame) -> pd.DataFrame:
@@ -280,14 +291,69 @@ def _graph_links(shards: DataFrame, width: int) -> DataFrame:
     return (shards.join(adjacency, "cid").groupBy("path").applyInPandas(lambda s: _searched(s, width), _LINKS))
 
 
+def _angles(batches):
+    """Adds each member's angle to its shard's leader; null without a leader."""
+    for batch in batches:
+        for _, part in batch.groupby("path"):
+            leader = part["leader"].iat[0]
+            part = part.drop(columns="leader")
+            part["angle"] = None if leader is None else np.arccos(np.clip(_unit(part["vec"]) @ np.asarray(leader), -1.0, 1.0))
+            yield part
+
+
+def dense_blocks(solid: DataFrame, max_shard: int = MAX_SHARD) -> tuple[DataFrame, DataFrame]:
+    """Members (path, block, cid, vec, n, angle) and pairs of blocks (path, i, j, sure, ...) that may hold links.
+
+    A block's members have similar angles to the leader and lie in the same
+    earlier dense shards, so a pair of blocks counts here as a whole or, if
+    those shards overlap, there. ``sure`` pairs link member by member. A block
+    that is too large, for equal angles too, is dealt by hash.
+    """
+    fields = ", ".join(f"{name} {kind}" for name, kind in solid.dtypes if name != "leader")
+    placed = materialize(solid.mapInPandas(_angles, f"{fields}, angle double"), "dense-angles")
+    cuts = placed.groupBy("path").agg(F.count("*").alias("size"), F.percentile_approx(
+        "angle", [k / RINGS for k in range(1, RINGS)], 10_000).alias("cuts"))
+    steps = F.least(F.lit(RINGS), F.ceil(F.col("size") * 2 / F.lit(max_shard)))
+    place = F.greatest(F.size(F.filter("cuts", lambda c: c < F.col("angle"))), F.lit(0))
+    ringed = (placed.join(cuts, "path").withColumn("ring", F.floor(place * steps / RINGS))
+              .withColumn("earlier", F.filter("paths", lambda p: p < F.col("path")))
+              .select("path", F.concat_ws("#", "ring", F.to_json("earlier")).alias("ring"), "earlier", "cid", "vec", "n", "angle"))
+    parts = ringed.groupBy("path", "ring").agg(F.ceil(F.count("*") * 2 / F.lit(max_shard)).alias("parts"))
+    members = materialize(
+        ringed.join(parts, ["path", "ring"]).withColumn("block", F.concat_ws("#", "ring", F.pmod(F.xxhash64("cid"), "parts")))
+        .drop("ring", "parts"), "dense-blocks")
+    blocks = materialize(members.groupBy("path", "block").agg(
+        F.first("earlier").alias("earlier"), F.min("angle").alias("low"), F.max("angle").alias("high"),
+        F.sum("n").alias("weight"), F.min("cid").alias("least")), "dense-summary")
+    side = lambda s: blocks.select("path", *[F.col(c).alias(f"{c}_{s}") for c in blocks.columns if c != "path"])
+    gap = F.greatest(F.col("low_i") - F.col("high_j"), F.col("low_j") - F.col("high_i"))
+    pairs = (side("i").join(side("j"), "path").filter("block_i <= block_j")
+             .filter(~F.arrays_overlap("earlier_i", "earlier_j") & F.coalesce(gap <= ANGLE + SLACK, F.lit(True)))
+             .withColumn("sure", F.coalesce(F.col("high_i") + F.col("high_j") <= ANGLE - SLACK, F.lit(False)))
+             .select("path", F.col("block_i").alias("i"), F.col("block_j").alias("j"), "sure",
+                     "weight_i", "weight_j", "least_i", "least_j"))
+    return members.drop("earlier"), materialize(pairs, "dense-pairs")
+
+
 def _dense_links(solid: DataFrame, max_shard: int) -> DataFrame:
-    """Step 5: every member of a dense shard is dealt to a block, every pair of blocks is one task."""
-    dealt = (solid.withColumn("blocks", F.ceil(F.col("size") * 2 / F.lit(max_shard)).cast("int"))
-             .withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks").cast("bigint")).cast("int"))
-             .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
-    pairs = dealt.select("path", "cid", "vec", "n", "paths", "block", F.least("block", "o").alias("i"),
-                         F.greatest("block", "o").alias("j"))
-    return pairs.groupBy("path", "i", "j").applyInPandas(lambda p: _compared(p), _LINKS)
+    """Step 5: links of dense shards, from pairs of blocks that link as a whole and from compared ones."""
+    members, pairs = dense_blocks(solid, max_shard)
+    sure, open_ = pairs.filter("sure"), pairs.filter("NOT sure")
+    partners = (sure.select("path", F.col("i").alias("block"), F.col("j").alias("other"), F.col("weight_j").alias("weight"),
+                            F.col("least_j").alias("least"))
+                .unionByName(sure.filter("i <> j").select(
+                    "path", F.col("j").alias("block"), F.col("i").alias("other"), F.col("weight_i").alias("weight"),
+                    F.col("least_i").alias("least")))
+                .groupBy("path", "block").agg(F.sum("weight").alias("weight"), F.min("least").alias("root"),
+                                              F.max(F.col("other") == F.col("block")).alias("itself")))
+    whole = members.join(partners, ["path", "block"]).select(
+        "cid", (F.col("weight") - F.when(F.col("itself"), F.col("n")).otherwise(0)).alias("links"), "root")
+    between = sure.filter("i <> j").select(F.col("least_i").alias("cid"), F.lit(0).cast("bigint").alias("links"),
+                                           F.col("least_j").alias("root"))
+    sides = open_.select("path", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
+    compared = (members.join(sides, ["path", "block"]).select("path", "i", "j", "block", "cid", "vec", "n")
+                .groupBy("path", "i", "j").applyInPandas(lambda p: _compared(p), _LINKS))
+    return whole.unionByName(between).unionByName(compared)
 
 
 def class_links(classes: DataFrame, max_shard: int = MAX_SHARD, effort: int = 1) -> tuple[DataFrame, DataFrame]:
@@ -303,8 +369,8 @@ def class_links(classes: DataFrame, max_shard: int = MAX_SHARD, effort: int = 1)
 def exact_links(classes: DataFrame, max_shard: int = MAX_SHARD) -> DataFrame:
     """`class_links` by comparing all classes of a label in pairs of blocks: exact, with the square of the label's size as work."""
     whole = classes.select(F.concat_ws("|", "label", "dim").alias("path"), "cid", "vec", "n")
-    sizes = whole.groupBy("path").agg(F.count("*").alias("size"))
-    return materialize(_dense_links(whole.join(sizes, "path").withColumn("paths", F.array("path")), max_shard), "exact-links")
+    alike = whole.withColumn("leader", F.lit(None).cast("array<double>")).withColumn("paths", F.array("path"))
+    return materialize(_dense_links(alike, max_shard), "exact-links")
 
 
 def audit_recall(classes: DataFrame, links: DataFrame, sample: int = AUDIT_CLASSES,

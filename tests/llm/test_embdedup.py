@@ -117,3 +117,32 @@ def test_double_vectors_stay_double_when_shards_are_split(spark):
     shards, solid = embdedup.cluster_shards(classes, max_shard=64)
     placed = {tuple(r.vec) for part in (shards, solid) for r in part.select("vec").collect()}
     assert placed == {tuple(v) for v in vectors.tolist()}
+
+
+def test_dense_group_is_counted_by_whole_blocks(spark):
+    """A tight group needs no comparison, one near the bound some, a wide one all; each gives all links, repeated vectors too."""
+    rng = np.random.default_rng(11)
+    centre = rng.standard_normal(16)
+    compared = {}
+    for name, spread in (("tight", 0.03), ("middle", 0.1), ("wide", 0.13)):
+        vectors = [(centre + spread * rng.standard_normal(16)).astype(np.float32).tolist() for _ in range(420)]
+        rows = [(i, v, 1) for i, v in enumerate(vectors + vectors[:30])]
+        assert found(spark, rows, max_shard=64) == brute(rows)
+        _, classes = embdedup.classes_of(frame(spark, rows))
+        _, solid = embdedup.cluster_shards(classes, 64)
+        held = solid.groupBy("cid").agg(embdedup.F.array_sort(embdedup.F.collect_set("path")).alias("paths"))
+        pairs = embdedup.dense_blocks(solid.join(held, "cid"), 64)[1]
+        counts = {r["sure"]: r["count"] for r in pairs.groupBy("sure").count().collect()}
+        compared[name] = counts.get(False, 0) / sum(counts.values())
+    assert compared["tight"] == 0
+    assert 0 < compared["middle"] < compared["wide"] <= 1
+
+
+def test_group_of_equal_angles_is_dealt_to_blocks(spark):
+    """Vectors at one angle to their mean: no block grows with the group."""
+    rows = [(i, [10.0] + [1.0 if j == i else 0.0 for j in range(200)], 1) for i in range(200)]
+    assert found(spark, rows, max_shard=32) == brute(rows)
+    _, classes = embdedup.classes_of(frame(spark, rows))
+    _, solid = embdedup.cluster_shards(classes, 32)
+    members, _ = embdedup.dense_blocks(solid.withColumn("paths", embdedup.F.array("path")), 32)
+    assert members.groupBy("path", "block").count().agg({"count": "max"}).first()[0] <= 40
