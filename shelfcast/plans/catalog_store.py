@@ -106,7 +106,7 @@ def q_sync_documents(spark, sf_dir, grain="bt"):
     f = fx(spark, sf_dir, grain)
     path = _folder(spark, "documents")
     document.write_documents({"products": f.products, "variants": f.variants, "locations": f.locations,
-                              "inventory": f.inventory, "sales": f.sales_table()}, path)
+                              "inventory": f.inventory, "sales": f.sales_table()}, path, compression="lz4")
     return _keys_and_labels(document.read_documents(spark, path, _folder(spark, "pieces")))
 
 
