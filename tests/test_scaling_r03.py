@@ -25,3 +25,12 @@ def test_document_tables_read_their_own_rows(spark, tmp_path, monkeypatch):
     back = document.read_documents(spark, str(tmp_path / "out"), str(tmp_path / "work"))
     assert len(seen) == 1 and back["products"].count() == 30
     assert all("/rows/" in f for f in back["products"].inputFiles())       # its own rows, not all pieces
+
+
+def test_landed_pages_are_packed(spark):
+    made = len(catalog_store._MADE)
+    good = catalog_store._landed(fx(spark, SF_SMALL), "orders")
+    files = [(p, n) for p, n, _ in store.data_files(spark, catalog_store._MADE[made])]
+    text = good.select(F.sum(F.length(F.to_json(F.struct("page", "data"))))).first()[0]
+    assert files and all(os.path.splitext(p)[1] == ".lz4" for p, _ in files)
+    assert sum(n for _, n in files) * 3 < text
