@@ -109,20 +109,24 @@ class Fixture:
 
     # ------------------------------------------------------------------ facts
     @cached_property
-    def sales(self) -> DataFrame:
+    def sale_lines(self) -> DataFrame:
+        """Order lines with their variant, before the ids and titles that `sales` spells out: what a shuffle carries."""
         li = self.table("lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_shipdate")
         pv = self.part_v.select("p_partkey", "p_brand", "variant_id", "sku_label")
         return li.join(pv, li.l_partkey == pv.p_partkey, "inner").select(
+            "l_orderkey", "l_linenumber", "variant_id", F.col("sku_label").alias("sku"), F.col("p_brand").alias("vendor"),
+            F.col("l_quantity").cast("bigint").alias("quantity_sold"), "l_shipdate")
+
+    @cached_property
+    def sales(self) -> DataFrame:
+        return self.sale_lines.select(
             F.concat_ws("_", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("sale_id"),
             F.col("l_orderkey").cast("string").alias("order_id"),
             F.concat(F.lit("#"), F.col("l_orderkey").cast("string")).alias("order_name"),
-            "variant_id", F.col("sku_label").alias("sku"),
-            F.concat(F.lit("Product "), F.col("variant_id")).alias("product_title"),
-            F.col("l_quantity").cast("bigint").alias("quantity_sold"),
+            "variant_id", "sku", F.concat(F.lit("Product "), F.col("variant_id")).alias("product_title"), "quantity_sold",
             F.col("l_shipdate").cast("date").alias("sale_date"),
             F.col("l_shipdate").cast("timestamp").alias("sale_timestamp"),
-            F.col("p_brand").alias("vendor"),
-            F.lit(None).cast("decimal(38,9)").alias("line_price"),
+            "vendor", F.lit(None).cast("decimal(38,9)").alias("line_price"),
             "l_linenumber")
 
     @cached_property
@@ -189,6 +193,11 @@ class StoredFixture(Fixture):
         s = self.spark.read.schema(table_schema("sales_history_raw")).parquet(f"{self.store_dir}/sales_history_raw")
         return s.withColumn("l_linenumber", F.element_at(F.split("sale_id", "_"), -1).cast("int"))
 
+    @cached_property
+    def sale_lines(self) -> DataFrame:
+        return self.sales.select(F.col("order_id").cast("bigint").alias("l_orderkey"), "l_linenumber", "variant_id", "sku", "vendor",
+                                 "quantity_sold", F.col("sale_timestamp").alias("l_shipdate"))
+
     @cached_property
     def inventory(self) -> DataFrame:
         from shelfcast.sources.store import table_schema

@@ -77,21 +77,23 @@ def inventory_pages(f: Fixture) -> DataFrame:
 
 def order_pages(f: Fixture) -> DataFrame:
     """One order node per (order key, ship date); flags from FIXTURES.md (cancelled / test)."""
-    s = f.sales.join(f.order_flags, F.col("order_id") == F.col("o_orderkey").cast("string"))
     line = F.struct(_gid("LineItem", F.col("l_linenumber").cast("string")).alias("id"),
-                    F.col("product_title").alias("title"), F.col("sku"), F.col("quantity_sold").alias("quantity"),
+                    F.concat(F.lit("Product "), F.col("variant_id")).alias("title"), F.col("sku"), F.col("quantity_sold").alias("quantity"),
                     F.struct(_gid("ProductVariant", F.col("variant_id")).alias("id"),
                              F.struct(F.col("vendor").alias("vendor")).alias("product")).alias("variant"))
     # at most LINES_PER_NODE lines per order node (the API pages nested lines the same
     # way), so no group grows with the size of one order
     chunk = F.floor(F.col("l_linenumber") / LINES_PER_NODE).alias("chunk")
-    # one shuffle by page: both groupings below reuse that partitioning
+    # one shuffle by page, of narrow rows: both groupings below reuse that partitioning
     # (collect_list gains nothing from a map-side combine)
+    parts = int(f.spark.conf.get("spark.sql.shuffle.partitions"))
     page = F.floor(F.col("o_orderkey") / ORDERS_PER_PAGE)
-    parts = int(s.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    orders = (s.repartition(parts, page.alias("page")).withColumn("page", page)
-              .groupBy("page", "o_orderkey", "sale_date", "cancelled", "test", chunk)
-              .agg(F.collect_list(F.struct(line.alias("node"))).alias("lines")))
+    lines = f.sale_lines.join(f.order_flags, F.col("l_orderkey") == F.col("o_orderkey")).drop("l_orderkey").repartition(parts, page)
+    # the line is built before it is collected: inside the aggregate it would be interpreted row by row
+    orders = (lines.select(page.alias("page"), "o_orderkey", F.col("l_shipdate").cast("date").alias("sale_date"), "cancelled", "test", chunk,
+                           F.struct(line.alias("node")).alias("line"))
+              .groupBy("page", "o_orderkey", "sale_date", "cancelled", "test", "chunk")
+              .agg(F.collect_list("line").alias("lines")))
     created = F.date_format(F.col("sale_date"), ORDER_LOCAL)
     node = F.struct(_gid("Order", F.col("o_orderkey").cast("string")).alias("id"),
                     F.concat(F.lit("#"), F.col("o_orderkey").cast("string")).alias("name"),
@@ -99,5 +101,5 @@ def order_pages(f: Fixture) -> DataFrame:
                     F.when(F.col("cancelled"), F.lit(ARCHIVED_AT.strftime("%Y-%m-%dT%H:%M:%SZ"))).alias("cancelledAt"),
                     F.col("test"), F.struct(F.col("lines").alias("edges")).alias("lineItems"))
     nodes = orders.select("o_orderkey", node.alias("node"))
-    return _page_json(nodes, F.floor(F.col("o_orderkey") / ORDERS_PER_PAGE),
+    return _page_json(nodes, page,
                       lambda e, info: F.struct(e.alias("edges"), info.alias("pageInfo")).alias("orders"))

@@ -34,3 +34,15 @@ def test_landed_pages_are_packed(spark):
     text = good.select(F.sum(F.length(F.to_json(F.struct("page", "data"))))).first()[0]
     assert files and all(os.path.splitext(p)[1] == ".lz4" for p, _ in files)
     assert sum(n for _, n in files) * 3 < text
+
+
+def test_order_lines_meet_flags_and_pages_in_one_shuffle(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = _plan(pages.order_pages(fx(spark, SF_SMALL)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    # part and lines by part key, flags and lines by order key, lines by page: numbers are compared, titles come after the last one
+    assert plan.count("Exchange hashpartitioning") == 5 and "SortMergeJoin [l_orderkey" in plan
+    assert not any("product_title" in line for line in plan.splitlines() if "Exchange" in line or "Project" in line)
