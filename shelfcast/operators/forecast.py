@@ -38,7 +38,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcast.functions.semantics import date_lit, null_greatest, round_to_long, ts_lit
+from shelfcast.functions.semantics import date_lit, round_to_long, ts_lit
 from shelfcast.operators.holidays import add_holiday_effects
 from shelfcast.params import DEFAULT_PARAMS, Params
 
@@ -198,8 +198,8 @@ def forecast(model: DataFrame, key: str, horizon: int, step_days: int, z: float)
 
 
 def to_quantity(c: Column | str) -> Column:
-    """``GREATEST(CAST(x AS INT64), 0)`` with half-away-from-zero rounding."""
-    return null_greatest(round_to_long(c))
+    """``GREATEST(CAST(x AS INT64), 0)`` with half-away-from-zero rounding, NULL for NULL; the rounding stands in it once."""
+    return F.greatest(round_to_long(c), F.when((F.col(c) if isinstance(c, str) else c).isNotNull(), F.lit(0)))
 
 
 # ---------------------------------------------------------------- daily demand model

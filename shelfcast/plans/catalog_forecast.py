@@ -20,9 +20,9 @@ AR_QTY = f"{qty('forecast_value')} AS predicted_qty, {qty('lower_bound')} AS con
 
 
 def _quantities(df: DataFrame, *keys: str) -> DataFrame:
-    return df.select(*keys, "forecast_ts", to_quantity(F.round("forecast_value", 6)).alias("predicted_qty"),
-                     to_quantity(F.round("prediction_interval_lower_bound", 6)).alias("confidence_lower"),
-                     to_quantity(F.round("prediction_interval_upper_bound", 6)).alias("confidence_upper"))
+    return df.select(*keys, "forecast_ts", to_quantity("forecast_value").alias("predicted_qty"),
+                     to_quantity("prediction_interval_lower_bound").alias("confidence_lower"),
+                     to_quantity("prediction_interval_upper_bound").alias("confidence_upper"))
 
 
 @register("f05_fit_arima", with_fixture(AR, f"SELECT {FIT} FROM dm_ar"))

@@ -46,3 +46,10 @@ def test_order_lines_meet_flags_and_pages_in_one_shuffle(spark):
     # part and lines by part key, flags and lines by order key, lines by page: numbers are compared, titles come after the last one
     assert plan.count("Exchange hashpartitioning") == 5 and "SortMergeJoin [l_orderkey" in plan
     assert not any("product_title" in line for line in plan.splitlines() if "Exchange" in line or "Project" in line)
+
+
+def test_quantity_rounds_once(spark):
+    df = spark.createDataFrame([(2.5,), (-2.5,), (None,), (0.4999999999,)], "v double")
+    out = df.select(to_quantity("v").alias("q"))
+    assert [r.q for r in out.collect()] == [3, 0, None, 1]
+    assert _plan(out).split("Scan")[0].count("round(") == 2
