@@ -14,6 +14,7 @@ from shelfcast.plans.catalog import AS_OF, ORACLE, P, SALES_DAILY_V_CTE, SALES_W
 from shelfcast.plans.catalog_ingest import SALES_COLS, SALES_ORDER, _dedupe_sql, inventory_batches, sales_batches
 from shelfcast.plans.catalog_store import _folder
 from shelfcast.plans.oracle_fixture import FixtureSQL, fixture_ctes, with_fixture
+from shelfcast.plans.weekly import materialize
 from shelfcast.sources import catalog, store
 from shelfcast.sources.testdata import Fixture
 
@@ -142,7 +143,9 @@ def q_tables(spark, sf_dir, grain="bt"):
 def _kept_up(f: Fixture, weekly: bool) -> DataFrame:
     """Rollups of the history up to three weeks ago, then refreshed after three upserts of a week each."""
     spark, folder = f.spark, _folder(f.spark, "rollups")
-    sales = store.retained(store.dedupe(f.sales.drop("l_linenumber"), "sale_id", SALES_ORDER), "sale_date", P.days_ago(21), P.retention_days)
+    # written once: the first load and each batch would sort the whole history again to have one row a sale
+    sales = materialize(store.retained(store.dedupe(f.sales.drop("l_linenumber"), "sale_id", SALES_ORDER), "sale_date", P.days_ago(21),
+                                       P.retention_days), "history", folder)
     path, daily, weeks = f"{folder}/sales", f"{folder}/sales_daily", f"{folder}/sales_weekly"
     stored = lambda name, at: spark.read.schema(store.table_schema(name)).parquet(at)
     vmap = views.v_variant_vendor_map(f.variants, f.products)

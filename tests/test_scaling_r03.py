@@ -53,3 +53,11 @@ def test_quantity_rounds_once(spark):
     out = df.select(to_quantity("v").alias("q"))
     assert [r.q for r in out.collect()] == [3, 0, None, 1]
     assert _plan(out).split("Scan")[0].count("round(") == 2
+
+
+def test_kept_up_batches_read_the_kept_history(spark, monkeypatch):
+    seen, upsert = [], store.upsert_partitions
+    monkeypatch.setattr(store, "upsert_partitions", lambda s, path, name, batch, **kw: (seen.append(batch.inputFiles()),
+                                                                                         upsert(s, path, name, batch, **kw))[1])
+    catalog_tables._kept_up(fx(spark, SF_SMALL), weekly=False)
+    assert len(seen) == 3 and not any("lineitem" in path for files in seen for path in files)
