@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions.semantics import date_lit, round_to_long, ts_lit
-from shelfcast.operators.holidays import add_holiday_effects
+from shelfcast.operators.holidays import add_holiday_effects, with_holiday_effects
 from shelfcast.params import DEFAULT_PARAMS, Params
 
 SSE_FLOOR = 1e-9
@@ -170,10 +170,11 @@ def _season_terms(df: DataFrame, step_days: int) -> DataFrame:
                               " AS sse_trend_season")
 
 
-def forecast(model: DataFrame, key: str, horizon: int, step_days: int, z: float) -> DataFrame:
+def forecast(model: DataFrame, key: str, horizon: int, step_days: int, z: float, carry: tuple[str, ...] = ()) -> DataFrame:
     """``ML.FORECAST``: ``horizon`` rows per series after its last observed period.
 
-    Returns key, forecast_ts (date), forecast_value, prediction_interval_lower/upper_bound.
+    Returns key, forecast_ts (date), forecast_value, prediction_interval_lower/upper_bound
+    and the model columns named in ``carry``.
     """
     # The output is ``horizon`` times the model table (one row per series): rebalance
     # before the expansion, with partition sizes left to adaptive execution.
@@ -190,11 +191,11 @@ def forecast(model: DataFrame, key: str, horizon: int, step_days: int, z: float)
     se = (f"CASE WHEN model = 'mean' THEN sigma * sqrt(1 + 1 / {nd}) "
           f"WHEN model IN ('last', 'drift') THEN sigma * sqrt({hd}) "
           f"ELSE sigma * sqrt(1 + 1 / {nd} + ({tstar} - t_mean) * ({tstar} - t_mean) / sxx) END")
-    pts = steps.selectExpr(key, f"{fday} AS forecast_ts", f"{yhat} AS forecast_value", f"{se} AS se")
+    pts = steps.selectExpr(key, f"{fday} AS forecast_ts", f"{yhat} AS forecast_value", f"{se} AS se", *carry)
     zl = f"CAST({float(z)!r} AS DOUBLE)"
     return pts.selectExpr(key, "forecast_ts", "forecast_value",
                           f"forecast_value - {zl} * se AS prediction_interval_lower_bound",
-                          f"forecast_value + {zl} * se AS prediction_interval_upper_bound")
+                          f"forecast_value + {zl} * se AS prediction_interval_upper_bound", *carry)
 
 
 def to_quantity(c: Column | str) -> Column:
@@ -237,10 +238,13 @@ def demand_forecasts(model: DataFrame, p: Params = DEFAULT_PARAMS, variants: Dat
     that holiday's effect. The positivity filter is on the raw forecast value,
     before rounding. With ``variants`` the sku label is attached (stand-alone form).
     """
-    f = forecast(model, "variant_id", p.forecast_horizon_days, 1, p.z_value)
-    if holiday_effects is not None:
-        f = add_holiday_effects(f, holiday_effects, "variant_id", calendar)
-    return forecast_quantities(f, p, variants)
+    horizon = (p.forecast_horizon_days, 1, p.z_value)
+    if holiday_effects is None:
+        return forecast_quantities(forecast(model, "variant_id", *horizon), p, variants)
+    # the effects meet the model, one row a series, and not its ``horizon`` forecasts
+    shifted = with_holiday_effects(model, holiday_effects, "variant_id", calendar, p.forecast_horizon_days)
+    f = forecast(shifted, "variant_id", *horizon, carry=("holiday_shifts",))
+    return forecast_quantities(add_holiday_effects(f, "variant_id"), p, variants)
 
 
 def forecast_quantities(f: DataFrame, p: Params = DEFAULT_PARAMS, variants: DataFrame | None = None) -> DataFrame:

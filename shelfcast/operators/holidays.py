@@ -70,22 +70,24 @@ def holiday_effects(series: DataFrame, model: DataFrame, key: str, ts: str, valu
     """Mean residual per (series, holiday) over the holidays inside each daily series' span.
 
     ``calendar`` (11 rows a year of the run) is broadcast: only observations on
-    a holiday leave the scan, and the fitted columns travel with the few
-    holiday rows of each series.
+    a holiday leave the scan, as one row a series. They meet the model in one
+    shuffle by series; its holidays are spelled out after it, and stay in place.
     """
     cal = F.broadcast(calendar.withColumn("_year", F.year("holiday_date")))
     first = F.date_sub("last_ts", (F.col("n") - 1).cast("int"))
-    years = model.withColumn("_first", first).withColumn("_year", F.explode(F.sequence(F.year("_first"), F.year("last_ts"))))
+    dates = F.broadcast(calendar.select(F.col("holiday_date").alias(ts)).distinct())
+    obs = (series.join(dates, ts, "left_semi").groupBy(key)
+           .agg(F.collect_list(F.struct(F.col(ts).alias("day"), F.col(value).cast("double").alias("y"))).alias("_obs")))
+    years = (model.join(obs, key, "left").withColumn("_first", first)
+             .withColumn("_year", F.explode(F.sequence(F.year("_first"), F.year("last_ts")))))
     days = (years.join(cal, "_year").filter(F.col("holiday_date").between(F.col("_first"), F.col("last_ts")))
             .withColumnRenamed("holiday_date", ts))
-    dates = F.broadcast(calendar.select(F.col("holiday_date").alias(ts)).distinct())
-    obs = series.join(dates, ts, "left_semi").select(key, ts, F.col(value).cast("double").alias("_y"))
-    pts = days.join(obs, [key, ts], "left")
+    seen = F.transform(F.filter("_obs", lambda o: o["day"] == F.col(ts)), lambda o: o["y"])
+    pts = days.withColumn("_y", F.explode_outer(seen))
     t = F.datediff(F.col(ts), F.col("_first")).cast("double")
     resid = F.coalesce("_y", F.lit(0.0)) - _fitted(t, F.col(ts))
-    vals = F.array_sort(F.collect_list(resid))        # ≤ 2 dates per holiday in a one-year window
-    return pts.groupBy(key, "holiday").agg(
-        (F.aggregate(vals, F.lit(0.0), lambda acc, x: acc + x) / F.size(vals)).alias("holiday_effect"))
+    # ≤ 2 dates per holiday in a one-year window: their sum is the same in either order
+    return pts.groupBy(key, "holiday").agg((F.sum(resid) / F.count(resid)).alias("holiday_effect"))
 
 
 def _fitted(t: Column, day: Column) -> Column:
@@ -95,14 +97,19 @@ def _fitted(t: Column, day: Column) -> Column:
     return trend + F.coalesce(offset, F.lit(0.0))
 
 
-def add_holiday_effects(fc: DataFrame, effects: DataFrame, key: str, calendar: DataFrame) -> DataFrame:
-    """Shift forecasts (value and bounds) that fall on a holiday by that holiday's effect.
+def with_holiday_effects(model: DataFrame, effects: DataFrame, key: str, calendar: DataFrame, days: int) -> DataFrame:
+    """The model with ``holiday_shifts``: the effect of each holiday in the ``days`` after a series' last one, by date."""
+    named = effects.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("holiday", "holiday_effect"))).alias("_effects"))
+    dates = calendar.select(F.collect_list(F.struct("holiday_date", "holiday"))).scalar()
+    ahead = F.filter("_dates", lambda d: d["holiday_date"].between(F.date_add("last_ts", 1), F.date_add("last_ts", days)))
+    shifts = F.map_from_entries(F.transform(ahead, lambda d: F.struct(d["holiday_date"], F.element_at("_effects", d["holiday"]))))
+    return (model.join(named, key, "left").withColumn("_dates", dates).withColumn("holiday_shifts", shifts)
+            .drop("_dates", "_effects"))
 
-    The calendar is broadcast, so a forecast row learns its holiday in place;
-    one join on (series, holiday) then brings the effect.
-    """
-    named = fc.join(F.broadcast(calendar.withColumnRenamed("holiday_date", "forecast_ts")), "forecast_ts", "left")
-    eff = F.coalesce("holiday_effect", F.lit(0.0))
+
+def add_holiday_effects(fc: DataFrame, key: str) -> DataFrame:
+    """Shift forecasts (value and bounds) that fall on a holiday by that holiday's effect in ``holiday_shifts``."""
     cols = ("forecast_value", "prediction_interval_lower_bound", "prediction_interval_upper_bound")
-    return named.join(effects, [key, "holiday"], "left").select(
-        key, "forecast_ts", *[(F.col(c) + eff).alias(c) for c in cols])
+    eff = F.coalesce(F.element_at("holiday_shifts", F.col("forecast_ts")), F.lit(0.0))
+    return (fc.select(key, "forecast_ts", *cols, eff.alias("_effect"))
+            .select(key, "forecast_ts", *[(F.col(c) + F.col("_effect")).alias(c) for c in cols]))

@@ -49,7 +49,7 @@ class WeeklyRun:
                  p: Params = DEFAULT_PARAMS, work_dir: str | None = None, materialize_steps: bool = True,
                  cadence: DataFrame | None = None, latest_snapshot: dt.date | None = None):
         self.spark, self.p = spark, p
-        self.variants, self.products, self.sales, self.snapshots = variants, products, sales, snapshots
+        self.variants, self.products, self.sales, self.snapshots_in = variants, products, sales, snapshots
         self.vendors_in, self.status_in = vendors_table, vendor_status
         self.work_dir = work_dir or f"{checkpoint_dir(spark)}/shelfcast-run-{uuid.uuid4().hex}"
         self.materialize_steps = materialize_steps
@@ -166,6 +166,10 @@ class WeeklyRun:
         return self._keep(forecast.demand_forecasts(self.demand_model, self.p, holiday_effects=self.holiday_effects,
                                                     calendar=self.calendar), "demand_forecasts")
 
+    @cached_property
+    def snapshots(self) -> DataFrame:
+        return self.snapshots_in
+
     @cached_property
     def newest_day(self) -> dt.date | None:
         # one value; later steps filter by the literal instead of looking it up again
@@ -265,6 +269,19 @@ class WeeklyRun:
         store.delete_folder(self.spark, self.work_dir)
 
 
+class FixtureRun(WeeklyRun):
+    """The run over the test mapping, which derives its snapshots from the order lines: done once, when a step needs them."""
+
+    def __init__(self, f, p: Params, materialize_steps: bool = True):
+        super().__init__(f.spark, f.variants, f.products, f.sales_table(), f.inventory, f.vendors_existing,
+                         f.vendor_status_existing, p, materialize_steps=materialize_steps)
+        self.fixture = f
+
+    @cached_property
+    def snapshots(self) -> DataFrame:
+        # the newest day and the stock of that day both read them
+        return self.fixture.kept_inventory(self._keep)
+
+
 def from_fixture(f, p: Params, materialize_steps: bool = True) -> WeeklyRun:
-    return WeeklyRun(f.spark, f.variants, f.products, f.sales_table(), f.inventory, f.vendors_existing,
-                     f.vendor_status_existing, p, materialize_steps=materialize_steps)
+    return FixtureRun(f, p, materialize_steps)

@@ -12,6 +12,7 @@ Everything here is lazy DataFrame code; nothing is collected.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -130,7 +131,8 @@ class Fixture:
             "l_linenumber")
 
     @cached_property
-    def inventory(self) -> DataFrame:
+    def stocked(self) -> DataFrame:
+        """(variant, region) pairs that are stocked, with the variant's sku and number: `inventory` before its dates."""
         # A variant is stocked in the regions whose suppliers ship it: the (variant,
         # region) pairs that the order lines hold, on each of the 3 snapshot dates.
         shipped = (self.table("lineitem").select("l_partkey", "l_suppkey")
@@ -139,8 +141,20 @@ class Fixture:
                    .join(self.table("nation").select(F.col("n_nationkey").alias("s_nationkey"),
                                                      F.col("n_regionkey").alias("r_regionkey")), "s_nationkey")
                    .select("variant_id", "r_regionkey").distinct())
+        return shipped.join(self.variants_k.select("variant_id", "sku", "k"), "variant_id")
+
+    @cached_property
+    def inventory(self) -> DataFrame:
+        return self.snapshots_of(self.stocked)
+
+    def kept_inventory(self, keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+        """`inventory` for a run that reads it more than once: ``keep`` stores the pairs under a name."""
+        return self.snapshots_of(keep(self.stocked, "stocked"))
+
+    def snapshots_of(self, stocked: DataFrame) -> DataFrame:
+        """Each stocked pair on each of the 3 snapshot dates."""
         offs = F.explode(F.array(*[F.lit(o) for o in SNAPSHOT_OFFSETS_DAYS])).alias("off")
-        base = shipped.join(self.variants_k.select("variant_id", "sku", "k"), "variant_id").select("*", offs)
+        base = stocked.select("*", offs)
         snap_date = F.date_sub(date_lit(self.p.as_of), F.col("off"))
         return base.select(
             F.concat_ws("_", "variant_id", F.col("r_regionkey").cast("string"), snap_date.cast("string")).alias("snapshot_id"),
@@ -204,6 +218,9 @@ class StoredFixture(Fixture):
         return self.spark.read.schema(table_schema("inventory_snapshots_raw")).parquet(
             f"{self.store_dir}/inventory_snapshots_raw")
 
+    def kept_inventory(self, keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+        return self.inventory
+
 
 def land(fixture: Fixture, store_dir: str) -> None:
     """Write the fixture's input tables into a store: dimensions whole, facts date-partitioned."""
